@@ -15,10 +15,15 @@ def encode_label(df: DataFrame, column: str = LABEL) -> DataFrame:
 
 
 def flatten(messages: DataFrame, value: str = "value") -> DataFrame:
-    """One flat row of seven columns per message; bad messages and fields become nulls, no row is lost."""
+    """One flat row of seven columns per message; bad messages and fields become nulls, no row is lost.
+
+    The decoded struct goes through a generator, below which no filter is pushed: conditions on
+    decoded columns then test the decoded row, where a plain projection would have Catalyst repeat
+    the JSON parse inside every condition.
+    """
     first = first_approach(F.col("close_approach_data"))
     size = F.col("estimated_diameter.kilometers")
-    flat = messages.select(decode(F.col(value)).alias("message")).select("message.*").select(
+    flat = messages.select(F.inline(F.array(decode(F.col(value))))).select(
         "name",
         first["close_approach_date"].alias("close_approach_date"),
         size["estimated_diameter_max"].alias("estimated_diameter_km_max"),

@@ -18,9 +18,11 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
+from perigee.functions import day
 from perigee.operators.model import LinearModel
 from perigee.schema import LEDGER_SCHEMA, ROWS_SCHEMA, SCORED_SCHEMA
 
@@ -88,9 +90,21 @@ def latest_batch(ledger: DataFrame) -> Row | None:
 
 
 def read_cursor(ledger: DataFrame, initial: date) -> date:
-    """The newest committed cursor, or the initial one before the first batch."""
-    cursor = ledger.agg(F.max("cursor_date")).first()[0]
-    return initial if cursor is None else cursor
+    """The cursor of the latest batch that has one, or the initial one."""
+    latest = latest_batch(ledger.where(F.col("cursor_date").isNotNull()))
+    return initial if latest is None else latest["cursor_date"]
+
+
+def commit(spark: SparkSession, paths: StatePaths, batch_id: int, values: dict[str, object]) -> Row:
+    """Writes the ledger row, which makes the batch visible."""
+    fields = [f for f in read_ledger(spark, paths).schema.fields if f.name != "batch_id"]
+    row = spark.range(0, 1, 1, 1).select(*(_literal(values[f.name], f.dataType).alias(f.name) for f in fields))
+    row.write.mode("overwrite").parquet(of_batch(paths.ledger, batch_id))
+    return Row(**values, batch_id=batch_id)
+
+
+def _literal(value: object, kind: DataType) -> Column:
+    return day(value).cast(kind) if isinstance(value, date) else F.lit(value).cast(kind)
 
 
 def read_model(ledger: DataFrame) -> LinearModel | None:

@@ -19,13 +19,13 @@ from perigee.plans.state import (
     TEST,
     TRAIN,
     StatePaths,
+    commit,
     latest_batch,
     of_batch,
-    read_cursor,
     read_ledger,
     read_train,
 )
-from perigee.schema import DATED_SCHEMA, LEDGER_SCHEMA
+from perigee.schema import DATED_SCHEMA
 from perigee.sources.tables import read_flat
 
 Trainer = Callable[[DataFrame], "LogisticRegressionModel | LinearModel"]
@@ -70,8 +70,7 @@ def process_batch(
     if batch.isEmpty():
         return None
     spark = batch.sparkSession
-    earlier = read_ledger(spark, paths).where(F.col("batch_id") < batch_id)
-    before = latest_batch(earlier)
+    before = latest_batch(read_ledger(spark, paths).where(F.col("batch_id") < batch_id))
 
     rows = _stage(batch, of_batch(paths.rows, batch_id))
     train = rows.where(F.col("part") == TRAIN)
@@ -106,7 +105,7 @@ def process_batch(
     cursor = counts["cursor_date"]
     if cursor is None and before is not None:
         cursor = before["cursor_date"]
-    return _commit(
+    return commit(
         spark,
         paths,
         batch_id,
@@ -121,14 +120,6 @@ def process_batch(
     )
 
 
-def _commit(spark: SparkSession, paths: StatePaths, batch_id: int, values: dict) -> Row:
-    """Writes the ledger row, which makes the batch visible."""
-    columns = LEDGER_SCHEMA.replace("batch_id BIGINT", "").strip().rstrip(",")
-    row = spark.createDataFrame([values], columns)
-    row.coalesce(1).write.mode("overwrite").parquet(of_batch(paths.ledger, batch_id))
-    return Row(**values, batch_id=batch_id)
-
-
 def run_available(
     spark: SparkSession,
     paths: StatePaths,
@@ -137,9 +128,10 @@ def run_available(
     **settings: object,
 ) -> Row | None:
     """One step over all flat rows newer than the cursor; `initial` defaults to yesterday."""
-    ledger = read_ledger(spark, paths)
-    cursor = read_cursor(ledger, initial or date.today() - timedelta(days=1))
-    last = latest_batch(ledger)
+    last = latest_batch(read_ledger(spark, paths))
+    cursor = None if last is None else last["cursor_date"]
+    if cursor is None:
+        cursor = initial or date.today() - timedelta(days=1)
     batch = newer_than(read_flat(spark, paths.flat), cursor, until)
     return process_batch(batch, 0 if last is None else last["batch_id"] + 1, paths, **settings)
 

@@ -17,7 +17,7 @@ def windows_over(span: DataFrame, step_days: int = 2) -> DataFrame:
     one is the last to begin at or before `stop`.
     """
     step = F.make_interval(days=F.lit(step_days))
-    starts = F.explode(F.sequence("start", "stop", step)).alias("window_start")
+    starts = F.explode(F.sequence("start", F.greatest("start", "stop"), step)).alias("window_start")
     return span.where(F.col("start") <= F.col("stop")).select(starts).withColumn(
         "window_end", F.date_add("window_start", step_days - 1)
     )
