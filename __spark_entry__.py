@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 import samplefeed
 from perigee import operators as op
 from perigee import plans, sources, streaming
-from perigee.functions import decode, first_approach, to_day, to_double
+from perigee.functions import decode, first_approach, to_double
 from perigee.schema import FEATURE_COLUMNS, FLAT_COLUMNS, LABEL
 from samplefeed.build import window_start
 
@@ -37,10 +37,10 @@ def feed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_windows_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows still to fetch when those with an object up to the cursor have landed."""
+    """Windows still to fetch when the envelopes of those up to the cursor have landed."""
     span = samplefeed.ship_dates(spark, sf_dir).withColumn("start", F.lit(date(1995, 1, 1)))
-    landed = sources.explode_envelope(samplefeed.envelopes(spark, sf_dir)).select(to_day(F.col("date")).alias("day"))
-    done = landed.where(F.col("day") <= F.lit(CURSOR)).select(window_start(F.col("day")).alias("window_start"))
+    landed = sources.envelope_dates(samplefeed.envelopes(spark, sf_dir)).where(F.col("date") <= F.lit(CURSOR))
+    done = landed.select(window_start(F.col("date")).alias("window_start"))
     return sources.pending_windows(sources.windows_over(span), done)
 
 
@@ -168,13 +168,15 @@ def split_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = op.split_random(_clean(spark, sf_dir).select("name"), seed=42)
+    """Drawn from the stored table, since both parts read the input and must see it alike."""
+    rows = op.clean_rows(sources.read_flat(spark, _table(spark, sf_dir).flat))
+    train, test = op.split_random(rows.select("name"), seed=42)
     return train.withColumn("is_train", F.lit(True)).unionByName(test.withColumn("is_train", F.lit(False)))
 
 
 def model_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fit on the train part, score the test part."""
-    rows = op.split_keyed(_clean(spark, sf_dir))
+    """Fit on the train part of the stored table (a fit reads its input twice), score the test part."""
+    rows = op.split_keyed(op.clean_rows(sources.read_flat(spark, _table(spark, sf_dir).flat)))
     model = op.fit(rows.where("is_train"))
     return op.plain_vectors(op.score(rows.where("NOT is_train"), model)).select(
         "name", LABEL, "rawPrediction", "probability", "prediction"
@@ -345,7 +347,7 @@ _SQL = {
         SELECT g::DATE AS window_start, g::DATE + 1 AS window_end
         FROM (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', max(l_shipdate), INTERVAL 2 DAY)) AS g
               FROM lineitem)
-        WHERE NOT EXISTS (SELECT 1 FROM listed WHERE day BETWEEN g::DATE AND g::DATE + 1 AND day <= {_CURSOR})""",
+        WHERE g::DATE > {_CURSOR} OR NOT EXISTS (SELECT 1 FROM listed WHERE day BETWEEN g::DATE AND g::DATE + 1)""",
     "feed_envelope_explode": f"{_LISTED} SELECT strftime(day, '%Y-%m-%d') AS date, name FROM listed",
     "feed_date_counts": f"""{_LISTED},
         starts AS (SELECT DISTINCT day - ((day - DATE '1995-01-01') % 2)::INT AS start FROM listed),

@@ -62,11 +62,15 @@ def of_batch(table: str, batch_id: int) -> str:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """A new directory under the cluster's shared checkpoint folder.
+    """A new directory under the shared folder named by spark.checkpoint.dir.
 
-    A local temporary folder serves only where no shared one is configured, as in tests.
+    Only a local session may go without one and gets a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="perigee-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        base = tempfile.mkdtemp(prefix="perigee-")
     return f"{base.rstrip('/')}/perigee-{uuid.uuid4().hex}"
 
 

@@ -25,7 +25,7 @@ from perigee.plans.state import (
     read_ledger,
     read_train,
 )
-from perigee.schema import DATED_SCHEMA
+from perigee.schema import DATED_SCHEMA, MAX_FILE_ROWS
 from perigee.sources.tables import read_flat
 
 Trainer = Callable[[DataFrame], "LogisticRegressionModel | LinearModel"]
@@ -47,7 +47,8 @@ def _stage(batch: DataFrame, path: str) -> DataFrame:
         )
         .drop("is_train", "approach_month")
     )
-    routed.write.mode("overwrite").partitionBy("part").parquet(path)
+    writer = routed.write.mode("overwrite").partitionBy("part")
+    writer.option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(path)
     return batch.sparkSession.read.schema(_STAGED_SCHEMA).parquet(path)
 
 

@@ -42,6 +42,10 @@ NOT_HAZARDOUS = "Not Hazardous"
 
 # End of fixed values.
 
+# Row bound of a written file. Equal rows shrink to almost nothing on disk, so a byte-sized read
+# split alone could hand one task any number of them.
+MAX_FILE_ROWS = 1_000_000
+
 # Objects are kept as raw JSON text, so that fields nobody declared survive the fan-out.
 ENVELOPE_SCHEMA = f"{ENVELOPE_FIELD} MAP<STRING, ARRAY<STRING>>"
 

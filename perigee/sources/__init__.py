@@ -1,4 +1,4 @@
-from perigee.sources.envelopes import date_counts, explode_envelope, read_envelopes
+from perigee.sources.envelopes import date_counts, envelope_dates, explode_envelope, read_envelopes
 from perigee.sources.messages import encode, message_stream, publish, read_messages
 from perigee.sources.tables import read_flat, read_to_score, register_flat, write_flat
 from perigee.sources.windows import feed_windows, pending_windows, windows_over
@@ -6,6 +6,7 @@ from perigee.sources.windows import feed_windows, pending_windows, windows_over
 __all__ = [
     "date_counts",
     "encode",
+    "envelope_dates",
     "explode_envelope",
     "feed_windows",
     "message_stream",

@@ -28,20 +28,34 @@ def explode_envelope(envelopes: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def date_counts(envelopes: DataFrame, value: str = "value") -> DataFrame:
-    """Objects per date (0 for an empty list) with the running total over dates.
+def envelope_dates(envelopes: DataFrame, value: str = "value") -> DataFrame:
+    """One row (date DATE, objects BIGINT) per date of an envelope, 0 for an empty list.
 
-    Lists are sized inside the envelope, never exploded. Dates are summed first, as real DATEs, so
-    the ordered window sees one row per calendar day however many objects there are; keys that are
-    no date share the null row, which sorts first.
+    Lists are sized inside the envelope, their objects never built or exploded. Keys that are no
+    date give a null date.
     """
-    per_date = (
+    return (
         envelopes.select(
             F.from_json(F.col(value).cast("string"), ENVELOPE_COUNT_SCHEMA).alias("envelope")
         )
-        .select(F.explode(f"envelope.{ENVELOPE_FIELD}").alias("date", "objects"))
-        .groupBy(to_day(F.col("date")).alias("close_approach_date"))
-        .agg(F.sum(F.coalesce(F.size("objects"), F.lit(0)).cast("bigint")).alias("neos_fetched"))
+        .select(F.explode(f"envelope.{ENVELOPE_FIELD}").alias("key", "listed"))
+        .select(
+            to_day(F.col("key")).alias("date"),
+            F.coalesce(F.size("listed"), F.lit(0)).cast("bigint").alias("objects"),
+        )
+    )
+
+
+def date_counts(envelopes: DataFrame, value: str = "value") -> DataFrame:
+    """Objects per date with the running total over dates; a null date sorts first.
+
+    Dates are summed first, so the ordered window sees one row per calendar day however many
+    envelopes and objects there are.
+    """
+    per_date = (
+        envelope_dates(envelopes, value)
+        .groupBy(F.col("date").alias("close_approach_date"))
+        .agg(F.sum("objects").alias("neos_fetched"))
     )
     so_far = Window.orderBy("close_approach_date").rowsBetween(
         Window.unboundedPreceding, Window.currentRow

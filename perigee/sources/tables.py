@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from perigee.functions import to_double
 from perigee.operators.flatten import with_day, with_month
-from perigee.schema import FEATURE_COLUMNS, FLAT_TABLE_SCHEMA
+from perigee.schema import FEATURE_COLUMNS, FLAT_TABLE_SCHEMA, MAX_FILE_ROWS
 
 
 def by_month(flat: DataFrame) -> DataFrame:
@@ -21,7 +21,8 @@ def by_month(flat: DataFrame) -> DataFrame:
 
 def write_flat(flat: DataFrame, path: str) -> None:
     """Batch backfill of a flat table (a table has one writer: this or the stream)."""
-    by_month(flat).write.mode("append").partitionBy("approach_month").parquet(path)
+    writer = by_month(flat).write.mode("append").partitionBy("approach_month")
+    writer.option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(path)
 
 
 def read_flat(spark: SparkSession, path: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from perigee.operators.flatten import flatten
+from perigee.schema import MAX_FILE_ROWS
 from perigee.sources.messages import message_stream
 from perigee.sources.tables import by_month
 
@@ -29,6 +30,7 @@ def write_flat_stream(
         .writeStream.outputMode("append")
         .format("parquet")
         .option("path", path)
+        .option("maxRecordsPerFile", MAX_FILE_ROWS)
         .option("checkpointLocation", checkpoint)
         .partitionBy("approach_month")
         .trigger(**trigger)
