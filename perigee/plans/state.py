@@ -20,7 +20,7 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StructType
 
 from perigee.functions import day
 from perigee.operators.model import LinearModel
@@ -101,7 +101,7 @@ def read_cursor(ledger: DataFrame, initial: date) -> date:
 
 def commit(spark: SparkSession, paths: StatePaths, batch_id: int, values: dict[str, object]) -> Row:
     """Writes the ledger row, which makes the batch visible."""
-    fields = [f for f in read_ledger(spark, paths).schema.fields if f.name != "batch_id"]
+    fields = [f for f in StructType.fromDDL(LEDGER_SCHEMA).fields if f.name != "batch_id"]
     row = spark.range(0, 1, 1, 1).select(*(_literal(values[f.name], f.dataType).alias(f.name) for f in fields))
     row.write.mode("overwrite").parquet(of_batch(paths.ledger, batch_id))
     return Row(**values, batch_id=batch_id)

@@ -10,9 +10,9 @@ from perigee.sources import encode
 
 COLUMNS = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"]
 
-# Consecutive rows of one input split whose objects may share an envelope: bounds an envelope
-# whatever the keys and dates are.
-PAGE_ROWS = 16384
+# Consecutive rows of one input split whose objects may share an envelope, as a power of two: bounds
+# an envelope whatever the keys and dates are.
+PAGE_BITS = 14
 
 
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,11 +110,11 @@ def window_start(day: Column) -> Column:
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(value STRING): envelopes of one two-day window each, both dates always present, holding the
-    objects with an approach. A window has one envelope per page of PAGE_ROWS input rows.
+    objects with an approach. A window has one envelope per page of input rows.
 
     Pages are numbered on the unshuffled scan, where row positions are the same on every attempt.
     """
-    page = F.floor(F.monotonically_increasing_id() / PAGE_ROWS)
+    page = F.shiftright(F.monotonically_increasing_id(), PAGE_BITS)
     paged = _spread(_lineitem(spark, sf_dir).withColumn("page", page)).where(~_every(53))
     listed = objects(paged.withColumn("day", _day())).drop("l_orderkey")
     fields = [name for name in listed.columns if name not in ("page", "day")]

@@ -98,7 +98,7 @@ def test_topics_go_to_the_connector(spark):
 
 
 def test_envelopes_are_bounded_whatever_the_dates(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(samplefeed.build, "PAGE_ROWS", 100)
+    monkeypatch.setattr(samplefeed.build, "PAGE_BITS", 6)
     lineitem = spark.read.parquet(f"{SMALL}/lineitem.parquet")
     one_day = lineitem.withColumn("l_shipdate", F.lit("1996-03-04").cast("timestamp_ntz"))
     one_day.write.parquet(f"{tmp_path}/lineitem.parquet")
@@ -106,7 +106,7 @@ def test_envelopes_are_bounded_whatever_the_dates(spark, tmp_path, monkeypatch):
     sizes = found.select(F.from_json("value", "near_earth_objects MAP<STRING, ARRAY<STRING>>").alias("e")).select(
         F.aggregate(F.map_values("e.near_earth_objects"), F.lit(0), lambda n, xs: n + F.size(xs)).alias("n")
     )
-    assert sizes.agg(F.max("n")).first()[0] <= 100
+    assert sizes.agg(F.max("n")).first()[0] <= 64
     expected = lineitem.where("l_orderkey % 53 <> 0").count()
     assert sizes.agg(F.sum("n")).first()[0] == expected
 

@@ -187,6 +187,16 @@ def test_step_stream_equals_steps(spark, tmp_path, flat_path):
     assert train.count() == ledger[1][1]["total_train"] == expected.count()
 
 
+def test_step_stream_over_the_streamed_table(spark, tmp_path):
+    paths = plans.StatePaths(str(tmp_path / "state"))
+    inbox = {"path": f"{tmp_path}/inbox"}
+    sources.publish(samplefeed.messages(spark, SMALL), "parquet", inbox)
+    streaming.run_flat_stream(spark, paths.flat, paths.checkpoint("flat"), "parquet", inbox)
+    streaming.start_step_stream(spark, paths, START, trainer=fixed).awaitTermination(120)
+    [batch] = plans.read_ledger(spark, paths).collect()
+    assert batch["n_rows"] == sources.read_flat(spark, paths.flat).where("approach_date IS NOT NULL").count()
+
+
 def test_repeated_run_stops_after_the_given_steps(spark, paths):
     plans.run_every(spark, paths, seconds=0, steps=2, initial=START, trainer=fixed)
     assert plans.read_ledger(spark, paths).count() == 1
