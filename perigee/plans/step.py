@@ -66,13 +66,25 @@ def process_batch(
     rejected rows included, so that no row is read twice; cursor_from="test" takes it from the test
     part instead and leaves it where it was when that part is empty.
     """
+    before = latest_batch(read_ledger(batch.sparkSession, paths).where(F.col("batch_id") < batch_id))
+    return _process(batch, batch_id, paths, before, trainer, cursor_from, look_back)
+
+
+def _process(
+    batch: DataFrame,
+    batch_id: int,
+    paths: StatePaths,
+    before: Row | None,
+    trainer: Trainer = fit,
+    cursor_from: str = "batch",
+    look_back: int | None = None,
+) -> Row | None:
+    """process_batch with the ledger row of the batch before, None for the first."""
     if cursor_from not in ("batch", "test"):
         raise ValueError(f"cursor_from must be 'batch' or 'test', not {cursor_from!r}")
     if batch.isEmpty():
         return None
     spark = batch.sparkSession
-    before = latest_batch(read_ledger(spark, paths).where(F.col("batch_id") < batch_id))
-
     rows = _stage(batch, of_batch(paths.rows, batch_id))
     train = rows.where(F.col("part") == TRAIN)
     test = rows.where(F.col("part") == TEST)
@@ -91,7 +103,7 @@ def process_batch(
 
     model = None
     share = None
-    if total_train > 0:
+    if counts["n_train"] > 0:
         old = None
         if before is not None:
             old = read_train(spark, paths, before=batch_id, look_back=look_back).select(*train.columns)
@@ -99,9 +111,14 @@ def process_batch(
         if isinstance(fitted, LogisticRegressionModel):
             fitted.write().overwrite().save(of_batch(paths.models, batch_id))
         model = as_linear(fitted)
+    elif total_train > 0:
+        # Nothing new to learn from: a refit would see the same rows as the last one.
+        model = LinearModel(tuple(before["coefficients"]), before["intercept"])
+    if model is not None:
         scored_path = of_batch(paths.scored, batch_id)
-        score_linear(test.drop("reason", "part"), *model).write.mode("overwrite").parquet(scored_path)
-        share = accuracy(spark.read.parquet(scored_path)).first()["accuracy"]
+        scored = score_linear(test.drop("reason", "part"), *model)
+        scored.write.mode("overwrite").option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(scored_path)
+        share = accuracy(spark.read.schema(scored.schema).parquet(scored_path)).first()["accuracy"]
 
     cursor = counts["cursor_date"]
     if cursor is None and before is not None:
@@ -134,7 +151,7 @@ def run_available(
     if cursor is None:
         cursor = initial or date.today() - timedelta(days=1)
     batch = newer_than(read_flat(spark, paths.flat), cursor, until)
-    return process_batch(batch, 0 if last is None else last["batch_id"] + 1, paths, **settings)
+    return _process(batch, 0 if last is None else last["batch_id"] + 1, paths, last, **settings)
 
 
 def run_every(

@@ -10,9 +10,9 @@ MEDIUM = "/root/testdata/sf0.01"
 ROWS_ONLY = {"split_random", "model_fit", "model_refit"}
 
 
-@pytest.fixture(scope="module", params=[SMALL, MEDIUM])
-def tables(request):
-    return request.param, duck(request.param)
+@pytest.fixture(scope="module")
+def connection():
+    return duck(MEDIUM)
 
 
 def test_every_query_has_sql_unless_it_cannot():
@@ -21,9 +21,8 @@ def test_every_query_has_sql_unless_it_cannot():
 
 
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
-def test_query_equals_sql(spark, tables, name):
-    sf_dir, connection = tables
-    assert_same(registry.queries()[name](spark, sf_dir), connection, registry.oracle_sql()[name])
+def test_query_equals_sql(spark, connection, name):
+    assert_same(registry.queries()[name](spark, MEDIUM), connection, registry.oracle_sql()[name])
 
 
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))

@@ -117,6 +117,29 @@ def test_empty_test_part_keeps_the_cursor(spark, paths):
     assert second["cursor_date"] == date(2024, 1, 5)
 
 
+def test_batches_of_one_part_only(spark, paths):
+    import hashlib
+
+    def bucket(name):
+        return int(hashlib.md5(name.encode()).hexdigest()[:8], 16) % 100
+
+    names = [f"n{i}" for i in range(60)]
+
+    def batch(day, chosen):
+        rows = [(n, day, float(i % 7), 1.0, 3.0, float(i), float(i % 2)) for i, n in enumerate(chosen)]
+        return op.with_day(spark.createDataFrame(rows, FLAT_SCHEMA))
+
+    train = [n for n in names if bucket(n) < 80]
+    test = [n for n in names if bucket(n) >= 80]
+    first = plans.process_batch(batch("2024-01-05", train), 0, paths)
+    assert (first["n_train"], first["n_test"], first["accuracy"]) == (len(train), 0, None)
+    second = plans.process_batch(batch("2024-01-06", test), 1, paths, look_back=0)
+    assert (second["n_train"], second["n_test"]) == (0, len(test))
+    assert second["coefficients"] == first["coefficients"] and second["intercept"] == first["intercept"]
+    assert second["total_train"] == len(train) and second["accuracy"] is not None
+    assert plans.read_scored(spark, paths, latest_only=True).count() == len(test)
+
+
 def test_before_the_first_batch(spark, paths):
     ledger = plans.read_ledger(spark, paths)
     assert plans.latest_batch(ledger) is None
