@@ -49,6 +49,32 @@ def test_large_groups_are_written_in_several_files(spark, tmp_path, monkeypatch)
     assert tuple(per_file) == (100, 6000)
 
 
+@pytest.mark.parametrize("streamed", [False, True])
+def test_a_month_too_large_for_one_task_is_split(spark, tmp_path, streamed):
+    from perigee import operators as op
+    from perigee import sources, streaming
+
+    rows = spark.read.parquet(f"{SMALL}/lineitem.parquet").select(
+        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("name")
+    )
+    first = F.array(F.struct(F.lit("2024-01-05").alias("close_approach_date")))
+    messages = sources.encode(rows.repartition(8).withColumn("close_approach_data", first))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "16k")
+    try:
+        if streamed:
+            inbox = {"path": f"{tmp_path}/inbox"}
+            sources.publish(messages, "parquet", inbox)
+            streaming.run_flat_stream(spark, f"{tmp_path}/flat", f"{tmp_path}/checkpoint", "parquet", inbox)
+        else:
+            sources.write_flat(op.flatten(messages), f"{tmp_path}/flat")
+    finally:
+        spark.conf.unset(key)
+    stored = sources.read_flat(spark, f"{tmp_path}/flat")
+    assert stored.count() == 6000
+    assert stored.select(F.input_file_name()).distinct().count() > 2
+
+
 PLAIN = ["flatten", "first_element", "label_encode", "split_keyed", "score_linear", "display_rows", "scatter_points"]
 
 
