@@ -20,6 +20,12 @@ from perigee.functions import decode, first_approach, to_double
 from perigee.schema import FEATURE_COLUMNS, FLAT_COLUMNS, LABEL
 from samplefeed.build import window_start
 
+try:  # the operators of the training-data pipeline can be left out
+    import corpus_pipeline
+    from perigee.llm import queries as llm
+except ImportError:
+    corpus_pipeline = llm = None
+
 CURSOR = date(2000, 1, 1)
 FIXED = op.LinearModel((0.0, 1.0, 0.0, 0.0), -3.0)
 END = date(9999, 12, 31)
@@ -323,10 +329,14 @@ _QUERIES = [
 ]
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in _QUERIES}
 
 
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return core_queries() | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
+
+
 _FLAT = ", ".join(FLAT_COLUMNS)
 _CURSOR = f"DATE '{CURSOR}'"
 _ACCURACY = f"round(avg((prediction = {LABEL})::INT::DOUBLE), 6)"
@@ -450,5 +460,9 @@ _SQL_ON_CTES = {
 }
 
 
-def oracle_sql() -> dict[str, str]:
+def core_sql() -> dict[str, str]:
     return {**_SQL, **{name: samplefeed.CTES + sql for name, sql in _SQL_ON_CTES.items()}}
+
+
+def oracle_sql() -> dict[str, str]:
+    return core_sql() | (llm.SQL if llm else {})

@@ -16,18 +16,18 @@ def connection():
 
 
 def test_every_query_has_sql_unless_it_cannot():
-    assert set(registry.queries()) - set(registry.oracle_sql()) == ROWS_ONLY
-    assert set(registry.oracle_sql()) <= set(registry.queries())
+    assert set(registry.core_queries()) - set(registry.core_sql()) == ROWS_ONLY
+    assert set(registry.core_sql()) <= set(registry.core_queries())
 
 
-@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.core_sql()))
 def test_query_equals_sql(spark, connection, name):
-    assert_same(registry.queries()[name](spark, MEDIUM), connection, registry.oracle_sql()[name])
+    assert_same(registry.core_queries()[name](spark, MEDIUM), connection, registry.core_sql()[name])
 
 
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_rows_only_query_has_rows(spark, name):
-    assert not registry.queries()[name](spark, SMALL).isEmpty()
+    assert not registry.core_queries()[name](spark, SMALL).isEmpty()
 
 
 def test_entry(spark):
