@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from perigee.llm import texts
+from perigee.llm.shared import mapped, narrow
 
 LIMIT = 10
 SHARD_WORDS = 200_000
@@ -215,9 +216,9 @@ def _shards(benchmark: DataFrame, shard_words: int) -> Iterator[list[Row]]:
 
 def hits(docs: DataFrame, benchmark: DataFrame, limit: int = LIMIT, shard_words: int = SHARD_WORDS) -> DataFrame:
     """doc_id, n_words, spans ([first word, end] of what is hit, merged, ascending), items (ids, sorted)."""
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    source = narrow(docs)
     found = [
-        source.mapInArrow(_scan([(row["item"], words_of(row["text"])) for row in shard], limit), _HITS)
+        mapped(source, _scan([(row["item"], words_of(row["text"])) for row in shard], limit), _HITS)
         for shard in _shards(benchmark, shard_words)
     ]
     if len(found) == 1:
@@ -263,9 +264,9 @@ def _cut(docs: DataFrame, scan, max_coverage: float) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            narrow = pa.RecordBatch.from_arrays([pa.nulls(len(batch), pa.int64()), batch["text"]], names=["doc_id", "text"])
+            texts_only = pa.RecordBatch.from_arrays([pa.nulls(len(batch), pa.int64()), batch["text"]], names=["doc_id", "text"])
             keep, changed = np.ones(len(batch), bool), batch["text"].to_pylist()
-            for result in scan(iter([narrow])):
+            for result in scan(iter([texts_only])):
                 spans, n_words = result["spans"].to_pylist(), result["n_words"].to_numpy()
                 for row, found in enumerate(spans):
                     if found:
@@ -276,7 +277,7 @@ def _cut(docs: DataFrame, scan, max_coverage: float) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep))
 
-    return docs.mapInArrow(cut, docs.schema)
+    return mapped(docs, cut, docs.schema)
 
 
 def _without(text: str, spans: list[list[int]]) -> str:

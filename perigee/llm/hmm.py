@@ -24,14 +24,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perigee.llm import texts
-from perigee.llm.shared import one_vector, stored, summed
+from perigee.llm.shared import mapped, one_vector, stored, summed
 
 STATES, FREQUENT, CLASSES, SUFFIX_BITS, SEED = 8, 1 << 17, 1 << 12, 10, 3
 #: Parts of the training texts, in 64ths, that the steps of Baum-Welch read one after the other.
 STEPS = (1, 2, 3, 6, 12, 40)
 DECAY = 0.7
 #: Tokens that a task counts, or texts' tokens that it scores, at once.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 _SUFFIX = np.uint64((1 << SUFFIX_BITS) - 1)
 #: The end token's key; its last bits are no suffix class.
 _END = np.uint64(0x5EED5EED5EED5EED)
@@ -63,12 +63,12 @@ def counts(docs: DataFrame) -> DataFrame:
                 keys, _ = tokens(block)
                 held.append(keys)
                 size += len(keys)
-                if size >= 2 * CHUNK:
+                if size >= 4 * CHUNK:
                     yield flush()
                     held, size, ends = [], 0, 0
         yield flush()
 
-    rows = docs.select("text").mapInArrow(count, "key bigint, n bigint")
+    rows = mapped(docs.select("text"), count, "key bigint, n bigint")
     return rows.groupBy("key").agg(F.sum("n").alias("n"))
 
 
@@ -183,7 +183,8 @@ def encoded(docs: DataFrame, known: Vocabulary, learn: Column) -> DataFrame:
         F.monotonically_increasing_id().alias("rid"),
         F.when(learn, step).alias("step"),
     )
-    return rows.mapInArrow(
+    return mapped(
+        rows,
         encode,
         "doc_id bigint, rid bigint, step int, n_tokens bigint, symbols binary, n_known bigint, base double, "
         "inside double, rare array<bigint>",

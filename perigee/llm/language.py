@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perigee.llm import texts
+from perigee.llm.shared import mapped, narrow
 
 
 BUCKETS, DIMENSIONS, PER_LANGUAGE = 4096, 16, 800
@@ -142,7 +143,7 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> Mod
             yield pa.RecordBatch.from_arrays([pa.array([np.asarray(p, float).tobytes() for p in parts], pa.binary()), pa.array(range(4))], names=["v", "part"])
 
     # One task trains: it gets at most 1.2 quotas of BUCKETS floats for each language, however many rows there are.
-    vectors = sample.mapInArrow(shares, "lang string, draw double, x binary").repartition(1).sortWithinPartitions("draw")
+    vectors = mapped(sample, shares, "lang string, draw double, x binary").repartition(1).sortWithinPartitions("draw")
     parts = {r["part"]: np.frombuffer(r["v"]) for r in vectors.mapInArrow(learnt, "v binary, part bigint").collect()}
     k = len(languages)
     return Model(languages, parts[0].reshape(BUCKETS, DIMENSIONS), parts[1].reshape(DIMENSIONS, k), parts[2], *parts[3])
@@ -172,8 +173,7 @@ def predicted(docs: DataFrame, model: Model | None) -> DataFrame:
                 names=["doc_id", "lang_pred", "score", "rejected"],
             )
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        predict, "doc_id bigint, lang_pred string, score double, rejected boolean"
+    return mapped(narrow(docs), predict, "doc_id bigint, lang_pred string, score double, rejected boolean"
     )
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perigee.llm.shared import stored
+from perigee.llm.shared import mapped, narrow, stored
 
 LINE, PARAGRAPH = "\n", "\n\n"
 MIN_WORDS = 5
@@ -43,7 +43,7 @@ def units(docs: DataFrame, separator: str = LINE, min_words: int = MIN_WORDS) ->
             )
 
     schema = "doc_id bigint, unit bigint, start bigint, end bigint, digest binary"
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(digests, schema)
+    return mapped(narrow(docs), digests, schema)
 
 
 _UNIT = {"doc_id": pa.int64(), "unit": pa.int64(), "start": pa.int64(), "end": pa.int64(), "digest": pa.binary()}

@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from perigee.llm.shared import mapped
+
 END_ID = 1
 POOL = 2048
 #: Room that is padded instead of being filled by a cut.
@@ -222,4 +224,4 @@ def pack(docs: DataFrame, tokenizer_path: str, limits: Limits = Limits(), with_i
     prompt = F.col("prompt_chars").cast("bigint") if "prompt_chars" in docs.columns else F.lit(None).cast("bigint")
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", prompt.alias("prompt"))
     kinds = {pa.int64(): "bigint", pa.binary(): "binary"}
-    return source.mapInArrow(run, ", ".join(f"{n} {kinds[_COLUMNS[n]]}" for n in names))
+    return mapped(source, run, ", ".join(f"{n} {kinds[_COLUMNS[n]]}" for n in names))

@@ -18,7 +18,8 @@ from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from perigee.llm.shared import mapped, narrow
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int]
@@ -253,7 +254,7 @@ def found(docs: DataFrame) -> DataFrame:
                 ])
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(rows, kind)], names=["doc_id", "spans"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(search, _FOUND)
+    return mapped(narrow(docs), search, _FOUND)
 
 
 def mask(text: str | None) -> str | None:
@@ -278,4 +279,4 @@ def masked(docs: DataFrame) -> DataFrame:
             text = pa.array([mask(t.as_py()) for t in batch["text"]], batch.schema.field("text").type)
             yield pa.RecordBatch.from_arrays([text if n == "text" else batch[n] for n in names], names=names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perigee.llm import repetition, texts
-from perigee.llm.shared import one_vector, stored, summed
+from perigee.llm.shared import mapped, narrow, one_vector, stored, summed
 
 NAMES = (
     "log_words", "log_chars", "word_length", "word_length_spread", "longest_word", "upper", "digits", "symbols",
@@ -96,8 +96,7 @@ def statistics(docs: DataFrame) -> DataFrame:
             x = pa.ListArray.from_arrays(np.arange(0, values.size + 1, len(NAMES), dtype=np.int32), pa.array(values.ravel()))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], x], names=["doc_id", "x"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        compute, "doc_id bigint, x array<double>"
+    return mapped(narrow(docs), compute, "doc_id bigint, x array<double>"
     )
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perigee.llm import texts
+from perigee.llm.shared import mapped, narrow
 
 MIN_WORDS = 50
 MAX_REPEAT_WORDS_PERCENT = 50
@@ -151,7 +152,7 @@ def counts(docs: DataFrame, min_repeat: int = Limits().min_repeat) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *_arrays(batch["text"], min_repeat)], names=["doc_id", *_COUNTS])
 
     schema = "doc_id bigint, " + ", ".join(f"{c} bigint" for c in _COUNTS)
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(count, schema)
+    return mapped(narrow(docs), count, schema)
 
 
 def _arrays(column: pa.Array, min_repeat: int) -> list[pa.Array]:
@@ -188,4 +189,4 @@ def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
             good = (inside <= limits.max_covered * n) & (longest <= limits.max_longest) & (symbols <= limits.max_symbols * n)
             yield batch.select(names).filter(pa.array(~failed & good))
 
-    return docs.mapInArrow(judge, docs.schema)
+    return mapped(docs, judge, docs.schema)

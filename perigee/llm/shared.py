@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -47,6 +48,25 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def narrow(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+
+
+def mapped(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType, rows: int | None = 1024) -> DataFrame:
+    """mapInArrow in batches of at most so many rows (None: as they come), which keep copies of long texts small.
+
+    A worker outlives its task, so what Arrow holds in reserve is given back.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if rows is not None:
+            batches = (b.slice(at, rows) for b in batches for at in range(0, max(len(b), 1), rows))
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
+
+
 def summed(partials: DataFrame, length: int, tasks: int = 8) -> np.ndarray:
     """The sum of the vectors of doubles in column `v` (binary): within a few tasks, then of their results.
 
@@ -60,7 +80,7 @@ def summed(partials: DataFrame, length: int, tasks: int = 8) -> np.ndarray:
                 total += np.frombuffer(value.as_py())
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["v"])
 
-    rows = partials.select("v").repartition(tasks).mapInArrow(add, "v binary").collect()
+    rows = mapped(partials.select("v").repartition(tasks), add, "v binary").collect()
     return sum((np.frombuffer(row["v"]) for row in rows), np.zeros(length))
 
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perigee.llm.shared import stored
+from perigee.llm.shared import mapped, narrow, stored
 
 BITS = 64
 SHINGLE, DISTANCE, SEED = 3, 3, 42
@@ -64,8 +64,7 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE, seed: int = SEED) -> Dat
             prints = np.array([fingerprint(t.as_py(), words, seed) for t in batch["text"]], np.uint64)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        compute, "doc_id bigint, fp bigint"
+    return mapped(narrow(docs), compute, "doc_id bigint, fp bigint"
     )
 
 
