@@ -9,7 +9,7 @@ Stretches that can't hold a window are passed over without a step of the automat
 neighbours in an item, so a table of hashed pairs rules out most of a document; it can only let through too much.
 
 Items are a bounded side: an automaton holds at most SHARD_WORDS words (about 500 bytes each), and a larger benchmark is
-dealt by item into several, which the documents pass one after the other.
+dealt by item into several, whose finds are put together by document.
 
 Defined cases: null and empty texts have no words; items without words have no window; repeated items or item ids count
 once; a null item id is hit but not listed; an empty benchmark hits nothing; a null document id stays null. Further
@@ -18,16 +18,15 @@ columns are ignored by `hits` and kept by `decontaminate`.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from perigee.llm import texts
-from perigee.llm.shared import mapped, narrow
+from perigee.llm.shared import fresh, mapped, narrow
 
 LIMIT = 10
 SHARD_WORDS = 200_000
@@ -214,31 +213,54 @@ def _shards(benchmark: DataFrame, shard_words: int) -> Iterator[list[Row]]:
         yield items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == shard).collect()
 
 
+def _scans(benchmark: DataFrame, limit: int, shard_words: int) -> list:
+    return [_scan([(row["item"], words_of(row["text"])) for row in shard], limit) for shard in _shards(benchmark, shard_words)]
+
+
+def _of_shards(docs: DataFrame, scans: list) -> DataFrame:
+    """doc_id, hash of the text, n_words, spans, items from several automata, and the number of rows that were alike."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("hash"))
+
+    def with_hash(scan):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for result in scan(iter([batch])):
+                    yield result.append_column("hash", batch["hash"])
+
+        return run
+
+    found = None
+    for scan in scans:
+        own = mapped(rows, with_hash(scan), _HITS + ", hash bigint").groupBy("doc_id", "hash", "n_words", "spans", "items")
+        own = own.agg(F.count("*").alias("n"))
+        found = own if found is None else found.unionByName(own)
+    grouped = found.groupBy("doc_id", "hash", "n_words").agg(
+        F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"), F.max("n").alias("n")
+    )  # as many rows to a group as there are shards
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = grouped_names.index("spans")
+        for batch in batches:
+            spans = [_merged([tuple(s) for s in row]) for row in batch["spans"].to_pylist()]
+            columns = list(batch.columns)
+            columns[at] = pa.array(spans, pa.list_(pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, names=grouped_names)
+
+    grouped_names = grouped.columns
+    merged = mapped(grouped, merge, grouped.schema)
+    return merged.withColumn("items", F.array_sort(F.array_distinct("items")))
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, limit: int = LIMIT, shard_words: int = SHARD_WORDS) -> DataFrame:
     """doc_id, n_words, spans ([first word, end] of what is hit, merged, ascending), items (ids, sorted)."""
-    source = narrow(docs)
-    found = [
-        mapped(source, _scan([(row["item"], words_of(row["text"])) for row in shard], limit), _HITS)
-        for shard in _shards(benchmark, shard_words)
-    ]
-    if len(found) == 1:
-        return found[0]
-    # Rows of one id are told apart by their number of words only; the hits of a shard are few.
-    rows = found[0]
-    for more in found[1:]:
-        rows = rows.unionByName(more)
-    merged = rows.groupBy("doc_id", "n_words").agg(
-        F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items")
-    )
-
-    def join(spans: list | None) -> list[list[int]]:
-        return _merged([tuple(s) for s in spans or []])
-
-    union = F.udf(join, "array<array<bigint>>")
-    return merged.select("doc_id", "n_words", union("spans").alias("spans"), F.array_sort(F.array_distinct("items")).alias("items"))
-
-
-def hit_words() -> F.Column:
+    scans = _scans(benchmark, limit, shard_words)
+    if len(scans) == 1:
+        return mapped(narrow(docs), scans[0], _HITS)
+    found = _of_shards(docs, scans).withColumn("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")))
+    return found.select("doc_id", "n_words", "spans", "items")
+
+
+def hit_words() -> Column:
     return F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s[1] - s[0])
 
 
@@ -253,31 +275,33 @@ def decontaminate(
 
     The text is cut from the first character of a span's first word to the last of its last.
     """
-    for shard in _shards(benchmark, shard_words):
-        scan = _scan([(row["item"], words_of(row["text"])) for row in shard], limit)
-        docs = _cut(docs, scan, max_coverage)
-    return docs
-
-
-def _cut(docs: DataFrame, scan, max_coverage: float) -> DataFrame:
+    scans = _scans(benchmark, limit, shard_words)
     names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts_only = pa.RecordBatch.from_arrays([pa.nulls(len(batch), pa.int64()), batch["text"]], names=["doc_id", "text"])
-            keep, changed = np.ones(len(batch), bool), batch["text"].to_pylist()
-            for result in scan(iter([texts_only])):
-                spans, n_words = result["spans"].to_pylist(), result["n_words"].to_numpy()
-                for row, found in enumerate(spans):
-                    if found:
-                        keep[row] = sum(b - a for a, b in found) <= max_coverage * n_words[row]
-                        changed[row] = _without(changed[row], found)
+            if len(scans) == 1:
+                ids = pa.nulls(len(batch), pa.int64())
+                own = pa.RecordBatch.from_arrays([ids, batch["text"]], names=["doc_id", "text"])
+                result = next(scans[0](iter([own])))
+            else:
+                result = pa.RecordBatch.from_arrays(batch.columns[-2:], names=["n_words", "spans"])
+            keep, text = np.ones(len(batch), bool), batch["text"].to_pylist()
+            for row, (n, found) in enumerate(zip(result["n_words"].to_pylist(), result["spans"].to_pylist(), strict=True)):
+                if found:
+                    keep[row] = sum(b - a for a, b in found) <= max_coverage * n
+                    text[row] = _without(text[row], found)
             columns = [
-                pa.array(changed, batch.schema.field("text").type) if name == "text" else batch[name] for name in names
+                pa.array(text, batch["text"].type) if name == "text" else batch.column(k) for k, name in enumerate(names)
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep))
 
-    return mapped(docs, cut, docs.schema)
+    if len(scans) == 1:
+        return mapped(docs, cut, docs.schema)
+    found = _of_shards(docs, scans)
+    same = docs["doc_id"].cast("bigint").eqNullSafe(found["doc_id"]) & F.xxhash64(docs["text"]).eqNullSafe(found["hash"])
+    more = [found[n].alias(fresh(names, n)) for n in ("n_words", "spans")]
+    return mapped(docs.join(found, same).select(*(docs[n] for n in names), *more), cut, docs.schema)
 
 
 def _without(text: str, spans: list[list[int]]) -> str:
@@ -288,7 +312,3 @@ def _without(text: str, spans: list[list[int]]) -> str:
         out.append(data[at : found.starts[a]])
         at = found.ends[b - 1]
     return b"".join([*out, data[at:]]).decode()
-
-
-def sha256_of_items(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()

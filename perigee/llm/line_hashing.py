@@ -73,15 +73,15 @@ def removed_units(docs: DataFrame, separator: str = LINE, min_words: int = MIN_W
 
 def remove_units(docs: DataFrame, removed: DataFrame, separator: str = LINE) -> DataFrame:
     """The documents without those units; `removed_spans` keeps their original start and end."""
-    spans = removed.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.array_sort(F.collect_set(F.struct("unit", "start", "end"))).alias("_spans")
+    spans = removed.groupBy(F.col("doc_id").alias("id")).agg(
+        F.array_sort(F.collect_set(F.struct("unit", "start", "end"))).alias("spans")
     )
-    parts = F.split("text", F.concat(F.lit("\\Q"), F.lit(separator), F.lit("\\E")), -1)
-    gone = F.coalesce(F.col("_spans.unit"), F.array().cast("array<bigint>"))
+    parts = F.split(docs["text"], F.concat(F.lit("\\Q"), F.lit(separator), F.lit("\\E")), -1)
+    gone = F.coalesce(spans["spans"]["unit"], F.array().cast("array<bigint>"))
     kept = F.filter(parts, lambda _, i: ~F.array_contains(gone, i.cast("bigint")))
-    joined = docs.join(spans, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")), "left")
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.array_join(kept, separator))
-    cut = F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    joined = docs.join(spans, docs["doc_id"].cast("bigint").eqNullSafe(spans["id"]), "left")
+    text = F.when(spans["spans"].isNull(), docs["text"]).otherwise(F.array_join(kept, separator))
+    cut = F.transform(spans["spans"], lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
     return joined.select(
         *(text.alias("text") if name == "text" else docs[name] for name in docs.columns), cut.alias("removed_spans")
     )

@@ -48,6 +48,12 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """A column name like this one that a table doesn't have yet."""
+    taken = {c.lower() for c in columns}
+    return next(n for n in (name, *(f"{name}_{k}" for k in range(len(columns) + 1))) if n.lower() not in taken)
+
+
 def narrow(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 

@@ -10,7 +10,7 @@ gives links that connect what it found, not all its pairs. Components come from
 
 Defined cases: a text without words has fingerprint zero and is linked like any other; a text of fewer words than a
 shingle is one shingle; rows that share an id share a component if any of their fingerprints do, since components are of
-ids; a null id gets a fingerprint and, as it is no smallest id, the smallest non-null id it is linked to, or null.
+ids; a null id gets a fingerprint and the smallest non-null id it is linked to, or null.
 Further columns are ignored.
 """
 
@@ -23,10 +23,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from perigee.llm.shared import mapped, narrow, stored
+from perigee.llm.shared import fresh, mapped, narrow, stored
 
 BITS = 64
 SHINGLE, DISTANCE, SEED = 3, 3, 42
@@ -348,8 +348,17 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, distance: int = DISTA
 
 
 def keep_one(docs: DataFrame, words: int = SHINGLE, distance: int = DISTANCE, seed: int = SEED) -> DataFrame:
-    """The documents whose id is their component's; all columns as they were."""
+    """One document of each group, that whose id is the component's; all columns as they were.
+
+    Of rows that share that id the one with the least text stays. Rows without an id can't be told apart by it: those
+    of a group without any id all stay.
+    """
     found = near_duplicates(docs, words, distance, seed)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = kept.withColumnRenamed("doc_id", "_id")
-    return docs.join(kept, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")), "left_semi")
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id")).distinct()
+    doc_id = docs["doc_id"].cast("bigint")
+    rows = docs.join(kept, doc_id.eqNullSafe(kept["id"]), "left_semi")
+    # Rows without an id are parted by text, lest they meet in one task.
+    same = Window.partitionBy(docs["doc_id"], F.when(doc_id.isNull(), F.xxhash64(docs["text"]))).orderBy(docs["text"])
+    place = fresh(docs.columns, "place")
+    numbered = rows.select(*(docs[name] for name in docs.columns), F.row_number().over(same).alias(place))
+    return numbered.where(numbered["doc_id"].isNull() | (numbered[place] == 1)).drop(place)

@@ -24,10 +24,6 @@ _SPACE = "[ \\t\\n\\x0B\\f\\r]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def lines(text: str = "text") -> Column:
-    return F.split(text, "\n", -1)
-
-
 def _key(line: Column) -> Column:
     """A hash of the normalised line; null for a line without a word."""
     normal = F.trim(F.regexp_replace(F.translate(line, _UPPER, _LOWER), _SPACE, " "))
@@ -36,7 +32,7 @@ def _key(line: Column) -> Column:
 
 def sequences(docs: DataFrame) -> DataFrame:
     """doc_id, keys (hashes of the lines with a word), numbers (their places among all lines)."""
-    keyed = F.transform(lines(), lambda line, i: F.struct(_key(line).alias("key"), i.alias("at")))
+    keyed = F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(_key(line).alias("key"), i.alias("at")))
     found = docs.select("doc_id", F.filter(keyed, lambda x: x["key"].isNotNull()).alias("_l"))
     return found.select("doc_id", F.col("_l.key").alias("keys"), F.col("_l.at").alias("numbers"))
 
@@ -73,7 +69,7 @@ def repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     around = F.array_distinct(
         F.flatten(F.transform("ats", lambda at: F.sequence(F.greatest(at - (run - 1), F.lit(0)), at)))
     )
-    held = seqs.join(places.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
+    held = seqs.join(places.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")))
     spread = held.select("doc_id", "keys", "numbers", F.explode(around).alias("at"))
     spread = spread.where(F.col("at") <= F.size("keys") - run)
     window = F.slice("keys", F.col("at") + 1, run)
@@ -97,8 +93,8 @@ def removed_runs(removed: DataFrame) -> DataFrame:
 
 def delete_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
     """The documents with their repeated runs deleted; all columns as they were."""
-    gone = removed_runs(repeated_lines(docs, run)).select(F.col("doc_id").alias("_id"), F.col("lines").alias("_gone"))
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    kept = F.filter(lines(), lambda _, i: ~F.array_contains("_gone", i))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    gone = removed_runs(repeated_lines(docs, run)).select(F.col("doc_id").alias("id"), F.col("lines").alias("gone"))
+    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["id"]), "left")
+    kept = F.filter(F.split(docs["text"], "\n", -1), lambda _, i: ~F.array_contains(gone["gone"], i))
+    text = F.when(gone["gone"].isNull(), docs["text"]).otherwise(F.array_join(kept, "\n"))
     return joined.select(*(text.alias("text") if name == "text" else docs[name] for name in docs.columns))

@@ -1,0 +1,219 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names, for operators and stages."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from perigee.llm import decontaminate, hmm, language, line_hashing, packing, pii, quality, queries, repetition, simhash, winnowing
+from tests.llm import brute
+from tests.llm.test_queries import check_packing
+
+WORDS = " ".join(f"w{k}" for k in range(60))
+RUN = "first line of some run\nsecond line of some run\nthird line of some run"
+ROWS = [
+    (1, RUN + "\nown line number one here"),
+    (2, None),
+    (3, ""),
+    (4, "other line number two here\n" + RUN),
+    (5, WORDS),
+    (5, WORDS),
+    (6, WORDS + " x"),
+    (7, " \n\t\n"),
+    (None, "a text without any id at all"),
+    (8, "long " * 30_000),
+    (9, "中文 \U0001f600 " * 30),
+]
+CLASHING = ("key", "fp", "n", "at", "id", "gone", "spans", "digest", "h1", "rid", "x", "label", "place", "score", "held_out", "start")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    made = spark.createDataFrame(
+        [(i, t, "en", "s", None) for i, t in ROWS], "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    ).coalesce(2)
+    return made.select("*", *(F.lit(k).alias(name) for k, name in enumerate(CLASHING)))
+
+
+@pytest.fixture(scope="module")
+def benchmark(spark):
+    rows = [("a", " ".join(f"W{k}" for k in range(20, 35))), ("a", " ".join(f"W{k}" for k in range(20, 35))), ("b", "Without ANY"), ("c", ""), ("d", None), (None, "number two")]
+    return spark.createDataFrame(rows, "item_id string, text string")
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(1, 1), (4, 0), (5, None), (77, 1), (None, 0), (1, 1)], "doc_id bigint, quality int")
+
+
+def by_id(df):
+    return sorted(map(tuple, df.collect()), key=lambda r: (r[0] is not None, r[0] or 0, str(r)))
+
+
+def test_line_hashing(docs):
+    got = {(r["doc_id"], r["unit"], r["first_doc_id"]) for r in line_hashing.removed_units(docs).collect()}
+    assert got == {(4, k + 1, 1) for k in range(3)}
+    removed = line_hashing.removed_units(docs)
+    kept = line_hashing.remove_units(docs, removed)
+    rows = {r["doc_id"]: r for r in kept.collect()}
+    assert kept.columns == [*docs.columns, "removed_spans"] and kept.count() == len(ROWS)
+    assert rows[4]["text"] == "other line number two here" and rows[2]["text"] is None and rows[7]["text"] == " \n\t\n"
+    text = dict(ROWS)[4]
+    assert [text[s["start"] : s["end"]] for s in rows[4]["removed_spans"]] == RUN.split("\n")
+
+
+def test_paragraphs(documents):
+    docs = documents((2, "one two three\nfour five\n\nsix seven eight nine ten"), (1, "x\n\nOne  two three four FIVE"))
+    got = line_hashing.removed_units(docs, line_hashing.PARAGRAPH).collect()
+    assert [(r["doc_id"], r["unit"], r["start"], r["end"], r["first_doc_id"], r["first_unit"]) for r in got] == [(2, 0, 0, 23, 1, 1)]
+
+
+def test_winnowing(docs):
+    got = {(r["doc_id"], r["line"]) for r in winnowing.repeated_lines(docs).collect()}
+    assert got == {(4, 1), (4, 2), (4, 3)}
+    kept = winnowing.delete_runs(docs)
+    assert kept.columns == docs.columns and kept.count() == len(ROWS)
+    assert {r["text"] for r in kept.collect()} == {t for i, t in ROWS if i != 4} | {"other line number two here"}
+
+
+@pytest.mark.parametrize("run", [1, 2, 4])
+def test_winnowing_finds_every_run(documents, run):
+    """Few different lines in many documents, so that runs overlap, come from several places and lie at ends."""
+    rows = [(k, "\n".join("abcde"[(k * k + j * (k % 7 + 1)) % 5] if (j + k) % 11 else " " for j in range(k % 23))) for k in range(60)]
+    got = {(r["doc_id"], r["line"]) for r in winnowing.repeated_lines(documents(*rows), run).collect()}
+    assert got == brute.op2(rows, run)
+
+
+@pytest.mark.parametrize("shard_words", [decontaminate.SHARD_WORDS, 3])
+def test_decontamination(docs, benchmark, shard_words):
+    got = by_id(decontaminate.hits(docs, benchmark, shard_words=shard_words))
+    want = []
+    items = [(r["item_id"], r["text"]) for r in benchmark.collect()]
+    for i, t in ROWS:
+        n, hit, named = brute.op3(t, items)
+        spans = []
+        for k in sorted(hit):
+            if spans and spans[-1][1] == k:
+                spans[-1][1] += 1
+            else:
+                spans.append([k, k + 1])
+        want.append((i, n, spans, sorted(x for x in named if x is not None)))
+    assert [(i, n, [list(s) for s in spans], items) for i, n, spans, items in got] == sorted(
+        want, key=lambda r: (r[0] is not None, r[0] or 0, str(r))
+    )
+    kept = decontaminate.decontaminate(docs, benchmark, shard_words=shard_words)
+    assert kept.columns == docs.columns
+    expected = [(i, t if t is None else brute.without_items(t, items)) for i, t in ROWS]
+    expected = [(i, t) for (i, t), (_, old) in zip(expected, ROWS, strict=True) if t is not None or old is None]
+    assert by_id(kept.select("doc_id", "text")) == sorted(expected, key=lambda r: (r[0] is not None, r[0] or 0, str(r)))
+
+
+def test_empty_benchmark_hits_nothing(docs, benchmark):
+    none = benchmark.limit(0)
+    assert all(r["spans"] == [] and r["items"] == [] for r in decontaminate.hits(docs, none).collect())
+    assert decontaminate.decontaminate(docs, none).count() == len(ROWS)
+
+
+def test_quality(docs, labels):
+    got = by_id(quality.scored(docs, labels, F.lit(True)))
+    assert len(got) == len(ROWS) and all(0 <= r[1] <= 1 for r in got)
+    assert all(r[1] == 0.5 for r in by_id(quality.scored(docs, labels.limit(0), F.lit(True))))
+
+
+def test_language(docs):
+    model = language.fit(docs, F.lit(True))
+    got = by_id(language.predicted(docs, model))
+    assert model.languages == ["en"] and len(got) == len(ROWS)
+    assert {r[0]: r[1] for r in got if r[1] == "und"}.keys() == {2, 3, 7}
+    assert language.fit(docs.withColumn("lang", F.lit(None).cast("string")), F.lit(True)) is None
+    assert {r[1:3] for r in by_id(language.predicted(docs, None))} == {("und", 0.0)}
+
+
+def test_language_model(docs):
+    got = by_id(hmm.scored(docs, F.col("doc_id") != 6))
+    n = {i: len(brute.words(t)) + 1 for i, t in ROWS}
+    assert [(r[0], r[1]) for r in got] == [(i, n[i]) for i, _ in sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0))]
+    assert all(r[4] < 0 and r[5] < 0 and r[3] == got[0][3] for r in got)
+    untrained = by_id(hmm.scored(docs, F.lit(False)))
+    assert all(r[2] == 0 and r[3] == 0 for r in untrained)
+    assert all(r[4] == pytest.approx(0, abs=1e-6) for r in untrained)  # N = V = 0: log10(0.5 / 0.5)
+
+
+def test_pii(docs):
+    got = by_id(pii.found(docs))
+    assert len(got) == len(ROWS) and not any(r[1] for r in got)
+    assert pii.masked(docs).columns == docs.columns
+    assert by_id(pii.masked(docs).select("doc_id", "text")) == by_id(docs.select("doc_id", "text"))
+
+
+def test_repetition(docs):
+    got = by_id(repetition.counts(docs))
+    want = [(i, *brute.op8(t)) for i, t in ROWS if i != 8] + [(8, 30_000, 120_000, 0, 0, 30_000, 30_000, 29_999)]
+    assert got == sorted(want, key=lambda r: (r[0] is not None, r[0] or 0, str(r)))
+    kept = repetition.keep_good(docs)
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {5, 6}
+
+
+def test_simhash(docs):
+    got = by_id(simhash.near_duplicates(docs))
+    own = brute.op9([(i, t) for i, t in ROWS if i is not None])
+    assert [r for r in got if r[0] is not None] == sorted((i, *own[i]) for i, t in ROWS if i is not None)
+    assert {i: own[i][1] for i in (2, 3, 7)} == {2: 2, 3: 2, 7: 2}  # no words: linked with each other
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert len(ids) == len(set(ids)) and None in ids and {1, 2, 5} <= set(ids) and not {3, 7} & set(ids)
+
+
+def test_packing(docs):
+    texts = dict(ROWS)
+    pieces = [r for r in packing.pack(docs, queries.TOKENIZER, with_ids=True).collect() if r["doc_id"] not in (5, None)]
+    assert all(len(r["ids"]) == 4 * r["length"] for r in pieces)
+    one_each = packing.pack(docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]), queries.TOKENIZER, with_ids=False)
+    check_packing(one_each.collect(), [(i, t) for i, t in texts.items() if i is not None])
+
+
+def test_packing_of_prompts(documents):
+    """The prompt's tokens bear no loss."""
+    docs = documents((1, "tell me a story once upon a time"), (2, "hello")).withColumn(
+        "prompt_chars", F.when(F.col("doc_id") == 1, 15)
+    )
+    limits = packing.Limits(64, 8, 4)
+    got = packing.pack(docs, queries.TOKENIZER, limits).collect()
+    loss = {}
+    for r in got:
+        loss.setdefault(r["sequence_id"], []).append(r["loss_tokens"])
+    n = {r["doc_id"]: r["doc_tokens"] for r in got}
+    assert sum(map(sum, loss.values())) == n[1] - 4 + n[2] and all(sum(v) <= 4 for v in loss.values())
+
+
+OPERATORS = {
+    "line_hashing": lambda d, b, la: line_hashing.remove_units(d, line_hashing.removed_units(d)),
+    "winnowing": lambda d, b, la: winnowing.delete_runs(d),
+    "decontaminate": lambda d, b, la: decontaminate.hits(d, b),
+    "quality": lambda d, b, la: quality.scored(d, la, F.lit(True)),
+    "language": lambda d, b, la: language.predicted(d, language.fit(d, F.lit(True))),
+    "hmm": lambda d, b, la: hmm.scored(d, F.lit(True)),
+    "pii": lambda d, b, la: pii.found(d),
+    "repetition": lambda d, b, la: repetition.counts(d),
+    "simhash": lambda d, b, la: simhash.keep_one(d),
+    "packing": lambda d, b, la: packing.pack(d, queries.TOKENIZER),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_empty_table(docs, benchmark, labels, name):
+    assert OPERATORS[name](docs.limit(0), benchmark, labels.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages(spark, docs, benchmark, name, stage, tmp_path):
+    """Each stage on the awkward rows and on none, with n_chars or without."""
+    benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
+    for source in (docs, docs.limit(0), docs.drop("n_chars")):
+        found = stage(spark, source, str(tmp_path))
+        rows = found.collect()
+        if name != "packing":
+            assert found.columns == source.columns
+            if "n_chars" in found.columns and name in ("line_dedup", "decontamination"):
+                assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in rows)
+        assert bool(rows) == (source.count() > 0)

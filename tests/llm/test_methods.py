@@ -1,0 +1,261 @@
+"""The methods inside the operators, against plain versions on small random input."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from perigee.llm import decontaminate, hmm, language, packing, pii, quality, queries, repetition, simhash, texts
+from tests.llm import brute
+
+TEXTS = st.text(st.sampled_from("abAB \n\té中😀09.,"), max_size=40)
+
+
+@settings(deadline=None)
+@given(st.lists(TEXTS, max_size=12))
+def test_units_and_hashes(values):
+    column, found, keys = pa.array(["x", *values]).slice(1), [], {}
+    for block in texts.blocks(column):
+        units = texts.units(block, texts.NOT_SPACE)
+        hashed = texts.hashes(block, units, lower=True)
+        for row in range(len(block.offsets) - 1):
+            span = range(units.bounds[row], units.bounds[row + 1])
+            own = [block.data[units.starts[k] : units.ends[k]].tobytes().decode() for k in span]
+            found.append(own)
+            for k, word in zip(span, own, strict=True):
+                assert keys.setdefault(word.translate(brute.LOWER), hashed[k]) == hashed[k]
+    assert found == [brute.words(v) for v in values]
+    assert len(set(keys.values())) == len(keys)
+
+
+@settings(deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), max_size=25), max_size=6))
+def test_longest_repeats(values):
+    column = pa.array([" ".join(v) for v in values], pa.string())
+    got = []
+    for block in texts.blocks(column):
+        units = texts.units(block, texts.NOT_SPACE)
+        got += list(repetition.longest_repeats(texts.hashes(block, units), units.bounds))
+    assert got == [x for v in values for x in brute.longest_repeats(v)]
+
+
+@settings(deadline=None)
+@given(st.lists(st.text("abc ", max_size=20), min_size=1, max_size=5), st.text("abc ", max_size=40), st.integers(1, 5))
+def test_automaton(items, text, limit):
+    items = [(str(k), t) for k, t in enumerate(items)]
+    automaton = decontaminate.Automaton([(i, decontaminate.words_of(t)) for i, t in items], limit)
+    n, hit, named = brute.op3(text, items, limit)
+    found = decontaminate.words_of(text)
+    got = list(automaton.matches(found))
+    assert (n, hit, named) == (len(found), {k for a, b, _ in got for k in range(a, b)}, {i for _, _, s in got for i in s})
+    longest = [length for _, length in automaton.lengths(found)]
+    for at, length in enumerate(longest):
+        fits = [
+            size
+            for size in range(1, at + 2)
+            if any(
+                (own := decontaminate.words_of(t))[k : k + size] == found[at + 1 - size : at + 1]
+                for _, t in items
+                for k in range(len(decontaminate.words_of(t)) - size + 1)
+            )
+        ]
+        assert length == max(fits, default=0)
+
+
+@settings(deadline=None, max_examples=30)
+@given(st.integers(1, 7), st.integers(0, 4), st.integers(0, 2**32 - 1))
+def test_general_pigeonhole(partitions, distance, seed):
+    """Two fingerprints within the distance meet in some partition, whatever the allocation's costs."""
+    rng = np.random.default_rng(seed)
+    prints = rng.integers(0, 1 << 63, 50, np.uint64)
+    bits = simhash._bits(prints.view(np.int64)).astype(float)
+    groups = simhash.group_bits(len(prints), bits.T @ bits, partitions)
+    assert sorted(b for g in groups for b in g) == list(range(64))
+    costs = [[float(c) for c in np.cumsum(rng.random(distance + 1))] for _ in groups]
+    total, chosen = simhash.allocate(costs, distance)
+    assert sum(chosen) == distance - partitions + 1 and min(chosen) >= -1
+    assert total == pytest.approx(sum(c[t] for c, t in zip(costs, chosen, strict=True) if t >= 0))
+    for _ in range(20):
+        flipped = rng.choice(64, distance, replace=False)
+        assert any(sum(b in flipped for b in g) <= t for g, t in zip(groups, chosen, strict=True))
+
+
+def test_allocation_is_the_cheapest():
+    costs = [[1.0, 5.0, 20.0, 90.0], [10.0, 11.0, 12.0, 13.0], [1.0, 2.0, 40.0, 90.0]]
+    every = [
+        (sum(c[t] for c, t in zip(costs, ts, strict=True) if t >= 0), list(ts))
+        for ts in np.ndindex(5, 5, 5)
+        for ts in [tuple(t - 1 for t in ts)]
+        if sum(ts) == 3 - 3 + 1
+    ]
+    assert simhash.allocate(costs, 3) == min(every)
+
+
+def test_links_of_a_large_bucket_connect_it(spark):
+    """More near fingerprints than a block holds, all in some bucket: few links, one component."""
+    rng = random.Random(4)
+    prints = sorted({sum(1 << rng.randrange(20) for _ in range(2)) for _ in range(400)} | {0})
+    rows = spark.createDataFrame([(p,) for p in prints], "fp bigint")
+    links = simhash.linked(rows, 3, block_rows=40).collect()
+    blocks = -(-len(prints) // 40)
+    assert len(links) <= 4 * blocks * len(prints)  # at most as many as rows for each block pair's side and partition
+    roots = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert set(roots.values()) == {0} and set(roots) == set(prints) - {0}
+
+
+def test_components_of_a_chain(spark):
+    chain = spark.createDataFrame([(k, k + 1) for k in range(-20, 40)] + [(100, 200)], "a bigint, b bigint")
+    roots = {r["node"]: r["root"] for r in simhash.components(chain).collect()}
+    assert roots == {k: -20 for k in range(-19, 41)} | {200: 100}
+
+
+def test_isotonic():
+    steps = quality.isotonic(np.array([0.0, 3, 0, 1, 0, 4]), np.array([4.0, 4, 4, 1, 0, 4]))
+    assert list(steps[:4]) == pytest.approx([0, 3 / 8, 3 / 8, 1]) and (np.diff(steps) >= 0).all()
+
+
+def test_fourier_features_approach_the_kernel():
+    rng = np.random.default_rng(0)
+    d = len(quality.NAMES)
+    model = quality.Model(
+        np.zeros(d), np.ones(d), rng.normal(size=(d, 4096)) / quality.WIDTH, rng.uniform(0, 2 * np.pi, 4096), None, None
+    )
+    x = rng.normal(size=(6, d))
+    f = model.features(x)[:, :-1]
+    kernel = np.exp(-((x[:, None] - x[None]) ** 2).sum(-1) / 2 / quality.WIDTH**2)
+    assert np.abs(f @ f.T - kernel).max() < 0.08
+
+
+def plain_likelihood(model, symbols):
+    alpha = model.start * model.emit[:, symbols[0]]
+    for s in symbols[1:]:
+        alpha = (alpha @ model.move) * model.emit[:, s]
+    return np.log10(alpha.sum())
+
+
+def random_model(states=3, symbols=5, seed=1):
+    rng = np.random.default_rng(seed)
+    start, move, emit = rng.random(states), rng.random((states, states)), rng.random((states, symbols))
+    return hmm.Model(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True))
+
+
+def chunk_of(sequences):
+    return sorted(((k, np.array(s, np.uint16)) for k, s in enumerate(sequences)), key=lambda x: -len(x[1]))
+
+
+def test_forward_and_expected_counts():
+    rng, model = np.random.default_rng(2), random_model()
+    sequences = [rng.integers(0, 5, n) for n in (1, 7, 3, 7, 12)]
+    chunk = chunk_of(sequences)
+    total = hmm._forward(model, *hmm._by_time(chunk), keep=False)[0]
+    assert list(total) == pytest.approx([plain_likelihood(model, s) for _, s in chunk])
+    found = hmm._expected(model, chunk)
+    emits = found[3 + 9 :].reshape(3, 5)
+    assert found[:3].sum() == pytest.approx(len(sequences))
+    assert found[3:12].sum() == pytest.approx(sum(len(s) - 1 for s in sequences))
+    assert list(emits.sum(0)) == pytest.approx(list(np.bincount(np.concatenate(sequences), minlength=5)))
+    # A step of Baum-Welch does not lower the likelihood.
+    move = found[3:12].reshape(3, 3)
+    better = hmm.Model(found[:3] / found[:3].sum(), move / move.sum(1, keepdims=True), emits / emits.sum(1, keepdims=True))
+    assert hmm._forward(better, *hmm._by_time(chunk), keep=False)[0].sum() >= total.sum()
+
+
+def test_likelihoods_sum_to_one():
+    """Over all texts of symbols up to the end, as far as they can be listed."""
+    model, mass = random_model(2, 3), 0.0
+    open_texts = [[]]
+    for _ in range(9):
+        mass += sum(10 ** plain_likelihood(model, [*t, 0]) for t in open_texts)
+        open_texts = [[*t, s] for t in open_texts for s in (1, 2)]
+    rest = sum(10 ** plain_likelihood(model, t) for t in open_texts)
+    assert mass + rest == pytest.approx(1)
+
+
+def test_language_model_learns_and_rejects():
+    rng = np.random.default_rng(0)
+    words = {"a": ["kala", "malu", "oki"], "b": ["strenz", "grumpf", "zwolk"]}
+    column = [(lang, " ".join(rng.choice(w, 12))) for lang, w in words.items() for _ in range(60)]
+    shares = np.concatenate([language.subwords(b) for b in texts.blocks(pa.array([t for _, t in column]))])
+    model = language.train(shares, np.array([lang == "b" for lang, _ in column]).astype(int), ["a", "b"])
+    p = model.probabilities(shares)
+    assert (p.argmax(1) == [lang == "b" for lang, _ in column]).all() and 0 <= model.reject_below <= 1
+
+
+REFERENCE = Tokenizer.from_file(queries.TOKENIZER)
+ENCODE = packing._encoder(open(queries.TOKENIZER, encoding="utf-8").read())
+
+
+@settings(deadline=None, max_examples=300)
+@given(st.text(max_size=60) | st.text(st.sampled_from("a'sé  \n\t1中​　<|endoftext|>"), max_size=40))
+def test_fast_encoder_equals_the_tokeniser(text):
+    text = text.encode("utf-8", "ignore").decode()
+    assert list(ENCODE(text)) == REFERENCE.encode(text, add_special_tokens=False).ids
+
+
+def test_encoder_keeps_to_special_tokens():
+    assert list(ENCODE("a<|endoftext|>b")) == REFERENCE.encode("a<|endoftext|>b", add_special_tokens=False).ids
+
+
+@settings(deadline=None, max_examples=60)
+@given(
+    st.lists(st.tuples(st.integers(1, 90), st.integers(0, 100)), max_size=40),
+    st.integers(8, 64), st.integers(1, 5), st.integers(4, 64), st.integers(2, 12),
+)
+def test_packer_keeps_all_limits(examples, tokens, segments, loss, pool):
+    limits = packing.Limits(tokens, segments, loss)
+    packer, sequences = packing.Packer(limits, pool), []
+    for k, (n, free) in enumerate(examples):
+        sequences += packer.add(packing.Piece(k, 0, np.arange(n, dtype=np.uint32), n, min(free, n)))
+    sequences += packer.finish()
+    seen = {k: [] for k in range(len(examples))}
+    for pieces in sequences:
+        assert sum(len(p.ids) for p in pieces) <= tokens
+        assert len(pieces) <= segments and sum(p.loss for p in pieces) <= loss
+        for p in pieces:
+            seen[p.doc_id] += list(p.ids)
+            assert p.ids[0] == p.start
+    assert {k: sorted(v) for k, v in seen.items()} == {k: list(range(n)) for k, (n, _) in enumerate(examples)}
+
+
+DISGUISED = [
+    ("mail john.doe (at) example (dot) com now", "email", "john.doe (at) example (dot) com"),
+    ("write jane dot doe at example dot com please", "email", "jane dot doe at example dot com"),
+    ("see jоhn@exаmple.com ok", "email", "jоhn@exаmple.com"),
+    ("see jo​hn@example.com ok", "email", "jo​hn@example.com"),
+    ("x a_b[at]example[dot]org y", "email", "a_b[at]example[dot]org"),
+    ("x jo.e @ example . com y", "email", "jo.e @ example . com"),
+    ("call plus one five five five two three four five six seven eight", "phone", "plus one five five five two three four five six seven eight"),
+    ("call +1 (five five five) 123 4567 8 now", "phone", "+1 (five five five) 123 4567 8"),
+    ("card ４１１１ 1111 1111 1111 x", "card", "４１１１ 1111 1111 1111"),
+    ("at 192[.]168[.]1[.]10 up", "ip", "192[.]168[.]1[.]10"),
+    ("on one nine two dot one six eight dot one dot one", "ip", "one nine two dot one six eight dot one dot one"),
+]
+
+
+@pytest.mark.parametrize("text, kind, want", DISGUISED)
+def test_disguises_map_back_to_the_source(text, kind, want):
+    plain, more = pii.spans_of(text)
+    assert [text[a:b] for a, b in more[kind]] == [want]
+    assert not any(spans for k, spans in more.items() if k != kind)
+    assert f"[{kind}]" in pii.mask(text) and want not in pii.mask(text)
+
+
+@pytest.mark.parametrize("text", [
+    "He looked at the dot on the map.", "We meet at example.com today.", "one two three four five six seven",
+    "Three at a time, dot by dot.", "café нет 1234 5678", "", None,
+])
+def test_no_disguise(text):
+    plain, more = pii.spans_of(text)
+    assert not any(plain.values()) and not any(more.values())
+
+
+@settings(deadline=None, max_examples=200)
+@given(st.text(st.sampled_from("ab@.1 +-4()5é中​атone dot"), max_size=60))
+def test_base_spans_stay_whatever_is_around(text):
+    plain, more = pii.spans_of(text)
+    assert plain == brute.op7(text)
+    assert all(0 <= a < b <= len(text) for spans in more.values() for a, b in spans)
