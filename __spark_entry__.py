@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 import samplefeed
 from perigee import operators as op
 from perigee import plans, sources, streaming
-from perigee.functions import decode, first_approach, to_double
+from perigee.functions import decode, first_approach, linear_margin, to_double
 from perigee.schema import FEATURE_COLUMNS, FLAT_COLUMNS, LABEL
 from samplefeed.build import window_start
 
@@ -55,6 +55,11 @@ def feed_envelope_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("date", decode(F.col("value"))["name"].alias("name"))
 
 
+def feed_envelope_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sources.envelope_rejects(samplefeed.broken_envelopes(spark, sf_dir))
+    return found.groupBy("reason", "date").agg(F.count("*").alias("count"))
+
+
 def feed_date_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.date_counts(samplefeed.envelopes(spark, sf_dir))
 
@@ -177,22 +182,39 @@ def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drawn from the stored table, since both parts read the input and must see it alike."""
     rows = op.clean_rows(sources.read_flat(spark, _table(spark, sf_dir).flat))
     train, test = op.split_random(rows.select("name"), seed=42)
-    return train.withColumn("is_train", F.lit(True)).unionByName(test.withColumn("is_train", F.lit(False)))
+    both = train.withColumn("is_train", F.lit(True)).unionByName(test.withColumn("is_train", F.lit(False)))
+    n, share = both.agg(F.count("*"), F.avg(F.col("is_train").cast("double"))).first()
+    # Five standard deviations of a share of 0.8.
+    return both.select("name", F.lit(abs(share - 0.8) < 5 * (0.16 / n) ** 0.5).alias("share_in_bounds"))
 
 
 def model_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fit on the train part of the stored table (a fit reads its input twice), score the test part."""
+    """Fit on the train part of the stored table (a fit reads its input twice), score the test part.
+
+    MLlib's scores are held against the column scorer's, the accuracy against always naming the larger class.
+    """
     rows = op.split_keyed(op.clean_rows(sources.read_flat(spark, _table(spark, sf_dir).flat)))
     model = op.fit(rows.where("is_train"))
-    return op.plain_vectors(op.score(rows.where("NOT is_train"), model)).select(
-        "name", LABEL, "rawPrediction", "probability", "prediction"
+    scored = op.plain_vectors(op.score(rows.where("NOT is_train"), model))
+    accuracy = op.accuracy(scored).first()["accuracy"]
+    share = scored.agg(F.avg(LABEL)).first()[0]
+    margin = linear_margin(*op.as_linear(model))
+    close = F.abs(F.col("rawPrediction")[1] - margin) <= 1e-9 * F.greatest(F.abs(margin), F.lit(1.0))
+    same = close & (F.col("prediction") == (margin > 0).cast("double"))
+    return scored.select(
+        "name", LABEL, same.alias("scorers_agree"), F.lit(accuracy > max(share, 1 - share)).alias("beats_larger_class")
     )
 
 
 def model_refit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two fitted batches, the second refitted on both."""
+    """Two fitted batches, the second refitted on both: its scores against those of one fit on all training rows."""
     paths = _replay(spark, _table(spark, sf_dir), [CURSOR, END], trainer=op.fit)
-    return plans.read_ledger(spark, paths).select("batch_id", "total_train", "accuracy", "coefficients", "intercept")
+    ledger = plans.read_ledger(spark, paths)
+    rows = op.split_keyed(op.clean_rows(sources.read_flat(spark, paths.flat)))
+    once = op.as_linear(op.fit(rows.where("is_train")))
+    chance = [1 / (1 + F.exp(-linear_margin(*model))) for model in (plans.read_model(ledger), once)]
+    apart = rows.where("NOT is_train").agg(F.max(F.abs(chance[0] - chance[1]))).first()[0]
+    return ledger.select("batch_id", "total_train", F.lit(apart < 1e-6).alias("equals_one_fit"))
 
 
 def score_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,6 +261,27 @@ def batch_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def batch_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reasons in the reject part that the real step wrote, over several batches."""
+    paths = _replay(spark, _streamed(spark, sf_dir), [CURSOR, END])
+    return plans.read_rows(spark, paths, "reject").groupBy("reason").agg(F.count("*").alias("count"))
+
+
+def step_stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streamed step over a table whose dates lie scattered over its files, a few files at a time."""
+    paths = _table(spark, sf_dir)
+    query = streaming.start_step_stream(
+        spark, paths, date(1, 1, 1), options={"maxFilesPerTrigger": "25"}, trainer=lambda train: FIXED
+    )
+    query.awaitTermination()
+    sums = ("n_rows", "n_rejected", "n_late", "n_train", "n_test")
+    return plans.read_ledger(spark, paths).agg(
+        *(F.sum(name).alias(name) for name in sums),
+        F.max("total_train").alias("total_train"),
+        F.max("cursor_date").alias("cursor_date"),
+    )
+
+
 def train_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = _replay(spark, _table(spark, sf_dir), [CURSOR, END])
     return plans.read_train(spark, paths).select("name", "approach_date")
@@ -295,6 +338,7 @@ _QUERIES = [
     feed_windows,
     feed_windows_pending,
     feed_envelope_explode,
+    feed_envelope_rejects,
     feed_date_counts,
     feed_roundtrip,
     feed_rejects,
@@ -313,6 +357,8 @@ _QUERIES = [
     split_random,
     train_accumulate,
     batch_ledger,
+    batch_rejects,
+    step_stream_ledger,
     model_fit,
     model_refit,
     score_linear,
@@ -345,7 +391,7 @@ _ACCURACY = f"round(avg((prediction = {LABEL})::INT::DOUBLE), 6)"
 _LISTED = """
 WITH listed AS (
   SELECT l_shipdate::DATE AS day, 'neo-' || l_orderkey || '-' || l_linenumber AS name
-  FROM lineitem WHERE l_orderkey % 53 <> 0)
+  FROM lineitem)
 """
 
 _SQL = {
@@ -368,26 +414,52 @@ _SQL = {
     # Whole objects: the cut messages exist only on the message side, not in envelopes.
     "feed_roundtrip": """
         SELECT 'neo-' || l_orderkey || '-' || l_linenumber AS name,
-          CASE WHEN l_orderkey % 61 = 0 THEN strftime(l_shipdate, '%Y-%-m-%-d')
+          CASE WHEN l_orderkey % 53 = 0 THEN NULL
+               WHEN l_orderkey % 61 = 0 THEN strftime(l_shipdate, '%Y-%-m-%-d')
                ELSE strftime(l_shipdate, '%Y-%m-%d') END AS close_approach_date,
           CASE WHEN l_orderkey % 101 <> 0 THEN l_extendedprice / 20000.0::DOUBLE END AS estimated_diameter_km_max,
           CASE WHEN l_orderkey % 101 <> 0 THEN l_extendedprice / 20000.0::DOUBLE / 2.236::DOUBLE END
             AS estimated_diameter_km_min,
-          CASE WHEN l_orderkey % 89 <> 0 THEN l_quantity END AS relative_velocity_km_s,
-          l_partkey * 25.5::DOUBLE + l_quantity AS miss_distance_km,
+          CASE WHEN l_orderkey % 53 = 0 OR l_orderkey % 89 = 0 THEN NULL
+               WHEN l_orderkey % 83 = 0 THEN 'nan'::DOUBLE
+               WHEN l_orderkey % 79 = 0 THEN 'inf'::DOUBLE
+               WHEN l_orderkey % 73 = 0 THEN '-inf'::DOUBLE
+               WHEN l_orderkey % 71 = 0 THEN 'inf'::DOUBLE
+               ELSE l_quantity END AS relative_velocity_km_s,
+          CASE WHEN l_orderkey % 53 <> 0 THEN l_partkey * 25.5::DOUBLE + l_quantity END AS miss_distance_km,
           CASE WHEN l_orderkey % 97 <> 0 AND ((l_extendedprice > 60000) <> (l_orderkey % 23 = 0))
                THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_potentially_hazardous_asteroid
-        FROM lineitem WHERE l_orderkey % 53 <> 0""",
+        FROM lineitem""",
+    "feed_envelope_rejects": """
+        SELECT CASE WHEN l_orderkey % 59 = 0 THEN 'undecodable' ELSE 'empty_element' END AS reason,
+          CASE WHEN l_orderkey % 59 <> 0 THEN strftime(l_shipdate, '%Y-%m-%d') END AS date, count(*) AS count
+        FROM lineitem WHERE l_orderkey % 59 = 0 OR l_orderkey % 67 = 0 GROUP BY ALL""",
 }
 
+_REJECTS = """
+    SELECT CASE WHEN name IS NULL THEN 'undecodable' WHEN approach_date IS NULL THEN 'no_date'
+                ELSE 'no_feature' END AS reason, count(*) AS count
+    FROM dated
+    WHERE name IS NULL OR approach_date IS NULL OR estimated_diameter_km_max IS NULL
+       OR NOT coalesce(isfinite(relative_velocity_km_s), false) OR miss_distance_km IS NULL
+    GROUP BY ALL"""
+
 _SQL_ON_CTES = {
-    "feed_rejects": """
-        SELECT CASE WHEN name IS NULL THEN 'undecodable' WHEN approach_date IS NULL THEN 'no_date'
-                    ELSE 'no_feature' END AS reason, count(*) AS count
-        FROM dated
-        WHERE name IS NULL OR approach_date IS NULL OR estimated_diameter_km_max IS NULL
-           OR relative_velocity_km_s IS NULL OR miss_distance_km IS NULL
-        GROUP BY ALL""",
+    "feed_rejects": _REJECTS,
+    "batch_rejects": _REJECTS,
+    "split_random": "SELECT name, true AS share_in_bounds FROM clean",
+    "model_fit": f"""
+        SELECT name, {LABEL}, true AS scorers_agree, true AS beats_larger_class FROM clean WHERE NOT is_train""",
+    "model_refit": f"""
+        SELECT (approach_date > {_CURSOR})::BIGINT AS batch_id, (sum(count(*)) OVER (ORDER BY batch_id))::BIGINT
+          AS total_train, true AS equals_one_fit
+        FROM clean WHERE is_train GROUP BY 1""",
+    "step_stream_ledger": """
+        SELECT count(*) AS n_rows, (SELECT count(*) FROM dated) - (SELECT count(*) FROM clean) AS n_rejected,
+          0::BIGINT AS n_late, (SELECT count(*) FROM clean WHERE is_train) AS n_train,
+          (SELECT count(*) FROM clean WHERE NOT is_train) AS n_test,
+          (SELECT count(*) FROM clean WHERE is_train) AS total_train, max(approach_date) AS cursor_date
+        FROM dated""",
     "flatten": f"SELECT {_FLAT} FROM flat",
     "first_element": "SELECT name, close_approach_date FROM flat",
     "text_to_double": "SELECT name, relative_velocity_km_s, miss_distance_km FROM flat",
@@ -408,14 +480,17 @@ _SQL_ON_CTES = {
           SELECT year(approach_date) AS y, count(*) AS n, min(approach_date) AS first_date,
                  max(approach_date) AS cursor_date
           FROM dated WHERE approach_date IS NOT NULL GROUP BY y),
+        undated AS (SELECT count(*) AS n FROM dated WHERE approach_date IS NULL),
         per_clean AS (
           SELECT year(approach_date) AS y, count(*) FILTER (is_train) AS n_train,
                  count(*) FILTER (NOT is_train) AS n_test,
                  round(avg((prediction = {LABEL})::INT::DOUBLE) FILTER (NOT is_train), 6) AS accuracy
           FROM clean GROUP BY y)
-        SELECT y::INT AS batch_year, n AS n_rows, n - n_train - n_test AS n_rejected, n_train, n_test,
+        -- The first batch also takes the undated rows, which are all rejects.
+        SELECT y::INT AS batch_year, all_rows AS n_rows, all_rows - n_train - n_test AS n_rejected, n_train, n_test,
           (sum(n_train) OVER (ORDER BY y))::BIGINT AS total_train, first_date, cursor_date, accuracy
-        FROM per_year JOIN per_clean USING (y)""",
+        FROM (SELECT *, n + CASE WHEN y = min(y) OVER () THEN (SELECT n FROM undated) ELSE 0 END AS all_rows
+              FROM per_year) JOIN per_clean USING (y)""",
     "run_summary": f"""
         SELECT (SELECT min(approach_date) FROM dated) AS start_date,
           (SELECT max(approach_date) - 1 FROM dated) AS end_date,
@@ -448,13 +523,15 @@ _SQL_ON_CTES = {
         , form AS (
           SELECT CASE WHEN l_orderkey % 101 <> 0 THEN l_extendedprice / 20000.0::DOUBLE END AS size,
             l_partkey * 25.5::DOUBLE + l_quantity AS miss_distance_km,
-            CASE WHEN l_orderkey % 89 <> 0 THEN l_quantity END AS relative_velocity_km_s
+            CASE WHEN l_orderkey % 89 = 0 THEN NULL WHEN l_orderkey % 83 = 0 THEN 'nan'::DOUBLE
+                 WHEN l_orderkey % 79 = 0 THEN 'inf'::DOUBLE WHEN l_orderkey % 73 = 0 THEN '-inf'::DOUBLE
+                 WHEN l_orderkey % 71 = 0 THEN 'inf'::DOUBLE ELSE l_quantity END AS relative_velocity_km_s
           FROM lineitem)
         SELECT size / 2.236::DOUBLE AS estimated_diameter_km_min, size AS estimated_diameter_km_max,
           miss_distance_km, relative_velocity_km_s,
-          CASE WHEN size IS NULL OR relative_velocity_km_s IS NULL THEN NULL
+          CASE WHEN size IS NULL OR NOT coalesce(isfinite(relative_velocity_km_s), false) THEN NULL
                WHEN size - 3.0::DOUBLE > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction,
-          CASE WHEN size IS NULL OR relative_velocity_km_s IS NULL THEN NULL
+          CASE WHEN size IS NULL OR NOT coalesce(isfinite(relative_velocity_km_s), false) THEN NULL
                WHEN size - 3.0::DOUBLE > 0 THEN 'Hazardous' ELSE 'Not Hazardous' END AS predicted_value
         FROM form""",
 }

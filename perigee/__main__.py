@@ -6,6 +6,7 @@ The session is the submitted one; nothing is configured here.
 from __future__ import annotations
 
 import argparse
+import uuid
 from datetime import date
 
 from pyspark.sql import SparkSession
@@ -26,14 +27,18 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="perigee")
     jobs = top.add_subparsers(dest="job", required=True)
 
-    windows = jobs.add_parser("windows", help="write the request windows of a date span")
+    windows = jobs.add_parser("windows", help="write the request windows of a date span that have not landed")
     windows.add_argument("start", type=date.fromisoformat)
     windows.add_argument("stop", type=date.fromisoformat)
     windows.add_argument("path")
+    windows.add_argument("--landed", metavar="ENVELOPES", help="envelopes landed so far")
+    windows.add_argument("--envelope-format", default="text")
 
-    fan_out = jobs.add_parser("fan-out", help="publish the objects of landed envelopes as messages")
+    fan_out = jobs.add_parser("fan-out", help="publish the objects of landed envelopes as messages, once")
     fan_out.add_argument("envelopes")
+    fan_out.add_argument("done", help="table of the envelopes fanned out before, kept by this job")
     fan_out.add_argument("--envelope-format", default="text")
+    fan_out.add_argument("--rejects", help="table to which broken envelopes and empty list elements go")
     _endpoint(fan_out)
 
     stream = jobs.add_parser("stream", help="stream messages into the flat table")
@@ -65,14 +70,35 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def _fan_out(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Publishes the envelopes that `done` doesn't list, then lists them: a run that fails in between publishes
+    them again, one that ends well never does."""
+    attempt = f"{args.done}/run={uuid.uuid4().hex}"
+    done = spark.createDataFrame([], "digest STRING")
+    if sources.exists(spark, args.done):
+        done = spark.read.schema("digest STRING").option("recursiveFileLookup", True).parquet(args.done)
+    found = sources.read_envelopes(spark, args.envelopes, args.envelope_format)
+    new = sources.unpublished(found, done)
+    # What is listed is what was published, whatever lands meanwhile.
+    new.write.parquet(f"{attempt}/_staged")
+    staged = spark.read.schema("digest STRING, value STRING").parquet(f"{attempt}/_staged")
+    sources.publish(sources.explode_envelope(staged), args.format, _options(args.option))
+    if args.rejects is not None:
+        sources.envelope_rejects(staged).write.mode("append").parquet(args.rejects)
+    staged.select("digest").write.parquet(f"{attempt}/digests")
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     paths = plans.StatePaths(args.root) if "root" in args else None
     match args.job:
         case "windows":
-            sources.feed_windows(spark, args.start, args.stop).write.parquet(args.path)
+            windows = sources.feed_windows(spark, args.start, args.stop)
+            if args.landed is not None:
+                landed = sources.envelope_dates(sources.read_envelopes(spark, args.landed, args.envelope_format))
+                windows = sources.pending_windows(windows, landed.select(landed["date"].alias("window_start")))
+            windows.write.mode("overwrite").parquet(args.path)
         case "fan-out":
-            envelopes = sources.read_envelopes(spark, args.envelopes, args.envelope_format)
-            sources.publish(sources.explode_envelope(envelopes), args.format, _options(args.option))
+            _fan_out(spark, args)
         case "stream":
             streaming.run_flat_stream(
                 spark,

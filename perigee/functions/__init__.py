@@ -4,6 +4,7 @@ from perigee.functions.columns import (
     decode,
     first_approach,
     flag_to_label,
+    is_finite,
     keyed_bucket,
     linear_margin,
     to_day,
@@ -16,6 +17,7 @@ __all__ = [
     "decode",
     "first_approach",
     "flag_to_label",
+    "is_finite",
     "keyed_bucket",
     "linear_margin",
     "to_day",

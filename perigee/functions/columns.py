@@ -50,9 +50,15 @@ def keyed_bucket(key: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") % 100
 
 
+def is_finite(value: Column) -> Column:
+    """Neither null nor NaN nor infinite; never null itself."""
+    return F.coalesce(F.abs(value) < float("inf"), F.lit(False))  # NaN compares as larger than infinity
+
+
 def linear_margin(coefficients: Sequence[float], intercept: float) -> Column:
-    """w . x + b over the four feature columns, null when any feature is null."""
-    margin = F.lit(float(intercept))
+    """w . x + b over the four feature columns, null unless all features are finite and the sum is a number."""
+    margin, known = F.lit(float(intercept)), F.lit(True)
     for name, weight in zip(FEATURE_COLUMNS, coefficients, strict=True):
         margin = margin + F.col(name) * F.lit(float(weight))
-    return margin
+        known = known & is_finite(F.col(name))
+    return F.when(known & ~F.isnan(margin), margin)

@@ -6,15 +6,18 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perigee.functions import keyed_bucket
+from perigee.functions import is_finite, keyed_bucket
 from perigee.schema import FEATURE_COLUMNS
 
 
 def assemble(df: DataFrame) -> DataFrame:
-    """Adds the `features` vector; rows with a null feature are skipped (route them aside first)."""
+    """Adds the `features` vector; rows with a feature that is not finite are skipped (route them aside first)."""
+    known = F.lit(True)
+    for name in FEATURE_COLUMNS:
+        known = known & is_finite(F.col(name))
     return VectorAssembler(
         inputCols=FEATURE_COLUMNS, outputCol="features", handleInvalid="skip"
-    ).transform(df)
+    ).transform(df.where(known))
 
 
 def split_keyed(df: DataFrame, key: str = "name", pct: int = 80) -> DataFrame:

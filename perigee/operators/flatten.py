@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perigee.functions import decode, first_approach, flag_to_label, to_day, to_double
+from perigee.functions import decode, first_approach, flag_to_label, is_finite, to_day, to_double
 from perigee.schema import FEATURE_COLUMNS, LABEL
 
 
@@ -48,11 +48,11 @@ def with_month(dated: DataFrame) -> DataFrame:
 def reject_reason() -> Column:
     """First matching reason why a dated row cannot be trained on or scored; null for a clean row.
 
-    NaN counts as a missing feature: the assembler refuses it as well.
+    NaN and infinite features count as missing: no model can learn from them.
     """
     no_feature = F.lit(False)
     for name in FEATURE_COLUMNS:
-        no_feature = no_feature | F.col(name).isNull() | F.isnan(name)
+        no_feature = no_feature | ~is_finite(F.col(name))
     return (
         F.when(F.col("name").isNull(), "undecodable")
         .when(F.col("approach_date").isNull(), "no_date")

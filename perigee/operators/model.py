@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from perigee.functions import class_text, linear_margin
 from perigee.operators.features import assemble
-from perigee.schema import FEATURE_COLUMNS, LABEL
+from perigee.schema import FEATURE_COLUMNS, LABEL, PREDICTED_VALUE
 
 
 class LinearModel(NamedTuple):
@@ -59,7 +59,7 @@ def score(df: DataFrame, model: LogisticRegressionModel) -> DataFrame:
 
 
 def score_linear(df: DataFrame, coefficients: Sequence[float], intercept: float) -> DataFrame:
-    """Adds features, rawPrediction, probability (arrays) and prediction; null features score null."""
+    """Adds features, rawPrediction, probability (arrays) and prediction; features that are not finite score null."""
     margin = F.col("margin")
     hazard = 1.0 / (1.0 + F.exp(-margin))
     return (
@@ -86,7 +86,7 @@ def score_table(
 ) -> DataFrame:
     """Scores a table of the four inputs: adds prediction and its class text to every row.
 
-    A row with a missing input gets neither.
+    A row with an input that is missing, NaN or infinite gets neither.
     """
     if model is None:
         raise ValueError("no model yet: process a batch before scoring")
@@ -94,7 +94,7 @@ def score_table(
     prediction = F.col("prediction")
     return rows.withColumn(
         "prediction", (linear_margin(linear.coefficients, linear.intercept) > 0).cast("double")
-    ).withColumn("predicted_value", F.when(prediction.isNotNull(), class_text(prediction)))
+    ).withColumn(PREDICTED_VALUE, F.when(prediction.isNotNull(), class_text(prediction)))
 
 
 def accuracy(scored: DataFrame) -> DataFrame:

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from perigee.functions import class_text
 from perigee.operators.model import plain_vectors
-from perigee.schema import LABEL
+from perigee.schema import LABEL, MAX_FILE_ROWS, PREDICTED_VALUE, REAL_VALUE
 
 
 def _with_classes(scored: DataFrame) -> DataFrame:
     return scored.withColumns({
-        "real_value": class_text(F.col(LABEL)),
-        "predicted_value": class_text(F.col("prediction")),
+        REAL_VALUE: class_text(F.col(LABEL)),
+        PREDICTED_VALUE: class_text(F.col("prediction")),
     })
 
 
@@ -25,18 +25,18 @@ def display_rows(scored: DataFrame) -> DataFrame:
         "estimated_diameter_km_min",
         "relative_velocity_km_s",
         "miss_distance_km",
-        "real_value",
-        "predicted_value",
+        REAL_VALUE,
+        PREDICTED_VALUE,
     )
 
 
 def report_rows(scored: DataFrame) -> DataFrame:
     return _with_classes(scored).select(
-        "name", "real_value", "predicted_value", "estimated_diameter_km_min", "miss_distance_km"
+        "name", REAL_VALUE, PREDICTED_VALUE, "estimated_diameter_km_min", "miss_distance_km"
     )
 
 
-def scatter_points(display: DataFrame, which: str = "real_value") -> DataFrame:
+def scatter_points(display: DataFrame, which: str = REAL_VALUE) -> DataFrame:
     """One point per display row; `which` picks the real or the predicted class as its colour."""
     return display.select(
         F.col("miss_distance_km").alias("x"),
@@ -46,7 +46,7 @@ def scatter_points(display: DataFrame, which: str = "real_value") -> DataFrame:
 
 
 def scatter_grid(
-    display: DataFrame, width: float, height: float, which: str = "real_value"
+    display: DataFrame, width: float, height: float, which: str = REAL_VALUE
 ) -> DataFrame:
     """Points per grid cell and class: output size follows the grid, not the number of points."""
     points = scatter_points(display, which)
@@ -58,7 +58,7 @@ def scatter_grid(
 
 
 def confusion_counts(display: DataFrame) -> DataFrame:
-    return display.groupBy("real_value", "predicted_value").agg(F.count("*").alias("count"))
+    return display.groupBy(REAL_VALUE, PREDICTED_VALUE).agg(F.count("*").alias("count"))
 
 
 def export_scored(scored: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -67,8 +67,6 @@ def export_scored(scored: DataFrame, path: str, fmt: str = "parquet") -> None:
     kinds = dict(scored.dtypes)
     rows = plain_vectors(scored) if kinds.get("features") == "vector" else scored
     if "batch_id" in kinds:
-        rows.hint("rebalance", "batch_id").write.format(fmt).mode("overwrite").partitionBy(
-            "batch_id"
-        ).save(path)
-    else:
-        rows.write.format(fmt).mode("overwrite").save(path)
+        rows = rows.hint("rebalance", "batch_id")
+    writer = rows.write.format(fmt).mode("overwrite").option("maxRecordsPerFile", MAX_FILE_ROWS)
+    (writer.partitionBy("batch_id") if "batch_id" in kinds else writer).save(path)

@@ -1,9 +1,11 @@
 from perigee.plans.state import (
     StatePaths,
     latest_batch,
+    merge,
     read_cursor,
     read_ledger,
     read_model,
+    read_rows,
     read_scored,
     read_train,
     shared_root,
@@ -14,10 +16,12 @@ from perigee.plans.summary import run_summary
 __all__ = [
     "StatePaths",
     "latest_batch",
+    "merge",
     "process_batch",
     "read_cursor",
     "read_ledger",
     "read_model",
+    "read_rows",
     "read_scored",
     "read_train",
     "run_available",

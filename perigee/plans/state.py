@@ -1,13 +1,17 @@
 """State of the incremental run, all of it tables keyed by batch id.
 
     flat/     approach_month=...          the flat table (written by the stream or a backfill)
-    rows/     batch_id=N/part=train|test|reject   the rows of each batch, split once
+    rows/     batch_id=N/part=train|test|reject|late   the rows of each batch, split once
     scored/   batch_id=N                  the scored test part
-    models/   batch_id=N                  the fitted model
+    sources/  batch_id=N                  the flat files whose undated rows the batch took
     ledger/   batch_id=N                  one row per finished batch, written last
+    merged/   upto=N/(rows|scored|sources|ledger)   all batches up to N in few files, the ledger written last
 
 A batch exists when its ledger row does. Readers join to the ledger, so what a failed attempt left
-behind is never read, and a rerun of the same id overwrites it.
+behind is never read, and its retry overwrites it. A batch that exists is never written again.
+
+Merging keeps the number of folders small: what a reader opens is the newest merge and the batches
+after it. A merge exists when its ledger does; only then are the folders that it replaces deleted.
 """
 
 from __future__ import annotations
@@ -24,9 +28,12 @@ from pyspark.sql.types import DataType, StructType
 
 from perigee.functions import day
 from perigee.operators.model import LinearModel
-from perigee.schema import LEDGER_SCHEMA, ROWS_SCHEMA, SCORED_SCHEMA
+from perigee.schema import LEDGER_SCHEMA, MAX_FILE_ROWS, ROWS_SCHEMA, SCORED_SCHEMA, SOURCES_SCHEMA
+
+TRAIN, TEST, REJECT, LATE = "train", "test", "reject", "late"
 
-TRAIN, TEST, REJECT = "train", "test", "reject"
+# Batches after which a commit merges what is there.
+MERGE_EVERY = 64
 
 
 @dataclass(frozen=True)
@@ -46,13 +53,17 @@ class StatePaths:
         return f"{self.root}/scored"
 
     @property
-    def models(self) -> str:
-        return f"{self.root}/models"
+    def sources(self) -> str:
+        return f"{self.root}/sources"
 
     @property
     def ledger(self) -> str:
         return f"{self.root}/ledger"
 
+    @property
+    def merged(self) -> str:
+        return f"{self.root}/merged"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
@@ -64,11 +75,13 @@ def of_batch(table: str, batch_id: int) -> str:
 def shared_root(spark: SparkSession) -> str:
     """A new directory under the shared folder named by spark.checkpoint.dir.
 
-    Only a local session may go without one and gets a temporary folder.
+    Only a session on one machine may go without one and gets a folder of its own; on a cluster,
+    even one of local processes, that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="perigee-")
     return f"{base.rstrip('/')}/perigee-{uuid.uuid4().hex}"
@@ -83,8 +96,78 @@ def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def _folder(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
+    context = spark.sparkContext
+    named = context._jvm.org.apache.hadoop.fs.Path(path)
+    return named.getFileSystem(context._jsc.hadoopConfiguration()), named
+
+
+def _numbers(spark: SparkSession, path: str, key: str) -> list[int]:
+    """N of the folders key=N in a folder: a listing of names that opens no file."""
+    system, named = _folder(spark, path)
+    if not system.exists(named):
+        return []
+    names = (status.getPath().getName() for status in system.listStatus(named))
+    return sorted(int(name.partition("=")[2]) for name in names if name.startswith(f"{key}="))
+
+
+def merged_upto(spark: SparkSession, paths: StatePaths) -> int:
+    """The last batch of the newest finished merge; -1 without one."""
+    system, _ = _folder(spark, paths.root)
+    for upto in reversed(_numbers(spark, paths.merged, "upto")):
+        if system.exists(_folder(spark, f"{paths.merged}/upto={upto}/ledger/_SUCCESS")[1]):
+            return upto
+    return -1
+
+
+def _read_batches(spark: SparkSession, paths: StatePaths, table: str, schema: str) -> DataFrame:
+    """A table's merged rows and those of the batches after the merge."""
+    upto = merged_upto(spark, paths)
+    newer = _read_or_empty(spark, f"{paths.root}/{table}", schema).where(F.col("batch_id") > upto)
+    if upto < 0:
+        return newer
+    return _read_or_empty(spark, f"{paths.merged}/upto={upto}/{table}", schema).unionByName(newer)
+
+
+def merge(spark: SparkSession, paths: StatePaths) -> int:
+    """Puts all finished batches into one merge and deletes the folders behind it; returns its last batch.
+
+    For the one writer of the state, between two steps. A merge cut short is not read, and the next one
+    starts anew; readers that hold older folders open have to read again.
+    """
+    last = latest_batch(read_ledger(spark, paths))
+    if last is None or last["batch_id"] == merged_upto(spark, paths):
+        return -1 if last is None else last["batch_id"]
+    upto, old = last["batch_id"], merged_upto(spark, paths)
+    target = f"{paths.merged}/upto={upto}"
+    ledger = read_ledger(spark, paths)
+    for table, schema, parts in (("rows", ROWS_SCHEMA, ["part"]), ("scored", SCORED_SCHEMA, []), ("sources", SOURCES_SCHEMA, [])):
+        rows = _committed(_read_batches(spark, paths, table, schema), ledger)
+        writer = rows.hint("rebalance", *parts).write.mode("overwrite").option("maxRecordsPerFile", MAX_FILE_ROWS)
+        writer.partitionBy(*parts).parquet(f"{target}/{table}")
+    ledger.coalesce(1).write.mode("overwrite").parquet(f"{target}/ledger")
+    for table in ("rows", "scored", "sources", "ledger"):
+        for batch_id in _numbers(spark, f"{paths.root}/{table}", "batch_id"):
+            if batch_id <= upto:
+                _delete(spark, of_batch(f"{paths.root}/{table}", batch_id))
+    if old >= 0:
+        _delete(spark, f"{paths.merged}/upto={old}")
+    return upto
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    system, named = _folder(spark, path)
+    system.delete(named, True)
+
+
 def read_ledger(spark: SparkSession, paths: StatePaths) -> DataFrame:
-    return _read_or_empty(spark, paths.ledger, LEDGER_SCHEMA)
+    return _read_batches(spark, paths, "ledger", LEDGER_SCHEMA)
+
+
+def read_sources(spark: SparkSession, paths: StatePaths) -> DataFrame:
+    """The flat files whose undated rows finished batches took."""
+    return _committed(_read_batches(spark, paths, "sources", SOURCES_SCHEMA), read_ledger(spark, paths))
 
 
 def latest_batch(ledger: DataFrame) -> Row | None:
@@ -100,11 +183,13 @@ def read_cursor(ledger: DataFrame, initial: date) -> date:
 
 
 def commit(spark: SparkSession, paths: StatePaths, batch_id: int, values: dict[str, object]) -> Row:
-    """Writes the ledger row, which makes the batch visible."""
+    """Writes the ledger row, which makes the batch visible; merges once there are enough unmerged ones."""
     fields = [f for f in StructType.fromDDL(LEDGER_SCHEMA).fields if f.name != "batch_id"]
     row = spark.range(0, 1, 1, 1).select(*(_literal(values[f.name], f.dataType).alias(f.name) for f in fields))
     row.write.mode("overwrite").parquet(of_batch(paths.ledger, batch_id))
-    return Row(**values, batch_id=batch_id)
+    if len(_numbers(spark, paths.ledger, "batch_id")) >= MERGE_EVERY:
+        merge(spark, paths)
+    return Row(**{f.name: values[f.name] for f in fields}, batch_id=batch_id)
 
 
 def _literal(value: object, kind: DataType) -> Column:
@@ -122,7 +207,7 @@ def _committed(rows: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def read_rows(spark: SparkSession, paths: StatePaths, part: str) -> DataFrame:
-    rows = _read_or_empty(spark, paths.rows, ROWS_SCHEMA).where(F.col("part") == part)
+    rows = _read_batches(spark, paths, "rows", ROWS_SCHEMA).where(F.col("part") == part)
     return _committed(rows, read_ledger(spark, paths))
 
 
@@ -141,7 +226,7 @@ def read_train(
 def read_scored(spark: SparkSession, paths: StatePaths, latest_only: bool = False) -> DataFrame:
     """Scored rows of finished batches, or of the latest one."""
     ledger = read_ledger(spark, paths)
-    scored = _read_or_empty(spark, paths.scored, SCORED_SCHEMA)
+    scored = _read_batches(spark, paths, "scored", SCORED_SCHEMA)
     if latest_only:
         latest = latest_batch(ledger)
         return scored.where(F.lit(False) if latest is None else F.col("batch_id") == latest["batch_id"])

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from perigee.functions import day
 from perigee.operators.cursor import newer_than
 from perigee.operators.features import split_keyed
 from perigee.operators.flatten import with_reason
 from perigee.operators.model import LinearModel, accumulate, accuracy, as_linear, fit, score_linear
 from perigee.plans.state import (
+    LATE,
     REJECT,
     TEST,
     TRAIN,
@@ -23,31 +25,30 @@ from perigee.plans.state import (
     latest_batch,
     of_batch,
     read_ledger,
+    read_sources,
     read_train,
 )
 from perigee.schema import DATED_SCHEMA, MAX_FILE_ROWS
-from perigee.sources.tables import read_flat
+from perigee.sources.tables import read_flat, undated_rows
 
 Trainer = Callable[[DataFrame], "LogisticRegressionModel | LinearModel"]
 
 _STAGED_SCHEMA = f"{DATED_SCHEMA}, reason STRING, part STRING"
 
 
-def _stage(batch: DataFrame, path: str) -> DataFrame:
-    """Routes every row to train, test or reject and writes them in one pass over the batch.
+def _stage(batch: DataFrame, path: str, late_until: date | None) -> DataFrame:
+    """Routes every row to train, test, reject or late and writes them in one pass over the batch.
 
     All later reads of the batch are of this table, so the step neither caches the batch nor
-    depends on its source staying the same.
+    depends on its source staying the same. The rebalance hint keeps a part's files few; adaptive
+    execution splits a large part over tasks.
     """
-    routed = (
-        split_keyed(with_reason(batch))
-        .withColumn(
-            "part",
-            F.when(F.col("reason").isNotNull(), REJECT).when(F.col("is_train"), TRAIN).otherwise(TEST),
-        )
-        .drop("is_train", "approach_month")
-    )
-    writer = routed.write.mode("overwrite").partitionBy("part")
+    part = F.when(F.col("reason").isNotNull(), REJECT)
+    if late_until is not None:
+        part = part.when(F.col("approach_date") <= day(late_until), LATE)
+    routed = split_keyed(with_reason(batch)).withColumn("part", part.when(F.col("is_train"), TRAIN).otherwise(TEST))
+    staged = routed.drop("is_train", "approach_month", "source").hint("rebalance", "part")
+    writer = staged.write.mode("overwrite").partitionBy("part")
     writer.option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(path)
     return batch.sparkSession.read.schema(_STAGED_SCHEMA).parquet(path)
 
@@ -59,15 +60,21 @@ def process_batch(
     trainer: Trainer = fit,
     cursor_from: str = "batch",
     look_back: int | None = None,
+    drop_late: bool = False,
 ) -> Row | None:
-    """Processes dated rows as batch `batch_id` and returns its ledger row; None for no rows.
+    """Processes flat rows as batch `batch_id` and returns its ledger row; None for no rows.
 
-    Rerunning an id gives the same state. The cursor moves to the newest date of the whole batch,
-    rejected rows included, so that no row is read twice; cursor_from="test" takes it from the test
-    part instead and leaves it where it was when that part is empty.
+    An id that has its ledger row is done: the row is returned and nothing is written. Rows that can't be
+    used, undated ones included, go to the reject part. The cursor moves to the newest date of the whole
+    batch, rejected rows included, and never back; cursor_from="test" takes it from the test part instead
+    and leaves it where it was when that part is empty. With drop_late, rows dated on or before the cursor
+    of the batches before go to the late part and are counted there; otherwise they are used like any other.
     """
-    before = latest_batch(read_ledger(batch.sparkSession, paths).where(F.col("batch_id") < batch_id))
-    return _process(batch, batch_id, paths, before, trainer, cursor_from, look_back)
+    ledger = read_ledger(batch.sparkSession, paths).where(F.col("batch_id") <= batch_id)
+    before = latest_batch(ledger)
+    if before is not None and before["batch_id"] == batch_id:
+        return before
+    return _process(batch, batch_id, paths, before, trainer, cursor_from, look_back, drop_late)
 
 
 def _process(
@@ -78,20 +85,21 @@ def _process(
     trainer: Trainer = fit,
     cursor_from: str = "batch",
     look_back: int | None = None,
+    drop_late: bool = False,
 ) -> Row | None:
     """process_batch with the ledger row of the batch before, None for the first."""
     if cursor_from not in ("batch", "test"):
         raise ValueError(f"cursor_from must be 'batch' or 'test', not {cursor_from!r}")
-    if batch.isEmpty():
-        return None
     spark = batch.sparkSession
-    rows = _stage(batch, of_batch(paths.rows, batch_id))
+    old_cursor = None if before is None else before["cursor_date"]
+    rows = _stage(batch, of_batch(paths.rows, batch_id), old_cursor if drop_late else None)
     train = rows.where(F.col("part") == TRAIN)
     test = rows.where(F.col("part") == TEST)
     in_test = F.col("part") == TEST
     counts = rows.agg(
         F.count("*").alias("n_rows"),
         F.count_if(F.col("part") == REJECT).alias("n_rejected"),
+        F.count_if(F.col("part") == LATE).alias("n_late"),
         F.count_if(F.col("part") == TRAIN).alias("n_train"),
         F.count_if(in_test).alias("n_test"),
         F.min("approach_date").alias("first_date"),
@@ -99,18 +107,22 @@ def _process(
             "cursor_date"
         ),
     ).first()
+    if counts["n_rows"] == 0:
+        return None
     total_train = counts["n_train"] + (0 if before is None else before["total_train"])
 
     model = None
     share = None
+    n_fitted = 0
     if counts["n_train"] > 0:
         old = None
+        n_fitted = total_train
         if before is not None:
             old = read_train(spark, paths, before=batch_id, look_back=look_back).select(*train.columns)
-        fitted = trainer(accumulate(old, train))
-        if isinstance(fitted, LogisticRegressionModel):
-            fitted.write().overwrite().save(of_batch(paths.models, batch_id))
-        model = as_linear(fitted)
+            if look_back is not None:
+                seen = read_ledger(spark, paths).where(F.col("batch_id").between(batch_id - look_back, batch_id - 1))
+                n_fitted = counts["n_train"] + (seen.agg(F.sum("n_train")).first()[0] or 0)
+        model = as_linear(trainer(accumulate(old, train)))
     elif total_train > 0:
         # Nothing new to learn from: a refit would see the same rows as the last one.
         model = LinearModel(tuple(before["coefficients"]), before["intercept"])
@@ -119,18 +131,20 @@ def _process(
         scored = score_linear(test.drop("reason", "part"), *model)
         scored.write.mode("overwrite").option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(scored_path)
         share = accuracy(spark.read.schema(scored.schema).parquet(scored_path)).first()["accuracy"]
+    if "source" in batch.columns:
+        files = batch.where("source IS NOT NULL").select("source").distinct()
+        files.write.mode("overwrite").parquet(of_batch(paths.sources, batch_id))
 
-    cursor = counts["cursor_date"]
-    if cursor is None and before is not None:
-        cursor = before["cursor_date"]
+    cursors = [c for c in (counts["cursor_date"], old_cursor) if c is not None]
     return commit(
         spark,
         paths,
         batch_id,
         {
             **counts.asDict(),
+            "n_fitted": n_fitted,
             "total_train": total_train,
-            "cursor_date": cursor,
+            "cursor_date": max(cursors, default=None),
             "accuracy": share,
             "coefficients": None if model is None else list(model.coefficients),
             "intercept": None if model is None else model.intercept,
@@ -145,12 +159,18 @@ def run_available(
     until: date | None = None,
     **settings: object,
 ) -> Row | None:
-    """One step over all flat rows newer than the cursor; `initial` defaults to yesterday."""
-    last = latest_batch(read_ledger(spark, paths))
-    cursor = None if last is None else last["cursor_date"]
-    if cursor is None:
-        cursor = initial or date.today() - timedelta(days=1)
-    batch = newer_than(read_flat(spark, paths.flat), cursor, until)
+    """One step over all flat rows newer than the cursor, and the undated rows of files no step has met.
+
+    `initial`, the cursor of the first step, defaults to yesterday by the session's clock.
+    """
+    ledger = read_ledger(spark, paths)
+    last = latest_batch(ledger)
+    if initial is None:
+        initial = spark.range(1).select(F.date_sub(F.current_date(), 1)).first()[0]
+    cursor = initial if last is None or last["cursor_date"] is None else last["cursor_date"]
+    flat = newer_than(read_flat(spark, paths.flat), cursor, until)
+    undated = undated_rows(spark, paths.flat, read_sources(spark, paths))
+    batch = flat.withColumn("source", F.lit(None).cast("string")).unionByName(undated)
     return _process(batch, 0 if last is None else last["batch_id"] + 1, paths, last, **settings)
 
 

@@ -40,6 +40,12 @@ FEATURE_COLUMNS = [
 HAZARDOUS = "Hazardous"
 NOT_HAZARDOUS = "Not Hazardous"
 
+FLAT_VIEW = "streaming_data"
+
+COUNT_COLUMN = "neos_fetched"
+
+REAL_VALUE, PREDICTED_VALUE = "real_value", "predicted_value"
+
 # End of fixed values.
 
 # Row bound of a written file. Equal rows shrink to almost nothing on disk, so a byte-sized read
@@ -68,8 +74,11 @@ DATED_SCHEMA = f"{FLAT_SCHEMA}, approach_date DATE"
 FLAT_TABLE_SCHEMA = f"{DATED_SCHEMA}, approach_month DATE"
 
 # Rows of a batch as staged by the step; the last two columns are partition directories.
+# In merged batches only the last is.
 ROWS_SCHEMA = f"{DATED_SCHEMA}, reason STRING, batch_id BIGINT, part STRING"
 
+SOURCES_SCHEMA = "source STRING, batch_id BIGINT"
+
 SCORED_SCHEMA = f"""
     {DATED_SCHEMA},
     features ARRAY<DOUBLE>,
@@ -82,8 +91,10 @@ SCORED_SCHEMA = f"""
 LEDGER_SCHEMA = """
     n_rows BIGINT,
     n_rejected BIGINT,
+    n_late BIGINT,
     n_train BIGINT,
     n_test BIGINT,
+    n_fitted BIGINT,
     total_train BIGINT,
     first_date DATE,
     cursor_date DATE,

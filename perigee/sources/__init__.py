@@ -1,12 +1,21 @@
-from perigee.sources.envelopes import date_counts, envelope_dates, explode_envelope, read_envelopes
+from perigee.sources.envelopes import (
+    date_counts,
+    envelope_dates,
+    envelope_rejects,
+    explode_envelope,
+    read_envelopes,
+    unpublished,
+)
 from perigee.sources.messages import encode, message_stream, publish, read_messages
-from perigee.sources.tables import read_flat, read_to_score, register_flat, write_flat
+from perigee.sources.tables import exists, read_flat, read_to_score, register_flat, undated_rows, write_flat
 from perigee.sources.windows import feed_windows, pending_windows, windows_over
 
 __all__ = [
     "date_counts",
     "encode",
     "envelope_dates",
+    "envelope_rejects",
+    "exists",
     "explode_envelope",
     "feed_windows",
     "message_stream",
@@ -17,6 +26,8 @@ __all__ = [
     "read_messages",
     "read_to_score",
     "register_flat",
+    "undated_rows",
+    "unpublished",
     "windows_over",
     "write_flat",
 ]

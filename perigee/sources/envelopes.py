@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from perigee.functions import to_day
-from perigee.schema import ENVELOPE_COUNT_SCHEMA, ENVELOPE_FIELD, ENVELOPE_SCHEMA
+from perigee.schema import COUNT_COLUMN, ENVELOPE_COUNT_SCHEMA, ENVELOPE_FIELD, ENVELOPE_SCHEMA
 
 
 def read_envelopes(spark: SparkSession, path: str, fmt: str = "text") -> DataFrame:
@@ -19,15 +19,49 @@ def read_envelopes(spark: SparkSession, path: str, fmt: str = "text") -> DataFra
 def explode_envelope(envelopes: DataFrame, value: str = "value") -> DataFrame:
     """One row (date, value) per object, value being the whole object as JSON text.
 
-    Nothing is aggregated or moved; an undecodable envelope and a date with no objects give no rows.
+    Nothing is aggregated or moved. A date with no objects gives no rows; `envelope_rejects` has the
+    envelopes and list elements that give none because they are broken.
     """
     return (
         envelopes.select(F.from_json(F.col(value).cast("string"), ENVELOPE_SCHEMA).alias("envelope"))
         .select(F.explode(f"envelope.{ENVELOPE_FIELD}").alias("date", "objects"))
         .select("date", F.explode("objects").alias("value"))
+        .where("value IS NOT NULL")
     )
 
 
+def envelope_rejects(envelopes: DataFrame, value: str = "value") -> DataFrame:
+    """One row (reason, date, value) for what can't be fanned out: an `undecodable` envelope (cut, no JSON, or
+    without its map) with its text, and each `empty_element` (null) of a list with the date it is listed under."""
+    text = F.col(value).cast("string")
+    decoded = envelopes.select(text.alias("value"), F.from_json(text, ENVELOPE_SCHEMA)[ENVELOPE_FIELD].alias("feed"))
+    # An undecodable envelope is one row; a decoded one has a row for each null element.
+    nulls = F.flatten(
+        F.transform(
+            F.map_entries("feed"),
+            lambda e: F.transform(F.filter(e["value"], lambda x: x.isNull()), lambda _: e["key"]),
+        )
+    )
+    found = F.when(
+        F.col("feed").isNull(),
+        F.array(F.struct(F.lit("undecodable").alias("reason"), F.lit(None).cast("string").alias("date"), "value")),
+    ).otherwise(
+        F.transform(
+            nulls,
+            lambda key: F.struct(
+                F.lit("empty_element").alias("reason"), key.alias("date"), F.lit(None).cast("string").alias("value")
+            ),
+        )
+    )
+    return decoded.select(F.inline(found))
+
+
+def unpublished(envelopes: DataFrame, done: DataFrame, value: str = "value") -> DataFrame:
+    """Envelopes whose digest is not among those fanned out before; equal envelopes are one."""
+    keyed = envelopes.withColumn("digest", F.sha2(F.col(value).cast("binary"), 256))
+    return keyed.join(done.select("digest"), "digest", "left_anti").dropDuplicates(["digest"])
+
+
 def envelope_dates(envelopes: DataFrame, value: str = "value") -> DataFrame:
     """One row (date DATE, objects BIGINT) per date of an envelope, 0 for an empty list.
 
@@ -55,9 +89,9 @@ def date_counts(envelopes: DataFrame, value: str = "value") -> DataFrame:
     per_date = (
         envelope_dates(envelopes, value)
         .groupBy(F.col("date").alias("close_approach_date"))
-        .agg(F.sum("objects").alias("neos_fetched"))
+        .agg(F.sum("objects").alias(COUNT_COLUMN))
     )
     so_far = Window.orderBy("close_approach_date").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return per_date.withColumn("running", F.sum("neos_fetched").over(so_far))
+    return per_date.withColumn("running", F.sum(COUNT_COLUMN).over(so_far))

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from perigee.schema import MAX_FILE_ROWS
+
 # Sources that bring their own columns; any other needs the one below declared.
 _OWN_SCHEMA = ("kafka", "text")
 _VALUE_SCHEMA = "value BINARY"
@@ -28,7 +30,10 @@ def publish(
 ) -> None:
     """Appends the messages, without keys; returns once all of them are written."""
     value = F.col("value").cast("string" if fmt == "text" else "binary").alias("value")
-    messages.select(value).write.format(fmt).mode("append").options(**(options or {})).save()
+    writer = messages.select(value).write.format(fmt).mode("append")
+    if fmt != "kafka":
+        writer = writer.option("maxRecordsPerFile", MAX_FILE_ROWS)
+    writer.options(**(options or {})).save()
 
 
 def read_messages(
@@ -45,7 +50,8 @@ def message_stream(
 ) -> DataFrame:
     """The same messages as a stream. A topic is read from its beginning unless the options say
     otherwise, so that nothing sent before the first start is lost; restarts resume from the
-    checkpoint either way."""
+    checkpoint either way. The first start takes the whole backlog in one micro-batch unless the
+    options bound it (maxOffsetsPerTrigger, maxFilesPerTrigger)."""
     settings = dict(options or {})
     if fmt == "kafka":
         settings.setdefault("startingOffsets", "earliest")

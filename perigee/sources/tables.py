@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from perigee.functions import to_double
 from perigee.operators.flatten import with_day, with_month
-from perigee.schema import FEATURE_COLUMNS, FLAT_TABLE_SCHEMA, MAX_FILE_ROWS
+from perigee.schema import FEATURE_COLUMNS, FLAT_TABLE_SCHEMA, FLAT_VIEW, MAX_FILE_ROWS
 
 
 def by_month(flat: DataFrame) -> DataFrame:
@@ -25,11 +25,26 @@ def write_flat(flat: DataFrame, path: str) -> None:
     writer.option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    named = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return named.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(named)
+
+
 def read_flat(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FLAT_TABLE_SCHEMA).parquet(path)
 
 
-def register_flat(spark: SparkSession, path: str, name: str = "streaming_data") -> DataFrame:
+def undated_rows(spark: SparkSession, path: str, seen: DataFrame) -> DataFrame:
+    """Rows of the flat table without a date, with `source`, the file they stand in, but for the files in `seen`.
+
+    No date tells which of them a step has met, but a file of the table never changes once written.
+    """
+    flat = read_flat(spark, path).where("approach_month IS NULL")
+    rows = flat.withColumn("source", F.col("_metadata.file_path"))
+    return rows.join(seen.select("source"), "source", "left_anti").select(*flat.columns, "source")
+
+
+def register_flat(spark: SparkSession, path: str, name: str = FLAT_VIEW) -> DataFrame:
     """Makes the flat table visible to SQL under a name."""
     flat = read_flat(spark, path)
     flat.createOrReplaceTempView(name)

@@ -20,9 +20,8 @@ def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Spreads an input of fewer splits than cores; a larger one is left as it is, without a shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """The rows dealt evenly over the cores, whatever splits the file has (often one): the feed's only shuffle."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _every(n: int) -> Column:
@@ -41,8 +40,15 @@ def _miss() -> Column:
     return F.col("l_partkey") * 25.5 + F.col("l_quantity")
 
 
+# Velocity texts that are no usable number, each on the orders whose key it divides; the first that fits.
+BAD_VELOCITIES = {89: "n/a", 83: "NaN", 79: "Infinity", 73: "-Infinity", 71: "1e999"}
+
+
 def _velocity_text() -> Column:
-    return F.when(_every(89), "n/a").otherwise(F.col("l_quantity").cast("string"))
+    text = F.col("l_quantity").cast("string")
+    for divisor, bad in reversed(BAD_VELOCITIES.items()):
+        text = F.when(_every(divisor), bad).otherwise(text)
+    return text
 
 
 def _approach(day: Column, velocity: Column, miss: Column) -> Column:
@@ -109,13 +115,13 @@ def window_start(day: Column) -> Column:
 
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(value STRING): envelopes of one two-day window each, both dates always present, holding the
-    objects with an approach. A window has one envelope per page of input rows.
+    """(value STRING): envelopes of one two-day window each, both dates always present, each object under the
+    date of its row, even if its list of approaches is empty. A window has one envelope per page of input rows.
 
     Pages are numbered on the unshuffled scan, where row positions are the same on every attempt.
     """
     page = F.shiftright(F.monotonically_increasing_id(), PAGE_BITS)
-    paged = _spread(_lineitem(spark, sf_dir).withColumn("page", page)).where(~_every(53))
+    paged = _spread(_lineitem(spark, sf_dir).withColumn("page", page))
     listed = objects(paged.withColumn("day", _day())).drop("l_orderkey")
     fields = [name for name in listed.columns if name not in ("page", "day")]
     grouped = listed.groupBy("page", window_start(F.col("day")).alias("start")).agg(
@@ -132,6 +138,21 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select(F.to_json(F.struct(feed.alias(ENVELOPE_FIELD))).alias("value"))
 
 
+def broken_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value STRING): an envelope of one object for every lineitem: cut short where 59 divides the order key,
+    with a null beside the object where 67 does (and 59 does not), whole otherwise."""
+    rows = _spread(_lineitem(spark, sf_dir)).withColumn("day", _day())
+    listed = objects(rows.withColumn("case", F.when(_every(59), "cut").when(_every(67), "null").otherwise("whole")))
+    fields = [name for name in listed.columns if name not in ("day", "case", "l_orderkey")]
+    one = F.to_json(F.struct(*fields))
+    list_of = F.when(F.col("case") == "null", F.concat(F.lit("[null,"), one, F.lit("]"))).otherwise(
+        F.concat(F.lit("["), one, F.lit("]"))
+    )
+    whole = F.concat(F.lit(f'{{"{ENVELOPE_FIELD}":{{"'), F.col("day").cast("string"), F.lit('":'), list_of, F.lit("}}"))
+    cut = F.expr("substring(whole, 1, length(whole) - 10)")
+    return listed.withColumn("whole", whole).select(F.when(F.col("case") == "cut", cut).otherwise(F.col("whole")).alias("value"))
+
+
 def form_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four inputs of every lineitem as the text a form would send."""
     return _spread(_lineitem(spark, sf_dir)).select(

@@ -15,6 +15,10 @@ WITH flat AS (
     CASE WHEN l_orderkey % 211 = 0 OR l_orderkey % 101 = 0 THEN NULL
          ELSE l_extendedprice / 20000.0::DOUBLE / 2.236::DOUBLE END AS estimated_diameter_km_min,
     CASE WHEN l_orderkey % 211 = 0 OR l_orderkey % 53 = 0 OR l_orderkey % 89 = 0 THEN NULL
+         WHEN l_orderkey % 83 = 0 THEN 'nan'::DOUBLE
+         WHEN l_orderkey % 79 = 0 THEN 'inf'::DOUBLE
+         WHEN l_orderkey % 73 = 0 THEN '-inf'::DOUBLE
+         WHEN l_orderkey % 71 = 0 THEN 'inf'::DOUBLE
          ELSE l_quantity END AS relative_velocity_km_s,
     CASE WHEN l_orderkey % 211 = 0 OR l_orderkey % 53 = 0 THEN NULL
          ELSE l_partkey * 25.5::DOUBLE + l_quantity END AS miss_distance_km,
@@ -34,5 +38,5 @@ clean AS (
     CASE WHEN estimated_diameter_km_max - 3.0::DOUBLE > 0 THEN 'Hazardous' ELSE 'Not Hazardous' END AS predicted_value
   FROM dated
   WHERE name IS NOT NULL AND approach_date IS NOT NULL AND estimated_diameter_km_max IS NOT NULL
-    AND relative_velocity_km_s IS NOT NULL AND miss_distance_km IS NOT NULL)
+    AND coalesce(isfinite(relative_velocity_km_s), false) AND miss_distance_km IS NOT NULL)
 """

@@ -2,7 +2,7 @@
 
 from perigee import plans
 from perigee.__main__ import parser, run
-from samplefeed import envelopes, form_rows
+from samplefeed import broken_envelopes, envelopes, form_rows
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -12,10 +12,26 @@ def test_all_jobs(spark, tmp_path, capsys):
         run(spark, parser().parse_args(list(words)))
 
     root, inbox = f"{tmp_path}/state", f"path={tmp_path}/messages"
-    job("windows", "2024-01-01", "2024-01-10", f"{tmp_path}/windows")
-    assert spark.read.parquet(f"{tmp_path}/windows").count() == 5
-    envelopes(spark, SMALL).write.parquet(f"{tmp_path}/envelopes")
-    job("fan-out", f"{tmp_path}/envelopes", "--envelope-format", "parquet", "--option", inbox)
+    for _ in range(2):
+        job("windows", "2024-01-01", "2024-01-10", f"{tmp_path}/windows")
+        assert spark.read.parquet(f"{tmp_path}/windows").count() == 5
+    landed = f"{tmp_path}/envelopes"
+    envelopes(spark, SMALL).write.parquet(landed)
+    fan_out = ("fan-out", landed, f"{tmp_path}/done", "--envelope-format", "parquet", "--option", inbox)
+    rejects = f"{tmp_path}/rejects"
+    for added in (0, 0, 7):
+        if added:
+            broken = broken_envelopes(spark, SMALL).where("length(value) % 2 = 0").limit(added)
+            broken.write.mode("append").parquet(landed)
+        before = 0 if not (tmp_path / "messages").exists() else spark.read.parquet(f"{tmp_path}/messages").count()
+        job(*fan_out, "--rejects", rejects)
+        after = spark.read.parquet(f"{tmp_path}/messages").count()
+        assert (before == 0 and after == 6000) or (added == 0 and after == before) or 0 <= after - before <= 2 * added
+    pending = f"{tmp_path}/pending"
+    for _ in range(2):
+        job("windows", "1995-01-01", "2030-12-31", pending, "--landed", landed, "--envelope-format", "parquet")
+        starts = spark.read.parquet(pending)
+        assert 0 < starts.count() < 6574 and starts.where("window_start = '1996-03-03'").isEmpty()
     job("stream", root, "--option", inbox)
     job("step", root, "--initial", "1990-01-01")
     job("step", root, "--every", "0", "--steps", "1")

@@ -5,9 +5,7 @@ import pytest
 import __spark_entry__ as registry
 from tests.comparing import assert_same, duck
 
-SMALL = "/root/testdata/sf0.001"
 MEDIUM = "/root/testdata/sf0.01"
-ROWS_ONLY = {"split_random", "model_fit", "model_refit"}
 
 
 @pytest.fixture(scope="module")
@@ -15,9 +13,8 @@ def connection():
     return duck(MEDIUM)
 
 
-def test_every_query_has_sql_unless_it_cannot():
-    assert set(registry.core_queries()) - set(registry.core_sql()) == ROWS_ONLY
-    assert set(registry.core_sql()) <= set(registry.core_queries())
+def test_every_query_has_sql():
+    assert set(registry.core_queries()) == set(registry.core_sql())
 
 
 @pytest.mark.parametrize("name", sorted(registry.core_sql()))
@@ -25,10 +22,5 @@ def test_query_equals_sql(spark, connection, name):
     assert_same(registry.core_queries()[name](spark, MEDIUM), connection, registry.core_sql()[name])
 
 
-@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
-def test_rows_only_query_has_rows(spark, name):
-    assert not registry.core_queries()[name](spark, SMALL).isEmpty()
-
-
 def test_entry(spark):
     assert registry.entry(spark).count() == 6000

@@ -50,7 +50,8 @@ def test_rows_are_used_once_and_counts_add_up(spark, paths):
     flat = sources.read_flat(spark, paths.flat)
     dated = flat.where("approach_date IS NOT NULL")
     clean = op.clean_rows(flat)
-    assert sum(row["n_rows"] for row in rows) == dated.count()
+    assert sum(row["n_rows"] for row in rows) == flat.count()
+    assert rows[1]["n_rows"] + rows[2]["n_rows"] < dated.count()  # undated rows came with the first batch
     assert sum(row["n_train"] + row["n_test"] for row in rows) == clean.count()
     train = plans.read_train(spark, paths)
     assert rows[-1]["total_train"] == train.count()
@@ -146,7 +147,9 @@ def test_before_the_first_batch(spark, paths):
     assert plans.read_scored(spark, paths, latest_only=True).isEmpty()
     assert plans.read_train(spark, paths).isEmpty()
     assert plans.run_summary(ledger).first()["total_points"] is None
-    # Without an initial cursor a run starts yesterday: nothing in the table is that new.
+    # Without an initial cursor a run starts yesterday: nothing in the table is that new, but what has no date.
+    row = plans.run_available(spark, paths)
+    assert row["n_rows"] == row["n_rejected"] > 0 and row["cursor_date"] is None
     assert plans.run_available(spark, paths) is None
 
 
@@ -177,17 +180,116 @@ def test_refit_sees_all_batches_or_the_last_few(spark, paths):
     seen.clear()
     flat = sources.read_flat(spark, paths.flat)
     batch = op.newer_than(flat, rows[-2]["cursor_date"], ENDS[-1])
-    plans.process_batch(batch, 3, paths, counting, look_back=1)
-    assert seen == [rows[-2]["n_train"] + rows[-1]["n_train"]]
+    row = plans.process_batch(batch, 4, paths, counting, look_back=2)
+    assert seen == [rows[-2]["n_train"] + 2 * rows[-1]["n_train"]]
+    assert row["n_fitted"] == seen[0] and row["total_train"] == rows[-1]["total_train"] + row["n_train"]
 
 
-def test_fitted_model_is_stored_twice_alike(spark, paths):
-    from pyspark.ml.classification import LogisticRegressionModel
+def test_a_finished_batch_is_never_written_again(spark, paths):
+    """As when a stream stops between the ledger row and its checkpoint: fewer rows, a broken trainer."""
+    rows = replay(spark, paths, ENDS[:2])
+    before = state(spark, paths)
+
+    def broken(train):
+        raise RuntimeError("lost")
+
+    fewer = sources.read_flat(spark, paths.flat).where("estimated_diameter_km_max > 2")
+    for batch_id in (0, 1):
+        assert plans.process_batch(fewer, batch_id, paths, broken) == rows[batch_id]
+    assert state(spark, paths) == before
+
+
+def test_undated_rows_are_staged_once(spark, tmp_path):
+    paths = plans.StatePaths(str(tmp_path / "state"))
+    good = [(f"n{i}", f"2024-01-{5 + i % 9:02d}", 1.0 + i, 1.0, 3.0, 4.0, float(i % 2)) for i in range(40)]
+    bad = [(None,) * 6 + (0.0,), ("loose", "2024-1-5", 1.0, 1.0, 3.0, 4.0, 0.0), ("v", "2024-01-05", 1.0, 1.0, None, 4.0, 0.0)]
+    seen = []
+    for added in (good + bad, [], bad[:2], bad):
+        if added:
+            sources.write_flat(spark.createDataFrame(added, FLAT_SCHEMA).coalesce(1), paths.flat)
+        seen.append(plans.run_available(spark, paths, initial=START, trainer=fixed))
+    assert [row and (row["n_rows"], row["n_rejected"]) for row in seen] == [(43, 3), None, (2, 2), (2, 2)]
+    assert {row["cursor_date"] for row in seen if row} == {date(2024, 1, 13)}
+    reasons = read_rows(spark, paths, "reject").groupBy("reason").count().collect()
+    assert dict(map(tuple, reasons)) == {"undecodable": 3, "no_date": 3, "no_feature": 1}
+
+
+@pytest.mark.parametrize("velocity", ["1e999", "Infinity", "-Infinity", "NaN"])
+def test_a_feature_that_is_no_number_stops_nothing(spark, tmp_path, velocity):
+    paths = plans.StatePaths(str(tmp_path / "state"))
+    fields = "name STRING, v STRING"
+    rows = spark.createDataFrame([(f"n{i}", velocity if i % 4 == 0 else str(i)) for i in range(200)], fields)
+    approach = F.struct(
+        F.lit("2024-01-05").alias("close_approach_date"),
+        F.struct(F.col("v").alias("kilometers_per_second")).alias("relative_velocity"),
+        F.struct(F.lit("5").alias("kilometers")).alias("miss_distance"),
+    )
+    size = F.struct(F.struct(F.lit(2.0).alias("estimated_diameter_max"), F.lit(1.0).alias("estimated_diameter_min")).alias("kilometers"))
+    messages = rows.select(
+        "name", (F.length("name") == 3).alias("is_potentially_hazardous_asteroid"),
+        size.alias("estimated_diameter"), F.array(approach).alias("close_approach_data"),
+    )
+    inbox = {"path": f"{tmp_path}/inbox"}
+    sources.publish(sources.encode(messages), "parquet", inbox)
+    streaming.run_flat_stream(spark, paths.flat, paths.checkpoint("flat"), "parquet", inbox)
+    row = plans.run_available(spark, paths, initial=START)
+    assert (row["n_rows"], row["n_rejected"]) == (200, 50) and row["accuracy"] is not None
+
+
+def test_merged_state_reads_the_same(spark, paths, monkeypatch):
+    rows = replay(spark, paths, ENDS[:3])
+    before = state(spark, paths)
+    assert plans.merge(spark, paths) == plans.merge(spark, paths) == 2
+    assert state(spark, paths) == before
+    replay(spark, paths, ENDS[3:])
+    assert plans.read_ledger(spark, paths).count() == 4
+    after = state(spark, paths)
+    assert plans.merge(spark, paths) == 3 and state(spark, paths) == after
+    assert replay(spark, paths, ENDS[3:]) == [None]
+    assert plans.process_batch(sources.read_flat(spark, paths.flat), 1, paths, fixed) == rows[1]
+
+
+def test_many_small_batches_leave_few_folders(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    from perigee.plans import state as module
+
+    monkeypatch.setattr(module, "MERGE_EVERY", 5)
+    paths = plans.StatePaths(str(tmp_path / "state"))
+    for i in range(17):
+        rows = [(f"n{i}-{k}", "2024-01-05", float(k), 1.0, 3.0, 4.0, 0.0) for k in range(6)]
+        plans.process_batch(op.with_day(spark.createDataFrame(rows, FLAT_SCHEMA).coalesce(1)), i, paths, fixed)
+        assert len(list(Path(paths.ledger).glob("batch_id=*"))) < 5
+        assert len(plans.read_ledger(spark, paths).inputFiles()) <= 5
+    ledger = plans.read_ledger(spark, paths).orderBy("batch_id").collect()
+    assert [row["batch_id"] for row in ledger] == list(range(17))
+    assert ledger[-1]["total_train"] == sum(row["n_train"] for row in ledger) == plans.read_train(spark, paths).count()
+
+
+@pytest.mark.parametrize("files", [None, "20", "90"])
+def test_cutting_a_backlog_changes_no_total(spark, tmp_path, flat_path, files):
+    paths = plans.StatePaths(str(tmp_path / "state"))
+    flat = sources.read_flat(spark, flat_path).drop("approach_date", "approach_month")
+    for part in range(3):  # each with all dates
+        sources.write_flat(flat.where(F.pmod(F.hash("name"), F.lit(3)) == part), paths.flat)
+    options = {"maxFilesPerTrigger": files} if files else None
+    streaming.start_step_stream(spark, paths, START, options=options, trainer=fixed).awaitTermination(300)
+    sums = plans.read_ledger(spark, paths).agg(F.count("*"), *(F.sum(c) for c in ("n_rows", "n_rejected", "n_late"))).first()
+    clean = op.clean_rows(flat.transform(op.with_day)).count()
+    assert tuple(sums)[1:] == (6000, 6000 - clean, 0) and (sums[0] > 1) == (files is not None)
+
+
+def test_late_rows_are_set_aside_and_counted_when_wanted(spark, paths):
+    def batch(*days):
+        rows = [(f"n{i}", day, float(i), 1.0, 3.0, 4.0, 0.0) for i, day in enumerate(days)]
+        return op.with_day(spark.createDataFrame(rows, FLAT_SCHEMA))
 
-    replay(spark, paths, ENDS[:2], trainer=op.fit)
-    stored = plans.read_model(plans.read_ledger(spark, paths))
-    saved = op.as_linear(LogisticRegressionModel.load(of_batch(paths.models, 1)))
-    assert stored == saved
+    first = plans.process_batch(batch("2024-01-05", "2024-01-09"), 0, paths, fixed, drop_late=True)
+    second = plans.process_batch(batch("2024-01-07", "2024-01-09", "2024-01-10"), 1, paths, fixed, drop_late=True)
+    third = plans.process_batch(batch("2024-01-01", "2024-01-02"), 2, paths, fixed)
+    assert [row["n_late"] for row in (first, second, third)] == [0, 2, 0]
+    assert read_rows(spark, paths, "late").count() == 2
+    assert third["n_train"] + third["n_test"] == 2 and third["cursor_date"] == second["cursor_date"]
 
 
 def test_step_stream_equals_steps(spark, tmp_path, flat_path):
@@ -217,7 +319,7 @@ def test_step_stream_over_the_streamed_table(spark, tmp_path):
     streaming.run_flat_stream(spark, paths.flat, paths.checkpoint("flat"), "parquet", inbox)
     streaming.start_step_stream(spark, paths, START, trainer=fixed).awaitTermination(120)
     [batch] = plans.read_ledger(spark, paths).collect()
-    assert batch["n_rows"] == sources.read_flat(spark, paths.flat).where("approach_date IS NOT NULL").count()
+    assert batch["n_rows"] == sources.read_flat(spark, paths.flat).count()
 
 
 def test_repeated_run_stops_after_the_given_steps(spark, paths):
