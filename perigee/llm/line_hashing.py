@@ -58,8 +58,8 @@ def removed_units(docs: DataFrame, separator: str = LINE, min_words: int = MIN_W
     rows = stored(units(docs, separator, min_words))
     rank = F.struct("doc_id", "unit")
     firsts = rows.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
-    firsts = firsts.where("first < last").select("digest", "first")
-    # On the digest alone a null id would not compare; structs rank nulls first.
+    # Stored, so that both sides of the join are plain shuffles, whose large parts adaptive execution can split.
+    firsts = stored(firsts.where("first < last").select("digest", "first"))
     return rows.join(firsts, "digest").where(F.col("first") < rank).select(
         "doc_id",
         "unit",
