@@ -62,7 +62,8 @@ def repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     seqs = stored(sequences(docs))
     rank = F.struct("doc_id", "at")
     prints = fingerprints(seqs, run).groupBy("key").agg(F.min(rank).alias("lo"), F.max(rank).alias("hi"))
-    shared = prints.where("lo < hi").select("key")
+    # Stored, so that both sides of the joins are plain shuffles, whose large parts adaptive execution can split.
+    shared = stored(prints.where("lo < hi").select("key"))
     # Both ways around a shared fingerprint: the runs that hold it.
     marked = fingerprints(seqs, run).join(shared, "key", "left_semi")
     places = marked.groupBy("doc_id").agg(F.collect_set("at").alias("ats"))
@@ -81,7 +82,8 @@ def repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
         F.hash(F.reverse(window)).alias("h2"),
     )
     spans = stored(spans)
-    first = spans.groupBy("h1", "h2").agg(F.min(rank).alias("lo"), F.max(rank).alias("hi")).where("lo < hi")
+    first = spans.groupBy("h1", "h2").agg(F.min(rank).alias("lo"), F.max(rank).alias("hi"))
+    first = stored(first.where("lo < hi").select("h1", "h2", "lo"))
     later = spans.join(first, ["h1", "h2"]).where(F.col("lo") < rank)
     return later.select("doc_id", F.explode("span").alias("line")).distinct()
 
