@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from perigee.llm import texts
 from perigee.llm.shared import mapped, one_vector, stored, summed
 
-STATES, FREQUENT, CLASSES, SUFFIX_BITS, SEED = 8, 1 << 17, 1 << 12, 10, 3
+STATES, FREQUENT, CLASSES, SUFFIX_BITS, SEED = 16, 1 << 17, 1 << 12, 10, 3
 #: Parts of the training texts, in 64ths, that the steps of Baum-Welch read one after the other.
-STEPS = (1, 2, 3, 6, 12, 40)
+STEPS = (1, 1, 2, 2, 4, 6, 8, 16, 24)
 DECAY = 0.7
 #: Tokens that a task counts, or texts' tokens that it scores, at once.
 CHUNK = 1 << 20
