@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.ml.classification import LogisticRegressionModel
@@ -29,7 +29,7 @@ from perigee.plans.state import (
     read_train,
 )
 from perigee.schema import DATED_SCHEMA, MAX_FILE_ROWS
-from perigee.sources.tables import read_flat, undated_rows
+from perigee.sources.tables import read_flat, read_undated, undated_files
 
 Trainer = Callable[[DataFrame], "LogisticRegressionModel | LinearModel"]
 
@@ -47,7 +47,7 @@ def _stage(batch: DataFrame, path: str, late_until: date | None) -> DataFrame:
     if late_until is not None:
         part = part.when(F.col("approach_date") <= day(late_until), LATE)
     routed = split_keyed(with_reason(batch)).withColumn("part", part.when(F.col("is_train"), TRAIN).otherwise(TEST))
-    staged = routed.drop("is_train", "approach_month", "source").hint("rebalance", "part")
+    staged = routed.drop("is_train", "approach_month").hint("rebalance", "part")
     writer = staged.write.mode("overwrite").partitionBy("part")
     writer.option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(path)
     return batch.sparkSession.read.schema(_STAGED_SCHEMA).parquet(path)
@@ -86,8 +86,10 @@ def _process(
     cursor_from: str = "batch",
     look_back: int | None = None,
     drop_late: bool = False,
+    files: Sequence[str] = (),
 ) -> Row | None:
-    """process_batch with the ledger row of the batch before, None for the first."""
+    """process_batch with the ledger row of the batch before, None for the first, and the files that the
+    batch's undated rows come from."""
     if cursor_from not in ("batch", "test"):
         raise ValueError(f"cursor_from must be 'batch' or 'test', not {cursor_from!r}")
     spark = batch.sparkSession
@@ -131,9 +133,9 @@ def _process(
         scored = score_linear(test.drop("reason", "part"), *model)
         scored.write.mode("overwrite").option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(scored_path)
         share = accuracy(spark.read.schema(scored.schema).parquet(scored_path)).first()["accuracy"]
-    if "source" in batch.columns:
-        files = batch.where("source IS NOT NULL").select("source").distinct()
-        files.write.mode("overwrite").parquet(of_batch(paths.sources, batch_id))
+    if files:
+        names = spark.createDataFrame([(file,) for file in files], "source STRING")
+        names.write.mode("overwrite").parquet(of_batch(paths.sources, batch_id))
 
     cursors = [c for c in (counts["cursor_date"], old_cursor) if c is not None]
     return commit(
@@ -159,7 +161,8 @@ def run_available(
     until: date | None = None,
     **settings: object,
 ) -> Row | None:
-    """One step over all flat rows newer than the cursor, and the undated rows of files no step has met.
+    """One step over all flat rows newer than the cursor, and the undated rows of files no step has met
+    (no date tells which rows those are, but a file of the table never changes).
 
     `initial`, the cursor of the first step, defaults to yesterday by the session's clock.
     """
@@ -168,10 +171,12 @@ def run_available(
     if initial is None:
         initial = spark.range(1).select(F.date_sub(F.current_date(), 1)).first()[0]
     cursor = initial if last is None or last["cursor_date"] is None else last["cursor_date"]
-    flat = newer_than(read_flat(spark, paths.flat), cursor, until)
-    undated = undated_rows(spark, paths.flat, read_sources(spark, paths))
-    batch = flat.withColumn("source", F.lit(None).cast("string")).unionByName(undated)
-    return _process(batch, 0 if last is None else last["batch_id"] + 1, paths, last, **settings)
+    batch = newer_than(read_flat(spark, paths.flat), cursor, until)
+    met = {row["source"] for row in read_sources(spark, paths).select("source").collect()}
+    files = [file for file in undated_files(spark, paths.flat) if file not in met]
+    if files:
+        batch = batch.unionByName(read_undated(spark, files))
+    return _process(batch, 0 if last is None else last["batch_id"] + 1, paths, last, files=files, **settings)
 
 
 def run_every(

@@ -7,7 +7,7 @@ from perigee.sources.envelopes import (
     unpublished,
 )
 from perigee.sources.messages import encode, message_stream, publish, read_messages
-from perigee.sources.tables import exists, read_flat, read_to_score, register_flat, undated_rows, write_flat
+from perigee.sources.tables import exists, read_flat, read_to_score, read_undated, register_flat, undated_files, write_flat
 from perigee.sources.windows import feed_windows, pending_windows, windows_over
 
 __all__ = [
@@ -26,7 +26,8 @@ __all__ = [
     "read_messages",
     "read_to_score",
     "register_flat",
-    "undated_rows",
+    "read_undated",
+    "undated_files",
     "unpublished",
     "windows_over",
     "write_flat",

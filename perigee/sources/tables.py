@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee.functions import to_double
 from perigee.operators.flatten import with_day, with_month
-from perigee.schema import FEATURE_COLUMNS, FLAT_TABLE_SCHEMA, FLAT_VIEW, MAX_FILE_ROWS
+from perigee.schema import DATED_SCHEMA, FEATURE_COLUMNS, FLAT_TABLE_SCHEMA, FLAT_VIEW, MAX_FILE_ROWS
+
+# Spark's name for the folder of a null partition value.
+_NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 
 
 def by_month(flat: DataFrame) -> DataFrame:
@@ -34,14 +39,16 @@ def read_flat(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FLAT_TABLE_SCHEMA).parquet(path)
 
 
-def undated_rows(spark: SparkSession, path: str, seen: DataFrame) -> DataFrame:
-    """Rows of the flat table without a date, with `source`, the file they stand in, but for the files in `seen`.
+def undated_files(spark: SparkSession, path: str) -> list[str]:
+    """The files of the flat table that hold its undated rows: names that its file index has, no job."""
+    files = read_flat(spark, path).inputFiles() if exists(spark, path) else []
+    return [unquote(file) for file in files if f"/approach_month={_NO_MONTH}/" in unquote(file)]
 
-    No date tells which of them a step has met, but a file of the table never changes once written.
-    """
-    flat = read_flat(spark, path).where("approach_month IS NULL")
-    rows = flat.withColumn("source", F.col("_metadata.file_path"))
-    return rows.join(seen.select("source"), "source", "left_anti").select(*flat.columns, "source")
+
+def read_undated(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Those files' rows, as read_flat has them."""
+    rows = spark.read.schema(DATED_SCHEMA).parquet(*files)
+    return rows.withColumn("approach_month", F.lit(None).cast("date"))
 
 
 def register_flat(spark: SparkSession, path: str, name: str = FLAT_VIEW) -> DataFrame:
