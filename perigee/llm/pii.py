@@ -16,6 +16,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -24,9 +25,10 @@ from perigee.llm.shared import mapped, narrow
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int]
 
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_EMAIL_RUN = re.compile(r"[A-Za-z0-9._%+@-]")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+# Each pattern is tried once for a run of its characters, so that a long run costs no more than its length.
+_NAME_CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -41,24 +43,30 @@ def luhn(digits: list[int]) -> bool:
 
 
 def _emails(text: str) -> list[Span]:
-    """A match lies within one run of its characters, so only the runs around an @ are searched."""
-    out, at = [], text.find("@")
+    """Leftmost matches of name@host: an @ before which a name ends, and after which a host begins."""
+    out, done, at = [], 0, text.find("@")
     while at >= 0:
-        start, end = at, at + 1
-        while start and _EMAIL_RUN.match(text[start - 1]):
+        host, start = _HOST.match(text, at + 1), at
+        while host and start > done and text[start - 1] in _NAME_CHARACTERS:
             start -= 1
-        while end < len(text) and _EMAIL_RUN.match(text[end]):
-            end += 1
-        out += [(start + m.start(), start + m.end()) for m in _EMAIL.finditer(text[start:end])]
-        at = text.find("@", end)
+        if start < at:
+            done = host.end()
+            out.append((start, done))
+        at = text.find("@", at + 1)
     return out
 
 
+def _octet(part: str) -> bool:
+    """At most 255; a number may have any number of digits."""
+    part = part.lstrip("0")
+    return len(part) <= 3 and int(part or 0) <= 255
+
+
 def plain(text: str) -> dict[str, list[Span]]:
     """Leftmost, non-overlapping matches by kind; those that fail their check are dropped."""
     if not any(c in text for c in "0123456789@"):
         return {kind: [] for kind in KINDS}
-    ips = (m for m in _IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))) if "." in text else ()
+    ips = (m for m in _IP.finditer(text) if all(map(_octet, m[0].split(".")))) if "." in text else ()
     cards = (m for m in _CARD.finditer(text) if 13 <= len(d := _digits(m[0])) <= 19 and luhn(d))
     phones = (m for m in _PHONE.finditer(text) if 9 <= len(_digits(m[0])) <= 15) if "+" in text else ()
     return {
@@ -69,7 +77,7 @@ def plain(text: str) -> dict[str, list[Span]]:
     }
 
 
-# Transducers: each takes a text and the source spans of its characters, and gives both anew.
+# Transducers: each takes a text and the source spans of its characters (rows of start and end), and gives both anew.
 
 # Letters of other scripts that look like ASCII ones, and what they look like.
 _ALIKE = dict(
@@ -101,11 +109,11 @@ def _folded(c: str) -> str:
     return wide if len(wide) == 1 and wide < "\x80" else c
 
 
-def fold(text: str, spans: list[Span]) -> tuple[str, list[Span]]:
+def fold(text: str, spans: np.ndarray) -> tuple[str, np.ndarray]:
     if text.isascii():
         return text, spans
     folded = [_folded(c) for c in text]
-    return "".join(folded), [s for f, s in zip(folded, spans, strict=True) if f]
+    return "".join(folded), spans[np.fromiter(map(bool, folded), bool, len(folded))]
 
 
 # Names of the digits, and of what stands between and before them.
@@ -124,14 +132,14 @@ _SPELLED = re.compile(
 _NAMED = re.compile(rf"(?<![A-Za-z])(?:{_NAME})(?![A-Za-z])", re.IGNORECASE)
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _BRACKETED = re.compile(
-    rf"\s*{_OPEN}\s*(?:(?P<at>at|@)|(?P<dot>dot|point|punkt|punto|\.))\s*{_CLOSE}\s*", re.IGNORECASE
+    rf"(?:(?<!\s)\s+)?{_OPEN}\s*(?:(?P<at>at|@)|(?P<dot>dot|point|punkt|punto|\.))\s*{_CLOSE}\s*", re.IGNORECASE
 )
 # Endings of host names that are no common word, so that a sentence with "at" and "dot" isn't taken for one.
 _TOP = "(?:com|net|org|edu|gov|mil|info|biz|dev|app|io|ai|co|tv|uk|de|fr|es|nl|ch|eu|ca|au|jp|cn|br|ru|pl|se|fi|dk|pt)"
 _LOCAL, _LABEL, _EDGE = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+", "[A-Za-z0-9-]+", r"(?![A-Za-z0-9@-])"
-#: name at host dot com, with "dot" spelled at least before the end
+#: name at host dot com, with "dot" spelled at least before the end, and at most 15 times in the name
 _WORDED = re.compile(
-    rf"{_LOCAL}(?:\s+dot\s+[A-Za-z0-9._%+-]+)*(?:\s+at\s+|\s*@\s*){_LABEL}(?:(?:\s+dot\s+|\.){_LABEL})*?\s+dot\s+{_TOP}{_EDGE}",
+    rf"{_LOCAL}(?:\s+dot\s+[A-Za-z0-9._%+-]+){{0,15}}(?:\s+at\s+|\s*@\s*){_LABEL}(?:(?:\s+dot\s+|\.){_LABEL})*?\s+dot\s+{_TOP}{_EDGE}",
     re.IGNORECASE,
 )
 #: name @ host . com
@@ -144,19 +152,19 @@ _HALF = re.compile(
 _INNER = re.compile(r"\s+(?P<at>at)\s+|\s*(?P<sign>@)\s*|\s+(?P<dot>dot)\s+|\s*(?P<stop>\.)\s*", re.IGNORECASE)
 
 
-def _replaced(text: str, spans: list[Span], edits: list[tuple[int, int, str]]) -> tuple[str, list[Span]]:
+def _replaced(text: str, spans: np.ndarray, edits: list[tuple[int, int, str]]) -> tuple[str, np.ndarray]:
     """Edits are (start, end, new text), ascending; a new character stands for the whole of what it replaces."""
     if not edits:
         return text, spans
     out, mapped, at = [], [], 0
     for start, end, new in edits:
         out += [text[at:start], new]
-        mapped += spans[at:start] + [(spans[start][0], spans[end - 1][1])] * len(new)
+        mapped += [spans[at:start], *([[[spans[start, 0], spans[end - 1, 1]]]] * len(new))]
         at = end
-    return "".join([*out, text[at:]]), mapped + spans[at:]
+    return "".join([*out, text[at:]]), np.concatenate([*mapped, spans[at:]])
 
 
-def spelled_digits(text: str, spans: list[Span]) -> tuple[str, list[Span]]:
+def spelled_digits(text: str, spans: np.ndarray) -> tuple[str, np.ndarray]:
     """Runs of digit names, with digits and named marks among them, to digits. A single . between two tokens stays."""
     edits: list[tuple[int, int, str]] = []
     for run in _SPELLED.finditer(text):
@@ -172,7 +180,7 @@ def spelled_digits(text: str, spans: list[Span]) -> tuple[str, list[Span]]:
     return _replaced(text, spans, [e for e in edits if e[0] < e[1]])
 
 
-def marks(text: str, spans: list[Span]) -> tuple[str, list[Span]]:
+def marks(text: str, spans: np.ndarray) -> tuple[str, np.ndarray]:
     """(at), [dot] and the like; then addresses whose marks are words or stand apart."""
     edits = [(m.start(), m.end(), "@" if m["at"] else ".") for m in _BRACKETED.finditer(text)]
     text, spans = _replaced(text, spans, edits)
@@ -214,13 +222,14 @@ def hidden(text: str, open_spans: dict[str, list[Span]]) -> dict[str, list[Span]
     none = {kind: [] for kind in KINDS}
     if not _disguises(text):
         return none
-    spans = [(i, i + 1) for i in range(len(text))]
+    places = np.arange(len(text))
+    spans = np.stack([places, places + 1], 1)
     seen, source = marks(*spelled_digits(*fold(text, spans)))
     if seen == text:
         return none
     out = {}
     for kind, found in plain(seen).items():
-        mapped = [(source[a][0], source[b - 1][1], seen[a:b]) for a, b in found]
+        mapped = [(int(source[a, 0]), int(source[b - 1, 1]), seen[a:b]) for a, b in found]
         out[kind] = [
             (a, b)
             for a, b, new in mapped

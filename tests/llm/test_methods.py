@@ -1,6 +1,7 @@
 """The methods inside the operators, against plain versions on small random input."""
 
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -258,3 +259,14 @@ def test_base_spans_stay_whatever_is_around(text):
     plain, more = pii.spans_of(text)
     assert plain == brute.op7(text)
     assert all(0 <= a < b <= len(text) for spans in more.values() for a, b in spans)
+
+
+@pytest.mark.parametrize("text, n", [
+    ("1" * 300_000 + ".", 0), ("a" * 300_000 + "@ ", 0), ("x" + " " * 300_000 + "[at é", 0), ("a dot " * 50_000, 0),
+    ("1" * 6_000 + ".1.1.1", 0), ("0" * 6_000 + "1.1.1.1", 1), ("a" * 300_000 + "@b.c", 1), ("jo dot e at b dot com " * 20_000, 20_000),
+])
+def test_long_runs_cost_no_more_than_their_length(text, n):
+    start = time.process_time()
+    plain, more = pii.spans_of(text)
+    assert sum(map(len, [*plain.values(), *more.values()])) == n
+    assert time.process_time() - start < 20
