@@ -288,6 +288,8 @@ def linked(prints: DataFrame, distance: int = DISTANCE, block_rows: int = BLOCK_
     counts = rows.groupBy("part", "key").agg(
         F.count("*").alias("n"), F.count_if("probe").alias("probes")
     ).where("n > 1 AND probes < n")
+    # Stored, so that both sides of the join are plain shuffles, whose large parts adaptive execution can split.
+    counts = stored(counts)
     held = rows.join(counts, ["part", "key"])
     blocks = F.ceil(F.col("n") / block_rows).cast("int")
     # A row of block i takes part in the block pairs (i, j) and (j, i) with the smaller first.
@@ -310,15 +312,16 @@ def components(links: DataFrame, rounds: int = 64) -> DataFrame:
     """node, root: the least node (as a signed number) that each linked node reaches. Nodes without links have no row.
 
     Each round links the neighbours of a node to the least of them (first larger ones, then all), which keeps
-    components whole and flattens them to stars; it ends when nothing changes.
+    components whole and flattens them to stars; it ends when nothing changes. The least are stored before they are
+    joined, so that the edges of a node with many neighbours are split over tasks.
     """
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     for _ in range(rounds):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stored(large.where("u <> v").distinct())
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").select(
             F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
         )
@@ -340,7 +343,8 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, distance: int = DISTA
     of = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
-    smallest = of.groupBy("root").agg(F.min("least").alias("component_id"))
+    of = stored(of)
+    smallest = stored(of.groupBy("root").agg(F.min("least").alias("component_id")))
     found = of.join(smallest, "root").select("fp", "component_id")
     return prints.join(found, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
