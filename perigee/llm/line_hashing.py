@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perigee.llm.shared import mapped, narrow, stored
+from perigee.llm.shared import fresh, mapped, narrow, parts_left, rejoined, stored
 
 LINE, PARAGRAPH = "\n", "\n\n"
 MIN_WORDS = 5
@@ -76,12 +76,14 @@ def remove_units(docs: DataFrame, removed: DataFrame, separator: str = LINE) ->
     spans = removed.groupBy(F.col("doc_id").alias("id")).agg(
         F.array_sort(F.collect_set(F.struct("unit", "start", "end"))).alias("spans")
     )
-    parts = F.split(docs["text"], F.concat(F.lit("\\Q"), F.lit(separator), F.lit("\\E")), -1)
-    gone = F.coalesce(spans["spans"]["unit"], F.array().cast("array<bigint>"))
-    kept = F.filter(parts, lambda _, i: ~F.array_contains(gone, i.cast("bigint")))
     joined = docs.join(spans, docs["doc_id"].cast("bigint").eqNullSafe(spans["id"]), "left")
-    text = F.when(spans["spans"].isNull(), docs["text"]).otherwise(F.array_join(kept, separator))
     cut = F.transform(spans["spans"], lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
-    return joined.select(
-        *(text.alias("text") if name == "text" else docs[name] for name in docs.columns), cut.alias("removed_spans")
+    name = fresh([*docs.columns, "removed_spans"], "parts")
+    pattern = F.concat(F.lit("\\Q"), F.lit(separator), F.lit("\\E"))
+    made = joined.select(
+        *(docs[c] for c in docs.columns),
+        cut.alias("removed_spans"),
+        parts_left(docs["text"], spans["spans"]["unit"], pattern).alias(name),
     )
+    text = rejoined(made[name], made["text"], separator)
+    return made.select(*(text.alias("text") if c == "text" else made[c] for c in docs.columns), "removed_spans")

@@ -54,6 +54,23 @@ def fresh(columns: list[str], name: str) -> str:
     return next(n for n in (name, *(f"{name}_{k}" for k in range(len(columns) + 1))) if n.lower() not in taken)
 
 
+def parts_left(text: Column, gone: Column, pattern: str | Column) -> Column:
+    """A generator of one struct: the parts of the text, the numbers of those that are not gone, and whether gone is null.
+
+    A set difference, so linear in the parts; a generator, lest the split is repeated for every part.
+    """
+    parts = F.split(F.coalesce(text, F.lit("")), pattern, -1)
+    numbers = F.coalesce(gone.cast("array<int>"), F.array().cast("array<int>"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), numbers)
+    return F.explode(F.array(F.struct(parts.alias("parts"), left.alias("left"), gone.isNull().alias("whole"))))
+
+
+def rejoined(made: Column, text: Column, separator: str) -> Column:
+    """The text of the parts that are left; the text as it was if none are gone."""
+    kept = F.array_join(F.transform(made["left"], lambda i: made["parts"][i]), separator)
+    return F.when(made["whole"], text).otherwise(kept)
+
+
 def narrow(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perigee.llm.shared import stored
+from perigee.llm.shared import fresh, parts_left, rejoined, stored
 
 RUN = 3
 _SPACE = "[ \\t\\n\\x0B\\f\\r]+"
@@ -48,11 +48,13 @@ def fingerprints(seqs: DataFrame, run: int = RUN) -> DataFrame:
     def minimum(start: Column) -> Column:
         window = F.slice("keys", start + 1, run)
         # Order by value, then from the right: -at makes the rightmost the least.
-        return F.array_min(F.transform(window, lambda key, i: F.struct(key.alias("key"), (-(start + i)).alias("at"))))
+        ordered = F.transform(window, lambda key, i: F.struct(key.alias("key"), (-(start + i)).alias("at")))
+        return -F.array_min(ordered)["at"]
 
-    picked = F.array_distinct(F.transform(_starts(F.size("keys"), run), minimum))
-    rows = seqs.select("doc_id", F.explode(picked).alias("f"))
-    return rows.select("doc_id", (-F.col("f.at")).alias("at"), F.col("f.key").alias("key"))
+    # Distinct places, not structs: numbers are hashed, structs would be compared pair by pair.
+    places = F.array_distinct(F.transform(_starts(F.size("keys"), run), minimum))
+    picked = F.transform(places, lambda at: F.struct(at.alias("at"), F.col("keys")[at].alias("key")))
+    return seqs.select("doc_id", F.explode(picked).alias("f")).select("doc_id", "f.at", "f.key")
 
 
 def repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
@@ -71,16 +73,19 @@ def repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
         F.flatten(F.transform("ats", lambda at: F.sequence(F.greatest(at - (run - 1), F.lit(0)), at)))
     )
     held = seqs.join(places.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")))
-    spread = held.select("doc_id", "keys", "numbers", F.explode(around).alias("at"))
-    spread = spread.where(F.col("at") <= F.size("keys") - run)
-    window = F.slice("keys", F.col("at") + 1, run)
-    spans = spread.select(
-        "doc_id",
-        "at",
-        F.slice("numbers", F.col("at") + 1, run).alias("span"),
-        F.xxhash64(window).alias("h1"),
-        F.hash(F.reverse(window)).alias("h2"),
-    )
+    starts = F.filter(around, lambda at: at <= F.size("keys") - run)
+
+    def span(at: Column) -> Column:
+        window = F.slice("keys", at + 1, run)
+        return F.struct(
+            at.alias("at"),
+            F.slice("numbers", at + 1, run).alias("span"),
+            F.xxhash64(window).alias("h1"),
+            F.hash(F.reverse(window)).alias("h2"),
+        )
+
+    # Cut before they are rows, so that no row carries the whole sequence.
+    spans = held.select("doc_id", F.explode(F.transform(starts, span)).alias("s")).select("doc_id", "s.*")
     spans = stored(spans)
     first = spans.groupBy("h1", "h2").agg(F.min(rank).alias("lo"), F.max(rank).alias("hi"))
     first = stored(first.where("lo < hi").select("h1", "h2", "lo"))
@@ -97,6 +102,7 @@ def delete_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
     """The documents with their repeated runs deleted; all columns as they were."""
     gone = removed_runs(repeated_lines(docs, run)).select(F.col("doc_id").alias("id"), F.col("lines").alias("gone"))
     joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["id"]), "left")
-    kept = F.filter(F.split(docs["text"], "\n", -1), lambda _, i: ~F.array_contains(gone["gone"], i))
-    text = F.when(gone["gone"].isNull(), docs["text"]).otherwise(F.array_join(kept, "\n"))
-    return joined.select(*(text.alias("text") if name == "text" else docs[name] for name in docs.columns))
+    name = fresh(docs.columns, "lines")
+    made = joined.select(*(docs[c] for c in docs.columns), parts_left(docs["text"], gone["gone"], "\n").alias(name))
+    text = rejoined(made[name], made["text"], "\n")
+    return made.select(*(text.alias("text") if c == "text" else made[c] for c in docs.columns))

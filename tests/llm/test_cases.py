@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names, for operators and stages."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,3 +219,16 @@ def test_stages(spark, docs, benchmark, name, stage, tmp_path):
             if "n_chars" in found.columns and name in ("line_dedup", "decontamination"):
                 assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in rows)
         assert bool(rows) == (source.count() > 0)
+
+
+def test_long_texts_of_many_lines(documents):
+    """Linear in the lines of a text: comparing them all with each other would take far longer."""
+    text = "\n".join(f"this is line number {k}" for k in range(40_000))
+    docs = documents((1, text), (2, text + "\nown line of number two"))
+    start = time.monotonic()
+    kept = {r["doc_id"]: r["text"] for r in winnowing.delete_runs(docs).collect()}
+    assert kept == {1: text, 2: "own line of number two"}
+    removed = line_hashing.removed_units(docs)
+    kept = {r["doc_id"]: r["text"] for r in line_hashing.remove_units(docs, removed).collect()}
+    assert kept == {1: text, 2: "own line of number two"}
+    assert time.monotonic() - start < 60
