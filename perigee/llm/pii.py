@@ -149,6 +149,8 @@ _HALF = re.compile(
     rf"(?<![A-Za-z0-9._%+-])(?=[A-Za-z0-9%+-]*[0-9._%+-][A-Za-z0-9])[A-Za-z0-9._%+-]+\s+at\s+{_LABEL}(?:\.{_LABEL})*\.{_TOP}{_EDGE}",
     re.IGNORECASE,
 )
+#: 192 dot 168 dot 0 dot 1
+_DOTTED = re.compile(r"(?<![A-Za-z0-9.])[0-9]{1,3}(?:\s+dot\s+[0-9]{1,3}){3}(?![0-9])", re.IGNORECASE)
 _INNER = re.compile(r"\s+(?P<at>at)\s+|\s*(?P<sign>@)\s*|\s+(?P<dot>dot)\s+|\s*(?P<stop>\.)\s*", re.IGNORECASE)
 
 
@@ -181,10 +183,10 @@ def spelled_digits(text: str, spans: np.ndarray) -> tuple[str, np.ndarray]:
 
 
 def marks(text: str, spans: np.ndarray) -> tuple[str, np.ndarray]:
-    """(at), [dot] and the like; then addresses whose marks are words or stand apart."""
+    """(at), [dot] and the like; then addresses and numbers whose marks are words or stand apart."""
     edits = [(m.start(), m.end(), "@" if m["at"] else ".") for m in _BRACKETED.finditer(text)]
     text, spans = _replaced(text, spans, edits)
-    for disguised in (_WORDED, _SPACED, _HALF):
+    for disguised in (_WORDED, _SPACED, _HALF, _DOTTED):
         edits = []
         for m in disguised.finditer(text):
             inner = _INNER.finditer(text, *m.span())
