@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -213,10 +214,11 @@ def _disguises(text: str) -> bool:
     return any(name in low for name in _DIGIT_NAMES) and any(_NAMED.search(m[0]) for m in _SPELLED.finditer(low))
 
 
-def _apart(span: Span, known: Span, text: str) -> bool:
-    """No overlap, or the whole of an identifier of which look-alikes left only a part open."""
-    (a, b), (c, d) = span, known
-    return b <= c or d <= a or (a <= c and d <= b and not text[a:b].isascii())
+def _apart(span: Span, known: list[Span], text: str) -> bool:
+    """No overlap with the known (ascending), or the whole of identifiers of which look-alikes left only a part open."""
+    a, b = span
+    near = known[bisect_right(known, a, key=lambda s: s[1]) : bisect_left(known, b, key=lambda s: s[0])]
+    return all(a <= c and d <= b for c, d in near) and (not near or not text[a:b].isascii())
 
 
 def hidden(text: str, open_spans: dict[str, list[Span]]) -> dict[str, list[Span]]:
@@ -235,7 +237,7 @@ def hidden(text: str, open_spans: dict[str, list[Span]]) -> dict[str, list[Span]
         out[kind] = [
             (a, b)
             for a, b, new in mapped
-            if text[a:b] != new and all(_apart((a, b), known, text) for known in open_spans[kind])
+            if text[a:b] != new and _apart((a, b), open_spans[kind], text)
         ]
     return out
 
