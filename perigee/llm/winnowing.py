@@ -5,10 +5,12 @@ hashes the rightmost minimum is a fingerprint, so every run of `run` lines holds
 Positions are joined to the first position with their fingerprint. Around those that are not the first, matches are
 extended both ways to whole runs, which are compared by a hash of all their lines. A run goes if the same lines stand
 earlier, by document id and then line; overlapping runs make one longer run. The result is exact: a line goes if, and
-only if, it lies in a run of `run` lines that stands earlier as well.
+only if, it lies in a run of `run` lines that stands earlier as well. `long_repeats` finds the shorter runs of at least
+so many words, on request (`long_words`): each is a window of its own, compared in the same way.
 
 Defined cases: null and empty texts have no lines; lines without a word are no part of a run, stay, and do not break
-one; texts with fewer than `run` lines lose nothing; a null id ranks first; rows that share an id are treated alike.
+one; texts with fewer than `run` lines lose nothing but long runs; a null id ranks first; rows that share an id are
+treated alike. For long runs white space parts words, and a character of a script without spaces counts as one.
 Clashing column names don't matter: only doc_id and text are read.
 """
 
@@ -24,6 +26,9 @@ _SPACE = "[ \\t\\n\\x0B\\f\\r]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_UNSPACED = "[" + "".join(f"\\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")) + "]"
+
+
 def _key(line: Column) -> Column:
     """A hash of the normalised line; null for a line without a word."""
     normal = F.trim(F.regexp_replace(F.translate(line, _UPPER, _LOWER), _SPACE, " "))
@@ -93,14 +98,58 @@ def repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     return later.select("doc_id", F.explode("span").alias("line")).distinct()
 
 
+def _words(line: Column) -> Column:
+    """How many words a line has that has one."""
+    trimmed = F.trim(F.regexp_replace(line, _SPACE, " "))
+    spaced = F.length(trimmed) - F.length(F.replace(trimmed, F.lit(" "), F.lit(""))) + 1
+    wide = F.octet_length(trimmed) > F.length(trimmed)
+    return F.when(wide, F.greatest(spaced, F.regexp_count(trimmed, F.lit(_UNSPACED)))).otherwise(spaced)
+
+
+def long_repeats(docs: DataFrame, long_words: int, run: int = RUN) -> DataFrame:
+    """doc_id, line: the lines of runs of fewer than `run` lines, but `long_words` words, that stand earlier."""
+    line = F.transform(
+        F.split("text", "\n", -1),
+        lambda x, i: F.struct(_key(x).alias("key"), i.alias("number"), _words(x).alias("words")),
+    )
+    seqs = docs.select("doc_id", F.filter(line, lambda x: x["key"].isNotNull()).alias("lines"))
+
+    def spans(size: int) -> Column:
+        def span(at: Column) -> Column:
+            window = F.slice("lines", at + 1, size)
+            keys = F.transform(window, lambda x: x["key"])
+            return F.struct(
+                at.alias("at"),
+                F.transform(window, lambda x: x["number"]).alias("span"),
+                F.aggregate(window, F.lit(0), lambda n, x: n + x["words"]).alias("words"),
+                F.xxhash64(keys).alias("h1"),
+                F.hash(F.reverse(keys)).alias("h2"),
+            )
+
+        return F.filter(F.transform(_starts(F.size("lines"), size), span), lambda s: s["words"] >= long_words)
+
+    every = F.concat(F.array().cast("array<struct<at:int,span:array<int>,words:int,h1:bigint,h2:int>>"), *map(spans, range(1, run)))
+    rows = seqs.select("doc_id", F.explode(every).alias("s"))
+    rows = stored(rows.select("doc_id", "s.at", "s.span", F.size("s.span").alias("size"), "s.h1", "s.h2"))
+    rank, alike = F.struct("doc_id", "at"), ["size", "h1", "h2"]
+    first = rows.groupBy(*alike).agg(F.min(rank).alias("lo"), F.max(rank).alias("hi"))
+    first = stored(first.where("lo < hi").select(*alike, "lo"))
+    later = rows.join(first, alike).where(F.col("lo") < rank)
+    return later.select("doc_id", F.explode("span").alias("line")).distinct()
+
+
 def removed_runs(removed: DataFrame) -> DataFrame:
     """doc_id, lines (sorted array of the numbers of its deleted lines); documents that lose none have no row."""
     return removed.groupBy("doc_id").agg(F.array_sort(F.collect_list("line")).alias("lines"))
 
 
-def delete_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
-    """The documents with their repeated runs deleted; all columns as they were."""
-    gone = removed_runs(repeated_lines(docs, run)).select(F.col("doc_id").alias("id"), F.col("lines").alias("gone"))
+def delete_runs(docs: DataFrame, run: int = RUN, long_words: int | None = None) -> DataFrame:
+    """The documents with their repeated runs deleted, with `long_words` the long ones of fewer lines too; all columns as
+    they were."""
+    lines = repeated_lines(docs, run)
+    if long_words is not None:
+        lines = lines.union(long_repeats(docs, long_words, run)).distinct()
+    gone = removed_runs(lines).select(F.col("doc_id").alias("id"), F.col("lines").alias("gone"))
     joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["id"]), "left")
     name = fresh(docs.columns, "lines")
     made = joined.select(*(docs[c] for c in docs.columns), parts_left(docs["text"], gone["gone"], "\n").alias(name))

@@ -85,6 +85,23 @@ def test_winnowing_finds_every_run(documents, run):
     assert got == brute.op2(rows, run)
 
 
+def test_long_runs_of_few_lines_go(documents):
+    """Passages of 50 words and more that stand as one line or two, also without spaces; shorter ones stay."""
+    ten, forty = " ".join(f"t{k}" for k in range(10)), " ".join(f"f{k}" for k in range(40))
+    han = "".join(chr(0x4E00 + k) for k in range(60))
+    rows = [
+        (1, f"{WORDS}\none\n{ten}\n{forty}\ntwo\n{han}\nthree\n{han[:20]}"),
+        (2, f"four\n{WORDS.upper()}"),
+        (3, f"five\n{ten}\n \n{forty}\nsix"),
+        (4, f"{ten}\nseven\n{forty}"),
+        (5, han),
+        (6, f"{han[:20]}\n{WORDS} more\n{WORDS}\n{WORDS}"),
+    ]
+    kept = {r["doc_id"]: r["text"] for r in winnowing.delete_runs(documents(*rows), long_words=50).collect()}
+    assert kept == {1: rows[0][1], 2: "four", 3: "five\n \nsix", 4: rows[3][1], 5: "", 6: f"{han[:20]}\n{WORDS} more"}
+    assert not winnowing.repeated_lines(documents(*rows)).collect()
+
+
 @pytest.mark.parametrize("shard_words", [decontaminate.SHARD_WORDS, 3])
 def test_decontamination(docs, benchmark, shard_words):
     got = by_id(decontaminate.hits(docs, benchmark, shard_words=shard_words))
