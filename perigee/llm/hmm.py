@@ -4,8 +4,8 @@ Tokens are the words of a text (white space separates, A-Z lower-cased) and one
 texts. The most frequent, at most FREQUENT of them, are sent to all tasks; the CLASSES most frequent of these and the
 end are symbols of their own, every other word is a symbol by the hash of its last bytes. Within such a class a word has
 the share (c + 0.5) / (n + 0.5 (v + 1)) of the class's n counts of v words. The hidden Markov model over symbols is
-trained by Baum-Welch: expected counts are summed by partition, and each step reads a part of the training texts, larger
-from step to step, so that all are read once. The scaled forward recursion gives the likelihood of a whole text.
+trained by Baum-Welch: expected counts are summed by partition. First steps read a part of the training texts each, larger
+from step to step, and let earlier counts fade; the last WHOLE steps each sum the counts of all training texts. The scaled forward recursion gives the likelihood of a whole text.
 
 What is broadcast is bounded: FREQUENT words, the model and the class totals. Counts of all other words are joined.
 
@@ -30,6 +30,8 @@ STATES, FREQUENT, CLASSES, SUFFIX_BITS, SEED = 16, 1 << 17, 1 << 12, 10, 3
 #: Parts of the training texts, in 64ths, that the steps of Baum-Welch read one after the other.
 STEPS = (1, 1, 2, 2, 4, 6, 8, 16, 24)
 DECAY = 0.7
+#: Steps over all training texts after those.
+WHOLE = 2
 #: Tokens that a task counts, or texts' tokens that it scores, at once.
 CHUNK = 1 << 20
 _SUFFIX = np.uint64((1 << SUFFIX_BITS) - 1)
@@ -278,15 +280,24 @@ def _expected(model: Model, chunk: list[tuple[int, np.ndarray]]) -> np.ndarray:
     return np.concatenate([alphas[: active[0]].sum(0), (moves * model.move).ravel(), emits.ravel()])
 
 
-def baum_welch(rows: DataFrame, known: Vocabulary, states: int = STATES) -> Model:
-    """rows: step, symbols. Expected counts of a step are added to those before, which fade."""
-    model = initial(known, states)
-    width = model.emit.shape[1]
-    length = states + states * states + states * width
+def _reestimated(gathered: np.ndarray, known: Vocabulary, states: int) -> Model:
+    """The model of these expected counts."""
     prior = (known.symbol_counts + 0.5) / (known.symbol_counts + 0.5).sum()
+    start = gathered[:states] + 1
+    move = gathered[states : states + states**2].reshape(states, states) + 1
+    emit = gathered[states + states**2 :].reshape(states, len(prior)) + 20 * prior
+    return Model(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True))
+
+
+def baum_welch(rows: DataFrame, known: Vocabulary, states: int = STATES, whole: int = WHOLE) -> Model:
+    """rows: step, symbols. Expected counts of a step are added to those before, which fade; then `whole` steps start from
+    none and read all rows that have a step."""
+    model = initial(known, states)
+    length = states + states * states + states * model.emit.shape[1]
     gathered = np.zeros(length)
     context = rows.sparkSession.sparkContext
-    for step in range(len(STEPS)):
+    parts = [F.col("step") == step for step in range(len(STEPS))]
+    for k, part in enumerate([*parts, *[F.col("step").isNotNull()] * whole]):
         shared = context.broadcast(model)
 
         def expect(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -296,14 +307,11 @@ def baum_welch(rows: DataFrame, known: Vocabulary, states: int = STATES) -> Mode
                     total += _expected(shared.value, chunk)
             yield one_vector(total)
 
-        found = summed(rows.where(F.col("step") == step).select("symbols").mapInArrow(expect, "v binary"), length)
+        found = summed(rows.where(part).select("symbols").mapInArrow(expect, "v binary"), length)
         if not found.any():
             continue
-        gathered = gathered * DECAY + found
-        start = gathered[:states] + 1
-        move = gathered[states : states + states**2].reshape(states, states) + 1
-        emit = gathered[states + states**2 :].reshape(states, width) + 20 * prior
-        model = Model(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True))
+        gathered = gathered * DECAY + found if k < len(parts) else found
+        model = _reestimated(gathered, known, states)
     return model
 
 

@@ -2,6 +2,7 @@
 
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,6 +158,21 @@ def test_language_model(docs):
     assert all(r[4] == pytest.approx(0, abs=1e-6) for r in untrained)  # N = V = 0: log10(0.5 / 0.5)
 
 
+def test_last_steps_sum_the_counts_of_all_training_texts(documents):
+    docs = documents(*((k, " ".join(f"w{(k * j) % 13}" for j in range(k % 17 + 3))) for k in range(120)))
+    learn = F.col("doc_id") % 5 != 1
+    known, _ = hmm.vocabulary(hmm.counts(docs.where(learn)))
+    rows = hmm.encoded(docs, known, learn).cache()
+    before = hmm.baum_welch(rows, known, 3, whole=hmm.WHOLE - 1)
+    symbols = [np.frombuffer(r["symbols"], np.uint16) for r in rows.where("step IS NOT NULL").collect()]
+    chunk = sorted(enumerate(symbols), key=lambda x: -len(x[1]))
+    want = hmm._reestimated(hmm._expected(before, chunk), known, 3)
+    got = hmm.baum_welch(rows, known, 3)
+    assert hmm.WHOLE > 0 and len(symbols) == 96
+    for a, b in zip(got, want, strict=True):
+        assert np.allclose(a, b, rtol=1e-9)
+
+
 def test_pii(docs):
     got = by_id(pii.found(docs))
     assert len(got) == len(ROWS) and not any(r[1] for r in got)
