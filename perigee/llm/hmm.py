@@ -106,7 +106,8 @@ def vocabulary(found: DataFrame, frequent: int = FREQUENT, classes: int = CLASSE
         if held > frequent:
             break
         least = row["least"]
-    top = found.where(F.col("n") >= least).collect()  # at most `frequent` rows
+    end = F.col("key") == int(_END.view(np.int64))
+    top = found.where((F.col("n") >= least) | end).collect()  # at most `frequent` rows, and the end whatever its count
     keys = np.array([r["key"] for r in top], np.int64).view(np.uint64)
     n = np.array([r["n"] for r in top], np.int64)
     order = np.argsort(keys)
@@ -117,7 +118,7 @@ def vocabulary(found: DataFrame, frequent: int = FREQUENT, classes: int = CLASSE
     symbol = (keys & _SUFFIX).astype(np.int64) + len(own) + 1
     symbol[own] = np.arange(len(own)) + 1
     symbol[keys == _END] = 0
-    rest = found.where((F.col("n") < least) & (F.col("key") != int(_END.view(np.int64)))).groupBy(
+    rest = found.where((F.col("n") < least) & ~end).groupBy(
         F.col("key").bitwiseAND(int(_SUFFIX)).alias("class")
     )
     sums = np.zeros((2, int(_SUFFIX) + 1))

@@ -173,6 +173,16 @@ def test_last_steps_sum_the_counts_of_all_training_texts(documents):
         assert np.allclose(a, b, rtol=1e-9)
 
 
+def test_rare_ends_are_counted(documents, monkeypatch):
+    """Fewer texts than the count that frequent words reach."""
+    rows = [(1, "a a a a b b b c"), (2, "a b b c c d a")]
+    monkeypatch.setattr(hmm, "vocabulary", lambda found, real=hmm.vocabulary: real(found, frequent=1))
+    got = {r["doc_id"]: r for r in hmm.scored(documents(*rows), F.lit(True)).collect()}
+    for i, (n, known, total, base) in brute.op6_base(rows, n=1 << 40).items():
+        assert (got[i]["n_tokens"], got[i]["n_known"], got[i]["train_tokens"]) == (n, known, total)
+        assert got[i]["base_score"] == pytest.approx(base, rel=1e-9)
+
+
 def test_pii(docs):
     got = by_id(pii.found(docs))
     assert len(got) == len(ROWS) and not any(r[1] for r in got)
