@@ -89,7 +89,10 @@ _ALIKE = dict(
     )
 )
 _ALIKE["∙"] = _ALIKE["•"] = "."
+_ALIKE |= dict(zip("\u03b1\u03c4\u03c5\u03ba\u0131\u0251\u0261\u03f2\u03f3\u043a\u0475\u0585\u057d\u0578\u0570\u0581", "atukiagcjkvounhg", strict=True))
 _INVISIBLE = "­᠎​‌‍⁠⁡⁢⁣⁤﻿"
+#: Marks of writing direction, and what joins or varies characters.
+_INVISIBLE += "\u200e\u200f\u061c\u202a\u202b\u202c\u202d\u202e\u2066\u2067\u2068\u2069\u034f" + "".join(map(chr, range(0xFE00, 0xFE10)))
 
 
 @lru_cache(maxsize=4096)
@@ -136,20 +139,80 @@ _BRACKETED = re.compile(
     rf"(?:(?<!\s)\s+)?{_OPEN}\s*(?:(?P<at>at|@)|(?P<dot>dot|point|punkt|punto|\.))\s*{_CLOSE}\s*", re.IGNORECASE
 )
 # Endings of host names that are no common word, so that a sentence with "at" and "dot" isn't taken for one.
-_TOP = "(?:com|net|org|edu|gov|mil|info|biz|dev|app|io|ai|co|tv|uk|de|fr|es|nl|ch|eu|ca|au|jp|cn|br|ru|pl|se|fi|dk|pt)"
-_LOCAL, _LABEL, _EDGE = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+", "[A-Za-z0-9-]+", r"(?![A-Za-z0-9@-])"
+_TOP = "com|net|org|edu|gov|mil|info|biz|dev|app|io|ai|co|tv|uk|de|fr|es|nl|ch|eu|ca|au|jp|cn|br|ru|pl|se|fi|dk|pt"
+_TOPS = frozenset(_TOP.split("|"))
+#: Any other ending of letters counts after a host that isn't one of these words,
+_NO_HOST = frozenset(
+    "a an the this that these those each every any some no one another either its my your his her our their which what "
+    "same first second third next last red blue green black white yellow dot".split()
+)
+#: if the ending isn't one of these, or the name looks like one of an address.
+_NO_END = frozenset(
+    "am an and are as at be but by can do does for from had has he her his if in is it its matrix me my no not now of on "
+    "or our out over plot product she so than that the their them then there they this to under up us was we were when "
+    "where which while who will with you your".split()
+)
+#: Nor after these words, unless they are part of a longer name.
+_NO_NAME = frozenset("look looks looked looking point points pointed stare stares stared staring is are was were be start stop end aim".split())
+_LOCAL, _LABEL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+", "[A-Za-z0-9-]+"
 #: name at host dot com, with "dot" spelled at least before the end, and at most 15 times in the name
 _WORDED = re.compile(
-    rf"{_LOCAL}(?:\s+dot\s+[A-Za-z0-9._%+-]+){{0,15}}(?:\s+at\s+|\s*@\s*){_LABEL}(?:(?:\s+dot\s+|\.){_LABEL})*?\s+dot\s+{_TOP}{_EDGE}",
+    rf"(?P<name>{_LOCAL}(?:\s+dot\s+[A-Za-z0-9._%+-]+){{0,15}})(?:\s+at\s+|\s*@\s*)"
+    rf"(?P<host>{_LABEL}(?:(?:\s+dot\s+|\.){_LABEL})*?\s+dot\s+{_LABEL}(?:(?:\s+dot\s+|\.){_LABEL})*)",
     re.IGNORECASE,
 )
 #: name @ host . com
-_SPACED = re.compile(rf"{_LOCAL}\s*@\s*{_LABEL}(?:\s*\.\s*{_LABEL})*?\s*\.\s*{_TOP}{_EDGE}", re.IGNORECASE)
+_SPACED = re.compile(rf"(?P<name>{_LOCAL})\s*@\s*(?P<host>{_LABEL}(?:\s*\.\s*{_LABEL})+)", re.IGNORECASE)
 #: first.last at host.com: the name must look like one of an address
 _HALF = re.compile(
-    rf"(?<![A-Za-z0-9._%+-])(?=[A-Za-z0-9%+-]*[0-9._%+-][A-Za-z0-9])[A-Za-z0-9._%+-]+\s+at\s+{_LABEL}(?:\.{_LABEL})*\.{_TOP}{_EDGE}",
+    rf"(?P<name>(?<![A-Za-z0-9._%+-])(?=[A-Za-z0-9%+-]*[0-9._%+-][A-Za-z0-9])[A-Za-z0-9._%+-]+)\s+at\s+"
+    rf"(?P<host>{_LABEL}(?:\.{_LABEL})+)",
     re.IGNORECASE,
 )
+_PART = re.compile(r"(?P<by>\s+dot\s+|\s*\.\s*)(?P<label>[A-Za-z0-9-]+)", re.IGNORECASE)
+_ENDING = re.compile(r"[A-Za-z]{2,}|xn--[A-Za-z0-9-]+", re.IGNORECASE)
+_ADDRESS_NAME = re.compile(r"\sdot\s|[0-9._%+-][A-Za-z0-9]", re.IGNORECASE)
+_AT_HOST = re.compile(r"\s*@|\s+at\s+[A-Za-z0-9-]+(?:\s+dot\s|\.[A-Za-z0-9])", re.IGNORECASE)
+
+
+def _host_end(m: re.Match, text: str, spelled: bool) -> int:
+    """Where the longest host name ends that the match holds, or 0."""
+    name, host = m["name"], m["host"]
+    sure = bool(_ADDRESS_NAME.search(name))
+    first = re.match("[A-Za-z0-9-]+", host)[0].lower()
+    # What goes on with an "at" and a host is the name of that address.
+    other = (
+        first not in _NO_HOST
+        and (sure or name.lower() not in _NO_NAME)
+        and any("a" <= c <= "z" for c in name.lower())
+        and not _AT_HOST.match(text, m.end())
+    )
+    best = 0
+    for part in _PART.finditer(text, m.start("host") + len(first), m.end()):
+        label, by = part["label"], part["by"]
+        if spelled and "." in by or text[part.end() : part.end() + 1] == "@":
+            continue
+        if "." in by and by[-1].isspace():
+            # A stop and a space may end a sentence: after a host only a country goes on, and only after a stop apart.
+            if best and (len(label) > 2 or label.lower() in _NO_END or not by[0].isspace()):
+                break
+            if label.lower() not in _TOPS and (label[0].isupper() or label.lower() in _NO_END or not by[0].isspace()):
+                continue
+        if label.lower() in _TOPS or other and _ENDING.fullmatch(label) and (sure or label.lower() not in _NO_END):
+            best = part.end()
+    return best
+
+
+def _addresses(pattern: re.Pattern, text: str) -> Iterator[Span]:
+    """Leftmost matches that end in a host name; after another one the search goes on at its host."""
+    m = pattern.search(text)
+    while m:
+        end = _host_end(m, text, pattern is _WORDED)
+        if end:
+            yield m.start(), end
+        m = pattern.search(text, end or m.start("host"))
+
+
 #: 192 dot 168 dot 0 dot 1
 _DOTTED = re.compile(r"(?<![A-Za-z0-9.])[0-9]{1,3}(?:\s+dot\s+[0-9]{1,3}){3}(?![0-9])", re.IGNORECASE)
 _INNER = re.compile(r"\s+(?P<at>at)\s+|\s*(?P<sign>@)\s*|\s+(?P<dot>dot)\s+|\s*(?P<stop>\.)\s*", re.IGNORECASE)
@@ -189,8 +252,9 @@ def marks(text: str, spans: np.ndarray) -> tuple[str, np.ndarray]:
     text, spans = _replaced(text, spans, edits)
     for disguised in (_WORDED, _SPACED, _HALF, _DOTTED):
         edits = []
-        for m in disguised.finditer(text):
-            inner = _INNER.finditer(text, *m.span())
+        spans_in = (m.span() for m in _DOTTED.finditer(text)) if disguised is _DOTTED else _addresses(disguised, text)
+        for span in spans_in:
+            inner = _INNER.finditer(text, *span)
             edits += [(i.start(), i.end(), "@" if i["at"] or i["sign"] else ".") for i in inner]
         text, spans = _replaced(text, spans, edits)
     return text, spans
