@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from perigee.llm import texts
-from perigee.llm.shared import fresh, mapped, narrow
+from perigee.llm.shared import fresh, mapped, narrow, stored
 
 LIMIT = 10
 SHARD_WORDS = 200_000
@@ -203,22 +203,25 @@ def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
 _HITS = "doc_id bigint, n_words bigint, spans array<array<bigint>>, items array<string>"
 
 
-def _shards(benchmark: DataFrame, shard_words: int) -> Iterator[list[Row]]:
-    """The items in lists of about that many words, each collected by itself."""
+def _shards(benchmark: DataFrame, shard_words: int) -> tuple[int, Iterator[list[Row]]]:
+    """How many, and the items in lists of about that many words, each collected by itself when it is asked for."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("text IS NOT NULL").distinct()
     # A word takes at least two bytes with its separator: a bound, and cheap.
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // (4 * shard_words)))
-    for shard in range(n):
-        yield items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == shard).collect()
+    return n, (items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == shard).collect() for shard in range(n))
 
 
-def _scans(benchmark: DataFrame, limit: int, shard_words: int) -> list:
-    return [_scan([(row["item"], words_of(row["text"])) for row in shard], limit) for shard in _shards(benchmark, shard_words)]
+def _scans(benchmark: DataFrame, limit: int, shard_words: int) -> tuple[int, Iterator]:
+    n, shards = _shards(benchmark, shard_words)
+    return n, (_scan([(row["item"], words_of(row["text"])) for row in shard], limit) for shard in shards)
 
 
-def _of_shards(docs: DataFrame, scans: list) -> DataFrame:
-    """doc_id, hash of the text, n_words, spans, items from several automata, and the number of rows that were alike."""
+def _of_shards(docs: DataFrame, scans: Iterator) -> DataFrame:
+    """doc_id, hash of the text, n_words, spans, items from several automata, and the number of rows that were alike.
+
+    Each one's finds are stored and it is dropped before the next is built; of all but the first, only rows with finds.
+    """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("hash"))
 
     def with_hash(scan):
@@ -233,7 +236,9 @@ def _of_shards(docs: DataFrame, scans: list) -> DataFrame:
     for scan in scans:
         own = mapped(rows, with_hash(scan), _HITS + ", hash bigint").groupBy("doc_id", "hash", "n_words", "spans", "items")
         own = own.agg(F.count("*").alias("n"))
+        own = stored(own if found is None else own.where(F.size("spans") > 0))
         found = own if found is None else found.unionByName(own)
+        del scan
     grouped = found.groupBy("doc_id", "hash", "n_words").agg(
         F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"), F.max("n").alias("n")
     )  # as many rows to a group as there are shards
@@ -253,9 +258,9 @@ def _of_shards(docs: DataFrame, scans: list) -> DataFrame:
 
 def hits(docs: DataFrame, benchmark: DataFrame, limit: int = LIMIT, shard_words: int = SHARD_WORDS) -> DataFrame:
     """doc_id, n_words, spans ([first word, end] of what is hit, merged, ascending), items (ids, sorted)."""
-    scans = _scans(benchmark, limit, shard_words)
-    if len(scans) == 1:
-        return mapped(narrow(docs), scans[0], _HITS)
+    n, scans = _scans(benchmark, limit, shard_words)
+    if n == 1:
+        return mapped(narrow(docs), next(scans), _HITS)
     found = _of_shards(docs, scans).withColumn("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")))
     return found.select("doc_id", "n_words", "spans", "items")
 
@@ -275,15 +280,16 @@ def decontaminate(
 
     The text is cut from the first character of a span's first word to the last of its last.
     """
-    scans = _scans(benchmark, limit, shard_words)
+    n, scans = _scans(benchmark, limit, shard_words)
+    only = next(scans) if n == 1 else None
     names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(scans) == 1:
+            if only:
                 ids = pa.nulls(len(batch), pa.int64())
                 own = pa.RecordBatch.from_arrays([ids, batch["text"]], names=["doc_id", "text"])
-                result = next(scans[0](iter([own])))
+                result = next(only(iter([own])))
             else:
                 result = pa.RecordBatch.from_arrays(batch.columns[-2:], names=["n_words", "spans"])
             keep, text = np.ones(len(batch), bool), batch["text"].to_pylist()
@@ -296,7 +302,7 @@ def decontaminate(
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep))
 
-    if len(scans) == 1:
+    if only:
         return mapped(docs, cut, docs.schema)
     found = _of_shards(docs, scans)
     same = docs["doc_id"].cast("bigint").eqNullSafe(found["doc_id"]) & F.xxhash64(docs["text"]).eqNullSafe(found["hash"])

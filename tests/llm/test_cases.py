@@ -1,6 +1,8 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names, for operators and stages."""
 
+import gc
 import time
+import weakref
 
 import numpy as np
 import pytest
@@ -127,6 +129,30 @@ def test_decontamination(docs, benchmark, shard_words):
     assert by_id(kept.select("doc_id", "text")) == sorted(expected, key=lambda r: (r[0] is not None, r[0] or 0, str(r)))
 
 
+def test_one_automaton_at_a_time(docs, benchmark, monkeypatch):
+    """The driver drops each shard's automaton before it builds the next."""
+    alive, most = weakref.WeakSet(), []
+
+    class Counted(decontaminate.Automaton):
+        def __init__(self, *args):
+            gc.collect()
+            alive.add(self)
+            most.append(len(alive))
+            super().__init__(*args)
+
+    want = by_id(decontaminate.hits(docs, benchmark, shard_words=10_000))
+    monkeypatch.setattr(decontaminate, "Automaton", Counted)
+    monkeypatch.setattr(Counted, "__reduce__", lambda self: (_plain_automaton, (self.__dict__,)), raising=False)
+    assert by_id(decontaminate.hits(docs, benchmark, shard_words=3)) == want
+    assert len(most) > 3 and max(most) == 1
+
+
+def _plain_automaton(state):
+    made = decontaminate.Automaton.__new__(decontaminate.Automaton)
+    made.__dict__.update(state)
+    return made
+
+
 def test_empty_benchmark_hits_nothing(docs, benchmark):
     none = benchmark.limit(0)
     assert all(r["spans"] == [] and r["items"] == [] for r in decontaminate.hits(docs, none).collect())
