@@ -6,7 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm import decontaminate, hmm, language, line_hashing, packing, pii, quality, repetition, simhash, winnowing
+from perigee.llm import (
+    clustering,
+    decontaminate,
+    hmm,
+    language,
+    line_hashing,
+    packing,
+    pii,
+    quality,
+    repetition,
+    resampling,
+    simhash,
+    winnowing,
+)
 from perigee.llm.shared import read, remainder
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -101,6 +114,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), TOKENIZER, with_ids=False).drop("loss_tokens")
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.clustered(read(spark, sf_dir, "embeddings"))
+
+
 _QUERIES = [
     op1_line_hashing,
     op2_winnowing,
@@ -112,6 +134,8 @@ _QUERIES = [
     op8_repetition,
     op9_simhash,
     op10_packing,
+    op11_resampling,
+    op13_clustering,
 ]
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -175,5 +199,75 @@ SQL = {
 }
 
 
+_WORDS = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+# The polynomial of crc32, reflected, is 3988292384.
+SQL["op11_resampling"] = f"""
+    WITH bits AS MATERIALIZED (
+      SELECT list(list_reduce(range(8),
+          lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
+      FROM range(256) AS r(b)),
+    d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+    own AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(w) AS word FROM d) GROUP BY ALL),
+    wanted AS (SELECT word, count(*) AS n FROM (SELECT unnest({_WORDS}) AS word FROM benchmark) GROUP BY ALL),
+    hashed AS MATERIALIZED (
+      SELECT word, xor(list_reduce(list_transform(range(0, length(hex(encode(word))), 2),
+          lambda k: ('0x' || substr(hex(encode(word)), k + 1, 2))::BIGINT),
+          lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1]), 4294967295::BIGINT), 4294967295) % 10000 AS bucket
+      FROM (SELECT word FROM own UNION SELECT word FROM wanted), bits),
+    source AS (SELECT bucket, sum(n)::BIGINT AS s FROM own JOIN hashed USING (word) GROUP BY bucket),
+    target AS (SELECT bucket, sum(n)::BIGINT AS t FROM wanted JOIN hashed USING (word) GROUP BY bucket),
+    sums AS (SELECT coalesce((SELECT sum(s) FROM source), 0)::BIGINT AS all_s,
+                    coalesce((SELECT sum(t) FROM target), 0)::BIGINT AS all_t),
+    gains AS (
+      SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (all_s + 10000)
+                                     / ((coalesce(s, 0) + 1)::DOUBLE * (all_t + 10000))))::BIGINT AS gain
+      FROM source FULL JOIN target USING (bucket), sums),
+    weights AS (SELECT doc_id, sum(n * gain)::BIGINT AS weight FROM own JOIN hashed USING (word) JOIN gains USING (bucket)
+                GROUP BY doc_id),
+    scored AS (
+      SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000
+          * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+      FROM d LEFT JOIN weights USING (doc_id)),
+    ranked AS (
+      SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+      FROM scored WHERE n_features >= 20)
+    SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+    FROM scored LEFT JOIN ranked USING (doc_id)"""
+
+
+def _clustering_sql(k: int = clustering.CLUSTERS, rounds: int = clustering.ROUNDS) -> str:
+    """Each round as two tables: all vectors with their nearest centroid, and the centroids after it."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+    near{r} AS MATERIALIZED (
+      SELECT vec_id, v, arg_min(c, (apart, c)) AS c, min(apart) AS distance FROM (
+        SELECT vec_id, v, c, list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS apart
+        FROM vectors, centroids{r}) GROUP BY vec_id, v)""")
+        if r < rounds:
+            steps.append(f"""
+    centroids{r + 1} AS MATERIALIZED (
+      SELECT c, coalesce(any_value(moved), any_value(m)) AS m FROM centroids{r} LEFT JOIN (
+        SELECT c, list(((total - ((total % n) + n) % n) // n)::BIGINT ORDER BY place) AS moved FROM (
+          SELECT c, place, sum(x)::BIGINT AS total, count(*) AS n
+          FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM near{r}) GROUP BY c, place)
+        GROUP BY c) USING (c) GROUP BY c)""")
+    return f"""
+    WITH vectors AS MATERIALIZED (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+      WHERE len(embedding) = {clustering.DIMENSIONS}
+        AND len(list_filter(embedding, lambda x: isfinite(x))) = {clustering.DIMENSIONS}),
+    centroids0 AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY sha256('{clustering.SEED}:' || vec_id)) - 1 AS c, v AS m FROM vectors
+      ORDER BY sha256('{clustering.SEED}:' || vec_id) LIMIT {k}),{",".join(steps)}
+    SELECT vec_id, c::INT AS cluster, distance, (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+      (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+    FROM near{rounds} JOIN centroids{rounds} USING (c)"""
+
+
+SQL["op13_clustering"] = _clustering_sql()
+
+
 def queries() -> dict:
     return {f.__name__: f for f in _QUERIES}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -90,11 +91,17 @@ def mapped(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterato
     return df.mapInArrow(run, schema)
 
 
-def summed(partials: DataFrame, length: int, tasks: int = 8) -> np.ndarray:
+def tasks_to_sum(spark: SparkSession) -> int:
+    """In how many tasks partial sums are added before the driver adds theirs: about the root of the partitions."""
+    return max(8, isqrt(int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def summed(partials: DataFrame, length: int) -> np.ndarray:
     """The sum of the vectors of doubles in column `v` (binary): within a few tasks, then of their results.
 
     A partial is one vector per partition, so what a task or the driver gets doesn't depend on the rows behind it.
     """
+    tasks = tasks_to_sum(partials.sparkSession)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(length)
