@@ -23,7 +23,6 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,47 +37,54 @@ SHARE, OF, MIN_WORDS = 10, 100, 20
 OVERSAMPLE = 32
 #: Fewer segments than shuffle partitions if they would hold fewer rows than this.
 SEGMENT_ROWS = 4096
-_WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
-_LOWER = {k: k + 32 for k in range(65, 91)}
-_BLOCK, _KNOWN = 100_000, 1_000_000
+# Words of lower-cased UTF-8: all that is not among the other ASCII characters.
+_WORD = re.compile(rb"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+_BLOCK, _KNOWN = 1_000_000, 1_000_000
 
 
-class _Hashed:
+class _Buckets(dict):
     """Buckets of features, remembered up to a number of different ones."""
 
-    def __init__(self, buckets: int, longest: int):
-        self.buckets, self.longest, self.known = buckets, longest, {}
+    def __init__(self, buckets: int):
+        self.buckets = buckets
 
-    def __call__(self, text: str | None) -> Iterator[tuple[int, np.ndarray]]:
-        """For each block of the text: its number of words and its features' buckets."""
-        words, before = (m[0] for m in _WORD.finditer((text or "").translate(_LOWER))), []
-        while block := list(islice(words, _BLOCK)):
-            window, skip = before + block, len(before)
-            features = list(block)
-            for n in range(2, self.longest + 1):
-                # Runs that end in this block.
-                features += (" ".join(window[e - n : e]) for e in range(max(n, skip + 1), len(window) + 1))
-            before = window[max(0, len(window) - self.longest + 1) :] if self.longest > 1 else []
-            yield len(block), np.fromiter(map(self._bucket, features), np.int64, len(features))
-
-    def _bucket(self, feature: str) -> int:
-        found = self.known.get(feature)
-        if found is None:
-            if len(self.known) >= _KNOWN:
-                self.known.clear()
-            found = self.known[feature] = zlib.crc32(feature.encode()) % self.buckets
+    def __missing__(self, feature: bytes) -> int:
+        if len(self) >= _KNOWN:
+            self.clear()
+        found = self[feature] = zlib.crc32(feature) % self.buckets
         return found
 
+    def of(self, text: bytes | None, longest: int) -> Iterator[tuple[int, np.ndarray]]:
+        """For each block of the text, cut between words: its number of words and its features' buckets."""
+        text, at, before = (text or b"").lower(), 0, []
+        while at < len(text):
+            rest = _WORD.match(text, at + _BLOCK)
+            end = rest.end() if rest else at + _BLOCK
+            words, at = _WORD.findall(text, at, end), end
+            features = words
+            if longest > 1:
+                # Runs that end in this block.
+                window, skip = before + words, len(before)
+                features = words + [
+                    b" ".join(window[e - n : e]) for n in range(2, longest + 1) for e in range(max(n, skip + 1), len(window) + 1)
+                ]
+                before = window[max(0, len(window) - longest + 1) :]
+            yield len(words), np.fromiter(map(self.__getitem__, features), np.int64, len(features))
+
+
+def _texts(batch: pa.RecordBatch) -> Iterator[bytes | None]:
+    return (text.as_py() for text in batch["text"].cast(pa.binary()))
+
 
 def bucket_counts(texts: DataFrame, buckets: int = BUCKETS, longest: int = LONGEST) -> np.ndarray:
     """The number of features in each bucket, over all rows of column `text`."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed, total = _Hashed(buckets, longest), np.zeros(buckets)
+        known, total = _Buckets(buckets), np.zeros(buckets)
         for batch in batches:
-            for text in batch["text"]:
-                for _, found in hashed(text.as_py()):
-                    total += np.bincount(found, minlength=buckets)
+            for text in _texts(batch):
+                for _, found in known.of(text, longest):
+                    np.add.at(total, found, 1)
         yield one_vector(total)
 
     return summed(mapped(texts.select("text"), count, "v binary"), buckets).astype(np.int64)
@@ -105,12 +111,12 @@ def scored(docs: DataFrame, gain: np.ndarray, longest: int = LONGEST, seed: int
     """doc_id, n_words, n_features, weight, score of every document."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = _Hashed(len(gain), longest)
+        known = _Buckets(len(gain))
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+            for doc_id, text in zip(batch["doc_id"].to_pylist(), _texts(batch), strict=True):
                 n_words = n_features = weight = 0
-                for words, found in hashed(text.as_py()):
+                for words, found in known.of(text, longest):
                     n_words, n_features, weight = n_words + words, n_features + len(found), weight + int(gain[found].sum())
                 rows.append((doc_id, n_words, n_features, weight, weight + noise(doc_id, seed)))
             columns = zip(*rows, strict=True) if rows else [[]] * 5
