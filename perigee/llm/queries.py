@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from perigee.llm import (
     clustering,
     decontaminate,
+    extraction,
     hmm,
     language,
     line_hashing,
@@ -119,6 +120,10 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extracted(read(spark, sf_dir, "pages"))
+
+
 def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.clustered(read(spark, sf_dir, "embeddings"))
 
@@ -135,6 +140,7 @@ _QUERIES = [
     op9_simhash,
     op10_packing,
     op11_resampling,
+    op12_extraction,
     op13_clustering,
 ]
 
