@@ -1,26 +1,43 @@
 """Substring dedup by line or paragraph hashing (operator 1).
 
 Units are lines or paragraphs, normalised (A-Z lower-cased, ASCII white space collapsed) and digested. Of all units
-with one digest the earliest ranked, by document id and then position, stays; the others are removed.
+with one digest the earliest ranked, by document id and then position, stays; the others are removed (`removed_units`).
 
-Defined cases: a null or empty text has no units; units of fewer than `min_words` words are never removed; a null id
-ranks before all others; rows that share an id are treated alike: what is first at some position of an id stays in each
-row that holds it there. Further columns of the input are ignored (`removed_units`) or kept (`remove_units`).
+Passages begin and end inside lines, so `removed_passages` cuts lines further, into clauses: after marks that end one
+before white space, and after such marks of unspaced scripts. A repeat is a run of clauses in a row, each a later one of
+its digest, that together hold `min_words` words (a character of an unspaced script counts as one). Shorter runs stay.
+
+Defined cases: a null or empty text has no units; units (runs) of fewer than `min_words` words are never removed; a null
+id ranks before all others; rows that share an id are treated alike: what is first at some position of an id stays in each
+row that holds it there, while runs are those of each text. Pieces without a word are no units and don't break runs.
+Further columns of the input are ignored (`removed_...`) or kept (`remove_...`).
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
+from struct import unpack
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from perigee.llm.shared import fresh, mapped, narrow, parts_left, rejoined, stored
 
 LINE, PARAGRAPH = "\n", "\n\n"
 MIN_WORDS = 5
+#: Words that repeated clauses in a row must hold together. On the test tables 25 finds nearly as many passages of over
+#: 50 words as 10 does and leaves as many other documents alone as 40 does (README).
+PASSAGE_WORDS = 25
+#: A clause ends with marks before white space, with a line, or with marks of unspaced scripts.
+CLAUSE = "(?:[.!?,;:|]+[ \\t\\x0B\\f\\r\\n]+|\\n|[\u3002\uff01\uff1f\uff0c\uff1b\uff1a\u3001]+)"
+_PIECE = re.compile(f"(?s:.*?){CLAUSE}|(?s:.+)")
+#: Thai, Lao, Burmese, Khmer, kana and ideographs: characters of scripts written without spaces.
+UNSPACED = "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff]"
+_UNSPACED = re.compile(UNSPACED)
 
 
 def units(docs: DataFrame, separator: str = LINE, min_words: int = MIN_WORDS) -> DataFrame:
@@ -87,3 +104,99 @@ def remove_units(docs: DataFrame, removed: DataFrame, separator: str = LINE) ->
     )
     text = rejoined(made[name], made["text"], separator)
     return made.select(*(text.alias("text") if c == "text" else made[c] for c in docs.columns), "removed_spans")
+
+
+_CLAUSE = {
+    "h1": "bigint", "h2": "bigint", "doc_id": "bigint", "copy": "bigint", "unit": "int", "place": "int", "start": "int",
+    "end": "int", "words": "int", "until": "bigint",
+}
+_ARROW = {"bigint": pa.int64(), "int": pa.int32()}
+
+
+def clauses(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """The clauses that have a word.
+
+    h1, h2: the digest; copy: a hash of the whole text; unit: the clause's number; place: its number among those with a
+    word; start, end: code points, end exclusive, without the white space around; words, and words until its end.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+                text, place, until = text.as_py() or "", 0, 0
+                copy = xxhash.xxh3_64_intdigest(text.encode()) >> 1
+                for unit, piece in enumerate(_PIECE.finditer(text)):
+                    content = piece[0].strip(" \t\n\x0b\f\r")
+                    if not content:
+                        continue
+                    words = content.encode().lower().split()
+                    count = len(words) if content.isascii() else max(len(words), len(_UNSPACED.findall(content)))
+                    until += count
+                    start = piece.start() + piece[0].index(content[0])
+                    digest = unpack(">qq", hashlib.md5(b" ".join(words)).digest())
+                    out.append((*digest, doc_id, copy, unit, place, start, start + len(content), count, until))
+                    place += 1
+            found = dict(zip(_CLAUSE, zip(*out, strict=True) if out else [[]] * len(_CLAUSE), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(found[c], _ARROW[_CLAUSE[c]]) for c in columns], names=columns)
+
+    return mapped(narrow(docs), cut, ", ".join(f"{c} {_CLAUSE[c]}" for c in columns), 256)
+
+
+def removed_passages(docs: DataFrame, min_words: int = PASSAGE_WORDS) -> DataFrame:
+    """The clauses to remove: doc_id, unit, start, end, digest, and first_doc_id, first_unit of the one that stays.
+
+    Texts are cut twice instead of storing all clauses: first for the digests that occur more than once, which combine
+    before the shuffle, then for the join with these, whose hot digests adaptive execution splits. Runs are found within
+    texts: the rows of one text, whose number its length bounds, meet in one task.
+    """
+    key = ["h1", "h2"]
+    counted = clauses(docs, [*key, "doc_id", "unit"]).groupBy(*key).agg(
+        F.min(F.struct("doc_id", "unit")).alias("first"), F.count("*").alias("n")
+    )
+    # Stored, so that both sides of the join are plain shuffles, whose large parts adaptive execution can split.
+    firsts = stored(counted.where("n > 1").select(*key, "first"))
+    later = clauses(docs, list(_CLAUSE)).join(firsts, key).where(F.col("first") < F.struct("doc_id", "unit"))
+    # Among a text's later clauses in order, those in a row have one difference of place and rank.
+    text = Window.partitionBy("doc_id", "copy")
+    ranked = later.withColumn("run", F.col("place") - F.dense_rank().over(text.orderBy("place")))
+    run = Window.partitionBy("doc_id", "copy", "run")
+    held = F.max("until").over(run) - F.min(F.col("until") - F.col("words")).over(run)
+    digest = F.concat(*(F.lpad(F.hex(c), 16, "0") for c in key))
+    return ranked.withColumn("held", held).where(F.col("held") >= min_words).select(
+        "doc_id",
+        F.col("unit").cast("bigint").alias("unit"),
+        F.col("start").cast("bigint").alias("start"),
+        F.col("end").cast("bigint").alias("end"),
+        F.lower(digest).alias("digest"),
+        F.col("first.doc_id").alias("first_doc_id"),
+        F.col("first.unit").cast("bigint").alias("first_unit"),
+    )
+
+
+def remove_passages(docs: DataFrame, removed: DataFrame) -> DataFrame:
+    """The documents without those clauses and the white space behind them; `removed_spans` keeps their start and end."""
+    spans = removed.groupBy(F.col("doc_id").alias("id")).agg(
+        F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans")
+    )
+    name = fresh([*docs.columns, "id", "spans"], "removed_spans")
+    joined = docs.join(spans, docs["doc_id"].cast("bigint").eqNullSafe(spans["id"]), "left").select(
+        *(docs[c] for c in docs.columns), spans["spans"].alias(name)
+    )
+    at, column = len(docs.columns), docs.columns.index("text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for text, own in zip(batch.column(column), batch.column(at).to_pylist(), strict=True):
+                text, kept, end = text.as_py(), [], 0
+                for span in own or () if text is not None else ():
+                    kept.append(text[end : span["start"]])
+                    end = span["end"]
+                    while end < len(text) and text[end] in " \t\n\x0b\f\r":
+                        end += 1
+                texts.append("".join([*kept, text[end:]]) if own and text is not None else text)
+            columns = [pa.array(texts, pa.string()) if k == column else c for k, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return mapped(joined, cut, joined.schema, 256)

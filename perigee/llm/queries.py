@@ -27,8 +27,8 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_line_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lines to remove, of at least five words."""
-    return line_hashing.removed_units(read(spark, sf_dir, "documents"))
+    """The clauses to remove: those of later passages."""
+    return line_hashing.removed_passages(read(spark, sf_dir, "documents"))
 
 
 def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,6 +147,8 @@ _QUERIES = [
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _NORMAL = "trim(regexp_replace(" + _LOWER + r", '[ \t\n\x0B\f\r]+', ' ', 'g'))"
 
+_ASCII_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
 _LINES = f"""
     parts AS (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents WHERE text IS NOT NULL),
     rows AS (
@@ -159,12 +161,28 @@ _LINES = f"""
 
 SQL = {
     "op1_line_hashing": f"""
-        WITH {_LINES}, counted AS (
-          SELECT doc_id, unit, start, start + length(part) AS "end", md5(normal) AS digest,
+        WITH parts AS (
+          SELECT doc_id, regexp_extract_all(text, '(?s:.*?){line_hashing.CLAUSE}|(?s:.+)') AS p FROM documents),
+        pieces AS (
+          SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) - 1 AS unit FROM parts),
+        placed AS (
+          SELECT doc_id, unit, piece, trim(piece, {_ASCII_SPACE}) AS content, {_NORMAL.format("piece")} AS normal,
+            coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY unit
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            + length(piece) - length(ltrim(piece, {_ASCII_SPACE})) AS start
+          FROM pieces),
+        worded AS (
+          SELECT doc_id, unit, start::BIGINT AS start, (start + length(content))::BIGINT AS "end", md5(normal) AS digest,
+            greatest(len(string_split(normal, ' ')), len(regexp_extract_all(normal, '{line_hashing.UNSPACED}'))) AS words,
+            row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS place,
             first_value(struct_pack(d := doc_id, u := unit)) OVER (PARTITION BY normal ORDER BY doc_id, unit) AS f
-          FROM placed WHERE normal <> '' AND len(string_split(normal, ' ')) >= 5)
+          FROM placed WHERE normal <> ''),
+        ranked AS (
+          SELECT *, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS run
+          FROM worded WHERE f.d <> doc_id OR f.u <> unit),
+        held AS (SELECT *, sum(words) OVER (PARTITION BY doc_id, run) AS held FROM ranked)
         SELECT doc_id, unit::BIGINT AS unit, start, "end", digest, f.d AS first_doc_id, f.u::BIGINT AS first_unit
-        FROM counted WHERE f.d <> doc_id OR f.u <> unit""",
+        FROM held WHERE held >= {line_hashing.PASSAGE_WORDS}""",
     "op2_winnowing": f"""
         WITH {_LINES}, worded AS (
           SELECT doc_id, unit, normal, row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS pos
