@@ -160,9 +160,13 @@ def op8(text):
 
 
 def op8_kept(text):
-    n, _, symbols, _, repeated, covered, longest = op8(text)
+    n, _, _, _, repeated, covered, longest = op8(text)
     failed = n < 50 or 100 * repeated > 50 * n
-    return failed, not failed and covered <= 0.5 * n and longest <= 100 and symbols <= 0.3 * n
+    return failed, not failed and covered <= 0.15 * n and longest <= max(8, 0.1 * n)
+
+
+def few_symbols(text):
+    return sum(c in "#*$%&|<>" for c in text or "") <= 0.3 * len(words(text))
 
 
 def fingerprint(text, size=3):

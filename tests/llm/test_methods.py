@@ -34,8 +34,30 @@ def test_units_and_hashes(values):
 
 
 @settings(deadline=None)
-@given(st.lists(st.lists(st.sampled_from("abc"), max_size=25), max_size=6))
-def test_longest_repeats(values):
+@given(st.lists(st.lists(st.sampled_from("abc"), max_size=25), max_size=6), st.sampled_from([2, 3, 7]))
+def test_longest_repeats(values, levels):
+    """With few levels of ranks too, so that most prefixes are found by the walk over the text."""
+    kept, repetition.LEVELS = repetition.LEVELS, levels
+    try:
+        check_longest_repeats(values)
+    finally:
+        repetition.LEVELS = kept
+
+
+def test_repeats_of_long_texts():
+    """Linear memory and few seconds for a period, a doubled text and words that all differ."""
+    rng = np.random.default_rng(0)
+    once = rng.integers(0, 5000, 200_000)
+    keys = np.concatenate([np.tile([1, 2, 3], 100_000), once, once, np.arange(300_000)]).astype(np.uint64)
+    bounds = np.array([0, 300_000, 700_000, 1_000_000])
+    started = time.time()
+    longest = repetition.longest_repeats(keys, bounds)
+    assert time.time() - started < 30
+    assert list(longest[:4]) == [299_997, 299_996, 299_995, 299_997] and longest[300_000] == longest[500_000] == 200_000
+    assert longest[300_001] == 199_999 and not longest[700_000:].any()
+
+
+def check_longest_repeats(values):
     column = pa.array([" ".join(v) for v in values], pa.string())
     got = []
     for block in texts.blocks(column):
