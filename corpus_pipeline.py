@@ -15,14 +15,17 @@ from perigee.llm import decontaminate, packing, repetition, simhash, winnowing
 from perigee.llm.queries import TOKENIZER
 from perigee.llm.shared import folder, read
 
+#: Characters of #*$%&|<> to a word; beyond it a text is a table or debris.
+MAX_SYMBOLS = 0.3
+
 
 def _recounted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.char_length("text").cast("bigint")) if "n_chars" in docs.columns else docs
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
-    return repetition.keep_good(docs)
+    """Documents that the operator's rules reject go, and by a rule of this stage those with many symbols to a word."""
+    return repetition.keep_good(docs, max_symbols=MAX_SYMBOLS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
