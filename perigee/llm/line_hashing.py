@@ -5,7 +5,8 @@ with one digest the earliest ranked, by document id and then position, stays; th
 
 Passages begin and end inside lines, so `removed_passages` cuts lines further, into clauses: after marks that end one
 before white space, and after such marks of unspaced scripts. A repeat is a run of clauses in a row, each a later one of
-its digest, that together hold `min_words` words (a character of an unspaced script counts as one). Shorter runs stay.
+its digest, that together hold `min_words` words (in clauses mostly of three-byte characters one of an unspaced script counts as one).
+Shorter runs stay.
 
 Defined cases: a null or empty text has no units; units (runs) of fewer than `min_words` words are never removed; a null
 id ranks before all others; rows that share an id are treated alike: what is first at some position of an id stays in each
@@ -22,10 +23,10 @@ from struct import unpack
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perigee.llm.shared import fresh, mapped, narrow, parts_left, rejoined, stored
+from perigee.llm.shared import fresh, in_runs, mapped, narrow, parts_left, rejoined, stored
 
 LINE, PARAGRAPH = "\n", "\n\n"
 MIN_WORDS = 5
@@ -108,7 +109,7 @@ def remove_units(docs: DataFrame, removed: DataFrame, separator: str = LINE) ->
 
 _CLAUSE = {
     "h1": "bigint", "h2": "bigint", "doc_id": "bigint", "copy": "bigint", "unit": "int", "place": "int", "start": "int",
-    "end": "int", "words": "int", "until": "bigint",
+    "end": "int", "words": "int",
 }
 _ARROW = {"bigint": pa.int64(), "int": pa.int32()}
 
@@ -117,25 +118,26 @@ def clauses(docs: DataFrame, columns: list[str]) -> DataFrame:
     """The clauses that have a word.
 
     h1, h2: the digest; copy: a hash of the whole text; unit: the clause's number; place: its number among those with a
-    word; start, end: code points, end exclusive, without the white space around; words, and words until its end.
+    word; start, end: code points, end exclusive, without the white space around; words.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                text, place, until = text.as_py() or "", 0, 0
+                text, place = text.as_py() or "", 0
                 copy = xxhash.xxh3_64_intdigest(text.encode()) >> 1
                 for unit, piece in enumerate(_PIECE.finditer(text)):
                     content = piece[0].strip(" \t\n\x0b\f\r")
                     if not content:
                         continue
                     words = content.encode().lower().split()
-                    count = len(words) if content.isascii() else max(len(words), len(_UNSPACED.findall(content)))
-                    until += count
+                    count, normal = len(words), b" ".join(words)
+                    if not normal.isascii() and len(normal) > 2 * len(plain := normal.decode()):
+                        count = max(count, len(_UNSPACED.findall(plain)))
                     start = piece.start() + piece[0].index(content[0])
-                    digest = unpack(">qq", hashlib.md5(b" ".join(words)).digest())
-                    out.append((*digest, doc_id, copy, unit, place, start, start + len(content), count, until))
+                    digest = unpack(">qq", hashlib.md5(normal).digest())
+                    out.append((*digest, doc_id, copy, unit, place, start, start + len(content), count))
                     place += 1
             found = dict(zip(_CLAUSE, zip(*out, strict=True) if out else [[]] * len(_CLAUSE), strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(found[c], _ARROW[_CLAUSE[c]]) for c in columns], names=columns)
@@ -157,13 +159,8 @@ def removed_passages(docs: DataFrame, min_words: int = PASSAGE_WORDS) -> DataFra
     # Stored, so that both sides of the join are plain shuffles, whose large parts adaptive execution can split.
     firsts = stored(counted.where("n > 1").select(*key, "first"))
     later = clauses(docs, list(_CLAUSE)).join(firsts, key).where(F.col("first") < F.struct("doc_id", "unit"))
-    # Among a text's later clauses in order, those in a row have one difference of place and rank.
-    text = Window.partitionBy("doc_id", "copy")
-    ranked = later.withColumn("run", F.col("place") - F.dense_rank().over(text.orderBy("place")))
-    run = Window.partitionBy("doc_id", "copy", "run")
-    held = F.max("until").over(run) - F.min(F.col("until") - F.col("words")).over(run)
     digest = F.concat(*(F.lpad(F.hex(c), 16, "0") for c in key))
-    return ranked.withColumn("held", held).where(F.col("held") >= min_words).select(
+    return in_runs(later, ["doc_id", "copy"], min_words).select(
         "doc_id",
         F.col("unit").cast("bigint").alias("unit"),
         F.col("start").cast("bigint").alias("start"),

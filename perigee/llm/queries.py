@@ -32,10 +32,10 @@ def op1_line_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that lose lines, and which."""
-    removed = winnowing.removed_runs(winnowing.repeated_lines(read(spark, sf_dir, "documents")))
+    """Documents that lose clauses, and which."""
+    removed = winnowing.removed_passages(winnowing.repeated_passages(read(spark, sf_dir, "documents")))
     return removed.select(
-        "doc_id", F.size("lines").cast("bigint").alias("n_removed"), F.array_join("lines", ",").alias("removed_lines")
+        "doc_id", F.size("units").cast("bigint").alias("n_removed"), F.array_join("units", ",").alias("removed_units")
     )
 
 
@@ -149,54 +149,53 @@ _NORMAL = "trim(regexp_replace(" + _LOWER + r", '[ \t\n\x0B\f\r]+', ' ', 'g'))"
 
 _ASCII_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
-_LINES = f"""
-    parts AS (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents WHERE text IS NOT NULL),
-    rows AS (
-      SELECT doc_id, unnest(p) AS part, generate_subscripts(p, 1) - 1 AS unit FROM parts),
+# The clauses of each text that have a word, in the order of their places.
+_CLAUSES = f"""
+    parts AS (
+      SELECT doc_id, regexp_extract_all(text, '(?s:.*?){line_hashing.CLAUSE}|(?s:.+)') AS p FROM documents),
+    pieces AS (
+      SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) - 1 AS unit FROM parts),
     placed AS (
-      SELECT *, {_NORMAL.format("part")} AS normal,
-        coalesce(sum(length(part) + 1) OVER (PARTITION BY doc_id ORDER BY unit
-          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-      FROM rows)"""
+      SELECT doc_id, unit, trim(piece, {_ASCII_SPACE}) AS content, {_NORMAL.format("piece")} AS normal,
+        coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY unit
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+        + length(piece) - length(ltrim(piece, {_ASCII_SPACE})) AS start
+      FROM pieces),
+    worded AS (
+      SELECT doc_id, unit, start::BIGINT AS start, (start + length(content))::BIGINT AS "end", normal,
+        row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS place,
+        CASE WHEN strlen(normal) > 2 * length(normal)
+             THEN greatest(len(string_split(normal, ' ')), len(regexp_extract_all(normal, '{line_hashing.UNSPACED}')))
+             ELSE len(string_split(normal, ' ')) END AS words
+      FROM placed WHERE normal <> '')"""
 
 SQL = {
     "op1_line_hashing": f"""
-        WITH parts AS (
-          SELECT doc_id, regexp_extract_all(text, '(?s:.*?){line_hashing.CLAUSE}|(?s:.+)') AS p FROM documents),
-        pieces AS (
-          SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) - 1 AS unit FROM parts),
-        placed AS (
-          SELECT doc_id, unit, piece, trim(piece, {_ASCII_SPACE}) AS content, {_NORMAL.format("piece")} AS normal,
-            coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY unit
-              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-            + length(piece) - length(ltrim(piece, {_ASCII_SPACE})) AS start
-          FROM pieces),
-        worded AS (
-          SELECT doc_id, unit, start::BIGINT AS start, (start + length(content))::BIGINT AS "end", md5(normal) AS digest,
-            greatest(len(string_split(normal, ' ')), len(regexp_extract_all(normal, '{line_hashing.UNSPACED}'))) AS words,
-            row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS place,
-            first_value(struct_pack(d := doc_id, u := unit)) OVER (PARTITION BY normal ORDER BY doc_id, unit) AS f
-          FROM placed WHERE normal <> ''),
+        WITH {_CLAUSES}, known AS (
+          SELECT *, first_value(struct_pack(d := doc_id, u := unit)) OVER (PARTITION BY normal ORDER BY doc_id, unit) AS f
+          FROM worded),
         ranked AS (
           SELECT *, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS run
-          FROM worded WHERE f.d <> doc_id OR f.u <> unit),
+          FROM known WHERE f.d <> doc_id OR f.u <> unit),
         held AS (SELECT *, sum(words) OVER (PARTITION BY doc_id, run) AS held FROM ranked)
-        SELECT doc_id, unit::BIGINT AS unit, start, "end", digest, f.d AS first_doc_id, f.u::BIGINT AS first_unit
+        SELECT doc_id, unit::BIGINT AS unit, start, "end", md5(normal) AS digest, f.d AS first_doc_id,
+          f.u::BIGINT AS first_unit
         FROM held WHERE held >= {line_hashing.PASSAGE_WORDS}""",
     "op2_winnowing": f"""
-        WITH {_LINES}, worded AS (
-          SELECT doc_id, unit, normal, row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS pos
-          FROM placed WHERE normal <> ''),
-        runs AS (
-          SELECT doc_id, pos, [unit, lead(unit, 1) OVER w, lead(unit, 2) OVER w] AS units,
+        WITH {_CLAUSES}, runs AS (
+          SELECT doc_id, place, [place, place + 1, place + 2] AS places,
             normal || chr(10) || lead(normal, 1) OVER w || chr(10) || lead(normal, 2) OVER w AS run
-          FROM worded WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+          FROM worded WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
         later AS (
-          SELECT doc_id, unnest(units) AS unit FROM (
-            SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS n FROM runs WHERE run IS NOT NULL)
-          WHERE n > 1)
-        SELECT doc_id, count(*) AS n_removed, string_agg(unit::VARCHAR, ',' ORDER BY unit) AS removed_lines
-        FROM (SELECT DISTINCT doc_id, unit FROM later) GROUP BY doc_id""",
+          SELECT DISTINCT doc_id, unnest(places) AS place FROM (
+            SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, place) AS n FROM runs WHERE run IS NOT NULL)
+          WHERE n > 1),
+        ranked AS (
+          SELECT doc_id, unit, words, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS run
+          FROM later JOIN worded USING (doc_id, place)),
+        held AS (SELECT *, sum(words) OVER (PARTITION BY doc_id, run) AS held FROM ranked)
+        SELECT doc_id, count(*) AS n_removed, string_agg(unit::VARCHAR, ',' ORDER BY unit) AS removed_units
+        FROM held WHERE held >= {line_hashing.PASSAGE_WORDS} GROUP BY doc_id""",
     "op3_decontamination": f"""
         WITH d AS (
           SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w

@@ -9,7 +9,7 @@ from math import isqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -60,9 +60,14 @@ def parts_left(text: Column, gone: Column, pattern: str | Column) -> Column:
 
     A set difference, so linear in the parts; a generator, lest the split is repeated for every part.
     """
-    parts = F.split(F.coalesce(text, F.lit("")), pattern, -1)
+    return pieces_left(F.split(F.coalesce(text, F.lit("")), pattern, -1), gone)
+
+
+def pieces_left(parts: Column, gone: Column) -> Column:
+    """The same for a text that has been cut."""
     numbers = F.coalesce(gone.cast("array<int>"), F.array().cast("array<int>"))
-    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), numbers)
+    every = F.when(F.size(parts) > 0, F.sequence(F.lit(0), F.size(parts) - 1)).otherwise(F.array().cast("array<int>"))
+    left = F.array_except(every, numbers)
     return F.explode(F.array(F.struct(parts.alias("parts"), left.alias("left"), gone.isNull().alias("whole"))))
 
 
@@ -72,6 +77,21 @@ def rejoined(made: Column, text: Column, separator: str) -> Column:
     return F.when(made["whole"], text).otherwise(kept)
 
 
+def in_runs(rows: DataFrame, text: list[str], least: int) -> DataFrame:
+    """The rows of those runs that together hold so many words.
+
+    A row is a unit: its place and its words. A run is units of one text whose places follow each other; a unit may stand
+    there more than once. All units of a text meet in one task, at most as many as it has.
+    """
+    # In order, units in a row have one difference of place and rank.
+    ranked = rows.withColumn("run", F.col("place") - F.dense_rank().over(Window.partitionBy(*text).orderBy("place")))
+    run = Window.partitionBy(*text, "run")
+    # Repeated rows count once: the words of each place, summed over the places.
+    before = F.lag("place").over(run.orderBy("place"))
+    counted = ranked.withColumn("once", F.when(before.isNull() | (before < F.col("place")), F.col("words")).otherwise(0))
+    return counted.withColumn("held", F.sum("once").over(run)).where(F.col("held") >= least).drop("run", "once", "held")
+
+
 def narrow(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 

@@ -7,15 +7,15 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from perigee.llm import line_hashing
+from perigee.llm import line_hashing, winnowing
 from tests.llm.brute import normal
 
 SPACE = " \t\n\x0b\f\r"
 
 
-def pieces(text):
-    """(unit, start, end, normal, words) of the pieces that have a word, cut character by character."""
-    out, start, k, unit = [], 0, 0, 0
+def cut(text):
+    """All pieces of a text, cut character by character."""
+    out, start, k = [], 0, 0
     while k < len(text):
         e = k
         while e < len(text) and text[e] in ".!?,;:|":
@@ -29,13 +29,23 @@ def pieces(text):
         ends = behind if e > k and behind > e else k + 1 if text[k] == "\n" else wide if wide > k else None
         k = ends or k + 1
         if ends or k == len(text):
-            piece = text[start:k]
-            content = piece.strip(SPACE)
-            if content:
-                at = start + len(piece) - len(piece.lstrip(SPACE))
-                words = max(len(normal(content).split(" ")), len(re.findall("[぀-ヿ一-鿿]", content)))
-                out.append((unit, at, at + len(content), normal(content), words))
-            start, unit = k, unit + 1
+            out.append(text[start:k])
+            start = k
+    return out
+
+
+def pieces(text):
+    """(unit, start, end, normal, words) of the pieces that have a word."""
+    out, start = [], 0
+    for unit, piece in enumerate(cut(text)):
+        content, own = piece.strip(SPACE), normal(piece)
+        if content:
+            at = start + len(piece) - len(piece.lstrip(SPACE))
+            words = len(own.split(" "))
+            if len(own.encode()) > 2 * len(own):
+                words = max(words, len(re.findall("[぀-ヿ一-鿿]", own)))
+            out.append((unit, at, at + len(content), own, words))
+        start += len(piece)
     return out
 
 
@@ -67,6 +77,41 @@ def collected(df):
     return sorted((tuple(r[n] for n in names) for r in df.collect()), key=str)
 
 
+def winnowed(docs, run, min_words):
+    """Clauses to delete as (doc_id, text) -> pieces, from all windows of clauses."""
+    first, out = {}, {}
+    ranked = sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0))
+    for doc_id, text in ranked:
+        own = pieces(text or "")
+        for at in range(len(own) - run + 1):
+            key = tuple(p[3] for p in own[at : at + run])
+            first[key] = min(first.get(key, (True, 2**62, 0)), (doc_id is not None, doc_id or 0, at))
+    for doc_id, text in ranked:
+        own, later = pieces(text or ""), set()
+        for at in range(len(own) - run + 1):
+            if first[tuple(p[3] for p in own[at : at + run])] != (doc_id is not None, doc_id or 0, at):
+                later |= set(range(at, at + run))
+        gone, run_now = set(), []
+        for k in range(len(own) + 1):
+            if k in later:
+                run_now.append(k)
+            else:
+                if sum(own[x][4] for x in run_now) >= min_words:
+                    gone |= set(run_now)
+                run_now = []
+        out[doc_id, text] = [own[k][0] for k in sorted(gone)]
+    return out
+
+
+def without(text, units):
+    """The text without the pieces of these clauses and those without a word behind them."""
+    gone, kept = False, []
+    for unit, piece in enumerate(cut(text)):
+        gone = unit in units if piece.strip(SPACE) else gone
+        kept += [] if gone else [piece]
+    return "".join(kept)
+
+
 PASSAGE = "One two three, four five: six seven eight. Nine ten eleven! Twelve; thirteen fourteen"
 
 
@@ -102,3 +147,36 @@ def test_no_documents(documents):
     empty = documents().limit(0)
     removed = line_hashing.removed_passages(empty)
     assert removed.collect() == [] and line_hashing.remove_passages(empty, removed).collect() == []
+
+
+@pytest.mark.parametrize(("run", "min_words"), [(1, 4), (2, 1), (3, 8)])
+def test_winnowed_passages_equal_the_plain_version(documents, run, min_words):
+    rng = random.Random(run)
+
+    def text():
+        return "".join(rng.choices(["a b", "c", "D e f", ", ", ". ", "\n", " ", "... ", "é ü", "中文字。", "\r\n"], k=rng.randint(0, 40)))
+
+    some = [text() for _ in range(20)]
+    docs = [(k, rng.choice(some) + rng.choice([". ", "\n", " "]) + rng.choice(some)) for k in range(50)]
+    docs += [(None, some[0]), (100, None), (101, ""), (102, " \n "), (103, "x, " * 5000), (7, docs[7][1]), (8, some[3])]
+    table = documents(*docs).select("*", *(F.lit(c).alias(c) for c in ("keys", "copy", "at", "c", "pieces", "place", "gone")))
+    want = winnowed(docs, run, min_words)
+    found = {}
+    copies = {r["copy"]: r["text"] for r in table.select(F.xxhash64("text").alias("copy"), "text").distinct().collect()}
+    for r in winnowing.repeated_passages(table, run, min_words).collect():
+        found.setdefault((r["doc_id"], copies[r["copy"]]), []).append(r["unit"])
+    assert {k: sorted(v) for k, v in found.items()} == {k: v for k, v in want.items() if v}
+    kept = winnowing.delete_passages(table, run, min_words)
+    assert kept.columns == table.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert got == sorted(((i, t if t is None else without(t, want[i, t])) for i, t in docs), key=str)
+
+
+def test_no_documents_to_winnow(documents):
+    empty = documents().limit(0)
+    assert winnowing.repeated_passages(empty).collect() == [] and winnowing.delete_passages(empty).collect() == []
+
+
+def test_winnowing_runs_in_the_jvm(documents):
+    plan = winnowing.delete_passages(documents((1, "a, b. c"), (2, "a, b. c")))._jdf.queryExecution().executedPlan().toString()
+    assert not any(name in plan for name in ("Python", "Arrow", "Pandas"))
