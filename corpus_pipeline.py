@@ -29,8 +29,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeats of runs of lines go from the texts."""
-    return _recounted(winnowing.delete_runs(docs))
+    """Later repeats of passages, which begin and end inside lines, go from the texts."""
+    return _recounted(winnowing.delete_passages(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
