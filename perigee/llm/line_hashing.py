@@ -10,7 +10,7 @@ Shorter runs stay.
 
 Defined cases: a null or empty text has no units; units (runs) of fewer than `min_words` words are never removed; a null
 id ranks before all others; rows that share an id are treated alike: what is first at some position of an id stays in each
-row that holds it there, while runs are those of each text. Pieces without a word are no units and don't break runs.
+row that holds it there (for clauses: what no smaller id holds stays in each row, once). Pieces without a word are no units and don't break runs.
 Further columns of the input are ignored (`removed_...`) or kept (`remove_...`).
 """
 
@@ -107,70 +107,95 @@ def remove_units(docs: DataFrame, removed: DataFrame, separator: str = LINE) ->
     return made.select(*(text.alias("text") if c == "text" else made[c] for c in docs.columns), "removed_spans")
 
 
-_CLAUSE = {
-    "h1": "bigint", "h2": "bigint", "doc_id": "bigint", "copy": "bigint", "unit": "int", "place": "int", "start": "int",
-    "end": "int", "words": "int",
-}
-_ARROW = {"bigint": pa.int64(), "int": pa.int32()}
+_DIGEST = {"h1": "bigint", "h2": "bigint", "doc_id": "bigint"}
+_CLAUSE = _DIGEST | {"copy": "bigint", "place": "int", "start": "int", "length": "int", "words": "int", "again": "boolean"}
+_ARROW = {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
 
 
-def clauses(docs: DataFrame, columns: list[str]) -> DataFrame:
+def clauses(docs: DataFrame, columns: dict[str, str]) -> DataFrame:
     """The clauses that have a word.
 
-    h1, h2: the digest; copy: a hash of the whole text; unit: the clause's number; place: its number among those with a
-    word; start, end: code points, end exclusive, without the white space around; words.
+    h1, h2: the digest; copy: a hash of the whole text; place: the clause's number among those with a word; start, length:
+    code points, without the white space around; words; again: whether its digest stands earlier in the text.
     """
+    names = list(columns)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                text, place = text.as_py() or "", 0
-                copy = xxhash.xxh3_64_intdigest(text.encode()) >> 1
-                for unit, piece in enumerate(_PIECE.finditer(text)):
+                text, seen = text.as_py() or "", set()
+                copy = xxhash.xxh3_64_intdigest(text.encode()) & 0xFFFFFFFF
+                place = 0
+                for piece in _PIECE.finditer(text):
                     content = piece[0].strip(" \t\n\x0b\f\r")
                     if not content:
                         continue
                     words = content.encode().lower().split()
-                    count, normal = len(words), b" ".join(words)
+                    normal = b" ".join(words)
+                    digest = hashlib.md5(normal).digest()
+                    if len(names) == len(_DIGEST):
+                        out.append((*unpack(">qq", digest), doc_id))
+                        continue
+                    count = len(words)
                     if not normal.isascii() and len(normal) > 2 * len(plain := normal.decode()):
                         count = max(count, len(_UNSPACED.findall(plain)))
                     start = piece.start() + piece[0].index(content[0])
-                    digest = unpack(">qq", hashlib.md5(normal).digest())
-                    out.append((*digest, doc_id, copy, unit, place, start, start + len(content), count))
+                    out.append((*unpack(">qq", digest), doc_id, copy, place, start, len(content), count, digest in seen))
+                    seen.add(digest)
                     place += 1
-            found = dict(zip(_CLAUSE, zip(*out, strict=True) if out else [[]] * len(_CLAUSE), strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(found[c], _ARROW[_CLAUSE[c]]) for c in columns], names=columns)
+            found = zip(*out, strict=True) if out else [[]] * len(names)
+            arrays = [pa.array(values, _ARROW[columns[c]]) for c, values in zip(names, found, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return mapped(narrow(docs), cut, ", ".join(f"{c} {_CLAUSE[c]}" for c in columns), 256)
+    return mapped(narrow(docs), cut, ", ".join(f"{c} {t}" for c, t in columns.items()), 256)
 
 
 def removed_passages(docs: DataFrame, min_words: int = PASSAGE_WORDS) -> DataFrame:
-    """The clauses to remove: doc_id, unit, start, end, digest, and first_doc_id, first_unit of the one that stays.
+    """The clauses to remove: doc_id, unit (their number among those that have a word), start, end, and first_doc_id, that of
+    the document whose clause stays.
 
     Texts are cut twice instead of storing all clauses: first for the digests that occur more than once, which combine
-    before the shuffle, then for the join with these, whose hot digests adaptive execution splits. Runs are found within
-    texts: the rows of one text, whose number its length bounds, meet in one task.
+    before the shuffle, then for the join with these, whose hot digests adaptive execution splits. Fields are packed into
+    few longs for both. Runs are found within texts: the clauses of one text, whose number its length bounds, meet in one task.
     """
     key = ["h1", "h2"]
-    counted = clauses(docs, [*key, "doc_id", "unit"]).groupBy(*key).agg(
-        F.min(F.struct("doc_id", "unit")).alias("first"), F.count("*").alias("n")
-    )
+    # A null id ranks first.
+    ranked = F.coalesce("doc_id", F.lit(_NULL)).alias("rank")
+    counted = clauses(docs, _DIGEST).select(*key, ranked).groupBy(*key).agg(F.min("rank").alias("first"), F.count("*").alias("n"))
     # Stored, so that both sides of the join are plain shuffles, whose large parts adaptive execution can split.
     firsts = stored(counted.where("n > 1").select(*key, "first"))
-    later = clauses(docs, list(_CLAUSE)).join(firsts, key).where(F.col("first") < F.struct("doc_id", "unit"))
-    digest = F.concat(*(F.lpad(F.hex(c), 16, "0") for c in key))
-    return in_runs(later, ["doc_id", "copy"], min_words).select(
-        "doc_id",
-        F.col("unit").cast("bigint").alias("unit"),
+    wide = 2**32
+    packed = clauses(docs, _CLAUSE).select(
+        *key,
+        ranked,
+        "again",
+        F.col("copy").alias("copy"),
+        (F.col("place") * F.lit(wide) + F.col("start")).alias("at"),
+        (F.col("length") * F.lit(wide) + F.col("words")).alias("size"),
+    )
+    later = packed.join(firsts, key).where((F.col("first") < F.col("rank")) | F.col("again"))
+    rows = later.select(
+        "rank",
+        "copy",
+        "first",
+        F.shiftright("at", 32).cast("int").alias("place"),
+        F.col("at").bitwiseAND(wide - 1).cast("int").alias("start"),
+        F.shiftright("size", 32).cast("int").alias("length"),
+        F.col("size").bitwiseAND(wide - 1).cast("int").alias("words"),
+    )
+    return in_runs(rows, ["rank", "copy"], min_words).select(
+        F.nullif("rank", F.lit(_NULL)).alias("doc_id"),
+        F.col("place").cast("bigint").alias("unit"),
         F.col("start").cast("bigint").alias("start"),
-        F.col("end").cast("bigint").alias("end"),
-        F.lower(digest).alias("digest"),
-        F.col("first.doc_id").alias("first_doc_id"),
-        F.col("first.unit").cast("bigint").alias("first_unit"),
+        (F.col("start") + F.col("length")).cast("bigint").alias("end"),
+        F.nullif("first", F.lit(_NULL)).alias("first_doc_id"),
     )
 
 
+_NULL = -(2**63)
+
+
 def remove_passages(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """The documents without those clauses and the white space behind them; `removed_spans` keeps their start and end."""
     spans = removed.groupBy(F.col("doc_id").alias("id")).agg(

@@ -149,53 +149,56 @@ _NORMAL = "trim(regexp_replace(" + _LOWER + r", '[ \t\n\x0B\f\r]+', ' ', 'g'))"
 
 _ASCII_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
-# The clauses of each text that have a word, in the order of their places.
-_CLAUSES = f"""
-    parts AS (
-      SELECT doc_id, regexp_extract_all(text, '(?s:.*?){line_hashing.CLAUSE}|(?s:.+)') AS p FROM documents),
+# What each text is cut into and has a word, in the order of their places from 0.
+def _pieces(cut: str, normal: str) -> str:
+    return f"""
+    parts AS (SELECT doc_id, regexp_extract_all(text, '(?s:.*?){cut}|(?s:.+)') AS p FROM documents),
     pieces AS (
-      SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) - 1 AS unit FROM parts),
+      SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) - 1 AS part FROM parts),
     placed AS (
-      SELECT doc_id, unit, trim(piece, {_ASCII_SPACE}) AS content, {_NORMAL.format("piece")} AS normal,
-        coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY unit
+      SELECT doc_id, part, length(trim(piece, {_ASCII_SPACE})) AS size, {normal} AS normal,
+        coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY part
           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
         + length(piece) - length(ltrim(piece, {_ASCII_SPACE})) AS start
       FROM pieces),
     worded AS (
-      SELECT doc_id, unit, start::BIGINT AS start, (start + length(content))::BIGINT AS "end", normal,
-        row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS place,
+      SELECT doc_id, start::BIGINT AS start, (start + size)::BIGINT AS "end", normal,
+        row_number() OVER (PARTITION BY doc_id ORDER BY part) - 1 AS unit,
         CASE WHEN strlen(normal) > 2 * length(normal)
              THEN greatest(len(string_split(normal, ' ')), len(regexp_extract_all(normal, '{line_hashing.UNSPACED}')))
              ELSE len(string_split(normal, ' ')) END AS words
       FROM placed WHERE normal <> '')"""
 
+
+_CLAUSES = _pieces(line_hashing.CLAUSE, _NORMAL.format("piece"))
+_COLLAPSED = r"trim(regexp_replace(lower(piece), '[ \t\n\x0B\f\r]+', ' ', 'g'))"
+_SENTENCES = _pieces(winnowing.SENTENCE, f"regexp_replace({_COLLAPSED}, '{winnowing._WIDE}$', '')")
+
 SQL = {
     "op1_line_hashing": f"""
         WITH {_CLAUSES}, known AS (
           SELECT *, first_value(struct_pack(d := doc_id, u := unit)) OVER (PARTITION BY normal ORDER BY doc_id, unit) AS f
           FROM worded),
         ranked AS (
-          SELECT *, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS run
+          SELECT *, unit - row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS run
           FROM known WHERE f.d <> doc_id OR f.u <> unit),
         held AS (SELECT *, sum(words) OVER (PARTITION BY doc_id, run) AS held FROM ranked)
-        SELECT doc_id, unit::BIGINT AS unit, start, "end", md5(normal) AS digest, f.d AS first_doc_id,
-          f.u::BIGINT AS first_unit
+        SELECT doc_id, unit, start, "end", f.d AS first_doc_id
         FROM held WHERE held >= {line_hashing.PASSAGE_WORDS}""",
     "op2_winnowing": f"""
-        WITH {_CLAUSES}, runs AS (
-          SELECT doc_id, place, [place, place + 1, place + 2] AS places,
-            normal || chr(10) || lead(normal, 1) OVER w || chr(10) || lead(normal, 2) OVER w AS run
-          FROM worded WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
+        WITH {_SENTENCES}, runs AS (
+          SELECT doc_id, unit, normal || chr(10) || lead(normal, 1) OVER (PARTITION BY doc_id ORDER BY unit) AS run
+          FROM worded),
         later AS (
-          SELECT DISTINCT doc_id, unnest(places) AS place FROM (
-            SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, place) AS n FROM runs WHERE run IS NOT NULL)
+          SELECT DISTINCT doc_id, unnest([unit, unit + 1]) AS unit FROM (
+            SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, unit) AS n FROM runs WHERE run IS NOT NULL)
           WHERE n > 1),
         ranked AS (
-          SELECT doc_id, unit, words, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS run
-          FROM later JOIN worded USING (doc_id, place)),
-        held AS (SELECT *, sum(words) OVER (PARTITION BY doc_id, run) AS held FROM ranked)
+          SELECT doc_id, unit, strlen(normal) AS bytes, unit - row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS run
+          FROM later JOIN worded USING (doc_id, unit)),
+        held AS (SELECT *, sum(bytes) OVER (PARTITION BY doc_id, run) AS held FROM ranked)
         SELECT doc_id, count(*) AS n_removed, string_agg(unit::VARCHAR, ',' ORDER BY unit) AS removed_units
-        FROM held WHERE held >= {line_hashing.PASSAGE_WORDS} GROUP BY doc_id""",
+        FROM held WHERE held >= {winnowing.PASSAGE_BYTES} GROUP BY doc_id""",
     "op3_decontamination": f"""
         WITH d AS (
           SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w

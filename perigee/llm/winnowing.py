@@ -8,15 +8,17 @@ earlier, by document id and then line; overlapping runs make one longer run. The
 only if, it lies in a run of `run` lines that stands earlier as well. `long_repeats` finds the shorter runs of at least
 so many words, on request (`long_words`): each is a window of its own, compared in the same way.
 
-Passages begin and end inside lines, so `repeated_passages` cuts lines into clauses like operator 1 does and winnows their
-hashes in the same way. Positions of shared fingerprints are joined, window by window around them, to the first window of
-the same clauses; matched windows that overlap or touch extend each other both ways, up to where the repeat ends. A run of
-matched clauses goes if together they hold `min_words` words. `delete_passages` deletes their pieces of the text, which hold
-the white space behind a clause.
+Passages begin and end inside lines, so `repeated_passages` cuts lines into sentences (at marks before white space and at
+marks of unspaced scripts) and winnows their hashes in the same way. Positions with a fingerprint meet in an aggregate that
+keeps the first of them and their number. Texts learn which of their fingerprints stand nowhere else; around the others
+the windows are compared by a hash of all their sentences, in the same way. Windows that are not the first of theirs and
+overlap or touch extend each other both ways, up to where the repeat ends; such a run goes if its sentences, lower-cased and
+with white space collapsed, hold `min_bytes` bytes of UTF-8. Aggregates combine before their shuffle and nothing is joined on a hash, so
+frequent passages need no splitting. `delete_passages` deletes the sentences' pieces of the text with the white space behind.
 
 Defined cases: null and empty texts have no lines; lines without a word are no part of a run, stay, and do not break
 one; texts with fewer than `run` lines lose nothing but long runs; a null id ranks first; rows that share an id are
-treated alike (passages: by id and text). For long runs white space parts words, and a character of a script without spaces counts as one.
+treated alike (passages: those with the same text). For long runs white space parts words, and a character of a script without spaces counts as one.
 Clashing column names don't matter: only doc_id and text are read.
 """
 
@@ -25,8 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perigee.llm.line_hashing import CLAUSE, PASSAGE_WORDS, UNSPACED
-from perigee.llm.shared import fresh, in_runs, parts_left, pieces_left, rejoined, stored
+from perigee.llm.shared import fresh, in_runs, parts_left, rejoined, stored
 
 RUN = 3
 _SPACE = "[ \\t\\n\\x0B\\f\\r]+"
@@ -164,111 +165,128 @@ def delete_runs(docs: DataFrame, run: int = RUN, long_words: int | None = None)
     return made.select(*(text.alias("text") if c == "text" else made[c] for c in docs.columns))
 
 
-_PIECE = f"(?s:.*?){CLAUSE}|(?s:.+)"
-
-
-def _pieces(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_PIECE), F.lit(0))
-
-
-def clause_sequences(docs: DataFrame) -> DataFrame:
-    """doc_id, copy (a hash of the text) and for its clauses with a word: keys (hashes), numbers (of the pieces they are),
-    ends (the number of the next one's piece) and words.
-
-    The text is normalised before it is cut, which moves no cut. A clause's words are what white space separates; in clauses
-    mostly of three-byte characters each character of an unspaced script counts as one.
-    """
-    lower = F.when(F.octet_length("text") == F.length("text"), F.lower("text")).otherwise(F.translate("text", _UPPER, _LOWER))
-    cut = _pieces(F.regexp_replace(lower, "[ \\t\\x0B\\f\\r]+", " "))
+#: Sentences to a window, and bytes that a run needs: about 25 words of English or 50 ideographs.
+SENTENCES, PASSAGE_BYTES = 2, 150
+_WIDE = "[\u3002\uff01\uff1f\uff1b\uff1a]+"
+#: What ends a sentence, with the white space behind its marks; and the same without the marks.
+SENTENCE = f"(?:[.!?;:]+[ \\t\\x0B\\f\\r\\n]+|\\n|{_WIDE})"
+_BORDER = f"(?<=[.!?;:])[ \\t\\x0B\\f\\r\\n]+|\\n|{_WIDE}"
+_ODD_SPACE = "\t", "\x0b", "\f", "\r", "  "
+
+
+def sentence_sequences(docs: DataFrame) -> DataFrame:
+    """doc_id, copy (a hash of the text), and of its sentences with a word: keys (hashes) and sizes (bytes)."""
+    lower = F.lower(F.coalesce("text", F.lit("")))
+    odd = F.lit(False)
+    for space in _ODD_SPACE:
+        odd = odd | F.contains(lower, F.lit(space))
+    plain = F.when(odd, F.regexp_replace(lower, _SPACE.replace("\\n", ""), " ")).otherwise(lower)
+    # Generators, lest what uses a part repeats the whole.
+    cut = F.explode(F.array(F.split(plain, _BORDER, -1)))
+    made = docs.select("doc_id", F.xxhash64("text").alias("copy"), cut.alias("parts"))
+    trimmed = F.explode(F.array(F.filter(F.transform("parts", lambda part: F.trim(part)), lambda part: part != "")))
+    made = made.select("doc_id", "copy", trimmed.alias("parts")).where(F.size("parts") > 0)
+    return made.select(
+        "doc_id",
+        "copy",
+        F.transform("parts", lambda part: F.xxhash64(part)).alias("keys"),
+        F.transform("parts", lambda part: F.octet_length(part)).alias("sizes"),
+    )
 
-    def clause(piece: Column, number: Column) -> Column:
-        normal = F.btrim(piece, F.lit(" \n"))
-        spaced = F.length(normal) - F.length(F.replace(normal, F.lit(" "), F.lit(""))) + 1
-        wide = F.octet_length(normal) > 2 * F.length(normal)
-        words = F.when(wide, F.greatest(spaced, F.regexp_count(normal, F.lit(UNSPACED)))).otherwise(spaced)
-        return F.struct(F.when(normal != "", F.xxhash64(normal)).alias("key"), number.alias("number"), words.alias("words"))
 
-    # Generators, lest a condition on a part repeats the whole.
-    made = docs.select("doc_id", F.xxhash64("text").alias("copy"), F.explode(F.array(cut)).alias("pieces"))
-    made = made.select("doc_id", "copy", F.size("pieces").alias("n"), F.transform("pieces", clause).alias("every"))
-    kept = F.explode(F.array(F.filter("every", lambda x: x["key"].isNotNull())))
-    made = made.select("doc_id", "copy", "n", kept.alias("c"))
-    ends = F.concat(F.slice("c.number", 2, F.greatest(F.size("c") - 1, F.lit(0))), F.array("n"))
-    return made.where(F.size("c") > 0).select(
-        "doc_id", "copy", F.col("c.key").alias("keys"), F.col("c.number").alias("numbers"), ends.alias("ends"), F.col("c.words").alias("words")
-    )
+def _minimum(start: Column, run: int) -> Column:
+    """The place of the rightmost minimum of the window."""
+    best, at = F.get("keys", start), start
+    for k in range(1, run):
+        other = F.get("keys", start + k)
+        at, best = F.when(other <= best, start + k).otherwise(at), F.least(best, other)
+    return at
 
 
-def clause_fingerprints(seqs: DataFrame, run: int = RUN) -> DataFrame:
-    """doc_id, copy, at (place in the sequence), key: the rightmost minima of all windows, each once."""
+def _first_places(rows: DataFrame, key: list[str], which: str) -> DataFrame:
+    """By text, the places that are the first of their key (`which`: a condition on the number n of places with it)."""
+    found = rows.groupBy(*key).agg(F.min(F.struct("doc_id", "copy", "at")).alias("first"), F.count("*").alias("n"))
+    own = found.where(which).groupBy(F.col("first.doc_id").alias("id"), F.col("first.copy").alias("text"))
+    return own.agg(F.collect_list("first.at").alias("places"))
 
-    def minimum(start: Column) -> Column:
-        # Compared pair by pair: the later one wins a tie.
-        best, at = F.get("keys", start), start
-        for k in range(1, run):
-            other = F.get("keys", start + k)
-            at, best = F.when(other <= best, start + k).otherwise(at), F.least(best, other)
-        return at
 
-    places = F.array_distinct(F.transform(_starts(F.size("keys"), run), minimum))
-    picked = F.transform(places, lambda at: F.struct(at.alias("at"), F.get("keys", at).alias("key")))
-    return seqs.select("doc_id", "copy", F.explode(picked).alias("f")).select("doc_id", "copy", "f.*")
+def _with_places(texts: DataFrame, places: DataFrame) -> DataFrame:
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("copy") == F.col("text"))
+    none = F.array().cast("array<int>")
+    return texts.join(places, same, "left").withColumn("places", F.coalesce("places", none)).drop("id", "text")
 
 
-def repeated_passages(docs: DataFrame, run: int = RUN, min_words: int = PASSAGE_WORDS) -> DataFrame:
-    """doc_id, copy, unit, until: the clauses to delete, by the numbers of their first piece and of the next clause's."""
+def repeated_passages(docs: DataFrame, run: int = SENTENCES, min_bytes: int = PASSAGE_BYTES) -> DataFrame:
+    """doc_id, copy, unit: the sentences to delete, by their numbers among those of their text that have a word."""
     if run < 1:
         raise ValueError("run must be at least 1")
-    seqs = stored(clause_sequences(docs))
-    prints = clause_fingerprints(seqs, run).groupBy("key").agg(F.count("*").alias("n"))
-    # Stored, so that both sides of the joins are plain shuffles, whose large parts adaptive execution can split.
-    shared = stored(prints.where("n > 1").select("key"))
-    marked = clause_fingerprints(seqs, run).join(shared, "key", "left_semi")
-    places = marked.groupBy(F.col("doc_id").alias("id"), F.col("copy").alias("text")).agg(F.collect_set("at").alias("ats"))
-    around = F.array_distinct(
-        F.flatten(F.transform("ats", lambda at: F.sequence(F.greatest(at - (run - 1), F.lit(0)), at)))
+    seqs = stored(sentence_sequences(docs).where(F.size("keys") >= run))
+    minima = F.array_distinct(F.transform(_starts(F.size("keys"), run), lambda start: _minimum(start, run)))
+    print_ = F.explode(F.transform(minima, lambda at: F.struct(at.alias("at"), F.get("keys", at).alias("key"))))
+    prints = seqs.select("doc_id", "copy", print_.alias("p")).select("doc_id", "copy", "p.at", "p.key")
+    told = _with_places(seqs, _first_places(prints, ["key"], "n = 1"))
+    # Around each fingerprint that stands elsewhere too: the windows that chose it.
+    around = F.flatten(
+        F.transform(
+            F.array_except(minima, F.col("places")),
+            lambda at: F.filter(
+                F.sequence(F.greatest(at - (run - 1), F.lit(0)), F.least(at, F.size("keys") - run)),
+                lambda start: _minimum(start, run) == at,
+            ),
+        )
     )
-    held = seqs.join(places, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("copy") == F.col("text")))
-    starts = F.filter(around, lambda at: at <= F.size("keys") - run)
 
     def window(at: Column) -> Column:
         keys = F.slice("keys", at + 1, run)
         return F.struct(at.alias("at"), F.xxhash64(keys).alias("h1"), F.hash(F.reverse(keys)).alias("h2"))
 
-    windows = held.select("doc_id", "copy", F.explode(F.transform(starts, window)).alias("w")).select("doc_id", "copy", "w.*")
-    windows = stored(windows)
-    rank = F.struct("doc_id", "at")
-    first = windows.groupBy("h1", "h2").agg(F.min(rank).alias("lo"), F.count("*").alias("n"))
-    first = stored(first.where("n > 1").select("h1", "h2", "lo"))
-    later = windows.join(first, ["h1", "h2"]).where(F.col("lo") < rank)
-    ats = later.groupBy(F.col("doc_id").alias("id"), F.col("copy").alias("text")).agg(F.collect_set("at").alias("ats"))
-    found = seqs.join(ats, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("copy") == F.col("text")))
-    places = F.array_distinct(F.flatten(F.transform("ats", lambda at: F.sequence(at, at + (run - 1)))))
-    clause = F.transform(
-        places,
-        lambda at: F.struct(
-            at.alias("place"), F.get("numbers", at).alias("unit"), F.get("ends", at).alias("until"), F.get("words", at).alias("words")
-        ),
-    )
-    clauses = found.select("doc_id", "copy", F.explode(clause).alias("c")).select("doc_id", "copy", "c.*")
-    return in_runs(clauses, ["doc_id", "copy"], min_words).select("doc_id", "copy", "unit", "until").distinct()
+    held = told.select("doc_id", "copy", "sizes", F.transform(around, window).alias("w")).where(F.size("w") > 0)
+    held = held.select("doc_id", "copy", "sizes", F.col("w.at").alias("ats"), F.col("w.h1").alias("h1"), F.col("w.h2").alias("h2"))
+    held = stored(held)
+    windows = held.select("doc_id", "copy", F.explode(F.arrays_zip("ats", "h1", "h2")).alias("w"))
+    windows = windows.select("doc_id", "copy", F.col("w.ats").alias("at"), "w.h1", "w.h2")
+    known = _with_places(held.select("doc_id", "copy", "sizes", "ats"), _first_places(windows, ["h1", "h2"], "n > 0"))
+    later = F.array_except("ats", "places")
+    units = F.array_distinct(F.flatten(F.transform(later, lambda at: F.sequence(at, at + (run - 1)))))
+    unit = F.transform(units, lambda at: F.struct(at.alias("place"), F.get("sizes", at).alias("words")))
+    rows = known.select("doc_id", "copy", F.explode(unit).alias("u")).select("doc_id", "copy", "u.place", "u.words")
+    found = in_runs(rows, ["doc_id", "copy"], min_bytes)
+    return found.select("doc_id", "copy", F.col("place").alias("unit")).distinct()
 
 
 def removed_passages(removed: DataFrame) -> DataFrame:
-    """doc_id, units (sorted numbers of its deleted clauses); documents that lose none have no row."""
+    """doc_id, units (sorted numbers of its deleted sentences); documents that lose none have no row."""
     return removed.groupBy("doc_id").agg(F.array_sort(F.collect_set("unit")).alias("units"))
 
 
-def delete_passages(docs: DataFrame, run: int = RUN, min_words: int = PASSAGE_WORDS) -> DataFrame:
-    """The documents without their repeated passages and the white space behind them; all columns as they were."""
-    removed = repeated_passages(docs, run, min_words)
-    span = F.struct("unit", "until")
-    gone = removed.groupBy(F.col("doc_id").alias("id"), F.col("copy").alias("copy")).agg(F.collect_list(span).alias("spans"))
-    pieces = F.flatten(F.transform("spans", lambda s: F.sequence(s["unit"], s["until"] - 1)))
-    gone = gone.select("id", "copy", pieces.alias("gone"))
+def delete_passages(docs: DataFrame, run: int = SENTENCES, min_bytes: int = PASSAGE_BYTES) -> DataFrame:
+    """The documents without their repeated passages; all columns as they were."""
+    removed = repeated_passages(docs, run, min_bytes)
+    gone = removed.groupBy(F.col("doc_id").alias("id"), F.col("copy").alias("copy")).agg(F.collect_list("unit").alias("gone"))
     same = docs["doc_id"].eqNullSafe(gone["id"]) & (F.xxhash64(docs["text"]) == gone["copy"])
-    joined = docs.join(gone, same, "left")
     name = fresh(docs.columns, "pieces")
-    made = joined.select(*(docs[c] for c in docs.columns), pieces_left(_pieces(docs["text"]), gone["gone"]).alias(name))
+    pieces = F.regexp_extract_all(docs["text"], F.lit(f"(?s:.*?){SENTENCE}|(?s:.+)"), F.lit(0))
+    lost, none = gone["gone"].isNotNull(), F.array().cast("array<int>")
+    cut = F.struct(
+        F.when(lost, pieces).otherwise(F.array().cast("array<string>")).alias("pieces"),
+        F.when(lost, gone["gone"]).otherwise(none).alias("gone"),
+        (~lost).alias("whole"),
+    )
+    made = docs.join(gone, same, "left").select(*(docs[c] for c in docs.columns), F.explode(F.array(cut)).alias(name))
+    # The numbers of the pieces that have a word; a sentence is its piece and those without a word behind it.
+    own = made[name]
+    every = F.when(F.size(own["pieces"]) > 0, F.sequence(F.lit(0), F.size(own["pieces"]) - 1)).otherwise(none)
+    worded = F.filter(every, lambda i: ~F.regexp_like(own["pieces"][i], F.lit(f"^(?:{_SPACE}|{_WIDE})*$")))
+    numbers = F.struct(*(own[c].alias(c) for c in ("pieces", "gone", "whole")), every.alias("every"), worded.alias("worded"))
+    made = made.select(*(made[c] for c in docs.columns), F.explode(F.array(numbers)).alias(name))
+    own = made[name]
+
+    def piece_numbers(unit: Column) -> Column:
+        end = F.coalesce(F.get(own["worded"], unit + 1), F.size(own["pieces"]))
+        return F.sequence(F.get(own["worded"], unit), end - 1)
+
+    left = F.array_except(own["every"], F.flatten(F.transform(own["gone"], piece_numbers)))
+    rest = F.explode(F.array(F.struct(own["pieces"].alias("parts"), left.alias("left"), own["whole"].alias("whole"))))
+    made = made.select(*(made[c] for c in docs.columns), rest.alias(name))
     text = rejoined(made[name], made["text"], "")
     return made.select(*(text.alias("text") if c == "text" else made[c] for c in docs.columns))

@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from perigee.llm import line_hashing, pii, queries, winnowing
+from perigee.llm import pii, queries, winnowing
 from tests.comparing import assert_same, duck
 from tests.llm import brute
 from tests.llm.test_passages import winnowed, without
@@ -146,7 +146,7 @@ def test_pipeline_equals_plain_stages(spark):
         return result
 
     docs = equal(stages["quality_rules"](spark, docs, sf_dir), kept)
-    units = winnowed(kept, winnowing.RUN, line_hashing.PASSAGE_WORDS)
+    units = winnowed(kept, winnowing.SENTENCES, winnowing.PASSAGE_BYTES)
     kept = [(i, without(t, units[i, t])) for i, t in kept]
     docs = equal(stages["line_dedup"](spark, docs, sf_dir), kept)
     found = brute.op9(kept)
