@@ -174,24 +174,24 @@ _BORDER = f"(?<=[.!?;:])[ \\t\\x0B\\f\\r\\n]+|\\n|{_WIDE}"
 _ODD_SPACE = "\t", "\x0b", "\f", "\r", "  "
 
 
-def sentence_sequences(docs: DataFrame) -> DataFrame:
-    """doc_id, copy (a hash of the text), and of its sentences with a word: keys (hashes) and sizes (bytes)."""
-    lower = F.lower(F.coalesce("text", F.lit("")))
+def sentence_sequences(docs: DataFrame, run: int = SENTENCES) -> DataFrame:
+    """doc_id, copy (a hash of the text), of its sentences with a word keys (hashes) and sizes (bytes), and minima: the
+    places of the fingerprints, the rightmost minima of all windows. Texts without a window have no row."""
+    # Generators, lest what uses a part repeats the whole.
+    lower = F.explode(F.array(F.lower(F.coalesce("text", F.lit("")))))
+    made = docs.select("doc_id", F.xxhash64("text").alias("copy"), lower.alias("lower"))
     odd = F.lit(False)
     for space in _ODD_SPACE:
-        odd = odd | F.contains(lower, F.lit(space))
-    plain = F.when(odd, F.regexp_replace(lower, _SPACE.replace("\\n", ""), " ")).otherwise(lower)
-    # Generators, lest what uses a part repeats the whole.
-    cut = F.explode(F.array(F.split(plain, _BORDER, -1)))
-    made = docs.select("doc_id", F.xxhash64("text").alias("copy"), cut.alias("parts"))
+        odd = odd | F.contains("lower", F.lit(space))
+    plain = F.when(odd, F.regexp_replace("lower", _SPACE.replace("\\n", ""), " ")).otherwise(F.col("lower"))
+    made = made.select("doc_id", "copy", F.explode(F.array(F.split(plain, _BORDER, -1))).alias("parts"))
     trimmed = F.explode(F.array(F.filter(F.transform("parts", lambda part: F.trim(part)), lambda part: part != "")))
-    made = made.select("doc_id", "copy", trimmed.alias("parts")).where(F.size("parts") > 0)
-    return made.select(
-        "doc_id",
-        "copy",
-        F.transform("parts", lambda part: F.xxhash64(part)).alias("keys"),
-        F.transform("parts", lambda part: F.octet_length(part)).alias("sizes"),
-    )
+    made = made.select("doc_id", "copy", trimmed.alias("parts")).where(F.size("parts") >= run)
+    keys = F.explode(F.array(F.transform("parts", lambda part: F.xxhash64(part))))
+    sizes = F.transform("parts", lambda part: F.octet_length(part))
+    made = made.select("doc_id", "copy", keys.alias("keys"), sizes.alias("sizes"))
+    minima = F.array_distinct(F.transform(_starts(F.size("keys"), run), lambda start: _minimum(start, run)))
+    return made.select("*", minima.alias("minima"))
 
 
 def _minimum(start: Column, run: int) -> Column:
@@ -220,15 +220,14 @@ def repeated_passages(docs: DataFrame, run: int = SENTENCES, min_bytes: int = PA
     """doc_id, copy, unit: the sentences to delete, by their numbers among those of their text that have a word."""
     if run < 1:
         raise ValueError("run must be at least 1")
-    seqs = stored(sentence_sequences(docs).where(F.size("keys") >= run))
-    minima = F.array_distinct(F.transform(_starts(F.size("keys"), run), lambda start: _minimum(start, run)))
-    print_ = F.explode(F.transform(minima, lambda at: F.struct(at.alias("at"), F.get("keys", at).alias("key"))))
+    seqs = stored(sentence_sequences(docs, run))
+    print_ = F.explode(F.transform("minima", lambda at: F.struct(at.alias("at"), F.get("keys", at).alias("key"))))
     prints = seqs.select("doc_id", "copy", print_.alias("p")).select("doc_id", "copy", "p.at", "p.key")
     told = _with_places(seqs, _first_places(prints, ["key"], "n = 1"))
     # Around each fingerprint that stands elsewhere too: the windows that chose it.
     around = F.flatten(
         F.transform(
-            F.array_except(minima, F.col("places")),
+            F.array_except("minima", "places"),
             lambda at: F.filter(
                 F.sequence(F.greatest(at - (run - 1), F.lit(0)), F.least(at, F.size("keys") - run)),
                 lambda start: _minimum(start, run) == at,
