@@ -73,6 +73,17 @@ def feed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.flatten(sources.read_messages(spark, "text", {"path": f"{root}/messages"}))
 
 
+def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed envelopes streamed into messages, decoded; half of them land after the first run."""
+    root = plans.shared_root(spark)
+    envelopes = samplefeed.envelopes(spark, sf_dir)
+    for part in range(2):
+        half = F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(2)) == part
+        envelopes.where(half).write.mode("append").parquet(f"{root}/envelopes")
+        streaming.start_fan_out(spark, f"{root}/envelopes", f"{root}/fanned", f"{root}/checkpoint", "parquet").awaitTermination()
+    return op.flatten(streaming.read_fanned(spark, f"{root}/fanned").select("value"))
+
+
 # Decode and flatten
 
 
@@ -282,6 +293,18 @@ def step_stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def step_late_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two steps, the second after files with rows behind the cursor have landed."""
+    paths = plans.StatePaths(plans.shared_root(spark))
+    flat = _flat(spark, sf_dir)
+    early = F.coalesce(F.col("name").rlike("-[1-3]$") & (F.col("close_approach_date") < "2001"), F.lit(False))
+    for rows in (flat.where(early), flat.where(~early)):
+        sources.write_flat(rows, paths.flat)
+        plans.run_available(spark, paths, initial=date(1, 1, 1), trainer=lambda train: FIXED)
+    names = ("batch_id", "n_rows", "n_rejected", "n_late", "n_train", "n_test", "total_train", "cursor_date")
+    return plans.read_ledger(spark, paths).select(*names)
+
+
 def train_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = _replay(spark, _table(spark, sf_dir), [CURSOR, END])
     return plans.read_train(spark, paths).select("name", "approach_date")
@@ -341,6 +364,7 @@ _QUERIES = [
     feed_envelope_rejects,
     feed_date_counts,
     feed_roundtrip,
+    stream_fan_out,
     feed_rejects,
     flatten,
     first_element,
@@ -359,6 +383,7 @@ _QUERIES = [
     batch_ledger,
     batch_rejects,
     step_stream_ledger,
+    step_late_ledger,
     model_fit,
     model_refit,
     score_linear,
@@ -436,6 +461,8 @@ _SQL = {
         FROM lineitem WHERE l_orderkey % 59 = 0 OR l_orderkey % 67 = 0 GROUP BY ALL""",
 }
 
+_SQL["stream_fan_out"] = _SQL["feed_roundtrip"]
+
 _REJECTS = """
     SELECT CASE WHEN name IS NULL THEN 'undecodable' WHEN approach_date IS NULL THEN 'no_date'
                 ELSE 'no_feature' END AS reason, count(*) AS count
@@ -460,6 +487,25 @@ _SQL_ON_CTES = {
           (SELECT count(*) FROM clean WHERE NOT is_train) AS n_test,
           (SELECT count(*) FROM clean WHERE is_train) AS total_train, max(approach_date) AS cursor_date
         FROM dated""",
+    "step_late_ledger": """
+        , parted AS (
+          SELECT *, coalesce(regexp_matches(name, '-[1-3]$') AND close_approach_date < '2001', false) AS early,
+            name IS NOT NULL AND approach_date IS NOT NULL AND estimated_diameter_km_max IS NOT NULL
+              AND coalesce(isfinite(relative_velocity_km_s), false) AND miss_distance_km IS NOT NULL AS usable,
+            ('0x' || substr(md5(name), 1, 8))::BIGINT % 100 < 80 AS is_train
+          FROM dated),
+        cursor AS (SELECT max(approach_date) AS c FROM parted WHERE early),
+        routed AS (
+          SELECT (NOT early)::BIGINT AS batch_id, approach_date,
+            CASE WHEN NOT early AND approach_date <= c THEN 'late' WHEN NOT usable THEN 'reject'
+                 WHEN is_train THEN 'train' ELSE 'test' END AS part
+          FROM parted, cursor)
+        SELECT batch_id, count(*) AS n_rows, count(*) FILTER (part = 'reject') AS n_rejected,
+          count(*) FILTER (part = 'late') AS n_late, count(*) FILTER (part = 'train') AS n_train,
+          count(*) FILTER (part = 'test') AS n_test,
+          (sum(count(*) FILTER (part = 'train')) OVER (ORDER BY batch_id))::BIGINT AS total_train,
+          max(max(approach_date)) OVER (ORDER BY batch_id) AS cursor_date
+        FROM routed GROUP BY batch_id""",
     "flatten": f"SELECT {_FLAT} FROM flat",
     "first_element": "SELECT name, close_approach_date FROM flat",
     "text_to_double": "SELECT name, relative_velocity_km_s, miss_distance_km FROM flat",

@@ -41,6 +41,13 @@ def parser() -> argparse.ArgumentParser:
     fan_out.add_argument("--rejects", help="table to which broken envelopes and empty list elements go")
     _endpoint(fan_out)
 
+    fan_stream = jobs.add_parser("stream-fan-out", help="stream landed envelopes into a table of messages and rejects")
+    fan_stream.add_argument("envelopes")
+    fan_stream.add_argument("path")
+    fan_stream.add_argument("checkpoint")
+    fan_stream.add_argument("--envelope-format", default="text")
+    fan_stream.add_argument("--live", action="store_true", help="keep running, one trigger every 30 seconds")
+
     stream = jobs.add_parser("stream", help="stream messages into the flat table")
     stream.add_argument("root")
     stream.add_argument("--live", action="store_true", help="keep running, one trigger every 30 seconds")
@@ -71,8 +78,8 @@ def parser() -> argparse.ArgumentParser:
 
 
 def _fan_out(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Publishes the envelopes that `done` doesn't list, then lists them: a run that fails in between publishes
-    them again, one that ends well never does."""
+    """Publishes the envelopes that `done` doesn't list, then lists them and drops its copy of them: a run that fails
+    in between publishes them again, one that ends well never does. stream-fan-out publishes once in any case."""
     attempt = f"{args.done}/run={uuid.uuid4().hex}"
     done = spark.createDataFrame([], "digest STRING")
     if sources.exists(spark, args.done):
@@ -86,6 +93,7 @@ def _fan_out(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.rejects is not None:
         sources.envelope_rejects(staged).write.mode("append").parquet(args.rejects)
     staged.select("digest").write.parquet(f"{attempt}/digests")
+    sources.delete(spark, f"{attempt}/_staged")
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -99,6 +107,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             windows.write.mode("overwrite").parquet(args.path)
         case "fan-out":
             _fan_out(spark, args)
+        case "stream-fan-out":
+            trigger = streaming.LIVE if args.live else streaming.AVAILABLE_NOW
+            streaming.start_fan_out(
+                spark, args.envelopes, args.path, args.checkpoint, args.envelope_format, trigger
+            ).awaitTermination()
         case "stream":
             streaming.run_flat_stream(
                 spark,

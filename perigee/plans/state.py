@@ -1,17 +1,20 @@
 """State of the incremental run, all of it tables keyed by batch id.
 
     flat/     approach_month=...          the flat table (written by the stream or a backfill)
+    start/                                one row: the cursor of the first step, written before it
     rows/     batch_id=N/part=train|test|reject|late   the rows of each batch, split once
     scored/   batch_id=N                  the scored test part
-    sources/  batch_id=N                  the flat files whose undated rows the batch took
+    sources/  batch_id=N                  the flat files that the batch met first
     ledger/   batch_id=N                  one row per finished batch, written last
-    merged/   upto=N/(rows|scored|sources|ledger)   all batches up to N in few files, the ledger written last
+    merged/   level=L/run=A-B/(rows|scored|sources|ledger)   batches A to B in few files, the ledger written last
 
-A batch exists when its ledger row does. Readers join to the ledger, so what a failed attempt left
-behind is never read, and its retry overwrites it. A batch that exists is never written again.
+A batch exists when its ledger folder is complete, and so does a run. What a failed attempt left behind is
+never read, and its retry overwrites it. A batch that exists is never written again.
 
-Merging keeps the number of folders small: what a reader opens is the newest merge and the batches
-after it. A merge exists when its ledger does; only then are the folders that it replaces deleted.
+The names of complete folders are the manifest. MERGE_EVERY batches become a run of level 1, MERGE_EVERY runs of a
+level one of the next, and only then are the folders behind it deleted; a folder whose batches a larger complete run
+holds is dead whether deleted or not. So a row is written again at most once a level, the levels being the
+logarithm of the batches, and a reader opens fewer than MERGE_EVERY folders of each level.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ import tempfile
 import uuid
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -32,8 +36,8 @@ from perigee.schema import LEDGER_SCHEMA, MAX_FILE_ROWS, ROWS_SCHEMA, SCORED_SCH
 
 TRAIN, TEST, REJECT, LATE = "train", "test", "reject", "late"
 
-# Batches after which a commit merges what is there.
-MERGE_EVERY = 64
+# Batches, or runs of one level, after which a commit merges them.
+MERGE_EVERY = 16
 
 
 @dataclass(frozen=True)
@@ -60,6 +64,10 @@ class StatePaths:
     def ledger(self) -> str:
         return f"{self.root}/ledger"
 
+    @property
+    def start(self) -> str:
+        return f"{self.root}/start"
+
     @property
     def merged(self) -> str:
         return f"{self.root}/merged"
@@ -103,57 +111,112 @@ def _folder(spark: SparkSession, path: str):
     return named.getFileSystem(context._jsc.hadoopConfiguration()), named
 
 
-def _numbers(spark: SparkSession, path: str, key: str) -> list[int]:
-    """N of the folders key=N in a folder: a listing of names that opens no file."""
+def _values(spark: SparkSession, path: str, key: str) -> list[str]:
+    """The values V of the folders key=V in a folder: a listing of names that opens no file."""
     system, named = _folder(spark, path)
     if not system.exists(named):
         return []
     names = (status.getPath().getName() for status in system.listStatus(named))
-    return sorted(int(name.partition("=")[2]) for name in names if name.startswith(f"{key}="))
+    return [name.partition("=")[2] for name in names if name.startswith(f"{key}=")]
 
 
-def merged_upto(spark: SparkSession, paths: StatePaths) -> int:
-    """The last batch of the newest finished merge; -1 without one."""
-    system, _ = _folder(spark, paths.root)
-    for upto in reversed(_numbers(spark, paths.merged, "upto")):
-        if system.exists(_folder(spark, f"{paths.merged}/upto={upto}/ledger/_SUCCESS")[1]):
-            return upto
-    return -1
+def _complete(spark: SparkSession, path: str) -> bool:
+    system, named = _folder(spark, f"{path}/_SUCCESS")
+    return system.exists(named)
 
 
-def _read_batches(spark: SparkSession, paths: StatePaths, table: str, schema: str) -> DataFrame:
-    """A table's merged rows and those of the batches after the merge."""
-    upto = merged_upto(spark, paths)
-    newer = _read_or_empty(spark, f"{paths.root}/{table}", schema).where(F.col("batch_id") > upto)
-    if upto < 0:
-        return newer
-    return _read_or_empty(spark, f"{paths.merged}/upto={upto}/{table}", schema).unionByName(newer)
+@dataclass(frozen=True, order=True)
+class Run:
+    """Merged batches, from the first to the last."""
 
+    first: int
+    last: int
+    level: int
 
-def merge(spark: SparkSession, paths: StatePaths) -> int:
-    """Puts all finished batches into one merge and deletes the folders behind it; returns its last batch.
+    def folder(self, paths: StatePaths) -> str:
+        return f"{paths.merged}/level={self.level}/run={self.first}-{self.last}"
 
-    For the one writer of the state, between two steps. A merge cut short is not read, and the next one
-    starts anew; readers that hold older folders open have to read again.
-    """
-    last = latest_batch(read_ledger(spark, paths))
-    if last is None or last["batch_id"] == merged_upto(spark, paths):
-        return -1 if last is None else last["batch_id"]
-    upto, old = last["batch_id"], merged_upto(spark, paths)
-    target = f"{paths.merged}/upto={upto}"
-    ledger = read_ledger(spark, paths)
+
+def _runs(spark: SparkSession, paths: StatePaths) -> list[Run]:
+    """All complete runs, dead ones included."""
+    found = []
+    for level in map(int, _values(spark, paths.merged, "level")):
+        for name in _values(spark, f"{paths.merged}/level={level}", "run"):
+            first, last = map(int, name.split("-"))
+            run = Run(first, last, level)
+            if _complete(spark, f"{run.folder(paths)}/ledger"):
+                found.append(run)
+    return found
+
+
+def live(spark: SparkSession, paths: StatePaths) -> tuple[list[Run], list[int]]:
+    """What readers open: the runs that no larger one holds, and the finished batches in none of them, in order."""
+    runs = _runs(spark, paths)
+    kept = sorted(r for r in runs if not any(o != r and o.first <= r.first and r.last <= o.last and (o.level, o) > (r.level, r) for o in runs))
+    batches = sorted(int(n) for n in _values(spark, paths.ledger, "batch_id"))
+    alone = [n for n in batches if not any(r.first <= n <= r.last for r in kept) and _complete(spark, of_batch(paths.ledger, n))]
+    return kept, alone
+
+
+def _read_batches(spark: SparkSession, paths: StatePaths, table: str, schema: str, of: tuple[list[Run], list[int]] | None = None) -> DataFrame:
+    """A table's rows of finished batches: of the given runs and batches, or all live ones."""
+    runs, alone = live(spark, paths) if of is None else of
+    rows = []
+    if alone:
+        rows.append(_read_or_empty(spark, f"{paths.root}/{table}", schema).where(F.col("batch_id").isin(alone)))
+    # A run has a folder for each table, though of no files if it has no rows.
+    rows += (spark.read.schema(schema).parquet(f"{run.folder(paths)}/{table}") for run in runs)
+    return reduce(DataFrame.unionByName, rows) if rows else spark.createDataFrame([], schema)
+
+
+def _write_run(spark: SparkSession, paths: StatePaths, level: int, runs: list[Run], batches: list[int]) -> Run:
+    """Puts runs and batches into one run, then deletes their folders."""
+    run = Run(min([r.first for r in runs] + batches), max([r.last for r in runs] + batches), level)
+    target = run.folder(paths)
     for table, schema, parts in (("rows", ROWS_SCHEMA, ["part"]), ("scored", SCORED_SCHEMA, []), ("sources", SOURCES_SCHEMA, [])):
-        rows = _committed(_read_batches(spark, paths, table, schema), ledger)
+        rows = _read_batches(spark, paths, table, schema, (runs, batches))
         writer = rows.hint("rebalance", *parts).write.mode("overwrite").option("maxRecordsPerFile", MAX_FILE_ROWS)
         writer.partitionBy(*parts).parquet(f"{target}/{table}")
-    ledger.coalesce(1).write.mode("overwrite").parquet(f"{target}/ledger")
-    for table in ("rows", "scored", "sources", "ledger"):
-        for batch_id in _numbers(spark, f"{paths.root}/{table}", "batch_id"):
-            if batch_id <= upto:
-                _delete(spark, of_batch(f"{paths.root}/{table}", batch_id))
-    if old >= 0:
-        _delete(spark, f"{paths.merged}/upto={old}")
-    return upto
+    _read_batches(spark, paths, "ledger", LEDGER_SCHEMA, (runs, batches)).coalesce(1).write.mode("overwrite").parquet(f"{target}/ledger")
+    _clear(spark, paths)
+    return run
+
+
+def _clear(spark: SparkSession, paths: StatePaths) -> None:
+    """Deletes what a larger run holds: the ledger of a run or batch first, so that no part of it is read."""
+    runs, _ = live(spark, paths)
+    for dead in set(_runs(spark, paths)) - set(runs):
+        _delete(spark, f"{dead.folder(paths)}/ledger")
+        _delete(spark, dead.folder(paths))
+    for table in ("ledger", "rows", "scored", "sources"):
+        for n in map(int, _values(spark, f"{paths.root}/{table}", "batch_id")):
+            if any(r.first <= n <= r.last for r in runs):
+                _delete(spark, of_batch(f"{paths.root}/{table}", n))
+
+
+def merge_levels(spark: SparkSession, paths: StatePaths) -> None:
+    """Merges batches, then runs of each level, of which there are MERGE_EVERY or more.
+
+    For the one writer of the state, between two steps. A merge cut short is not read and is done again; readers
+    that hold older folders open have to read again.
+    """
+    runs, alone = live(spark, paths)
+    if len(alone) < MERGE_EVERY:
+        return
+    _write_run(spark, paths, 1, [], alone)
+    level = 1
+    while len(same := [r for r in live(spark, paths)[0] if r.level == level]) >= MERGE_EVERY:
+        _write_run(spark, paths, level + 1, same, [])
+        level += 1
+
+
+def merge(spark: SparkSession, paths: StatePaths) -> int:
+    """Puts all finished batches into one run, which writes all of them again; returns the last batch, -1 without one."""
+    runs, alone = live(spark, paths)
+    if len(runs) + len(alone) > 1 or alone:
+        level = 1 + max((r.level for r in runs), default=0)
+        return _write_run(spark, paths, level, runs, alone).last
+    return runs[0].last if runs else -1
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -166,8 +229,16 @@ def read_ledger(spark: SparkSession, paths: StatePaths) -> DataFrame:
 
 
 def read_sources(spark: SparkSession, paths: StatePaths) -> DataFrame:
-    """The flat files whose undated rows finished batches took."""
-    return _committed(_read_batches(spark, paths, "sources", SOURCES_SCHEMA), read_ledger(spark, paths))
+    """The flat files that finished batches met."""
+    return _read_batches(spark, paths, "sources", SOURCES_SCHEMA)
+
+
+def read_start(spark: SparkSession, paths: StatePaths, initial: date | None = None) -> date:
+    """The cursor of the first step: set once, by the first caller, to `initial` or to yesterday by the session's clock."""
+    if not _complete(spark, paths.start):
+        value = F.date_sub(F.current_date(), 1) if initial is None else day(initial)
+        spark.range(0, 1, 1, 1).select(value.alias("start")).write.mode("overwrite").parquet(paths.start)
+    return spark.read.schema("start DATE").parquet(paths.start).first()["start"]
 
 
 def latest_batch(ledger: DataFrame) -> Row | None:
@@ -187,8 +258,8 @@ def commit(spark: SparkSession, paths: StatePaths, batch_id: int, values: dict[s
     fields = [f for f in StructType.fromDDL(LEDGER_SCHEMA).fields if f.name != "batch_id"]
     row = spark.range(0, 1, 1, 1).select(*(_literal(values[f.name], f.dataType).alias(f.name) for f in fields))
     row.write.mode("overwrite").parquet(of_batch(paths.ledger, batch_id))
-    if len(_numbers(spark, paths.ledger, "batch_id")) >= MERGE_EVERY:
-        merge(spark, paths)
+    if len(_values(spark, paths.ledger, "batch_id")) >= MERGE_EVERY:
+        merge_levels(spark, paths)
     return Row(**{f.name: values[f.name] for f in fields}, batch_id=batch_id)
 
 
@@ -202,13 +273,8 @@ def read_model(ledger: DataFrame) -> LinearModel | None:
     return None if latest is None else LinearModel(tuple(latest["coefficients"]), latest["intercept"])
 
 
-def _committed(rows: DataFrame, ledger: DataFrame) -> DataFrame:
-    return rows.join(ledger.select("batch_id"), "batch_id", "left_semi")
-
-
 def read_rows(spark: SparkSession, paths: StatePaths, part: str) -> DataFrame:
-    rows = _read_batches(spark, paths, "rows", ROWS_SCHEMA).where(F.col("part") == part)
-    return _committed(rows, read_ledger(spark, paths))
+    return _read_batches(spark, paths, "rows", ROWS_SCHEMA).where(F.col("part") == part)
 
 
 def read_train(
@@ -225,9 +291,8 @@ def read_train(
 
 def read_scored(spark: SparkSession, paths: StatePaths, latest_only: bool = False) -> DataFrame:
     """Scored rows of finished batches, or of the latest one."""
-    ledger = read_ledger(spark, paths)
     scored = _read_batches(spark, paths, "scored", SCORED_SCHEMA)
     if latest_only:
-        latest = latest_batch(ledger)
+        latest = latest_batch(read_ledger(spark, paths))
         return scored.where(F.lit(False) if latest is None else F.col("batch_id") == latest["batch_id"])
-    return _committed(scored, ledger)
+    return scored

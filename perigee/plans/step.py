@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
-from datetime import date
+from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -26,10 +26,11 @@ from perigee.plans.state import (
     of_batch,
     read_ledger,
     read_sources,
+    read_start,
     read_train,
 )
 from perigee.schema import DATED_SCHEMA, MAX_FILE_ROWS
-from perigee.sources.tables import read_flat, read_undated, undated_files
+from perigee.sources.tables import exists, flat_files, read_flat, rows_of_files
 
 Trainer = Callable[[DataFrame], "LogisticRegressionModel | LinearModel"]
 
@@ -43,9 +44,8 @@ def _stage(batch: DataFrame, path: str, late_until: date | None) -> DataFrame:
     depends on its source staying the same. The rebalance hint keeps a part's files few; adaptive
     execution splits a large part over tasks.
     """
-    part = F.when(F.col("reason").isNotNull(), REJECT)
-    if late_until is not None:
-        part = part.when(F.col("approach_date") <= day(late_until), LATE)
+    late = F.lit(False) if late_until is None else F.col("approach_date") <= day(late_until)
+    part = F.when(late, LATE).when(F.col("reason").isNotNull(), REJECT)
     routed = split_keyed(with_reason(batch)).withColumn("part", part.when(F.col("is_train"), TRAIN).otherwise(TEST))
     staged = routed.drop("is_train", "approach_month").hint("rebalance", "part")
     writer = staged.write.mode("overwrite").partitionBy("part")
@@ -86,10 +86,8 @@ def _process(
     cursor_from: str = "batch",
     look_back: int | None = None,
     drop_late: bool = False,
-    files: Sequence[str] = (),
 ) -> Row | None:
-    """process_batch with the ledger row of the batch before, None for the first, and the files that the
-    batch's undated rows come from."""
+    """process_batch with the ledger row of the batch before, None for the first."""
     if cursor_from not in ("batch", "test"):
         raise ValueError(f"cursor_from must be 'batch' or 'test', not {cursor_from!r}")
     spark = batch.sparkSession
@@ -133,9 +131,6 @@ def _process(
         scored = score_linear(test.drop("reason", "part"), *model)
         scored.write.mode("overwrite").option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(scored_path)
         share = accuracy(spark.read.schema(scored.schema).parquet(scored_path)).first()["accuracy"]
-    if files:
-        names = spark.createDataFrame([(file,) for file in files], "source STRING")
-        names.write.mode("overwrite").parquet(of_batch(paths.sources, batch_id))
 
     cursors = [c for c in (counts["cursor_date"], old_cursor) if c is not None]
     return commit(
@@ -161,22 +156,32 @@ def run_available(
     until: date | None = None,
     **settings: object,
 ) -> Row | None:
-    """One step over all flat rows newer than the cursor, and the undated rows of files no step has met
-    (no date tells which rows those are, but a file of the table never changes).
+    """One step over all flat rows newer than the cursor, and the others of files that no step has met.
 
-    `initial`, the cursor of the first step, defaults to yesterday by the session's clock.
+    `initial`, the cursor of the first step, defaults to yesterday by the session's clock; the first call of all
+    fixes it for good. Of files that are new since the last step (`sources` lists those met; no names pass through the
+    driver) undated rows are rejects, and rows dated after that first cursor but not after the present one are late:
+    set aside and counted, never used. A file that lands while a step lists is left to the next; its time tells.
     """
-    ledger = read_ledger(spark, paths)
-    last = latest_batch(ledger)
-    if initial is None:
-        initial = spark.range(1).select(F.date_sub(F.current_date(), 1)).first()[0]
-    cursor = initial if last is None or last["cursor_date"] is None else last["cursor_date"]
-    batch = newer_than(read_flat(spark, paths.flat), cursor, until)
-    met = {row["source"] for row in read_sources(spark, paths).select("source").collect()}
-    files = [file for file in undated_files(spark, paths.flat) if file not in met]
-    if files:
-        batch = batch.unionByName(read_undated(spark, files))
-    return _process(batch, 0 if last is None else last["batch_id"] + 1, paths, last, files=files, **settings)
+    start = read_start(spark, paths, initial)
+    last = latest_batch(read_ledger(spark, paths))
+    cursor = start if last is None or last["cursor_date"] is None else last["cursor_date"]
+    batch_id = 0 if last is None else last["batch_id"] + 1
+    if not exists(spark, paths.flat):
+        return None
+    new = flat_files(spark, paths.flat).join(read_sources(spark, paths).select("source"), "source", "left_anti")
+    new.hint("rebalance").write.mode("overwrite").parquet(of_batch(paths.sources, batch_id))
+    new = spark.read.schema("source STRING, modified TIMESTAMP").parquet(of_batch(paths.sources, batch_id))
+    since, upto = new.agg(F.min("modified"), F.max("modified")).first()
+    flat = read_flat(spark, paths.flat)
+    if since is None:
+        batch = newer_than(flat, cursor, until)
+    else:
+        modified = F.col("_metadata.file_modification_time") <= F.lit(upto)
+        before = F.col("approach_date").isNull() | F.col("approach_date").between(day(start + timedelta(1)), day(cursor))
+        batch = newer_than(flat.where(modified), cursor, until)
+        batch = batch.unionByName(rows_of_files(flat.where(modified & before), new, since))
+    return _process(batch, batch_id, paths, last, drop_late=True, **settings)
 
 
 def run_every(

@@ -77,7 +77,7 @@ FLAT_TABLE_SCHEMA = f"{DATED_SCHEMA}, approach_month DATE"
 # In merged batches only the last is.
 ROWS_SCHEMA = f"{DATED_SCHEMA}, reason STRING, batch_id BIGINT, part STRING"
 
-SOURCES_SCHEMA = "source STRING, batch_id BIGINT"
+SOURCES_SCHEMA = "source STRING, modified TIMESTAMP, batch_id BIGINT"
 
 SCORED_SCHEMA = f"""
     {DATED_SCHEMA},

@@ -3,21 +3,25 @@ from perigee.sources.envelopes import (
     envelope_dates,
     envelope_rejects,
     explode_envelope,
+    fan_out,
     read_envelopes,
     unpublished,
 )
 from perigee.sources.messages import encode, message_stream, publish, read_messages
-from perigee.sources.tables import exists, read_flat, read_to_score, read_undated, register_flat, undated_files, write_flat
+from perigee.sources.tables import delete, exists, flat_files, read_flat, read_to_score, register_flat, rows_of_files, write_flat
 from perigee.sources.windows import feed_windows, pending_windows, windows_over
 
 __all__ = [
     "date_counts",
+    "delete",
     "encode",
     "envelope_dates",
     "envelope_rejects",
     "exists",
     "explode_envelope",
+    "fan_out",
     "feed_windows",
+    "flat_files",
     "message_stream",
     "pending_windows",
     "publish",
@@ -26,8 +30,7 @@ __all__ = [
     "read_messages",
     "read_to_score",
     "register_flat",
-    "read_undated",
-    "undated_files",
+    "rows_of_files",
     "unpublished",
     "windows_over",
     "write_flat",

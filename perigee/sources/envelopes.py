@@ -56,6 +56,30 @@ def envelope_rejects(envelopes: DataFrame, value: str = "value") -> DataFrame:
     return decoded.select(F.inline(found))
 
 
+def fan_out(envelopes: DataFrame, value: str = "value", digest: str = "digest") -> DataFrame:
+    """Objects and rejects in one pass: rows (key, reason, date, value), of which those without a reason are objects.
+
+    The same rows as those of explode_envelope and envelope_rejects together; key is the digest and the row's number.
+    """
+    text = F.col(value).cast("string")
+    # A generator, lest the decoded map is decoded again for each use.
+    decoded = envelopes.select(digest, text.alias("text"), F.explode(F.array(F.from_json(text, ENVELOPE_SCHEMA))).alias("e"))
+    feed = F.col(f"e.{ENVELOPE_FIELD}")
+    none = F.lit(None).cast("string")
+    broken = F.array(F.struct(F.lit("undecodable").alias("reason"), none.alias("date"), F.col("text").alias("value")))
+    listed = F.transform(
+        F.map_entries(feed),
+        lambda e: F.transform(
+            e["value"],
+            lambda x: F.struct(F.when(x.isNull(), "empty_element").alias("reason"), e["key"].alias("date"), x.alias("value")),
+        ),
+    )
+    # A date without a list has no objects.
+    objects = F.flatten(F.filter(listed, lambda rows: rows.isNotNull()))
+    rows = decoded.select(digest, F.posexplode(F.when(feed.isNull(), broken).otherwise(objects)).alias("at", "row"))
+    return rows.select(F.concat_ws("-", digest, "at").alias("key"), "row.reason", "row.date", "row.value")
+
+
 def unpublished(envelopes: DataFrame, done: DataFrame, value: str = "value") -> DataFrame:
     """Envelopes whose digest is not among those fanned out before; equal envelopes are one."""
     keyed = envelopes.withColumn("digest", F.sha2(F.col(value).cast("binary"), 256))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +11,6 @@ from perigee.functions import to_double
 from perigee.operators.flatten import with_day, with_month
 from perigee.schema import DATED_SCHEMA, FEATURE_COLUMNS, FLAT_TABLE_SCHEMA, FLAT_VIEW, MAX_FILE_ROWS
 
-# Spark's name for the folder of a null partition value.
-_NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
-
-
 def by_month(flat: DataFrame) -> DataFrame:
     """Flat rows dated and laid out for the table.
 
@@ -35,20 +31,28 @@ def exists(spark: SparkSession, path: str) -> bool:
     return named.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(named)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    named = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    named.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(named, True)
+
+
 def read_flat(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FLAT_TABLE_SCHEMA).parquet(path)
 
 
-def undated_files(spark: SparkSession, path: str) -> list[str]:
-    """The files of the flat table that hold its undated rows: names that its file index has, no job."""
-    files = read_flat(spark, path).inputFiles() if exists(spark, path) else []
-    return [unquote(file) for file in files if f"/approach_month={_NO_MONTH}/" in unquote(file)]
+def flat_files(spark: SparkSession, path: str) -> DataFrame:
+    """source (file path) and modified of each file of the flat table: a listing, which opens none of them."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return files.select(
+        F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_modification_time").alias("modified")
+    )
 
 
-def read_undated(spark: SparkSession, files: list[str]) -> DataFrame:
-    """Those files' rows, as read_flat has them."""
-    rows = spark.read.schema(DATED_SCHEMA).parquet(*files)
-    return rows.withColumn("approach_month", F.lit(None).cast("date"))
+def rows_of_files(flat: DataFrame, files: DataFrame, since: datetime) -> DataFrame:
+    """The flat table's rows in those files, the oldest of which was modified at `since`: older files are not opened."""
+    place, columns = F.col("_metadata.file_path"), flat.columns
+    rows = flat.where(F.col("_metadata.file_modification_time") >= F.lit(since)).select(*columns, place.alias("source"))
+    return rows.join(files.select("source"), "source", "left_semi").select(*columns)
 
 
 def register_flat(spark: SparkSession, path: str, name: str = FLAT_VIEW) -> DataFrame:

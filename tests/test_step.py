@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import samplefeed
 from perigee import operators as op
 from perigee import plans, sources, streaming
-from perigee.plans.state import of_batch, read_rows
+from perigee.plans.state import of_batch, read_rows, read_sources, read_start
 from perigee.schema import FLAT_SCHEMA
 
 SMALL = "/root/testdata/sf0.001"
@@ -208,7 +208,8 @@ def test_undated_rows_are_staged_once(spark, tmp_path):
         if added:
             sources.write_flat(spark.createDataFrame(added, FLAT_SCHEMA).coalesce(1), paths.flat)
         seen.append(plans.run_available(spark, paths, initial=START, trainer=fixed))
-    assert [row and (row["n_rows"], row["n_rejected"]) for row in seen] == [(43, 3), None, (2, 2), (2, 2)]
+    counts = [row and (row["n_rows"], row["n_rejected"], row["n_late"]) for row in seen]
+    assert counts == [(43, 3, 0), None, (2, 2, 0), (3, 2, 1)]  # the last file's dated row came too late
     assert {row["cursor_date"] for row in seen if row} == {date(2024, 1, 13)}
     reasons = read_rows(spark, paths, "reject").groupBy("reason").count().collect()
     assert dict(map(tuple, reasons)) == {"undecodable": 3, "no_date": 3, "no_feature": 1}
@@ -260,7 +261,7 @@ def test_many_small_batches_leave_few_folders(spark, tmp_path, monkeypatch):
         rows = [(f"n{i}-{k}", "2024-01-05", float(k), 1.0, 3.0, 4.0, 0.0) for k in range(6)]
         plans.process_batch(op.with_day(spark.createDataFrame(rows, FLAT_SCHEMA).coalesce(1)), i, paths, fixed)
         assert len(list(Path(paths.ledger).glob("batch_id=*"))) < 5
-        assert len(plans.read_ledger(spark, paths).inputFiles()) <= 5
+        assert len(plans.read_ledger(spark, paths).inputFiles()) < 2 * 5  # of each level fewer than five
     ledger = plans.read_ledger(spark, paths).orderBy("batch_id").collect()
     assert [row["batch_id"] for row in ledger] == list(range(17))
     assert ledger[-1]["total_train"] == sum(row["n_train"] for row in ledger) == plans.read_train(spark, paths).count()
@@ -340,3 +341,146 @@ def test_stream_restart_and_several_micro_batches(spark, tmp_path):
         assert not query.isActive
         assert len([p for p in query.recentProgress if p["numInputRows"] > 0]) == batches
         assert sources.read_flat(spark, table).count() == expected
+
+
+def tiny(spark, *days, name="n"):
+    rows = [(f"{name}{k}", day, float(k), 1.0, 3.0, 4.0, 0.0) for k, day in enumerate(days)]
+    return spark.createDataFrame(rows, FLAT_SCHEMA).coalesce(1)
+
+
+def test_rows_behind_the_cursor_are_set_aside_and_counted(spark, tmp_path):
+    paths = plans.StatePaths(str(tmp_path / "state"))
+    seen = []
+    for days in (["2023-12-31", "2024-01-05"], ["2024-01-04", "2024-01-09", "2023-12-30"], ["2024-01-09"], [], ["2024-01-10"]):
+        if days:
+            sources.write_flat(tiny(spark, *days), paths.flat)
+        row = plans.run_available(spark, paths, initial=date(2023, 12, 31), trainer=fixed)
+        seen.append(row and (row["n_rows"], row["n_late"], row["cursor_date"].day))
+    # Rows dated before the first cursor are neither used nor late.
+    assert seen == [(1, 0, 5), (2, 1, 9), (1, 1, 9), None, (1, 0, 10)]
+    assert sorted(r["approach_date"].day for r in read_rows(spark, paths, "late").collect()) == [4, 9]
+    assert plans.read_train(spark, paths).count() + plans.read_scored(spark, paths).count() == 3
+    files = sources.flat_files(spark, paths.flat)
+    known = read_sources(spark, paths).select("source")
+    assert known.count() == files.count() and files.select("source").exceptAll(known).isEmpty()
+
+
+def test_late_rows_of_a_failed_step_are_counted_by_its_retry(spark, tmp_path):
+    paths = plans.StatePaths(str(tmp_path / "state"))
+    sources.write_flat(tiny(spark, *["2024-01-05"] * 9), paths.flat)
+    plans.run_available(spark, paths, initial=START, trainer=fixed)
+    sources.write_flat(tiny(spark, *["2024-01-03"] * 2, *["2024-01-07"] * 9), paths.flat)
+
+    def broken(train):
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        plans.run_available(spark, paths, trainer=broken)
+    row = plans.run_available(spark, paths, trainer=fixed)
+    assert (row["n_rows"], row["n_late"]) == (11, 2)
+    assert plans.run_available(spark, paths, trainer=fixed) is None
+
+
+def test_the_first_cursor_lasts(spark, tmp_path):
+    """Yesterday is taken once: what is dated after the first start is used, however late the first data land."""
+    paths = plans.StatePaths(str(tmp_path / "state"))
+    assert plans.run_available(spark, paths, trainer=fixed) is None  # no table yet
+    today = spark.range(1).select(F.current_date()).first()[0]
+    assert read_start(spark, paths) == today - timedelta(1)
+    # As if the job had started ten days ago: the clock has moved since.
+    spark.createDataFrame([(today - timedelta(11),)], "start DATE").coalesce(1).write.mode("overwrite").parquet(paths.start)
+    days = [str(today - timedelta(k)) for k in (12, 11, 2)]
+    sources.write_flat(tiny(spark, *days), paths.flat)
+    row = plans.run_available(spark, paths, trainer=fixed)
+    assert (row["n_rows"], row["first_date"]) == (1, today - timedelta(2))
+    assert plans.run_available(spark, paths, initial=START, trainer=fixed) is None
+
+
+def raw_batch(paths, n):
+    """A finished batch as small files, written without Spark."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pathlib import Path
+
+    def write(folder, **columns):
+        Path(folder).mkdir(parents=True, exist_ok=True)
+        pq.write_table(pa.table(columns), f"{folder}/part-0.parquet")
+
+    day = pa.array([date(2024, 1, 5)] * 3)
+    for part in ("train", "late"):
+        write(f"{of_batch(paths.rows, n)}/part={part}", name=[f"{n}-{k}" for k in range(3)], approach_date=day)
+    write(of_batch(paths.scored, n), name=[f"{n}-s"], prediction=[1.0])
+    write(of_batch(paths.sources, n), source=[f"file{n}"])
+    write(of_batch(paths.ledger, n), n_rows=[6], n_train=[3], total_train=[3 * n + 3], cursor_date=pa.array([date(2024, 1, 5)]))
+    (Path(of_batch(paths.ledger, n)) / "_SUCCESS").touch()
+
+
+def test_levels_bound_rewrites_and_folders(spark, tmp_path, monkeypatch):
+    import math
+
+    from perigee.plans import state as module
+
+    monkeypatch.setattr(module, "MERGE_EVERY", 4)
+    paths, n, written = plans.StatePaths(str(tmp_path / "state")), 70, 0
+    write_run = module._write_run
+
+    def counting(spark, paths, level, runs, batches):
+        nonlocal written
+        run = write_run(spark, paths, level, runs, batches)
+        written += run.last - run.first + 1
+        return run
+
+    monkeypatch.setattr(module, "_write_run", counting)
+    for k in range(n):
+        raw_batch(paths, k)
+        if k % 4 == 3:
+            module.merge_levels(spark, paths)
+            runs, alone = module.live(spark, paths)
+            assert len(alone) < 4 and len(runs) <= 3 * math.ceil(math.log(k + 2, 4))
+            batches = [x for r in runs for x in range(r.first, r.last + 1)] + alone
+            assert batches == list(range(k + 1))
+    assert written <= n * math.log(n, 4)
+    ledger = plans.read_ledger(spark, paths)
+    assert sorted(r["batch_id"] for r in ledger.collect()) == list(range(n))
+    names = {(r["batch_id"], r["name"]) for r in plans.read_train(spark, paths).collect()}
+    assert names == {(b, f"{b}-{k}") for b in range(n) for k in range(3)}
+    assert plans.read_scored(spark, paths).count() == read_sources(spark, paths).count() == n
+    assert read_rows(spark, paths, "late").count() == 3 * n
+
+
+@pytest.mark.parametrize("broken", ["write", "delete", "delete_later"])
+def test_a_merge_cut_short_changes_nothing(spark, tmp_path, monkeypatch, broken):
+    from perigee.plans import state as module
+
+    monkeypatch.setattr(module, "MERGE_EVERY", 3)
+    paths = plans.StatePaths(str(tmp_path / "state"))
+    for k in range(8):
+        raw_batch(paths, k)
+        if k % 3 == 2:
+            module.merge_levels(spark, paths)
+    raw_batch(paths, 8)
+    before = state(spark, paths)
+    calls = 0
+
+    def lost(*args):
+        nonlocal calls
+        calls += 1
+        if broken != "delete_later" or calls > 4:
+            raise RuntimeError("lost")
+        return delete(*args)
+
+    delete = module._delete
+    with monkeypatch.context() as patch:
+        if broken == "write":
+            # The last table, the run's ledger, is never written.
+            read = module._read_batches
+            patch.setattr(module, "_read_batches", lambda *a: lost() if a[2] == "ledger" and len(a) > 4 else read(*a))
+        else:
+            patch.setattr(module, "_delete", lost)
+        with pytest.raises(RuntimeError):
+            module.merge_levels(spark, paths)
+    assert state(spark, paths) == before
+    module.merge_levels(spark, paths)
+    assert state(spark, paths) == before
+    raw_batch(paths, 9)
+    assert [r["batch_id"] for r in state(spark, paths)[0]] == list(range(10))
