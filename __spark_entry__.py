@@ -173,6 +173,10 @@ def latest_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.latest_date(_clean(spark, sf_dir))
 
 
+def latest_stored_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sources.latest_stored_date(spark, _table(spark, sf_dir).flat)
+
+
 def latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.latest_rows(_clean(spark, sf_dir).select("name", "approach_date"), 5)
 
@@ -228,6 +232,24 @@ def model_refit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.select("batch_id", "total_train", F.lit(apart < 1e-6).alias("equals_one_fit"))
 
 
+def model_refit_newton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by Newton's steps, the second fit started from the first: few passes, the optimum of one default fit."""
+    trainer, passes = op.Newton(), []
+    paths = _table(spark, sf_dir)
+    for until in (CURSOR, END):
+        _replay(spark, paths, [until], trainer)
+        passes.append(trainer.passes)
+    refitted = plans.read_model(plans.read_ledger(spark, paths))
+    rows = op.split_keyed(op.clean_rows(sources.read_flat(spark, paths.flat)))
+    once = op.as_linear(op.fit(rows.where("is_train")))
+    chance = [1 / (1 + F.exp(-linear_margin(*model))) for model in (refitted, once)]
+    apart = rows.where("NOT is_train").agg(F.max(F.abs(chance[0] - chance[1]))).first()[0]
+    ledger = plans.read_ledger(spark, paths)
+    return ledger.select(
+        "batch_id", "total_train", F.lit(apart < 1e-6).alias("equals_one_fit"), F.lit(max(passes) < 12).alias("few_passes")
+    )
+
+
 def score_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir).select("name", "prediction")
 
@@ -338,6 +360,10 @@ def scatter_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.scatter_grid(display_rows(spark, sf_dir), 10000, 0.25)
 
 
+def scatter_grid_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.bounded_grid(display_rows(spark, sf_dir), 40, 25)
+
+
 def confusion_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.confusion_counts(display_rows(spark, sf_dir))
 
@@ -347,6 +373,20 @@ def scored_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = _replay(spark, _table(spark, sf_dir), [CURSOR, END])
     target = f"{paths.root}/export"
     op.export_scored(plans.read_scored(spark, paths), target)
+    return _exported(spark, target)
+
+
+def scored_export_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, exported after each batch: the second export writes the second batch alone."""
+    paths = _table(spark, sf_dir)
+    target = f"{paths.root}/export"
+    for until in (CURSOR, END):
+        _replay(spark, paths, [until])
+        op.export_new(plans.read_scored(spark, paths), target)
+    return _exported(spark, target)
+
+
+def _exported(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target).select(
         *FLAT_COLUMNS,
         "approach_date",
@@ -375,6 +415,7 @@ _QUERIES = [
     cursor_filter,
     late_rows,
     latest_date,
+    latest_stored_date,
     latest_rows,
     features,
     split_keyed,
@@ -386,6 +427,7 @@ _QUERIES = [
     step_late_ledger,
     model_fit,
     model_refit,
+    model_refit_newton,
     score_linear,
     score_table,
     accuracy,
@@ -395,7 +437,9 @@ _QUERIES = [
     scatter_points,
     scatter_points_predicted,
     scatter_grid,
+    scatter_grid_bounded,
     scored_export,
+    scored_export_new,
     run_summary,
 ]
 
@@ -481,6 +525,10 @@ _SQL_ON_CTES = {
         SELECT (approach_date > {_CURSOR})::BIGINT AS batch_id, (sum(count(*)) OVER (ORDER BY batch_id))::BIGINT
           AS total_train, true AS equals_one_fit
         FROM clean WHERE is_train GROUP BY 1""",
+    "model_refit_newton": f"""
+        SELECT (approach_date > {_CURSOR})::BIGINT AS batch_id, (sum(count(*)) OVER (ORDER BY batch_id))::BIGINT
+          AS total_train, true AS equals_one_fit, true AS few_passes
+        FROM clean WHERE is_train GROUP BY 1""",
     "step_stream_ledger": """
         SELECT count(*) AS n_rows, (SELECT count(*) FROM dated) - (SELECT count(*) FROM clean) AS n_rejected,
           0::BIGINT AS n_late, (SELECT count(*) FROM clean WHERE is_train) AS n_train,
@@ -515,6 +563,7 @@ _SQL_ON_CTES = {
     "cursor_filter": f"SELECT {_FLAT} FROM dated WHERE approach_date > {_CURSOR}",
     "late_rows": f"SELECT name, approach_date FROM dated WHERE approach_date <= {_CURSOR}",
     "latest_date": "SELECT max(approach_date) AS latest FROM clean",
+    "latest_stored_date": "SELECT max(approach_date) AS latest FROM dated",
     "latest_rows": "SELECT name, approach_date FROM clean ORDER BY approach_date DESC, name LIMIT 5",
     "features": "SELECT name, "
     + ", ".join(f"{column} AS f{i}" for i, column in enumerate(FEATURE_COLUMNS))
@@ -560,6 +609,15 @@ _SQL_ON_CTES = {
         SELECT floor(miss_distance_km / 10000)::BIGINT AS x_bin,
           floor(estimated_diameter_km_min / 0.25::DOUBLE)::BIGINT AS y_bin, real_value AS class, count(*) AS count
         FROM clean GROUP BY ALL""",
+    "scatter_grid_bounded": """
+        , points AS (
+          SELECT miss_distance_km AS x, estimated_diameter_km_min AS y, real_value AS class,
+            min(miss_distance_km) OVER () AS x0, max(miss_distance_km) OVER () AS x1,
+            min(estimated_diameter_km_min) OVER () AS y0, max(estimated_diameter_km_min) OVER () AS y1
+          FROM clean)
+        SELECT least(39, floor((x - x0) / (x1 - x0) * 40))::BIGINT AS x_bin,
+          least(24, floor((y - y0) / (y1 - y0) * 25))::BIGINT AS y_bin, class, count(*) AS count
+        FROM points GROUP BY ALL""",
     "scored_export": f"""
         SELECT {_FLAT}, approach_date, estimated_diameter_km_max AS second_feature,
           estimated_diameter_km_max - 3.0::DOUBLE AS margin, prediction,
@@ -583,6 +641,9 @@ _SQL_ON_CTES = {
 }
 
 
+_SQL_ON_CTES["scored_export_new"] = _SQL_ON_CTES["scored_export"]
+
+
 def core_sql() -> dict[str, str]:
     return {**_SQL, **{name: samplefeed.CTES + sql for name, sql in _SQL_ON_CTES.items()}}
 

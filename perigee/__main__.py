@@ -69,7 +69,9 @@ def parser() -> argparse.ArgumentParser:
     export = jobs.add_parser("export", help="write the latest scored rows")
     export.add_argument("root")
     export.add_argument("path")
-    export.add_argument("--all", action="store_true", help="every batch, not only the latest")
+    which = export.add_mutually_exclusive_group()
+    which.add_argument("--all", action="store_true", help="every batch, not only the latest")
+    which.add_argument("--new", action="store_true", help="the batches that the target doesn't hold yet")
 
     summary = jobs.add_parser("summary", help="print the headline figures")
     summary.add_argument("root")
@@ -132,6 +134,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             rows = sources.read_to_score(spark.read.parquet(args.rows))
             operators.score_table(rows, model).write.parquet(args.path)
         case "export":
+            if args.new:
+                operators.export_new(plans.read_scored(spark, paths), args.path)
+                return
             operators.export_scored(plans.read_scored(spark, paths, latest_only=not args.all), args.path)
         case "summary":
             plans.run_summary(plans.read_ledger(spark, paths), args.start).show(truncate=False)

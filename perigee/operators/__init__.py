@@ -22,9 +22,12 @@ from perigee.operators.model import (
     score_linear,
     score_table,
 )
+from perigee.operators.newton import Newton
 from perigee.operators.report import (
+    bounded_grid,
     confusion_counts,
     display_rows,
+    export_new,
     export_scored,
     report_rows,
     scatter_grid,
@@ -33,14 +36,17 @@ from perigee.operators.report import (
 
 __all__ = [
     "LinearModel",
+    "Newton",
     "accumulate",
     "accuracy",
     "as_linear",
     "assemble",
+    "bounded_grid",
     "clean_rows",
     "confusion_counts",
     "display_rows",
     "encode_label",
+    "export_new",
     "export_scored",
     "fit",
     "flatten",

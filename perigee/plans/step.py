@@ -15,6 +15,7 @@ from perigee.operators.cursor import newer_than
 from perigee.operators.features import split_keyed
 from perigee.operators.flatten import with_reason
 from perigee.operators.model import LinearModel, accumulate, accuracy, as_linear, fit, score_linear
+from perigee.operators.newton import Newton
 from perigee.plans.state import (
     LATE,
     REJECT,
@@ -32,7 +33,7 @@ from perigee.plans.state import (
 from perigee.schema import DATED_SCHEMA, MAX_FILE_ROWS
 from perigee.sources.tables import exists, flat_files, read_flat, rows_of_files
 
-Trainer = Callable[[DataFrame], "LogisticRegressionModel | LinearModel"]
+Trainer = Callable[[DataFrame], "LogisticRegressionModel | LinearModel"]  # a Newton starts from the last model
 
 _STAGED_SCHEMA = f"{DATED_SCHEMA}, reason STRING, part STRING"
 
@@ -122,7 +123,11 @@ def _process(
             if look_back is not None:
                 seen = read_ledger(spark, paths).where(F.col("batch_id").between(batch_id - look_back, batch_id - 1))
                 n_fitted = counts["n_train"] + (seen.agg(F.sum("n_train")).first()[0] or 0)
-        model = as_linear(trainer(accumulate(old, train)))
+        rows = accumulate(old, train)
+        if isinstance(trainer, Newton) and before is not None and before["intercept"] is not None:
+            model = trainer(rows, LinearModel(tuple(before["coefficients"]), before["intercept"]))
+        else:
+            model = as_linear(trainer(rows))
     elif total_train > 0:
         # Nothing new to learn from: a refit would see the same rows as the last one.
         model = LinearModel(tuple(before["coefficients"]), before["intercept"])

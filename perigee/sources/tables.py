@@ -11,6 +11,10 @@ from perigee.functions import to_double
 from perigee.operators.flatten import with_day, with_month
 from perigee.schema import DATED_SCHEMA, FEATURE_COLUMNS, FLAT_TABLE_SCHEMA, FLAT_VIEW, MAX_FILE_ROWS
 
+# The folder of undated rows.
+_NO_MONTH = "approach_month=__HIVE_DEFAULT_PARTITION__"
+
+
 def by_month(flat: DataFrame) -> DataFrame:
     """Flat rows dated and laid out for the table.
 
@@ -55,6 +59,22 @@ def rows_of_files(flat: DataFrame, files: DataFrame, since: datetime) -> DataFra
     return rows.join(files.select("source"), "source", "left_semi").select(*columns)
 
 
+def latest_stored_date(spark: SparkSession, path: str) -> DataFrame:
+    """One row: the newest date of the flat table. Folder names tell the newest month, and it alone is read."""
+    named = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = named.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = (status.getPath().getName() for status in system.listStatus(named)) if system.exists(named) else ()
+    months = sorted((n.partition("=")[2] for n in names if n.startswith("approach_month=") and n != _NO_MONTH), reverse=True)
+    flat = read_flat(spark, path) if months else spark.createDataFrame([], FLAT_TABLE_SCHEMA)
+    latest = flat.where(F.lit(False)).agg(F.max("approach_date").alias("latest"))
+    # A month may hold no rows that are finished; then the one before tells.
+    for month in months:
+        newest = flat.where(F.col("approach_month") == F.lit(month).cast("date")).agg(F.max("approach_date").alias("latest"))
+        if newest.first()["latest"] is not None:
+            return newest
+    return latest
+
+
 def register_flat(spark: SparkSession, path: str, name: str = FLAT_VIEW) -> DataFrame:
     """Makes the flat table visible to SQL under a name."""
     flat = read_flat(spark, path)

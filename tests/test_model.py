@@ -150,3 +150,88 @@ def test_export_of_model_scores(tmp_path, spark, clean, model):
     back = spark.read.parquet(f"{tmp_path}/export")
     assert dict(back.dtypes)["features"] == "array<double>"
     assert back.where("batch_id = 3").count() == scored.count()
+
+
+def labelled(spark, rows):
+    schema = ", ".join(f"{c} DOUBLE" for c in (*FEATURE_COLUMNS, LABEL))
+    return spark.createDataFrame([tuple(map(float, r)) for r in rows], schema)
+
+
+def test_newton_finds_the_default_fit_in_few_passes(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(600, 4)) * [1, 5, 1000, 1e7] + [3, 0, 500, 4e7]
+    margin = (x - x.mean(0)) / x.std(0) @ [1.5, -1, 0.2, 0.5] - 0.7
+    y = rng.random(600) < 1 / (1 + np.exp(-margin))
+    rows = labelled(spark, np.column_stack([x, y]))
+    newton, default = op.Newton(), op.as_linear(op.fit(rows))
+    found = newton(rows)
+    cold = newton.passes
+    assert np.allclose([*found.coefficients, found.intercept], [*default.coefficients, default.intercept], rtol=1e-4)
+    assert cold <= 10
+    more = labelled(spark, np.column_stack([x, y])[:30])
+    again = newton(op.accumulate(rows, more), found)
+    assert newton.passes < cold and again != found
+    assert newton(rows, found).coefficients == pytest.approx(found.coefficients) and newton.passes == 2
+
+
+def test_newton_ends_on_hard_input(spark):
+    newton = op.Newton()
+    apart = labelled(spark, [(k, 1, k * k, 0, k > 5) for k in range(12)])
+    model = newton(apart)
+    assert newton.passes <= newton.most and model.coefficients[1] == model.coefficients[3] == 0.0
+    scored = op.score_linear(apart, *model)
+    assert op.accuracy(scored).first()["accuracy"] == 1.0
+    assert newton(labelled(spark, [(1, 2, 3, 4, 1)] * 3)).intercept == float("inf")
+    assert newton(labelled(spark, [(1, 2, 3, 4, 0), (2, 2, 3, 4, 0)])).intercept == float("-inf")
+    assert newton(labelled(spark, [(1, 2, 3, 4, 0), (2, 2, 3, 4, 1)]), op.LinearModel((0.0,) * 4, float("inf"))).intercept < 0
+    with pytest.raises(ValueError):
+        newton(labelled(spark, []))
+
+
+def test_a_far_point_leaves_the_grid_bounded(spark):
+    rows = [(float(k), float(k % 7), "A") for k in range(100)] + [(1e300, -1e300, "B"), (float("nan"), 1.0, "A"), (None, 1.0, "A")]
+    display = spark.createDataFrame(rows, "miss_distance_km double, estimated_diameter_km_min double, real_value string")
+    for within in (None, (0.05, 0.95)):
+        cells = op.bounded_grid(display, 8, 4, within=within).collect()
+        assert {(c["x_bin"] in range(8), c["y_bin"] in range(4)) for c in cells} == {(True, True)}
+        assert sum(c["count"] for c in cells) == 101 and len(cells) <= 2 * 8 * 4
+    assert len(cells) > 8  # quantiles keep the crowd apart in spite of the far point
+    assert op.bounded_grid(display.limit(0), 8, 4).collect() == []
+    one = op.bounded_grid(display.where("miss_distance_km = 3"), 8, 4).collect()
+    assert [tuple(c) for c in one] == [(0, 0, "A", 1)]
+
+
+def test_export_of_new_batches_alone(spark, tmp_path):
+    def scored(*batches):
+        return spark.createDataFrame([(f"n{b}-{k}", b) for b in batches for k in range(3)], "name string, batch_id bigint")
+
+    target = str(tmp_path / "export")
+    assert op.export_new(scored(0, 1), target) == [0, 1]
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "export").rglob("*.parquet")}
+    assert op.export_new(scored(0, 1, 2), target) == [2]
+    assert all(f.stat().st_mtime_ns == t for f, t in before.items())
+    assert op.export_new(scored(0, 1, 2), target) == []
+    # As after a run that failed before it listed what it wrote.
+    spark.createDataFrame([("half", 3)], "name string, batch_id bigint").write.mode("append").partitionBy("batch_id").parquet(target)
+    assert op.export_new(scored(0, 1, 2, 3), target) == [3]
+    back = spark.read.parquet(target)
+    assert sorted(r["name"] for r in back.collect()) == [f"n{b}-{k}" for b in range(4) for k in range(3)]
+
+
+def test_latest_stored_date_reads_the_newest_month_alone(spark, tmp_path):
+    from perigee import sources
+    from perigee.schema import FLAT_SCHEMA
+
+    path = str(tmp_path / "flat")
+    assert sources.latest_stored_date(spark, path).first()["latest"] is None
+    days = ["2023-11-05", "2024-01-05", "2024-01-09", "x", None]
+    rows = [(f"n{k}", day, 1.0, 1.0, 1.0, 1.0, 0.0) for k, day in enumerate(days)]
+    sources.write_flat(spark.createDataFrame(rows, FLAT_SCHEMA), path)
+    found = sources.latest_stored_date(spark, path)
+    assert str(found.first()["latest"]) == "2024-01-09"
+    (tmp_path / "flat" / "approach_month=2025-01-01").mkdir()
+    assert str(sources.latest_stored_date(spark, path).first()["latest"]) == "2024-01-09"
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "approach_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
