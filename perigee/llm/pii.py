@@ -1,7 +1,7 @@
 """Personal data by offset-preserving deobfuscation (operator 7).
 
 Plain patterns find what is written openly. Then transducers rewrite the text: look-alike characters to ASCII, invisible
-ones to nothing, spelled digits to digits, and disguises of @ and . to themselves. Each character of the outcome carries
+ones to nothing, references and escapes, spelled digits (in four languages) and disguises of @ and . to themselves. Each character of the outcome carries
 the span of the source it came from, so identifiers found in it are mapped back to source characters. What overlaps a
 plain find of its kind is not added, unless look-alikes had cut that short; nor is what no transducer has touched.
 
@@ -120,23 +120,32 @@ def fold(text: str, spans: np.ndarray) -> tuple[str, np.ndarray]:
     return "".join(folded), spans[np.fromiter(map(bool, folded), bool, len(folded))]
 
 
-# Names of the digits, and of what stands between and before them.
+# Names of the digits in English, French, German and Spanish, and of what stands between and before them.
 _DIGIT_NAMES = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7",
     "eight": "8", "nine": "9",
+    "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
+    "null": "0", "eins": "1", "zwei": "2", "zwo": "2", "drei": "3", "vier": "4", "fünf": "5", "sechs": "6", "sieben": "7",
+    "acht": "8", "neun": "9",
+    "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8",
+    "nueve": "9",
 }
-_NAME = "|".join(_DIGIT_NAMES)
-_MARK = {"dot": ".", "point": ".", "period": ".", "plus": "+", "dash": "-", "hyphen": "-"}
-_TOKEN = re.compile(rf"(?<![A-Za-z])(?:{_NAME}|{'|'.join(_MARK)})(?![A-Za-z])|[0-9]+", re.IGNORECASE)
+_TIMES = {"double": 2, "triple": 3}
+_NAME = rf"(?:(?:{'|'.join(_TIMES)})[\x20-]+)?(?:{'|'.join(sorted(_DIGIT_NAMES, key=len, reverse=True))})"
+_MARK = {
+    "dot": ".", "point": ".", "period": ".", "punkt": ".", "punto": ".", "plus": "+", "más": "+", "dash": "-", "hyphen": "-",
+}
+_LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+_TOKEN = re.compile(rf"(?<!{_LETTER})(?:{_NAME}|{'|'.join(_MARK)})(?!{_LETTER})|[0-9]+", re.IGNORECASE)
 _SPELLED = re.compile(
-    rf"(?<![A-Za-z0-9])(?:plus[\x20-]+)?(?:(?:{_NAME})(?![A-Za-z])|[0-9]+)"
-    rf"(?:[\x20,.()-]+(?:(?:{_NAME}|dot|point|period|dash|hyphen)(?![A-Za-z])|[0-9]+))+",
+    rf"(?<![0-9])(?<!{_LETTER})(?:(?:plus|más)[\x20-]+)?(?:{_NAME}(?!{_LETTER})|[0-9]+)"
+    rf"(?:[\x20,.()-]+(?:(?:{_NAME}|dot|point|period|punkt|punto|dash|hyphen)(?!{_LETTER})|[0-9]+))+",
     re.IGNORECASE,
 )
-_NAMED = re.compile(rf"(?<![A-Za-z])(?:{_NAME})(?![A-Za-z])", re.IGNORECASE)
+_NAMED = re.compile(rf"(?<!{_LETTER})(?:{_NAME})(?!{_LETTER})", re.IGNORECASE)
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _BRACKETED = re.compile(
-    rf"(?:(?<!\s)\s+)?{_OPEN}\s*(?:(?P<at>at|@)|(?P<dot>dot|point|punkt|punto|\.))\s*{_CLOSE}\s*", re.IGNORECASE
+    rf"(?:(?<!\s)\s+)?{_OPEN}\s*(?:(?P<at>at|ät|arroba|arobase|@)|(?P<dot>dot|point|punkt|punto|\.))\s*{_CLOSE}\s*", re.IGNORECASE
 )
 # Endings of host names that are no common word, so that a sentence with "at" and "dot" isn't taken for one.
 _TOP = "com|net|org|edu|gov|mil|info|biz|dev|app|io|ai|co|tv|uk|de|fr|es|nl|ch|eu|ca|au|jp|cn|br|ru|pl|se|fi|dk|pt"
@@ -230,6 +239,46 @@ def _replaced(text: str, spans: np.ndarray, edits: list[tuple[int, int, str]]) -
     return "".join([*out, text[at:]]), np.concatenate([*mapped, spans[at:]])
 
 
+# Characters written as references or percent escapes, and words that stand for @ alone.
+_ESCAPED = re.compile(r"&#0{0,8}(64|46|43);|&#x0{0,8}(40|2e|2b);|&(commat|period|plus);|%(40|2e|2b)", re.IGNORECASE)
+_ESCAPES = {"64": "@", "40": "@", "commat": "@", "46": ".", "2e": ".", "period": ".", "43": "+", "2b": "+", "plus": "+"}
+_AT_WORD = re.compile(rf"(?<=[A-Za-z0-9])\s+(?:arroba|arobase)\s+(?={_LABEL}(?:\s+(?:punto|punkt|point|dot)\s+|\s*\.\s*)[A-Za-z])", re.IGNORECASE)
+_DOT_WORDS = re.compile(rf"@\s*{_LABEL}(?:\s+(?:punto|punkt|point|dot)\s+{_LABEL}){{1,15}}", re.IGNORECASE)
+_DOT_WORD = re.compile(r"\s+(?:punto|punkt|point)\s+", re.IGNORECASE)
+#: jane_at_mail_dot_com, jane-at-mail-dot-com
+_JOINED = re.compile(
+    rf"(?<![A-Za-z0-9._%+-])(?P<name>[A-Za-z0-9.%+]+)(?P<by>[_-])at(?P=by)(?P<host>[A-Za-z0-9]+(?:(?P=by)dot(?P=by)[A-Za-z0-9]+){{1,15}})(?![A-Za-z0-9_-])",
+    re.IGNORECASE,
+)
+#: janeATmailDOTcom
+_CAPITAL = re.compile(r"(?<![A-Za-z0-9._%+-])(?P<name>[a-z0-9._%+-]+)AT(?P<host>[a-z0-9-]+(?:DOT[a-z0-9-]+){1,15})(?![A-Za-z0-9-])")
+_CAPITAL_DOT, _JOINED_DOT = re.compile("DOT"), re.compile("[_-]dot[_-]", re.IGNORECASE)
+#: j a n e @ and @ m a i l . c o m
+_LETTERS_BEFORE = re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9](?:\x20[A-Za-z0-9._-]){2,63}(?=\s*@)")
+_LETTERS_AFTER = re.compile(r"@\s*[A-Za-z0-9](?:\x20[A-Za-z0-9.-]){3,63}(?![A-Za-z0-9])")
+#: + 49 151 ..., no sum
+_APART_PLUS = re.compile(r"(?:\A|(?<=[\n(:])|(?<=[^0-9)\]=\x20]\x20))\+\x20+(?=[0-9]{1,3}[\x20().-]*[0-9])")
+
+
+def joined(text: str, spans: np.ndarray) -> tuple[str, np.ndarray]:
+    """Escaped marks, words for @ and what follows them, disguises without spaces, spaced letters and a plus apart."""
+    edits = [(m.start(), m.end(), _ESCAPES[m[m.lastindex].lower()]) for m in _ESCAPED.finditer(text)]
+    text, spans = _replaced(text, spans, edits)
+    text, spans = _replaced(text, spans, [(m.start(), m.end(), "@") for m in _AT_WORD.finditer(text)])
+    edits = [(d.start(), d.end(), ".") for m in _DOT_WORDS.finditer(text) for d in _DOT_WORD.finditer(text, *m.span())]
+    text, spans = _replaced(text, spans, edits)
+    for pattern, dot, width in ((_JOINED, _JOINED_DOT, 4), (_CAPITAL, _CAPITAL_DOT, 2)):
+        edits = []
+        for m in pattern.finditer(text):
+            edits.append((m.end("name"), m.end("name") + width, "@"))
+            edits += [(d.start(), d.end(), ".") for d in dot.finditer(text, *m.span("host"))]
+        text, spans = _replaced(text, spans, edits)
+    for letters in (_LETTERS_BEFORE, _LETTERS_AFTER):
+        edits = [(k, k + 1, "") for m in letters.finditer(text) for k in range(*m.span()) if text[k] == " "]
+        text, spans = _replaced(text, spans, edits)
+    return _replaced(text, spans, [(m.start() + 1, m.end(), "") for m in _APART_PLUS.finditer(text)])
+
+
 def spelled_digits(text: str, spans: np.ndarray) -> tuple[str, np.ndarray]:
     """Runs of digit names, with digits and named marks among them, to digits. A single . between two tokens stays."""
     edits: list[tuple[int, int, str]] = []
@@ -240,12 +289,19 @@ def spelled_digits(text: str, spans: np.ndarray) -> tuple[str, np.ndarray]:
         for token in _TOKEN.finditer(text, run.start(), run.end()):
             if before is not None and text[before : token.start()] != ".":  # what parts the tokens goes
                 edits.append((before, token.start(), ""))
-            name = token[0].lower()
-            edits.append((token.start(), token.end(), _DIGIT_NAMES.get(name) or _MARK.get(name) or token[0]))
+            edits.append((token.start(), token.end(), _spelled(token[0].lower())))
             before = token.end()
     return _replaced(text, spans, [e for e in edits if e[0] < e[1]])
 
 
+def _spelled(token: str) -> str:
+    """The digits or the mark that a token names; digits stay."""
+    times, _, name = token.replace("-", " ").rpartition(" ")
+    if name in _DIGIT_NAMES:
+        return _DIGIT_NAMES[name] * _TIMES.get(times.strip(), 1)
+    return _MARK.get(token, token)
+
+
 def marks(text: str, spans: np.ndarray) -> tuple[str, np.ndarray]:
     """(at), [dot] and the like; then addresses and numbers whose marks are words or stand apart."""
     edits = [(m.start(), m.end(), "@" if m["at"] else ".") for m in _BRACKETED.finditer(text)]
@@ -261,7 +317,8 @@ def marks(text: str, spans: np.ndarray) -> tuple[str, np.ndarray]:
 
 
 # What a disguise holds, in lower case; a text without any needs no transducer.
-_BRACKETS = tuple(f"{a}{s}{b}" for a in "[({<" for s in ("", " ") for b in ("at", "@", "dot", ".", "point", "punkt", "punto"))
+_BRACKETS = tuple(f"{a}{s}{b}" for a in "[({<" for s in ("", " ") for b in ("at", "ät", "arroba", "arobase", "@", "dot", ".", "point", "punkt", "punto"))
+_JOINTS = "&#", "&commat", "&period", "&plus", "%40", "%2e", "%2b", "arroba", "arobase", "_at_", "-at-", "+ "
 
 
 def _disguises(text: str) -> bool:
@@ -269,6 +326,8 @@ def _disguises(text: str) -> bool:
     if not text.isascii() and any(_folded(c) != c for c in set(text) if c >= "\x80"):
         return True
     low = text.lower()
+    if any(j in low for j in _JOINTS) or "DOT" in text and _CAPITAL.search(text):
+        return True
     if " dot " in low or any(b in low for b in _BRACKETS):
         return True
     if "@" in low and re.search(r"\s@|@\s", low) or re.search(r"\bdot\b", low):
@@ -292,7 +351,7 @@ def hidden(text: str, open_spans: dict[str, list[Span]]) -> dict[str, list[Span]
         return none
     places = np.arange(len(text))
     spans = np.stack([places, places + 1], 1)
-    seen, source = marks(*spelled_digits(*fold(text, spans)))
+    seen, source = marks(*spelled_digits(*joined(*fold(text, spans))))
     if seen == text:
         return none
     out = {}

@@ -243,7 +243,25 @@ def test_packer_keeps_all_limits(examples, tokens, segments, loss, pool):
     assert {k: sorted(v) for k, v in seen.items()} == {k: list(range(n)) for k, (n, _) in enumerate(examples)}
 
 
-DISGUISED = [
+MORE_DISGUISED = [
+    ("write jane_at_mail_dot_com now", "email", "jane_at_mail_dot_com"),
+    ("write jane-at-mail-dot-com now", "email", "jane-at-mail-dot-com"),
+    ("write janeATmailDOTcom now", "email", "janeATmailDOTcom"),
+    ("x jane&#64;mail.com y", "email", "jane&#64;mail.com"),
+    ("x jane&#x40;mail&period;com y", "email", "jane&#x40;mail&period;com"),
+    ("x jane%40mail.com y", "email", "jane%40mail.com"),
+    ("x jane arroba mail punto es y", "email", "jane arroba mail punto es"),
+    ("x jane arobase mail point fr y", "email", "jane arobase mail point fr"),
+    ("x jane (ät) mail (punkt) de y", "email", "jane (ät) mail (punkt) de"),
+    ("mail j a n e @ mail . com y", "email", "j a n e @ mail . com"),
+    ("call + 49 151 2345 6789 now", "phone", "+ 49 151 2345 6789"),
+    ("plus four nine one five one double five two three four five six", "phone", "plus four nine one five one double five two three four five six"),
+    ("plus neun vier eins fünf eins zwei drei vier fünf sechs", "phone", "plus neun vier eins fünf eins zwei drei vier fünf sechs"),
+    ("más tres cuatro seis uno dos tres cuatro cinco seis", "phone", "más tres cuatro seis uno dos tres cuatro cinco seis"),
+    ("plus trois trois un deux trois quatre cinq six sept", "phone", "plus trois trois un deux trois quatre cinq six sept"),
+]
+
+DISGUISED = MORE_DISGUISED + [
     ("mail john.doe (at) example (dot) com now", "email", "john.doe (at) example (dot) com"),
     ("write jane dot doe at example dot com please", "email", "jane dot doe at example dot com"),
     ("see jоhn@exаmple.com ok", "email", "jоhn@exаmple.com"),
@@ -267,9 +285,21 @@ def test_disguises_map_back_to_the_source(text, kind, want):
     assert f"[{kind}]" in pii.mask(text) and want not in pii.mask(text)
 
 
+def test_planted_disguises_in_a_table(documents):
+    """Through the table's function, in longer texts; a plain version looks the source up."""
+    filler = "Some words stand before, one of them é. "
+    pairs = [(k, f"{filler * (k % 3)}{text}. {filler}") for k, (text, _, _) in enumerate(DISGUISED)] + [(99, filler), (None, None)]
+    rows = {r["doc_id"]: r["spans"] for r in pii.found(documents(*pairs)).collect()}
+    for k, (_, kind, want) in enumerate(DISGUISED):
+        start = pairs[k][1].index(want)
+        assert [(s["kind"], s["start"], s["end"], s["plain"]) for s in rows[k]] == [(kind, start, start + len(want), False)]
+    assert rows[99] == rows[None] == []
+
+
 @pytest.mark.parametrize("text", [
     "He looked at the dot on the map.", "We meet at example.com today.", "one two three four five six seven",
-    "Three at a time, dot by dot.", "café нет 1234 5678", "point 3 dot 5 dot 7 now",
+    "una arroba de trigo y punto final", "5 + 49 151 2345 6789 = x", "state-of-the-art-at-home", "100%40 and &#64; alone",
+    "un deux trois quatre cinq six sept huit neuf", "the a b c @ school. Then", "Three at a time, dot by dot.", "café нет 1234 5678", "point 3 dot 5 dot 7 now",
     "", None,
 ])
 def test_no_disguise(text):
