@@ -14,8 +14,8 @@ them or, outside marked regions, because their text is mostly links over all pag
 (else a main region, else blocks named as content that hold most of its text) only what is in them stays. On a host's few
 first pages, too few for classes, names alone decide.
 
-Templates are as large as pages, not as hosts. Their join to the pages is left to Spark: small tables of templates go to all
-executors, larger ones are shuffled plainly with the pages, so that adaptive execution splits a large host.
+Templates are as large as pages, not as hosts. If all of them together hold at most SMALL tokens they go to all executors,
+and no page is moved; otherwise they are shuffled plainly with the pages, so that adaptive execution splits a large host.
 
 Defined cases: a null or empty html, or one without such text, gives an empty text and 0; pages without a host share no
 template; repeated rows are pages like others, but copies don't make a template out of an article: template text stays
@@ -44,6 +44,8 @@ MARKED, UNMARKED = 0.5, 0.9
 #: A slot whose text is links in more than this share is a menu.
 LINKS = 0.5
 _HELD = 100_000
+#: Tokens of templates, of eight bytes, that may be broadcast.
+SMALL = 1_000_000
 
 # Roles of HTML elements.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -446,6 +448,9 @@ def main_text(html: str | None, classes: list[list[int]] = (), texts: list[int]
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row."""
     made = stored(templates(stored(roles(pages)))).withColumnRenamed("host", "of")
+    held = F.aggregate("classes", F.size("texts") + F.size("menus"), lambda n, tokens: n + F.size(tokens))
+    if (made.agg(F.sum(held)).first()[0] or 0) <= SMALL:
+        made = F.broadcast(made)
     rows = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"))
     joined = rows.join(made, F.col("host") == F.col("of"), "left")
 

@@ -5,7 +5,8 @@ each partition i gets a threshold t_i with sum(t_i) = distance - partitions + 1,
 distance then lie within t_i of each other in some partition i (the general pigeonhole principle; t_i = -1 leaves a
 partition out). Dynamic programming picks the thresholds with the fewest estimated candidates, for several numbers of
 partitions, and the cheapest of these plans is used. Each distinct fingerprint is indexed under its own bits of a
-partition and probes those within t_i. A bucket is verified in blocks, so that a hot one spreads over tasks; a block
+partition and probes those within t_i. A bucket of many rows is split by its other bits, by the same principle with
+thresholds of zero. What remains of a bucket is verified in blocks, so that a hot one spreads over tasks; a block
 gives links that connect what it found, not all its pairs. Components come from label propagation over the links.
 
 Defined cases: a text without words has fingerprint zero and is linked like any other; a text of fewer words than a
@@ -32,6 +33,8 @@ BITS = 64
 SHINGLE, DISTANCE, SEED = 3, 3, 42
 #: Rows of a block of a bucket: the largest matrix that a task compares at once is this squared.
 BLOCK_ROWS = 2048
+#: Buckets of more than so many blocks are split by their other bits first.
+HOT_BLOCKS = 8
 
 
 # Fingerprints
@@ -280,6 +283,28 @@ def _search(distance: int):
     return search
 
 
+def _split(held: DataFrame, parts: list[tuple[list[int], int]], distance: int, limit: int) -> DataFrame:
+    """The rows of buckets, of which those over the limit are split by their other bits.
+
+    Outside a partition's bits near fingerprints differ by at most the distance as well, so of distance + 1 groups of the
+    other bits one at least is equal: each row goes to that many smaller buckets, whatever the size of the old one.
+    """
+    subs = distance + 1
+    masks = []
+    for bits, _ in parts:
+        other = [b for b in range(BITS) if b not in bits]
+        masks += [sum(1 << b for b in other[len(other) * k // subs : len(other) * (k + 1) // subs]) for k in range(subs)]
+    signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
+    hot = held.where(F.col("n") > limit).select("part", "key", "fp", "probe", F.explode(F.sequence(F.lit(0), F.lit(subs - 1))).alias("sub"))
+    mask = F.element_at(F.array(*map(F.lit, signed)), F.col("part") * subs + F.col("sub") + 1)
+    key = F.xxhash64("part", "key", "sub", F.col("fp").bitwiseAND(mask))
+    hot = stored(hot.select("part", key.alias("key"), "fp", "probe"))
+    counts = hot.groupBy("part", "key").agg(F.count("*").alias("n"), F.count_if("probe").alias("probes"))
+    smaller = hot.join(stored(counts.where("n > 1 AND probes < n")), ["part", "key"])
+    columns = ["part", "key", "fp", "probe", "n"]
+    return held.where(F.col("n") <= limit).select(*columns).unionByName(smaller.select(*columns))
+
+
 def linked(prints: DataFrame, distance: int = DISTANCE, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """a, b: links between distinct fingerprints (column fp) within the distance that connect every component."""
     n, both = bit_pair_counts(prints)
@@ -291,6 +316,8 @@ def linked(prints: DataFrame, distance: int = DISTANCE, block_rows: int = BLOCK_
     # Stored, so that both sides of the join are plain shuffles, whose large parts adaptive execution can split.
     counts = stored(counts)
     held = rows.join(counts, ["part", "key"])
+    if not counts.where(F.col("n") > HOT_BLOCKS * block_rows).isEmpty():
+        held = _split(held, parts, distance, HOT_BLOCKS * block_rows)
     blocks = F.ceil(F.col("n") / block_rows).cast("int")
     # A row of block i takes part in the block pairs (i, j) and (j, i) with the smaller first.
     own = F.pmod(F.xxhash64("fp", "probe"), blocks).cast("int")

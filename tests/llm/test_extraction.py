@@ -111,7 +111,10 @@ def test_regions_and_cut_pages():
     assert main(None) == main("") == main("<nav>x</nav>") == main("<") [:0] == ""
 
 
-def test_hard_cases_equal_the_plain_version(spark):
+@pytest.mark.parametrize("small", [extraction.SMALL, 0])
+def test_hard_cases_equal_the_plain_version(spark, monkeypatch, small):
+    """With templates broadcast and joined."""
+    monkeypatch.setattr(extraction, "SMALL", small)
     rng = random.Random(3)
     copy, _ = site(rng, "one", 1)
     rows = [(k, "http://copies.example/x", copy) for k in range(20)] + [(5, "http://copies.example/x", copy)] * 2
