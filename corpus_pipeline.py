@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read again as the next one's docs.
 All but the last return the columns of documents; n_chars follows a changed text.
+
+Defined cases, besides those of the operators' modules: a null or empty text is rejected by the first stage, and kept by
+each later one as its operator says; texts of any length are read whole; of equal rankings the smaller doc_id stays;
+repeated rows are judged alike by every stage but near_dedup, which keeps one of them; an empty table gives an empty one;
+further columns, whatever their names, stay as they are up to the last stage.
 """
 
 from __future__ import annotations
