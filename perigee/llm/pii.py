@@ -254,8 +254,8 @@ _JOINED = re.compile(
 _CAPITAL = re.compile(r"(?<![A-Za-z0-9._%+-])(?P<name>[a-z0-9._%+-]+)AT(?P<host>[a-z0-9-]+(?:DOT[a-z0-9-]+){1,15})(?![A-Za-z0-9-])")
 _CAPITAL_DOT, _JOINED_DOT = re.compile("DOT"), re.compile("[_-]dot[_-]", re.IGNORECASE)
 #: j a n e @ and @ m a i l . c o m
-_LETTERS_BEFORE = re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9](?:\x20[A-Za-z0-9._-]){2,63}(?=\s*@)")
-_LETTERS_AFTER = re.compile(r"@\s*[A-Za-z0-9](?:\x20[A-Za-z0-9.-]){3,63}(?![A-Za-z0-9])")
+_LETTERS_BEFORE = re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9](?:\x20[A-Za-z0-9_]){2,63}(?=\s*@)")
+_LETTERS_AFTER = re.compile(r"@\s*(?:[A-Za-z0-9]\x20){2,63}\.(?:\x20[A-Za-z0-9.]){0,126}\x20[A-Za-z]\x20[A-Za-z](?![A-Za-z0-9])(?!\s*@)")
 #: + 49 151 ..., no sum
 _APART_PLUS = re.compile(r"(?:\A|(?<=[\n(:])|(?<=[^0-9)\]=\x20]\x20))\+\x20+(?=[0-9]{1,3}[\x20().-]*[0-9])")
 
