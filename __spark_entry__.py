@@ -84,6 +84,18 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.flatten(streaming.read_fanned(spark, f"{root}/fanned").select("value"))
 
 
+def batch_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed envelopes fanned out by batch steps, decoded; half of them land after the first, and the last finds none."""
+    root = plans.shared_root(spark)
+    envelopes = samplefeed.envelopes(spark, sf_dir)
+    for part in range(3):
+        half = F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(2)) == part
+        if part < 2:
+            envelopes.where(half).write.mode("append").parquet(f"{root}/envelopes")
+        plans.fan_out_step(spark, f"{root}/envelopes", f"{root}/done", "parquet", options={"path": f"{root}/messages"})
+    return op.flatten(sources.read_messages(spark, options={"path": f"{root}/messages"}))
+
+
 # Decode and flatten
 
 
@@ -405,6 +417,7 @@ _QUERIES = [
     feed_date_counts,
     feed_roundtrip,
     stream_fan_out,
+    batch_fan_out,
     feed_rejects,
     flatten,
     first_element,
@@ -505,7 +518,7 @@ _SQL = {
         FROM lineitem WHERE l_orderkey % 59 = 0 OR l_orderkey % 67 = 0 GROUP BY ALL""",
 }
 
-_SQL["stream_fan_out"] = _SQL["feed_roundtrip"]
+_SQL["stream_fan_out"] = _SQL["batch_fan_out"] = _SQL["feed_roundtrip"]
 
 _REJECTS = """
     SELECT CASE WHEN name IS NULL THEN 'undecodable' WHEN approach_date IS NULL THEN 'no_date'

@@ -6,7 +6,6 @@ The session is the submitted one; nothing is configured here.
 from __future__ import annotations
 
 import argparse
-import uuid
 from datetime import date
 
 from pyspark.sql import SparkSession
@@ -19,7 +18,7 @@ def _options(pairs: list[str]) -> dict[str, str]:
 
 
 def _endpoint(parser: argparse.ArgumentParser) -> None:
-    parser.add_argument("--format", default="parquet", help="message format: parquet, text, kafka, ...")
+    parser.add_argument("--format", default="parquet", help="message format: parquet, text, kafka, ...; fanned: a table of stream-fan-out, to read")
     parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
 
 
@@ -36,7 +35,7 @@ def parser() -> argparse.ArgumentParser:
 
     fan_out = jobs.add_parser("fan-out", help="publish the objects of landed envelopes as messages, once")
     fan_out.add_argument("envelopes")
-    fan_out.add_argument("done", help="table of the envelopes fanned out before, kept by this job")
+    fan_out.add_argument("done", help="folder of the files and envelopes fanned out before, kept by this job")
     fan_out.add_argument("--envelope-format", default="text")
     fan_out.add_argument("--rejects", help="table to which broken envelopes and empty list elements go")
     _endpoint(fan_out)
@@ -79,25 +78,6 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
-def _fan_out(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Publishes the envelopes that `done` doesn't list, then lists them and drops its copy of them: a run that fails
-    in between publishes them again, one that ends well never does. stream-fan-out publishes once in any case."""
-    attempt = f"{args.done}/run={uuid.uuid4().hex}"
-    done = spark.createDataFrame([], "digest STRING")
-    if sources.exists(spark, args.done):
-        done = spark.read.schema("digest STRING").option("recursiveFileLookup", True).parquet(args.done)
-    found = sources.read_envelopes(spark, args.envelopes, args.envelope_format)
-    new = sources.unpublished(found, done)
-    # What is listed is what was published, whatever lands meanwhile.
-    new.write.parquet(f"{attempt}/_staged")
-    staged = spark.read.schema("digest STRING, value STRING").parquet(f"{attempt}/_staged")
-    sources.publish(sources.explode_envelope(staged), args.format, _options(args.option))
-    if args.rejects is not None:
-        sources.envelope_rejects(staged).write.mode("append").parquet(args.rejects)
-    staged.select("digest").write.parquet(f"{attempt}/digests")
-    sources.delete(spark, f"{attempt}/_staged")
-
-
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     paths = plans.StatePaths(args.root) if "root" in args else None
     match args.job:
@@ -108,21 +88,21 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
                 windows = sources.pending_windows(windows, landed.select(landed["date"].alias("window_start")))
             windows.write.mode("overwrite").parquet(args.path)
         case "fan-out":
-            _fan_out(spark, args)
+            options = _options(args.option)
+            plans.fan_out_step(spark, args.envelopes, args.done, args.envelope_format, args.format, options, args.rejects)
         case "stream-fan-out":
             trigger = streaming.LIVE if args.live else streaming.AVAILABLE_NOW
             streaming.start_fan_out(
                 spark, args.envelopes, args.path, args.checkpoint, args.envelope_format, trigger
             ).awaitTermination()
         case "stream":
-            streaming.run_flat_stream(
-                spark,
-                paths.flat,
-                paths.checkpoint("flat"),
-                args.format,
-                _options(args.option),
-                streaming.LIVE if args.live else streaming.AVAILABLE_NOW,
-            )
+            trigger, options = streaming.LIVE if args.live else streaming.AVAILABLE_NOW, _options(args.option)
+            if args.format == "fanned":
+                messages = streaming.read_fanned(spark, options["path"], stream=True)
+                flat = operators.flatten(messages.select("value"))
+                streaming.write_flat_stream(flat, paths.flat, paths.checkpoint("flat"), trigger).awaitTermination()
+                return
+            streaming.run_flat_stream(spark, paths.flat, paths.checkpoint("flat"), args.format, options, trigger)
         case "step":
             settings = {"initial": args.initial, "cursor_from": args.cursor_from, "look_back": args.look_back}
             if args.every is None:

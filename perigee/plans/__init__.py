@@ -1,3 +1,4 @@
+from perigee.plans.publishing import fan_out_step
 from perigee.plans.state import (
     StatePaths,
     latest_batch,
@@ -15,6 +16,7 @@ from perigee.plans.summary import run_summary
 
 __all__ = [
     "StatePaths",
+    "fan_out_step",
     "latest_batch",
     "merge",
     "process_batch",

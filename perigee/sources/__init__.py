@@ -8,7 +8,7 @@ from perigee.sources.envelopes import (
     unpublished,
 )
 from perigee.sources.messages import encode, message_stream, publish, read_messages
-from perigee.sources.tables import delete, exists, flat_files, latest_stored_date, read_flat, read_to_score, register_flat, rows_of_files, write_flat
+from perigee.sources.tables import delete, exists, flat_files, landed_files, latest_stored_date, read_flat, read_to_score, register_flat, rows_of_files, write_flat
 from perigee.sources.windows import feed_windows, pending_windows, windows_over
 
 __all__ = [
@@ -22,6 +22,7 @@ __all__ = [
     "fan_out",
     "feed_windows",
     "flat_files",
+    "landed_files",
     "latest_stored_date",
     "message_stream",
     "pending_windows",

@@ -44,18 +44,22 @@ def read_flat(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FLAT_TABLE_SCHEMA).parquet(path)
 
 
-def flat_files(spark: SparkSession, path: str) -> DataFrame:
-    """source (file path) and modified of each file of the flat table: a listing, which opens none of them."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+def landed_files(spark: SparkSession, path: str, names: str = "*") -> DataFrame:
+    """source (file path) and modified of each file of a folder: a listing, which opens none of them."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(path)
     return files.select(
         F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_modification_time").alias("modified")
     )
 
 
-def rows_of_files(flat: DataFrame, files: DataFrame, since: datetime) -> DataFrame:
-    """The flat table's rows in those files, the oldest of which was modified at `since`: older files are not opened."""
-    place, columns = F.col("_metadata.file_path"), flat.columns
-    rows = flat.where(F.col("_metadata.file_modification_time") >= F.lit(since)).select(*columns, place.alias("source"))
+def flat_files(spark: SparkSession, path: str) -> DataFrame:
+    return landed_files(spark, path, "*.parquet")
+
+
+def rows_of_files(table: DataFrame, files: DataFrame, since: datetime) -> DataFrame:
+    """The table's rows in those files, the oldest of which was modified at `since`: older files are not opened."""
+    place, columns = F.col("_metadata.file_path"), table.columns
+    rows = table.where(F.col("_metadata.file_modification_time") >= F.lit(since)).select(*columns, place.alias("source"))
     return rows.join(files.select("source"), "source", "left_semi").select(*columns)
 
 

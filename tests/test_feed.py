@@ -239,3 +239,106 @@ def test_repeated_messages_are_dropped_by_key(spark, tmp_path):
         query.awaitTermination(120)
         query_rows.append(sorted(r["key"] for r in spark.read.schema(schema).parquet(str(tmp_path / "once")).collect()))
     assert query_rows == [["k1", "k2"]] * 2
+
+
+def step(spark, tmp_path, **settings):
+    from perigee import plans
+
+    return plans.fan_out_step(
+        spark, str(tmp_path / "in"), str(tmp_path / "done"), options={"path": str(tmp_path / "out")}, rejects=str(tmp_path / "bad"), **settings
+    )
+
+
+def published(spark, tmp_path):
+    messages = sources.read_messages(spark, options={"path": str(tmp_path / "out")}).collect()
+    rejects = spark.read.parquet(str(tmp_path / "bad")).select("reason", "date", "value").collect()
+    return sorted(json.loads(r["value"])["name"] for r in messages), sorted(map(tuple, rejects), key=str)
+
+
+ALL_REJECTS = sorted([("empty_element", "2024-01-05", None), *(("undecodable", None, t) for t in LANDED[2:])], key=str)
+
+
+def test_a_batch_step_opens_new_files_alone(spark, tmp_path, monkeypatch):
+    from perigee.plans import publishing
+
+    land(tmp_path / "in", *LANDED)
+    assert step(spark, tmp_path) == 0 and published(spark, tmp_path) == (["a", "b", "c"], ALL_REJECTS)
+    assert step(spark, tmp_path) is None
+    # Equal envelopes count once, across steps and within one; those opened before are not opened again.
+    land(tmp_path / "in", '{"near_earth_objects": {"2024-01-09": [{"name": "d"}]}}', LANDED[0], LANDED[2], of="y")
+    land(tmp_path / "in", '{"near_earth_objects": {"2024-01-09": [{"name": "d"}]}}', of="z")
+    opened = []
+    rows_of_files = publishing.rows_of_files
+    monkeypatch.setattr(publishing, "rows_of_files", lambda *a: opened.append(rows_of_files(*a)) or opened[-1])
+    assert step(spark, tmp_path) == 1 and opened[0].count() == 4
+    assert published(spark, tmp_path) == (["a", "b", "c", "d"], ALL_REJECTS)
+    # The staged copies are gone.
+    assert not list((tmp_path / "done").glob("*/envelopes")) and step(spark, tmp_path) is None
+
+
+@pytest.mark.parametrize("at", ["stage", "before messages", "messages written", "before rejects", "before listing", "before cleaning"])
+def test_a_batch_step_that_failed_publishes_each_object_once(spark, tmp_path, monkeypatch, at):
+    from perigee.plans import publishing
+
+    class Crash(Exception):
+        pass
+
+    def crash(*_):
+        raise Crash
+
+    land(tmp_path / "in", *LANDED)
+    visible, delete, publish = publishing._visible_at_once, publishing._delete, publishing.publish
+    calls = []
+
+    def nth(spark, path, name, write):
+        calls.append(path)
+        if (at, len(calls)) in (("before messages", 1), ("before rejects", 2)):
+            raise Crash
+        visible(spark, path, name, write)
+        if (at, len(calls)) == ("before listing", 2):
+            raise Crash
+
+    with monkeypatch.context() as broken:
+        if at == "stage":
+            broken.setattr(publishing, "unpublished", crash)
+        elif at == "messages written":
+            broken.setattr(publishing, "publish", lambda *a: crash(publish(*a)))
+        elif at == "before cleaning":
+            broken.setattr(publishing, "_delete", lambda s, p: crash() if p.endswith("/envelopes") else delete(s, p))
+        else:
+            broken.setattr(publishing, "_visible_at_once", nth)
+        with pytest.raises(Crash):
+            step(spark, tmp_path)
+    # What lands in between is left to the step after.
+    land(tmp_path / "in", '{"near_earth_objects": {"2024-01-09": [{"name": "d"}]}}', of="y")
+    steps = [step(spark, tmp_path) for _ in range(3)]
+    assert steps[-1] is None and published(spark, tmp_path) == (["a", "b", "c", "d"], ALL_REJECTS)
+    assert not list((tmp_path / "done").glob("*/envelopes"))
+
+
+def test_two_fan_outs_share_a_directory_that_streams_read(spark, tmp_path):
+    from perigee import plans, streaming
+
+    land(tmp_path / "in", LANDED[0])
+    land(tmp_path / "in2", LANDED[1])
+    for folder in ("in", "in2"):
+        plans.fan_out_step(spark, str(tmp_path / folder), str(tmp_path / f"done-{folder}"), options={"path": str(tmp_path / "out")})
+    flat, check = str(tmp_path / "flat"), str(tmp_path / "check")
+    for want in (["a", "b", "c"], ["a", "b", "c", "d"]):
+        streaming.run_flat_stream(spark, flat, check, options={"path": str(tmp_path / "out")}, timeout=120)
+        assert sorted(r["name"] for r in sources.read_flat(spark, flat).collect()) == want
+        land(tmp_path / "in", '{"near_earth_objects": {"2024-01-09": [{"name": "d"}]}}', of="y")
+        plans.fan_out_step(spark, str(tmp_path / "in"), str(tmp_path / "done-in"), options={"path": str(tmp_path / "out")})
+
+
+def test_keys_go_to_a_topic(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    land(tmp_path / "in", *LANDED)
+    from perigee import plans
+
+    with pytest.raises(AnalysisException, match="kafka"):
+        plans.fan_out_step(spark, str(tmp_path / "in"), str(tmp_path / "done"), fmt="kafka", options={"topic": "t"})
+    # The staged envelopes wait for the retry.
+    assert step(spark, tmp_path) == 0
+    assert spark.read.parquet(str(tmp_path / "out")).select("key").distinct().count() == 3

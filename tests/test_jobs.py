@@ -46,3 +46,20 @@ def test_all_jobs(spark, tmp_path, capsys):
     capsys.readouterr()
     job("summary", root)
     assert str(batch["total_train"]) in capsys.readouterr().out
+
+
+def test_streamed_jobs(spark, tmp_path):
+    """The fan-out as a stream, and its messages into the flat table; a second round adds nothing."""
+    def job(*words):
+        run(spark, parser().parse_args(list(words)))
+
+    landed, fanned, root = f"{tmp_path}/envelopes", f"{tmp_path}/fanned", f"{tmp_path}/state"
+    envelopes(spark, SMALL).write.parquet(landed)
+    broken_envelopes(spark, SMALL).where("length(value) % 2 = 0").limit(7).write.mode("append").parquet(landed)
+    counts = []
+    for _ in range(2):
+        job("stream-fan-out", landed, fanned, f"{tmp_path}/checkpoint", "--envelope-format", "parquet")
+        job("stream", root, "--format", "fanned", "--option", f"path={fanned}")
+        counts.append(spark.read.parquet(plans.StatePaths(root).flat).count())
+    messages = spark.read.parquet(fanned).where("kind = 'message'").count()
+    assert counts == [messages] * 2 and 6000 <= messages <= 6014
