@@ -8,8 +8,11 @@ words are hit and the items that hold it are noted.
 Stretches that can't hold a window are passed over without a step of the automaton: a window's neighbouring words are
 neighbours in an item, so a table of hashed pairs rules out most of a document; it can only let through too much.
 
-Items are a bounded side: an automaton holds at most SHARD_WORDS words (about 500 bytes each), and a larger benchmark is
-dealt by item into several, whose finds are put together by document.
+An automaton holds about SHARD_WORDS words at most (500 bytes each); a larger benchmark is dealt by item into several,
+whose finds are put together by document. Up to DRIVER_WORDS words the driver builds them, one after the other, and each
+reads the documents. Beyond, tasks build them and the documents are read once for TABLES shards: their stretches go to
+the shards whose tables let them through, and there meet the shard's items. The driver then sees the tables alone,
+128 KB of each shard, whatever the documents.
 
 Defined cases: null and empty texts have no words; items without words have no window; repeated items or item ids count
 once; a null item id is hit but not listed; an empty benchmark hits nothing; a null document id stays null. Further
@@ -30,13 +33,20 @@ from perigee.llm.shared import fresh, mapped, narrow, stored
 
 LIMIT = 10
 SHARD_WORDS = 200_000
+#: A larger benchmark doesn't pass through the driver.
+DRIVER_WORDS = 4 * SHARD_WORDS
+#: Shards for which one pass over the documents looks: 32 MB of tables.
+TABLES = 256
 #: A document of which a greater share of words is hit goes whole.
 MAX_COVERAGE = 0.5
 _BITS = 20
 
 
 def words_of(text: str | None) -> list[bytes]:
-    data = (text or "").encode()
+    return _words((text or "").encode())
+
+
+def _words(data: bytes) -> list[bytes]:
     block = texts.Block(0, np.frombuffer(data, np.uint8), np.array([0, len(data)]))
     found = texts.units(block, texts.ALNUM)
     return [data[a:b].lower() for a, b in zip(found.starts, found.ends, strict=True)]
@@ -144,10 +154,14 @@ def _pairs(words: list[list[bytes]], shortest: int) -> np.ndarray:
 def _stretches(keys: np.ndarray, found: texts.Units, table: np.ndarray, shortest: int) -> Iterator[tuple[int, int, int]]:
     """(text, first word, end) of the stretches of words whose neighbours all are neighbours in items."""
     size = min(2, shortest)
+    return _runs(table[texts.windows(keys, size) >> np.uint64(64 - _BITS)], found, size, shortest)
+
+
+def _runs(good: np.ndarray, found: texts.Units, size: int, shortest: int) -> Iterator[tuple[int, int, int]]:
+    """The stretches where the windows of this size are good."""
     rows = found.rows
-    good = table[texts.windows(keys, size) >> np.uint64(64 - _BITS)]
     if size == 2:
-        good &= rows[1:] == rows[:-1]
+        good = good & (rows[1:] == rows[:-1])
     edges = np.diff(np.concatenate([[0], good.astype(np.int8), [0]]))
     if size == 1:  # words of different texts are no neighbours
         for row in np.unique(rows[good]):
@@ -203,18 +217,24 @@ def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
 _HITS = "doc_id bigint, n_words bigint, spans array<array<bigint>>, items array<string>"
 
 
-def _shards(benchmark: DataFrame, shard_words: int) -> tuple[int, Iterator[list[Row]]]:
-    """How many, and the items in lists of about that many words, each collected by itself when it is asked for."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("text IS NOT NULL").distinct()
-    # A word takes at least two bytes with its separator: a bound, and cheap.
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("text IS NOT NULL").distinct()
+
+
+def _shards(items: DataFrame, n: int) -> Iterator[list[Row]]:
+    """The items in n lists, each collected by itself when it is asked for."""
+    return (items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == shard).collect() for shard in range(n))
+
+
+def _count(items: DataFrame, shard_words: int) -> tuple[int, int]:
+    """How many words the items hold at most, and how many shards they need."""
+    # A word takes at least two bytes with its separator: a bound, and cheap. Most take more, so a shard gets twice that.
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // (4 * shard_words)))
-    return n, (items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == shard).collect() for shard in range(n))
+    return -(-total // 2), max(1, -(-total // (4 * shard_words)))
 
 
-def _scans(benchmark: DataFrame, limit: int, shard_words: int) -> tuple[int, Iterator]:
-    n, shards = _shards(benchmark, shard_words)
-    return n, (_scan([(row["item"], words_of(row["text"])) for row in shard], limit) for shard in shards)
+def _scans(items: DataFrame, n: int, limit: int) -> Iterator:
+    return (_scan([(row["item"], words_of(row["text"])) for row in shard], limit) for shard in _shards(items, n))
 
 
 def _of_shards(docs: DataFrame, scans: Iterator) -> DataFrame:
@@ -239,9 +259,14 @@ def _of_shards(docs: DataFrame, scans: Iterator) -> DataFrame:
         own = stored(own if found is None else own.where(F.size("spans") > 0))
         found = own if found is None else found.unionByName(own)
         del scan
+    return _by_document(found)
+
+
+def _by_document(found: DataFrame) -> DataFrame:
+    """The finds of all shards together; a document's rows are as many as its stretches or the shards."""
     grouped = found.groupBy("doc_id", "hash", "n_words").agg(
         F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"), F.max("n").alias("n")
-    )  # as many rows to a group as there are shards
+    )
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = grouped_names.index("spans")
@@ -256,12 +281,167 @@ def _of_shards(docs: DataFrame, scans: Iterator) -> DataFrame:
     return merged.withColumn("items", F.array_sort(F.array_distinct("items")))
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, limit: int = LIMIT, shard_words: int = SHARD_WORDS) -> DataFrame:
+_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
+_TABLE = "shard int, shortest int, pairs binary"
+_STRETCHES = "doc_id bigint, hash bigint, n_words bigint, stretches array<struct<shard:int,first:bigint,data:binary>>"
+_SEARCHED = "doc_id bigint, hash bigint, n_words bigint, spans array<array<bigint>>, items array<string>"
+
+
+def _tables(dealt: DataFrame, limit: int) -> DataFrame:
+    """A row of each shard: its shortest window and the bits of its table."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, table, shortest = None, None, limit
+
+        def done() -> pa.RecordBatch:
+            columns = [pa.array([shard], pa.int32()), pa.array([shortest], pa.int32()), pa.array([np.packbits(table).tobytes()])]
+            return pa.RecordBatch.from_arrays(columns, names=["shard", "shortest", "pairs"])
+
+        for batch in batches:
+            for k, text in zip(batch["shard"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                if k != shard:
+                    if shard is not None:
+                        yield done()
+                    shard, table, shortest = k, np.zeros(1 << _BITS, bool), limit
+                words = words_of(text)
+                shortest = min(shortest, len(words))
+                table |= _pairs([words], min(2, len(words), limit))
+        if shard is not None:
+            yield done()
+
+    return mapped(dealt.repartition("shard").sortWithinPartitions("shard"), build, _TABLE)
+
+
+class _Sieve:
+    """Tables of several shards with windows of one kind (of one word, or of more), a bit of each shard to a slot."""
+
+    def __init__(self, rows: list[Row], size: int) -> None:
+        self.size, self.shards, self.shortest = size, [r["shard"] for r in rows], [r["shortest"] for r in rows]
+        self.bits = np.zeros((1 << _BITS, -(-len(rows) // 8)), np.uint8)
+        for at in range(0, len(rows), 8):
+            tables = [np.unpackbits(np.frombuffer(r["pairs"], np.uint8)) for r in rows[at : at + 8]]
+            self.bits[:, at // 8] = np.packbits(np.stack(tables), axis=0)[0]
+
+    def stretches(self, keys: np.ndarray, found: texts.Units) -> Iterator[tuple[int, int, int, int]]:
+        """(shard, text, first word, end)."""
+        if len(keys) < self.size:
+            return
+        passed = self.bits[texts.windows(keys, self.size) >> np.uint64(64 - _BITS)]
+        # A shard's stretch has so many neighbouring windows that it lets through.
+        least = min(self.shortest) - self.size + 1
+        together = passed[: max(0, len(passed) - least + 1)].copy()
+        for k in range(1, least):
+            together &= passed[k : k + len(together)]
+        some = np.unpackbits(np.bitwise_or.reduce(together, axis=0)) if len(together) else ()
+        for k in np.flatnonzero(some):
+            good = passed[:, k // 8] >> (7 - k % 8) & 1
+            for row, a, b in _runs(good.astype(bool), found, self.size, self.shortest[k]):
+                yield self.shards[k], row, a, b
+
+
+def _sieved(rows: DataFrame, sieves: list[_Sieve]) -> DataFrame:
+    """Reads doc_id, text and hash once; a row per document, with the stretches that some shard has to look at."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_words, stretches = [], []
+            for block in texts.blocks(batch["text"]):
+                found = texts.units(block, texts.ALNUM)
+                keys = texts.hashes(block, found, lower=True)
+                n_words.append(np.diff(found.bounds))
+                own: list[list[dict]] = [[] for _ in range(len(block.offsets) - 1)]
+                for sieve in sieves:
+                    for shard, row, a, b in sieve.stretches(keys, found):
+                        data = block.data[found.starts[a] : found.ends[b - 1]].tobytes()
+                        own[row].append({"shard": shard, "first": int(a - found.bounds[row]), "data": data})
+                stretches += own
+            flat = pa.array(np.concatenate(n_words) if n_words else np.zeros(0, np.int64), pa.int64())
+            kind = pa.list_(pa.struct([("shard", pa.int32()), ("first", pa.int64()), ("data", pa.binary())]))
+            columns = [batch["doc_id"], batch["hash"], flat, pa.array(stretches, kind)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "hash", "n_words", "stretches"])
+
+    return mapped(rows, scan, _STRETCHES)
+
+
+def _search(limit: int):
+    """Reads rows sorted by shard, part and kind: a shard's items, from which its automaton is built, then stretches."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = items = automaton = None
+        for batch in batches:
+            out: list[tuple] = []
+            for row in batch.to_pylist():
+                place = (row["shard"], row["part"])
+                if row["kind"] == 0:
+                    if of is None or of[0] != place[0]:  # another part of a shard brings the same items again
+                        of, items, automaton = place, [], None
+                    if of == place:
+                        items.append((row["item"], _words(row["data"])))
+                    continue
+                if automaton is None:
+                    automaton, items = Automaton(items, limit), None
+                spans, held = [], set()
+                for a, b, named in automaton.matches(_words(row["data"])):
+                    spans.append((a + row["first"], b + row["first"]))
+                    held |= named
+                if spans:
+                    out.append((row["doc_id"], row["hash"], row["n_words"], _merged(spans), sorted(i for i in held if i is not None)))
+            names = ["doc_id", "hash", "n_words", "spans", "items"]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64())), pa.list_(pa.string())]
+            columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return search
+
+
+def _in_tasks(docs: DataFrame, items: DataFrame, n: int, limit: int) -> DataFrame:
+    """What `_of_shards` gives, from automata that tasks build."""
+    spark = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("hash"))
+    size = F.regexp_count("text", F.lit(_WORD))
+    # Items of one word let whole documents through: shards of their own.
+    shard = F.pmod(F.xxhash64("item", "text"), F.lit(n)).cast("int") + F.when(size == 1, n).otherwise(0)
+    dealt = stored(items.where(size > 0).select(shard.alias("shard"), "item", "text"))
+    # Every shard is searched in several tasks, each of which gets its items.
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // n)
+    none = F.lit(None).cast("bigint")
+    found = None
+    for low in range(0, 2 * n, TABLES):
+        chosen = dealt.where(F.col("shard").between(low, low + TABLES - 1))
+        tables = sorted(_tables(chosen, limit).collect())  # at most TABLES rows of 128 KB
+        if found is not None and not tables:
+            continue
+        groups = [[r for r in tables if min(2, r["shortest"]) == k] for k in (1, 2)]
+        sieved = stored(_sieved(rows, [_Sieve(g, k) for k, g in enumerate(groups, 1) if g]))
+        if found is None:
+            empty = [F.array().cast("array<array<bigint>>").alias("spans"), F.array().cast("array<string>").alias("items")]
+            found = sieved.groupBy("doc_id", "hash", "n_words").agg(F.count("*").alias("n")).select("doc_id", "hash", "n_words", *empty, "n")
+        stretches = sieved.select("doc_id", "hash", "n_words", F.inline("stretches")).dropDuplicates(["doc_id", "hash", "shard", "first"])
+        part = F.pmod(F.xxhash64("doc_id", "hash", "first"), F.lit(parts)).cast("int")
+        there = stretches.select("shard", part.alias("part"), F.lit(1).alias("kind"), F.lit(None).cast("string").alias("item"),
+                                 "doc_id", "hash", "n_words", "first", "data")
+        here = chosen.select("shard", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(0).alias("kind"), "item",
+                             none.alias("doc_id"), none.alias("hash"), none.alias("n_words"), none.alias("first"),
+                             F.col("text").cast("binary").alias("data"))
+        both = here.unionByName(there).repartition("shard", "part").sortWithinPartitions("shard", "part", "kind")
+        found = found.unionByName(mapped(both, _search(limit), _SEARCHED).withColumn("n", F.lit(0).cast("bigint")))
+    return _by_document(found)
+
+
+def _found(docs: DataFrame, items: DataFrame, n: int, words: int, limit: int, driver_words: int) -> DataFrame:
+    return _of_shards(docs, _scans(items, n, limit)) if words <= driver_words else _in_tasks(docs, items, n, limit)
+
+
+def hits(
+    docs: DataFrame, benchmark: DataFrame, limit: int = LIMIT, shard_words: int = SHARD_WORDS, driver_words: int = DRIVER_WORDS
+) -> DataFrame:
     """doc_id, n_words, spans ([first word, end] of what is hit, merged, ascending), items (ids, sorted)."""
-    n, scans = _scans(benchmark, limit, shard_words)
-    if n == 1:
-        return mapped(narrow(docs), next(scans), _HITS)
-    found = _of_shards(docs, scans).withColumn("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")))
+    items = _items(benchmark)
+    words, n = _count(items, shard_words)
+    if n == 1 and words <= driver_words:
+        return mapped(narrow(docs), next(_scans(items, n, limit)), _HITS)
+    found = _found(docs, items, n, words, limit, driver_words)
+    found = found.withColumn("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")))
     return found.select("doc_id", "n_words", "spans", "items")
 
 
@@ -275,13 +455,15 @@ def decontaminate(
     limit: int = LIMIT,
     max_coverage: float = MAX_COVERAGE,
     shard_words: int = SHARD_WORDS,
+    driver_words: int = DRIVER_WORDS,
 ) -> DataFrame:
     """The documents without the hit spans; those of which more than max_coverage is hit go. Other columns stay.
 
     The text is cut from the first character of a span's first word to the last of its last.
     """
-    n, scans = _scans(benchmark, limit, shard_words)
-    only = next(scans) if n == 1 else None
+    items = _items(benchmark)
+    words, n = _count(items, shard_words)
+    only = next(_scans(items, n, limit)) if n == 1 and words <= driver_words else None
     names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +486,7 @@ def decontaminate(
 
     if only:
         return mapped(docs, cut, docs.schema)
-    found = _of_shards(docs, scans)
+    found = _found(docs, items, n, words, limit, driver_words)
     same = docs["doc_id"].cast("bigint").eqNullSafe(found["doc_id"]) & F.xxhash64(docs["text"]).eqNullSafe(found["hash"])
     more = [found[n].alias(fresh(names, n)) for n in ("n_words", "spans")]
     return mapped(docs.join(found, same).select(*(docs[n] for n in names), *more), cut, docs.schema)

@@ -105,9 +105,11 @@ def test_long_runs_of_few_lines_go(documents):
     assert not winnowing.repeated_lines(documents(*rows)).collect()
 
 
-@pytest.mark.parametrize("shard_words", [decontaminate.SHARD_WORDS, 3])
-def test_decontamination(docs, benchmark, shard_words):
-    got = by_id(decontaminate.hits(docs, benchmark, shard_words=shard_words))
+@pytest.mark.parametrize(
+    ("shard_words", "driver_words"), [(decontaminate.SHARD_WORDS, decontaminate.DRIVER_WORDS), (3, decontaminate.DRIVER_WORDS), (10_000, 0), (3, 0)]
+)
+def test_decontamination(docs, benchmark, shard_words, driver_words):
+    got = by_id(decontaminate.hits(docs, benchmark, shard_words=shard_words, driver_words=driver_words))
     want = []
     items = [(r["item_id"], r["text"]) for r in benchmark.collect()]
     for i, t in ROWS:
@@ -122,7 +124,7 @@ def test_decontamination(docs, benchmark, shard_words):
     assert [(i, n, [list(s) for s in spans], items) for i, n, spans, items in got] == sorted(
         want, key=lambda r: (r[0] is not None, r[0] or 0, str(r))
     )
-    kept = decontaminate.decontaminate(docs, benchmark, shard_words=shard_words)
+    kept = decontaminate.decontaminate(docs, benchmark, shard_words=shard_words, driver_words=driver_words)
     assert kept.columns == docs.columns
     expected = [(i, t if t is None else brute.without_items(t, items)) for i, t in ROWS]
     expected = [(i, t) for (i, t), (_, old) in zip(expected, ROWS, strict=True) if t is not None or old is None]
@@ -153,6 +155,20 @@ def _plain_automaton(state):
     return made
 
 
+@pytest.mark.parametrize("tables", [8, decontaminate.TABLES])
+def test_shards_built_in_tasks(spark, monkeypatch, tables):
+    """Whole tables over some twenty shards that tasks build: what one automaton finds, none of them built by the driver."""
+    docs, benchmark = (spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet") for name in ("documents", "benchmark"))
+    columns = ("doc_id", "n_words", "spans", "items")
+    want = by_id(decontaminate.hits(docs, benchmark).select(*columns))
+    assert any(r[2] for r in want)
+    size = sum(len(r["text"].encode()) for r in benchmark.collect())
+    monkeypatch.setattr(decontaminate, "TABLES", tables)
+    monkeypatch.setattr(decontaminate, "_shards", None)
+    found = decontaminate.hits(docs, benchmark, shard_words=size // 80, driver_words=0)
+    assert by_id(found.select(*columns)) == want
+
+
 def test_empty_benchmark_hits_nothing(docs, benchmark):
     none = benchmark.limit(0)
     assert all(r["spans"] == [] and r["items"] == [] for r in decontaminate.hits(docs, none).collect())
