@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,34 +22,42 @@ def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """The rows dealt evenly over the cores, whatever splits the file has (often one): the feed's only shuffle."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    """The rows dealt over tasks, whatever splits the file has (often one): the feed's only shuffle.
+
+    By a hash of the whole row, which needs no sort as dealing in turns does; adaptive execution joins small
+    partitions and splits large ones, so that their number grows with the table.
+    """
+    return df.hint("rebalance", *df.columns)
 
 
-def _every(n: int) -> Column:
-    return F.col("l_orderkey") % n == 0
+# Where a column of a row is taken from: F.col of a table's row, another function of a listed one.
+Take = Callable[[str], Column]
 
 
-def _day() -> Column:
-    return F.col("l_shipdate").cast("date")
+def _every(n: int, of: Take = F.col) -> Column:
+    return of("l_orderkey") % n == 0
 
 
-def _diameter() -> Column:
-    return F.when(~_every(101), F.col("l_extendedprice") / 20000.0)
+def _day(of: Take = F.col) -> Column:
+    return of("l_shipdate").cast("date")
 
 
-def _miss() -> Column:
-    return F.col("l_partkey") * 25.5 + F.col("l_quantity")
+def _diameter(of: Take = F.col) -> Column:
+    return F.when(~_every(101, of), of("l_extendedprice") / 20000.0)
+
+
+def _miss(of: Take = F.col) -> Column:
+    return of("l_partkey") * 25.5 + of("l_quantity")
 
 
 # Velocity texts that are no usable number, each on the orders whose key it divides; the first that fits.
 BAD_VELOCITIES = {89: "n/a", 83: "NaN", 79: "Infinity", 73: "-Infinity", 71: "1e999"}
 
 
-def _velocity_text() -> Column:
-    text = F.col("l_quantity").cast("string")
+def _velocity_text(of: Take = F.col) -> Column:
+    text = of("l_quantity").cast("string")
     for divisor, bad in reversed(BAD_VELOCITIES.items()):
-        text = F.when(_every(divisor), bad).otherwise(text)
+        text = F.when(_every(divisor, of), bad).otherwise(text)
     return text
 
 
@@ -59,39 +69,40 @@ def _approach(day: Column, velocity: Column, miss: Column) -> Column:
     )
 
 
-def objects(lineitem: DataFrame) -> DataFrame:
-    """Object columns in message order, `id` being a field no schema declares; extra input columns stay first."""
-    loose = F.concat_ws("-", F.year(_day()), F.month(_day()), F.day(_day()))
+def _fields(of: Take = F.col) -> list[Column]:
+    """The fields of an object in message order, `id` being one that no schema declares."""
+    day = _day(of)
+    loose = F.concat_ws("-", F.year(day), F.month(day), F.day(day))
     first = _approach(
-        F.when(_every(61), loose).otherwise(_day().cast("string")), _velocity_text(), _miss()
+        F.when(_every(61, of), loose).otherwise(day.cast("string")), _velocity_text(of), _miss(of)
     )
     second = _approach(
-        F.date_add(_day(), F.col("l_linenumber") * 30).cast("string"),
-        (F.col("l_quantity") + 1).cast("string"),
-        _miss() * 2,
+        F.date_add(day, of("l_linenumber") * 30).cast("string"),
+        (of("l_quantity") + 1).cast("string"),
+        _miss(of) * 2,
     )
-    approaches = (
-        F.when(_every(53), F.slice(F.array(first), 1, 0))
-        .when(F.col("l_linenumber") % 2 == 0, F.array(first, second))
-        .otherwise(F.array(first))
-    )
-    tag = F.concat_ws("-", "l_orderkey", "l_linenumber")
-    return lineitem.select(
-        *(name for name in lineitem.columns if name not in COLUMNS),
-        "l_orderkey",
+    # Each approach is written down once, which keeps the generated code small.
+    count = F.when(_every(53, of), 0).when(of("l_linenumber") % 2 == 0, 2).otherwise(1)
+    tag = F.concat_ws("-", of("l_orderkey"), of("l_linenumber"))
+    return [
         F.concat(F.lit("neo-"), tag).alias("name"),
         tag.alias("id"),
-        F.when(~_every(97), (F.col("l_extendedprice") > 60000) != _every(23)).alias(
+        F.when(~_every(97, of), (of("l_extendedprice") > 60000) != _every(23, of)).alias(
             "is_potentially_hazardous_asteroid"
         ),
         F.struct(
             F.struct(
-                _diameter().alias("estimated_diameter_max"),
-                (_diameter() / 2.236).alias("estimated_diameter_min"),
+                _diameter(of).alias("estimated_diameter_max"),
+                (_diameter(of) / 2.236).alias("estimated_diameter_min"),
             ).alias("kilometers")
         ).alias("estimated_diameter"),
-        approaches.alias("close_approach_data"),
-    )
+        F.slice(F.array(first, second), F.lit(1), count).alias("close_approach_data"),
+    ]
+
+
+def objects(lineitem: DataFrame) -> DataFrame:
+    """Object columns in message order behind the order key; extra input columns stay first."""
+    return lineitem.select(*(name for name in lineitem.columns if name not in COLUMNS), "l_orderkey", *_fields())
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,16 +132,16 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     Pages are numbered on the unshuffled scan, where row positions are the same on every attempt.
     """
     page = F.shiftright(F.monotonically_increasing_id(), PAGE_BITS)
-    paged = _spread(_lineitem(spark, sf_dir).withColumn("page", page))
-    listed = objects(paged.withColumn("day", _day())).drop("l_orderkey")
-    fields = [name for name in listed.columns if name not in ("page", "day")]
-    grouped = listed.groupBy("page", window_start(F.col("day")).alias("start")).agg(
-        F.collect_list(F.struct("day", F.struct(*fields).alias("object"))).alias("entries")
+    paged = _lineitem(spark, sf_dir).withColumn("page", page).withColumn("l_shipdate", _day())
+    paged = paged.withColumn("start", window_start(_day()))
+    # The table's own narrow rows move, once; the objects are made of them in their envelope.
+    grouped = paged.repartition("page", "start").groupBy("page", "start").agg(
+        F.collect_list(F.struct(*COLUMNS)).alias("entries")
     )
 
     def on(day: Column) -> Column:
         return F.transform(
-            F.filter("entries", lambda entry: entry["day"] == day), lambda entry: entry["object"]
+            F.filter("entries", lambda row: _day(row.getField) == day), lambda row: F.struct(*_fields(row.getField))
         )
 
     days = [F.col("start"), F.date_add("start", 1)]
