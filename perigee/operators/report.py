@@ -59,15 +59,25 @@ def scatter_grid(
 
 
 def bounded_grid(
-    display: DataFrame, columns: int, rows: int, which: str = REAL_VALUE, within: tuple[float, float] | None = None
+    display: DataFrame,
+    columns: int,
+    rows: int,
+    which: str = REAL_VALUE,
+    within: tuple[float, float] | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """Points per cell and class of a grid of so many columns and rows, whatever the range of the points.
 
     One pass finds the bounds: the least and greatest values, or with `within` those quantiles (approximately), beyond
     which points count in the outermost cells. Bins start at 0; points without a finite place are in no cell.
+
+    Two passes read the points. With `path` they are first written there, so that rows that cost much are made once.
     """
     far = float("inf")
     points = scatter_points(display, which).where((F.abs("x") < far) & (F.abs("y") < far))
+    if path is not None:
+        points.write.mode("overwrite").option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(path)
+        points = display.sparkSession.read.schema(points.schema).parquet(path)
     if within is None:
         bounds = [f(c) for c in ("x", "y") for f in (F.min, F.max)]
     else:

@@ -40,3 +40,11 @@ def test_envelopes_move_narrow_rows_once(spark, tables):
     plan = _plan(samplefeed.envelopes(spark, tables))
     assert plan.count("Exchange") == 1
     assert "neo-" not in plan.partition("Exchange")[2]
+
+
+def test_bounded_grid_stores_its_points(spark, tables, tmp_path):
+    display = op.display_rows(registry._scored(spark, tables))
+    stored = op.bounded_grid(display, 5, 4, path=str(tmp_path / "points"))
+    assert "from_json" not in _plan(stored)
+    assert sorted(stored.collect()) == sorted(op.bounded_grid(display, 5, 4).collect())
+    assert "from_json" not in _plan(registry.scatter_grid_bounded(spark, tables))
