@@ -125,7 +125,8 @@ def export_new(scored: DataFrame, path: str) -> list[int]:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         done = spark.createDataFrame([], "batch_id BIGINT")
-    rows = scored.join(done, "batch_id", "left_anti").select(*scored.columns)
+    # Sent to the tasks: a join that shuffles would put all rows of a batch into one of them.
+    rows = scored.join(F.broadcast(done), "batch_id", "left_anti").select(*scored.columns)
     new = sorted(row["batch_id"] for row in rows.select("batch_id").distinct().collect())
     if new:
         writer = rows.hint("rebalance", "batch_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

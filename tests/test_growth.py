@@ -48,3 +48,14 @@ def test_bounded_grid_stores_its_points(spark, tables, tmp_path):
     assert "from_json" not in _plan(stored)
     assert sorted(stored.collect()) == sorted(op.bounded_grid(display, 5, 4).collect())
     assert "from_json" not in _plan(registry.scatter_grid_bounded(spark, tables))
+
+
+def test_export_new_spreads_a_batch(spark, tmp_path, monkeypatch):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20000")
+    try:
+        names = F.sha2(F.col("id").cast("string"), 256).alias("name")
+        scored = spark.range(0, 20000, 1, 8).select(names, F.lit(0).cast("bigint").alias("batch_id"))
+        assert op.export_new(scored, str(tmp_path / "out")) == [0]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list(Path(tmp_path / "out" / "batch_id=0").glob("*.parquet"))) > 1
