@@ -51,14 +51,15 @@ def test_bounded_grid_stores_its_points(spark, tables, tmp_path):
 
 
 def test_export_new_spreads_a_batch(spark, tmp_path, monkeypatch):
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20000")
-    try:
-        names = F.sha2(F.col("id").cast("string"), 256).alias("name")
-        scored = spark.range(0, 20000, 1, 8).select(names, F.lit(0).cast("bigint").alias("batch_id"))
-        assert op.export_new(scored, str(tmp_path / "out")) == [0]
-    finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    assert len(list(Path(tmp_path / "out" / "batch_id=0").glob("*.parquet"))) > 1
+    """A batch is not gathered in one task by the join with the list, before the rebalance that could split it."""
+    scored = spark.range(0, 1000, 1, 8).select("id", F.lit(0).cast("bigint").alias("batch_id"))
+    scored.write.parquet(str(tmp_path / "scored"))
+    scored = spark.read.parquet(str(tmp_path / "scored"))
+    plans, hint = [], type(scored).hint
+    monkeypatch.setattr(type(scored), "hint", lambda rows, name, *on: (name == "rebalance" and plans.append(_plan(rows)), hint(rows, name, *on))[1])
+    assert op.export_new(scored, str(tmp_path / "out")) == [0]
+    assert len(plans) == 1 and "hashpartitioning(batch_id" not in plans[0]
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1000
 
 
 def test_late_step_decodes_once(spark, tables, monkeypatch):
