@@ -95,13 +95,19 @@ def shared_root(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/perigee-{uuid.uuid4().hex}"
 
 
+def _empty(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows, made without the Python workers that createDataFrame starts for its list."""
+    fields = StructType.fromDDL(schema).fields
+    return spark.range(0).where(F.lit(False)).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in fields))
+
+
 def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return _empty(spark, schema)
 
 
 def _folder(spark: SparkSession, path: str):
@@ -166,7 +172,7 @@ def _read_batches(spark: SparkSession, paths: StatePaths, table: str, schema: st
         rows.append(_read_or_empty(spark, f"{paths.root}/{table}", schema).where(F.col("batch_id").isin(alone)))
     # A run has a folder for each table, though of no files if it has no rows.
     rows += (spark.read.schema(schema).parquet(f"{run.folder(paths)}/{table}") for run in runs)
-    return reduce(DataFrame.unionByName, rows) if rows else spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, rows) if rows else _empty(spark, schema)
 
 
 def _write_run(spark: SparkSession, paths: StatePaths, level: int, runs: list[Run], batches: list[int]) -> Run:

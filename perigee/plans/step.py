@@ -42,14 +42,14 @@ def _stage(batch: DataFrame, path: str, late_until: date | None) -> DataFrame:
     """Routes every row to train, test, reject or late and writes them in one pass over the batch.
 
     All later reads of the batch are of this table, so the step neither caches the batch nor
-    depends on its source staying the same. The rebalance hint keeps a part's files few; adaptive
-    execution splits a large part over tasks.
+    depends on its source staying the same. Rows are written by the tasks that read them, since a
+    shuffle by part would move all of them into four places: at most a file of each part a task,
+    which the merge of batches makes few.
     """
     late = F.lit(False) if late_until is None else F.col("approach_date") <= day(late_until)
     part = F.when(late, LATE).when(F.col("reason").isNotNull(), REJECT)
     routed = split_keyed(with_reason(batch)).withColumn("part", part.when(F.col("is_train"), TRAIN).otherwise(TEST))
-    staged = routed.drop("is_train", "approach_month").hint("rebalance", "part")
-    writer = staged.write.mode("overwrite").partitionBy("part")
+    writer = routed.drop("is_train", "approach_month").write.mode("overwrite").partitionBy("part")
     writer.option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(path)
     return batch.sparkSession.read.schema(_STAGED_SCHEMA).parquet(path)
 
@@ -183,9 +183,13 @@ def run_available(
         batch = newer_than(flat, cursor, until)
     else:
         modified = F.col("_metadata.file_modification_time") <= F.lit(upto)
-        before = F.col("approach_date").isNull() | F.col("approach_date").between(day(start + timedelta(1)), day(cursor))
+        first = start + timedelta(1)
+        before = F.col("approach_date").isNull() | F.col("approach_date").between(day(first), day(cursor))
+        # The same by month, which spares the files of all others.
+        month = F.col("approach_month")
+        months = month.isNull() | month.between(day(first.replace(day=1)), day(cursor.replace(day=1)))
         batch = newer_than(flat.where(modified), cursor, until)
-        batch = batch.unionByName(rows_of_files(flat.where(modified & before), new, since))
+        batch = batch.unionByName(rows_of_files(flat.where(modified & before & months), new, since))
     return _process(batch, batch_id, paths, last, drop_late=True, **settings)
 
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 import __spark_entry__ as registry
 import samplefeed
 from perigee import operators as op
+from perigee import plans
+from perigee.schema import FLAT_COLUMNS, LEDGER_SCHEMA
 
 
 @pytest.fixture(scope="module")
@@ -77,3 +80,52 @@ def test_fits_read_stored_splits(spark, tables, monkeypatch, name):
     monkeypatch.setattr(registry.op, "fit", lambda train: (plans.append(_plan(train)), fit(train))[1])
     getattr(registry, name)(spark, tables).collect()
     assert plans and not any("md5" in plan for plan in plans)
+
+
+def _flat_rows(spark, n=800, parts=4):
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 90).cast("int"))
+    text = F.when(F.col("id") % 40 != 0, day.cast("string"))
+    sizes = [F.lit(float(k)).alias(name) for k, name in enumerate(FLAT_COLUMNS[2:], 1)]
+    name = F.concat(F.lit("n"), "id").alias("name")
+    return spark.range(0, n, 1, parts).select(name, text.alias("close_approach_date"), *sizes)
+
+
+def test_step_stages_without_a_shuffle(spark, tmp_path):
+    """Rows are written by the tasks that read them: moved by part they would meet in a few tasks."""
+    paths = plans.StatePaths(str(tmp_path / "state"))
+    batch = op.with_day(_flat_rows(spark))
+    row = plans.process_batch(batch, 0, paths, trainer=lambda train: registry.FIXED)
+    assert (row["n_rows"], row["n_rejected"]) == (800, 20)
+    for part in ("train", "test"):
+        folder = Path(paths.rows) / "batch_id=0" / f"part={part}"
+        assert len(list(folder.glob("*.parquet"))) == 4
+    assert plans.read_train(spark, paths).select("name").distinct().count() == row["n_train"]
+
+
+def test_undated_and_late_rows_open_their_months_alone(spark, tmp_path, monkeypatch):
+    from perigee.plans import step
+
+    read, opened = step.rows_of_files, []
+    monkeypatch.setattr(step, "rows_of_files", lambda table, *of: (opened.append(_plan(table)), read(table, *of))[1])
+    paths = plans.StatePaths(str(tmp_path / "state"))
+    counts = []
+    for k in range(2):
+        registry.sources.write_flat(_flat_rows(spark).withColumn("name", F.concat("name", F.lit(f"-{k}"))), paths.flat)
+        row = plans.run_available(
+            spark, paths, initial=date(2024, 1, 10), until=date(2024, 2, 10 + 9 * k), trainer=lambda train: registry.FIXED
+        )
+        counts.append((row["n_rows"], row["n_rejected"], row["n_late"]))
+    filters = [plan.partition("PartitionFilters: [")[2].partition("]")[0] for plan in opened]
+    assert len(filters) == 2 and all("isnull(approach_month" in f for f in filters)
+    dates = _flat_rows(spark).selectExpr("to_date(close_approach_date) AS d")
+    undated, first, second = dates.selectExpr(
+        "count_if(d IS NULL)", "count_if(d > '2024-01-10' AND d <= '2024-02-10')", "count_if(d > '2024-02-10' AND d <= '2024-02-19')"
+    ).first()
+    assert counts == [(first + undated, undated, 0), (2 * second + first + undated, undated, first)]
+
+
+def test_empty_state_starts_no_python(spark, tmp_path):
+    paths = plans.StatePaths(str(tmp_path / "state"))
+    for table in (plans.read_ledger(spark, paths), plans.read_train(spark, paths), plans.read_scored(spark, paths)):
+        assert "ExistingRDD" not in _plan(table) and table.count() == 0
+    assert plans.read_ledger(spark, paths).columns == [f.name for f in StructType.fromDDL(LEDGER_SCHEMA).fields]
