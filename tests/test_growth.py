@@ -39,6 +39,21 @@ def test_spread_does_not_deal_in_turns(spark, tables):
     assert "RoundRobin" not in _plan(samplefeed.messages(spark, tables))
 
 
+def test_spread_deals_by_rows_and_parts_copies(spark, tmp_path, monkeypatch):
+    """The tasks that make messages follow the count of rows, also where all rows are copies of one."""
+    from samplefeed import build
+
+    monkeypatch.setattr(build, "MOST_ROWS", 50, raising=False)
+    row = (7, 7, 1, 7.0, 1000.0, datetime(1998, 1, 1))
+    schema = (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, l_shipdate TIMESTAMP"
+    )
+    spark.createDataFrame([row] * 1000, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    dealt = samplefeed.messages(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    sizes = [size for _, size in dealt]
+    assert sum(sizes) == 1000 and len(sizes) == 20 and max(sizes) < 100
+
+
 def test_envelopes_move_narrow_rows_once(spark, tables):
     plan = _plan(samplefeed.envelopes(spark, tables))
     assert plan.count("Exchange") == 1
