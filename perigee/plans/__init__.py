@@ -10,6 +10,7 @@ from perigee.plans.state import (
     read_scored,
     read_train,
     shared_root,
+    shuffles_dropped,
 )
 from perigee.plans.step import process_batch, run_available, run_every
 from perigee.plans.summary import run_summary
@@ -30,4 +31,5 @@ __all__ = [
     "run_every",
     "run_summary",
     "shared_root",
+    "shuffles_dropped",
 ]

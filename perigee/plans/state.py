@@ -21,6 +21,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -39,6 +41,8 @@ TRAIN, TEST, REJECT, LATE = "train", "test", "reject", "late"
 # Batches, or runs of one level, after which a commit merges them.
 MERGE_EVERY = 16
 
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 @dataclass(frozen=True)
 class StatePaths:
@@ -95,6 +99,21 @@ def shared_root(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/perigee-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What is written inside leaves no shuffle files: they go when the write ends, in a stream started inside when
+    the micro-batch does. Otherwise they stay until the driver happens to collect its garbage."""
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, before)
+
+
 def _empty(spark: SparkSession, schema: str) -> DataFrame:
     """No rows, made without the Python workers that createDataFrame starts for its list."""
     fields = StructType.fromDDL(schema).fields

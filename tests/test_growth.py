@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import date, datetime, timedelta
 from pathlib import Path
 
@@ -139,6 +140,49 @@ def test_undated_and_late_rows_open_their_months_alone(spark, tmp_path, monkeypa
     assert counts == [(first + undated, undated, 0), (2 * second + first + undated, undated, first)]
 
 
+def _shuffle_files(spark) -> set[str]:
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for k in range(disk.size()) if (name := disk.apply(k).getName()).startswith("shuffle_")}
+
+
+def _left(spark, before: set[str]) -> set[str]:
+    """Shuffle files that are new and stay: they are deleted in the background."""
+    until = time.time() + 20
+    while (left := _shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    return left
+
+
+def _root(spark, monkeypatch, tmp_path) -> Path:
+    monkeypatch.setattr(plans, "shared_root", lambda _: str(tmp_path / "root"))
+    return tmp_path / "root"
+
+
+def _bytes(folder: Path) -> int:
+    return sum(f.stat().st_size for f in folder.rglob("part-*"))
+
+
+def test_roundtrip_packs_what_it_stores(spark, tables, tmp_path, monkeypatch):
+    """Neither the messages' plain text nor the shuffled rows stay on disk."""
+    root, before = _root(spark, monkeypatch, tmp_path), _shuffle_files(spark)
+    flat = registry.feed_roundtrip(spark, tables)
+    assert not _left(spark, before)
+    lines = registry.sources.read_messages(spark, "text", {"path": f"{root}/messages"})
+    n, size = lines.agg(F.count("*"), F.sum(F.length("value"))).first()
+    assert n == flat.count() == 400 and _bytes(root / "messages") < size / 5
+    envelopes = registry.sources.read_envelopes(spark, f"{root}/envelopes", "parquet")
+    assert all(".zstd." in name for (name,) in envelopes.select(F.input_file_name()).distinct().collect())
+
+
+def test_dropping_shuffles_keeps_the_setting(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    with pytest.raises(ZeroDivisionError), plans.shuffles_dropped(spark):
+        assert spark.conf.get(key) == "true"
+        1 / 0
+    assert spark.conf.get(key) == before
+
+
 def test_empty_state_starts_no_python(spark, tmp_path):
     paths = plans.StatePaths(str(tmp_path / "state"))
     for table in (plans.read_ledger(spark, paths), plans.read_train(spark, paths), plans.read_scored(spark, paths)):
