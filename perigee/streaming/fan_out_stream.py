@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from perigee.plans.state import shuffles_dropped
 from perigee.schema import MAX_FILE_ROWS
 from perigee.sources.envelopes import fan_out
 from perigee.streaming.flat_stream import AVAILABLE_NOW
@@ -46,10 +47,14 @@ def start_fan_out(
     trigger: Mapping[str, object] = AVAILABLE_NOW,
     options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
-    """Starts publishing landed envelopes to the table at `path`."""
+    """Starts publishing landed envelopes to the table at `path`.
+
+    A micro-batch moves whole envelopes to find equal ones; their shuffle files go when it ends.
+    """
     writer = fanned(envelope_stream(spark, envelopes, fmt, options)).writeStream.format("parquet").option("path", path)
     writer = writer.option("maxRecordsPerFile", MAX_FILE_ROWS).option("checkpointLocation", checkpoint)
-    return writer.partitionBy("kind").trigger(**trigger).start()
+    with shuffles_dropped(spark):  # the stream keeps the settings it starts with
+        return writer.option("compression", "zstd").partitionBy("kind").trigger(**trigger).start()
 
 
 def read_fanned(spark: SparkSession, path: str, kind: str = MESSAGE, stream: bool = False) -> DataFrame:

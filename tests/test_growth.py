@@ -174,6 +174,27 @@ def test_roundtrip_packs_what_it_stores(spark, tables, tmp_path, monkeypatch):
     assert all(".zstd." in name for (name,) in envelopes.select(F.input_file_name()).distinct().collect())
 
 
+def test_streamed_fan_out_leaves_no_shuffles(spark, tables, tmp_path, monkeypatch):
+    """Envelopes moved whole by a micro-batch are gone when it ends; what is published is packed; the feed is made once."""
+    root, before, left = _root(spark, monkeypatch, tmp_path), _shuffle_files(spark), []
+    start = registry.streaming.start_fan_out
+
+    def ended(*args):
+        (query := start(*args)).awaitTermination(120)
+        left.append(_left(spark, before))
+        return query
+
+    monkeypatch.setattr(registry.streaming, "start_fan_out", ended)
+    landed, land = [], registry._land
+    monkeypatch.setattr(registry, "_land", lambda s, rows, path: (landed.append(_plan(rows)), land(s, rows, path))[1])
+    flat = registry.stream_fan_out(spark, tables)
+    assert left == [set(), set()] and ["Exchange" in plan for plan in landed] == [True, False, False]
+    assert not (root / "made").exists()
+    assert flat.count() == flat.select("name").distinct().count() == 400
+    names = spark.read.parquet(f"{root}/fanned").select(F.input_file_name()).distinct().collect()
+    assert names and all(".zstd." in name for (name,) in names)
+
+
 def test_dropping_shuffles_keeps_the_setting(spark):
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(key)
